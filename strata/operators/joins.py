@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Structural row bounds of the relations we hint (fixed values of the model).
-BOUND_DATE_DIM = 7670          # dim_date spine 2015-01-01 .. 2035-12-31
+BOUND_DATE_DIM = 60_000        # dim_date: one row per calendar day (< 165 years)
 BOUND_STORES = 10_000          # one store per location
 BOUND_ONE_ROW = 1
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from strata.functions.compat import lit_date, pct, year_diff
 from strata.operators.joins import bounded_broadcast
 
-DATE_START = dt.date(2015, 1, 1)
+DATE_START = dt.date(2015, 1, 1)      # published spine
+WAREHOUSE_DATE_START = dt.date(1990, 1, 1)  # widened so the 1995-2001 test orders are covered
 DATE_END = dt.date(2035, 12, 31)
 # Fixed holiday marks: (month, day, name)
 HOLIDAYS = [(1, 1, "New Year's Day"), (7, 4, "Independence Day"), (12, 25, "Christmas Day")]
@@ -50,7 +51,7 @@ def dim_date(spark: SparkSession, start: dt.date = DATE_START, end: dt.date = DA
          .cast("bigint").alias("fiscal_quarter"),
         (((m - 2 + 12) % 12) + 1).cast("bigint").alias("fiscal_month"),
         dow.isin(6, 7).alias("is_weekend"),
-        ~dow.isin(6, 7).alias("is_weekday"),
+        (~dow.isin(6, 7)).alias("is_weekday"),
         F.trunc(fd, "week").alias("week_start_date"),
         F.date_add(F.trunc(fd, "week"), 6).alias("week_end_date"),
         F.trunc(fd, "month").alias("month_start_date"),

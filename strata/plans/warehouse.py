@@ -95,7 +95,7 @@ class Warehouse:
 
     # ------------------------------------------------------------ gold dims
     @cached_property
-    def dim_date(self): return dims.dim_date(self.spark)
+    def dim_date(self): return dims.dim_date(self.spark, start=dims.WAREHOUSE_DATE_START)
     @cached_property
     def dim_customers(self): return dims.dim_customers(self.customers, self.as_of)
     @cached_property
