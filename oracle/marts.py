@@ -153,3 +153,138 @@ FROM (SELECT cat.category_id, cat.category_name, cat.parent_category_name,
       JOIN g_dim_date d ON foi.date_sk = d.date_sk
       GROUP BY cat.category_id, cat.category_name, cat.parent_category_name, split_part(cat.category_path, ' > ', 1),
                cat.category_path, d.year_number, d.quarter_name, d.month_number, d.month_name)""")
+
+cte("m_top_customers", f"""
+SELECT clv.customer_sk, clv.customer_id, clv.full_name, clv.customer_tier, clv.clv_tier, clv.churn_risk,
+       clv.first_order_date, clv.last_order_date, clv.total_orders, clv.lifetime_revenue, clv.net_lifetime_revenue,
+       clv.avg_order_value, clv.orders_per_year, clv.projected_clv_3yr, clv.total_returns, clv.total_refunds,
+       clv.days_since_last_order, seg.lifecycle_segment, seg.rfm_combined_score, seg.is_vip,
+       RANK() OVER (ORDER BY clv.lifetime_revenue DESC NULLS LAST) AS revenue_rank,
+       RANK() OVER (ORDER BY clv.total_orders DESC NULLS LAST) AS order_frequency_rank,
+       RANK() OVER (ORDER BY clv.projected_clv_3yr DESC NULLS LAST) AS clv_rank,
+       NTILE(10) OVER (ORDER BY clv.lifetime_revenue DESC NULLS LAST, clv.customer_id) AS revenue_decile
+FROM m_customer_lifetime_value clv
+LEFT JOIN s_customer_segments seg ON clv.customer_id = seg.customer_id AND seg.segment_date = {AS_OF}""")
+
+cte("m_top_products", """
+SELECT product_id, product_name, brand, category_name, top_category_name, unit_price, list_margin_pct,
+       total_units_sold, orders_with_product, gross_revenue, net_revenue, total_gross_profit, avg_realized_margin_pct,
+       review_count, avg_rating, return_rate_pct, revenue_rank, units_rank,
+       RANK() OVER (ORDER BY total_gross_profit DESC NULLS LAST) AS profit_rank,
+       RANK() OVER (ORDER BY avg_rating DESC NULLS LAST) AS rating_rank,
+       NTILE(4) OVER (ORDER BY gross_revenue DESC NULLS LAST, product_id) AS revenue_quartile,
+       CASE WHEN revenue_rank <= 50 AND return_rate_pct < 5 THEN 'STAR'
+            WHEN revenue_rank <= 50 AND return_rate_pct >= 5 THEN 'QUESTION_MARK'
+            WHEN revenue_rank > 50 AND return_rate_pct < 5 THEN 'CASH_COW' ELSE 'DOG' END AS bcg_quadrant
+FROM m_product_performance""")
+
+cte("m_campaign_effectiveness", """
+SELECT cam.campaign_id, cam.campaign_name, cam.campaign_type, cam.channel, cam.start_date, cam.end_date,
+       cam.campaign_duration_days, cam.budget_amount, cam.spend_amount, cam.impressions, cam.clicks, cam.conversions,
+       cam.revenue_attributed, cam.ctr_pct, cam.conversion_rate_pct, cam.cost_per_conversion, cam.roas_pct,
+       CAST(COALESCE(s.orders_tracked, 0) AS BIGINT) AS orders_tracked,
+       CAST(COALESCE(s.ucr, 0) AS BIGINT) AS unique_customers_reached,
+       CAST(COALESCE(r.rev, 0) AS DOUBLE) AS tracked_revenue,
+       CASE WHEN s.durn > 0 THEN CAST(s.dur AS DOUBLE) / s.durn END AS avg_session_duration_converted,
+       s.total_page_views,
+       CASE WHEN s.bn > 0 THEN CAST(s.b AS DOUBLE) / s.bn * 100 END AS bounce_rate_pct,
+       CASE WHEN cam.spend_amount > 0 THEN CAST(cam.revenue_attributed AS DOUBLE) / CAST(cam.spend_amount AS DOUBLE) END AS roas_ratio,
+       CASE WHEN cam.spend_amount > 0 THEN (CAST(cam.revenue_attributed AS DOUBLE) - CAST(cam.spend_amount AS DOUBLE))
+            / CAST(cam.spend_amount AS DOUBLE) * 100 END AS roi_pct,
+       RANK() OVER (ORDER BY COALESCE(CASE WHEN cam.spend_amount > 0 THEN CAST(cam.revenue_attributed AS DOUBLE)
+            / CAST(cam.spend_amount AS DOUBLE) END, 0) DESC) AS roas_rank
+FROM g_dim_campaigns cam
+LEFT JOIN (SELECT campaign_id, COUNT(DISTINCT order_id) AS orders_tracked, COUNT(DISTINCT customer_sk) AS ucr,
+                  SUM(CASE WHEN converted THEN session_duration_sec END) AS dur,
+                  COUNT(CASE WHEN converted THEN session_duration_sec END) AS durn,
+                  SUM(page_views) AS total_page_views, SUM(CAST(is_bounce AS INTEGER)) AS b, COUNT(is_bounce) AS bn
+           FROM g_fact_web_sessions GROUP BY campaign_id) s ON cam.campaign_id = s.campaign_id
+LEFT JOIN (SELECT c.campaign_id, SUM(fs.total_amount) AS rev
+           FROM (SELECT DISTINCT campaign_id, order_id FROM g_fact_web_sessions WHERE converted AND order_id IS NOT NULL) c
+           JOIN g_fact_sales fs ON c.order_id = fs.order_id GROUP BY c.campaign_id) r ON cam.campaign_id = r.campaign_id""")
+
+cte("m_inventory_health", f"""
+SELECT inv.product_id, p.product_name, p.brand, p.category_name, p.supplier_name, inv.location_id, inv.location_type,
+       inv.quantity_on_hand, inv.quantity_reserved, inv.quantity_available, inv.reorder_point, inv.reorder_quantity,
+       inv.inventory_value, COALESCE(sv.vel, 0.0) AS daily_sales_velocity,
+       CASE WHEN sv.vel > 0 THEN CAST(inv.quantity_available AS DOUBLE) / sv.vel END AS days_of_stock,
+       inv.is_out_of_stock, inv.is_below_reorder,
+       CASE WHEN inv.quantity_available = 0 THEN 'STOCKOUT'
+            WHEN inv.quantity_available <= inv.reorder_point THEN 'LOW_STOCK'
+            WHEN CASE WHEN sv.vel <> 0 THEN CAST(inv.quantity_available AS DOUBLE) / sv.vel END > 180 THEN 'OVERSTOCK'
+            WHEN sv.vel < 0.1 AND inv.quantity_on_hand > 50 THEN 'SLOW_MOVER' ELSE 'HEALTHY' END AS inventory_status,
+       inv.snapshot_date
+FROM (SELECT * FROM g_fact_inventory_snapshots WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM g_fact_inventory_snapshots)) inv
+LEFT JOIN g_dim_products p ON inv.product_id = p.product_id
+LEFT JOIN (SELECT product_id, CASE WHEN datediff('day', MIN(order_date), {AS_OF}) <> 0
+                  THEN CAST(SUM(quantity) AS DOUBLE) / CAST(datediff('day', MIN(order_date), {AS_OF}) AS DOUBLE) END AS vel
+           FROM g_fact_order_items WHERE order_date >= {AS_OF} - 90 GROUP BY product_id) sv ON inv.product_id = sv.product_id""")
+
+cte("m_supplier_performance", """
+SELECT s.supplier_id, s.supplier_name, s.country, s.region, s.supplier_rating, s.supplier_status_label,
+       s.payment_terms_days, s.lead_time_days AS contracted_lead_days,
+       CAST(COALESCE(po.total_po_count, 0) AS BIGINT) AS total_po_count, po.total_units_ordered, po.total_units_received,
+       po.total_spend, CAST(COALESCE(po.late_deliveries, 0) AS BIGINT) AS late_deliveries,
+       CASE WHEN po.total_po_count > 0 THEN CAST(po.late_deliveries AS DOUBLE) / CAST(po.total_po_count AS DOUBLE) * 100 END AS late_delivery_rate_pct,
+       CAST(po.lt AS DOUBLE) / po.ltn AS avg_lead_time_actual,
+       CAST(po.dv AS DOUBLE) / po.dvn AS avg_delivery_variance_days,
+       CASE WHEN po.total_units_ordered <> 0 THEN CAST(po.total_units_received AS DOUBLE) / CAST(po.total_units_ordered AS DOUBLE) * 100 END AS fill_rate_pct,
+       CAST(COALESCE(rc.rc, 0) AS BIGINT) AS returns_from_supplier_products,
+       CAST(COALESCE(po.distinct_products, 0) AS BIGINT) AS distinct_products,
+       RANK() OVER (ORDER BY s.supplier_rating DESC NULLS LAST) AS rating_rank
+FROM g_dim_suppliers s
+LEFT JOIN (SELECT supplier_id, COUNT(DISTINCT po_number) AS total_po_count, SUM(quantity_ordered) AS total_units_ordered,
+                  SUM(quantity_received) AS total_units_received, SUM(total_cost) AS total_spend,
+                  COUNT(DISTINCT CASE WHEN is_late_delivery THEN po_number END) AS late_deliveries,
+                  SUM(datediff('day', order_date, actual_delivery)) AS lt, COUNT(datediff('day', order_date, actual_delivery)) AS ltn,
+                  SUM(delivery_variance_days) AS dv, COUNT(delivery_variance_days) AS dvn,
+                  COUNT(DISTINCT product_id) AS distinct_products
+           FROM g_fact_supplier_orders GROUP BY supplier_id) po ON s.supplier_id = po.supplier_id
+LEFT JOIN (SELECT sp.supplier_id, COUNT(DISTINCT r.return_id) AS rc
+           FROM (SELECT DISTINCT supplier_id, product_id FROM g_fact_supplier_orders) sp
+           JOIN (SELECT DISTINCT product_id, order_id FROM g_fact_order_items) l ON sp.product_id = l.product_id
+           JOIN g_fact_returns r ON l.order_id = r.order_id GROUP BY sp.supplier_id) rc ON s.supplier_id = rc.supplier_id""")
+
+cte("m_customer_cohort_analysis", """
+SELECT g.cohort_month, g.activity_month,
+       CAST((year(g.activity_month) - year(g.cohort_month)) * 12 + month(g.activity_month) - month(g.cohort_month) AS BIGINT) AS months_since_first_order,
+       sz.cohort_size, g.active_customers,
+       CASE WHEN sz.cohort_size > 0 THEN CAST(g.active_customers AS DOUBLE) / CAST(sz.cohort_size AS DOUBLE) * 100 END AS retention_rate_pct,
+       CAST(g.rev AS DOUBLE) AS cohort_revenue, g.cohort_orders,
+       CASE WHEN g.active_customers > 0 THEN CAST(g.rev AS DOUBLE) / CAST(g.active_customers AS DOUBLE) END AS revenue_per_active_customer
+FROM (SELECT fo.cohort_month, oa.activity_month, COUNT(DISTINCT oa.customer_id) AS active_customers, SUM(oa.rev) AS rev,
+             SUM(oa.orders) AS cohort_orders
+      FROM c_first fo LEFT JOIN c_act oa ON fo.customer_id = oa.customer_id
+      GROUP BY fo.cohort_month, oa.activity_month) g
+LEFT JOIN (SELECT cohort_month, COUNT(DISTINCT customer_id) AS cohort_size FROM c_first GROUP BY cohort_month) sz
+       ON g.cohort_month = sz.cohort_month""")
+
+cte("c_first", """
+SELECT customer_id, CAST(date_trunc('month', MIN(order_date)) AS DATE) AS cohort_month
+FROM s_orders WHERE order_status NOT IN ('CANCELLED', 'RETURNED') GROUP BY customer_id""")
+
+cte("c_act", """
+SELECT customer_id, CAST(date_trunc('month', order_date) AS DATE) AS activity_month, SUM(total_amount) AS rev,
+       COUNT(DISTINCT order_id) AS orders
+FROM s_orders WHERE order_status NOT IN ('CANCELLED', 'RETURNED') GROUP BY customer_id, CAST(date_trunc('month', order_date) AS DATE)""")
+
+cte("s_customer_segments", f"""
+SELECT customer_id, {AS_OF} AS segment_date, recency_days, frequency_orders, CAST(monetary_total AS DECIMAL(18,2)) AS monetary_total,
+       r AS rfm_recency_score, f AS rfm_frequency_score, m AS rfm_monetary_score,
+       CAST(r AS VARCHAR) || CAST(f AS VARCHAR) || CAST(m AS VARCHAR) AS rfm_combined_score,
+       CASE WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'CHAMPION' WHEN r >= 3 AND f >= 3 THEN 'LOYAL'
+            WHEN r <= 2 AND f >= 3 THEN 'AT_RISK' WHEN r = 1 AND f = 1 THEN 'LOST'
+            WHEN frequency_orders = 1 THEN 'NEW' ELSE 'POTENTIAL' END AS lifecycle_segment,
+       CASE WHEN monetary_total >= 5000 THEN 'HIGH' WHEN monetary_total >= 500 THEN 'MEDIUM' ELSE 'LOW' END AS value_segment,
+       channel_preference, monetary_total >= 5000 AND f >= 4 AS is_vip, recency_days > 365 AS has_churned
+FROM (SELECT rfm.*, pref.channel_preference,
+             NTILE(5) OVER (ORDER BY recency_days DESC NULLS LAST, rfm.customer_id) AS r,
+             NTILE(5) OVER (ORDER BY frequency_orders NULLS LAST, rfm.customer_id) AS f,
+             NTILE(5) OVER (ORDER BY monetary_total NULLS LAST, rfm.customer_id) AS m
+      FROM (SELECT customer_id, CAST(datediff('day', MAX(order_date), {AS_OF}) AS BIGINT) AS recency_days,
+                   COUNT(*) AS frequency_orders, SUM(total_amount) AS monetary_total
+            FROM s_orders WHERE order_status NOT IN ('CANCELLED', 'RETURNED') GROUP BY customer_id) rfm
+      LEFT JOIN (SELECT customer_id, MIN(channel) AS channel_preference FROM (
+                   SELECT customer_id, channel, COUNT(*) AS n, MAX(COUNT(*)) OVER (PARTITION BY customer_id) AS mx
+                   FROM s_orders WHERE order_status NOT IN ('CANCELLED', 'RETURNED') GROUP BY customer_id, channel)
+                 WHERE n = mx GROUP BY customer_id) pref ON rfm.customer_id = pref.customer_id)""")

@@ -49,6 +49,9 @@ SILVER_COLUMNS = {
                  "is_current",
     "loyalty_points": "loyalty_sk transaction_id customer_id order_id transaction_type points_change "
                       "points_balance_after transaction_date transaction_timestamp expiry_date reference_code notes",
+    "customer_segments": "customer_id segment_date recency_days frequency_orders monetary_total rfm_recency_score "
+                         "rfm_frequency_score rfm_monetary_score rfm_combined_score lifecycle_segment value_segment "
+                         "channel_preference is_vip has_churned",
     "product_catalog": "product_sk product_id sku product_name brand category_id category_name parent_category_id "
                        "parent_category_name top_category_name category_path supplier_id supplier_name unit_cost "
                        "unit_price margin_pct is_active is_digital weight_kg",
@@ -71,6 +74,15 @@ MARTS = {
     "store_performance_monthly": lambda w: marts.store_monthly(w.fact_sales, w.dim_stores, w.dim_date),
     "category_revenue": lambda w: marts.category_revenue(w.fact_order_items, w.dim_products, w.dim_categories,
                                                          w.dim_date),
+    "top_customers": lambda w: marts.top_customers(MARTS["customer_lifetime_value"](w), w.customer_segments, w.as_of),
+    "top_products": lambda w: marts.top_products(MARTS["product_performance"](w)),
+    "campaign_effectiveness": lambda w: marts.campaign_effectiveness(w.dim_campaigns, w.fact_web_sessions,
+                                                                     w.fact_sales),
+    "inventory_health": lambda w: marts.inventory_health(w.fact_inventory_snapshots, w.fact_order_items,
+                                                         w.dim_products, w.as_of),
+    "supplier_performance": lambda w: marts.supplier_performance(w.dim_suppliers, w.fact_supplier_orders,
+                                                                 w.fact_order_items, w.fact_returns),
+    "customer_cohort_analysis": lambda w: marts.cohorts(w.orders),
 }
 
 

@@ -249,3 +249,170 @@ def category_revenue(foi: DataFrame, dim_products: DataFrame, dim_categories: Da
         "distinct_products_sold",
         F.when(month_total != 0, _d("_gross") / month_total.cast("double") * 100).alias("category_revenue_share_pct"),
     )
+
+
+# ------------------------------------------------------------------ M32
+def top_customers(ltv: DataFrame, segments: DataFrame, as_of) -> DataFrame:
+    """Three global ranks + revenue decile over the LTV mart, joined to
+    today's segment.  Ranks/deciles are distributed (``global_rank`` /
+    ``global_ntile``); the decile breaks ties by customer id."""
+    seg = segments.filter(F.col("segment_date") == lit_date(as_of)).select(
+        F.col("customer_id").alias("_s_id"), "lifecycle_segment", "rfm_combined_score", "is_vip")
+    j = ltv.join(seg, ltv.customer_id == F.col("_s_id"), "left").select(
+        "customer_sk", "customer_id", "full_name", "customer_tier", "clv_tier", "churn_risk", "first_order_date",
+        "last_order_date", "total_orders", "lifetime_revenue", "net_lifetime_revenue", "avg_order_value",
+        "orders_per_year", "projected_clv_3yr", "total_returns", "total_refunds", "days_since_last_order",
+        "lifecycle_segment", "rfm_combined_score", "is_vip")
+    j = global_rank(j, [("lifetime_revenue", "desc")], "revenue_rank")
+    j = global_rank(j, [("total_orders", "desc")], "order_frequency_rank")
+    j = global_rank(j, [("projected_clv_3yr", "desc")], "clv_rank")
+    return global_ntile(j, 10, [F.col("lifetime_revenue").desc_nulls_last(), F.col("customer_id").asc_nulls_last()],
+                        "revenue_decile")
+
+
+# ------------------------------------------------------------------ M33
+def top_products(pp: DataFrame) -> DataFrame:
+    """Profit / rating ranks, revenue quartile, BCG quadrant."""
+    j = pp.select("product_id", "product_name", "brand", "category_name", "top_category_name", "unit_price",
+                  "list_margin_pct", "total_units_sold", "orders_with_product", "gross_revenue", "net_revenue",
+                  "total_gross_profit", "avg_realized_margin_pct", "review_count", "avg_rating", "return_rate_pct",
+                  "revenue_rank", "units_rank")
+    j = global_rank(j, [("total_gross_profit", "desc")], "profit_rank")
+    j = global_rank(j, [("avg_rating", "desc")], "rating_rank")
+    j = global_ntile(j, 4, [F.col("gross_revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()],
+                     "revenue_quartile")
+    rr, rk = F.col("return_rate_pct"), F.col("revenue_rank")
+    return j.withColumn(
+        "bcg_quadrant",
+        F.when((rk <= 50) & (rr < 5), "STAR").when((rk <= 50) & (rr >= 5), "QUESTION_MARK")
+         .when((rk > 50) & (rr < 5), "CASH_COW").otherwise("DOG"))
+
+
+# ------------------------------------------------------------------ M34
+def campaign_effectiveness(dim_campaigns: DataFrame, fws: DataFrame, fs: DataFrame) -> DataFrame:
+    """Session metrics per campaign; tracked revenue counts each
+    converted order once per campaign (D9); bounce rate in percent (D17).
+    The ROAS rank runs over campaigns (a planning dimension: thousands of
+    rows), so a plain window is used."""
+    sess = (fws.groupBy(F.col("campaign_id").alias("_s_cam"))
+            .agg(F.count_distinct("order_id").alias("orders_tracked"),
+                 F.count_distinct("customer_sk").alias("unique_customers_reached"),
+                 F.sum(F.when(F.col("converted"), F.col("session_duration_sec"))).alias("_dur"),
+                 F.count(F.when(F.col("converted"), F.col("session_duration_sec"))).alias("_durn"),
+                 F.sum("page_views").alias("total_page_views"),
+                 F.sum(F.col("is_bounce").cast("int")).alias("_b"), F.count("is_bounce").alias("_bn")))
+    conv = (fws.filter(F.col("converted") & F.col("order_id").isNotNull())
+            .select(F.col("campaign_id").alias("_c_cam"), F.col("order_id").alias("_c_oid")).distinct())
+    rev = (conv.join(fs.select("order_id", "total_amount"), F.col("_c_oid") == F.col("order_id"), "inner")
+           .groupBy("_c_cam").agg(F.sum("total_amount").alias("_rev")))
+    j = (dim_campaigns.join(sess, dim_campaigns.campaign_id == F.col("_s_cam"), "left")
+         .join(rev, dim_campaigns.campaign_id == F.col("_c_cam"), "left"))
+    spend = _d("spend_amount")
+    roas = F.when(spend > 0, _d("revenue_attributed") / spend)
+    return j.select(
+        "campaign_id", "campaign_name", "campaign_type", "channel", "start_date", "end_date",
+        "campaign_duration_days", "budget_amount", "spend_amount", "impressions", "clicks", "conversions",
+        "revenue_attributed", "ctr_pct", "conversion_rate_pct", "cost_per_conversion", "roas_pct",
+        F.coalesce("orders_tracked", F.lit(0)).cast("bigint").alias("orders_tracked"),
+        F.coalesce("unique_customers_reached", F.lit(0)).cast("bigint").alias("unique_customers_reached"),
+        F.coalesce(F.col("_rev"), F.lit(0)).cast("double").alias("tracked_revenue"),
+        F.when(F.col("_durn") > 0, _d("_dur") / F.col("_durn")).alias("avg_session_duration_converted"),
+        "total_page_views",
+        F.when(F.col("_bn") > 0, _d("_b") / F.col("_bn") * 100).alias("bounce_rate_pct"),
+        roas.alias("roas_ratio"),
+        F.when(spend > 0, (_d("revenue_attributed") - spend) / spend * 100).alias("roi_pct"),
+        F.rank().over(Window.orderBy(F.coalesce(roas, F.lit(0.0)).desc())).cast("bigint").alias("roas_rank"),
+    )
+
+
+# ------------------------------------------------------------------ M36
+def inventory_health(fi: DataFrame, foi: DataFrame, dim_products: DataFrame, as_of) -> DataFrame:
+    """Latest snapshot (scalar max joined as a one-row broadcast), 90-day
+    sales velocity per product, status classification."""
+    today = lit_date(as_of)
+    latest = fi.agg(F.max("snapshot_date").alias("_mx"))
+    inv = fi.join(F.broadcast(latest), fi.snapshot_date == F.col("_mx"), "inner")
+    sv = (foi.filter(F.col("order_date") >= F.date_sub(today, 90))
+          .groupBy(F.col("product_id").alias("_v_pid"))
+          .agg(F.sum("quantity").alias("_q"), F.min("order_date").alias("_first")))
+    vel = F.when(F.datediff(today, F.col("_first")) != 0,
+                 _d("_q") / F.datediff(today, F.col("_first")).cast("double"))
+    sv = sv.select("_v_pid", vel.alias("_vel"))
+    p = dim_products.select(F.col("product_id").alias("_p_id"), "product_name", "brand", "category_name",
+                            "supplier_name")
+    j = (inv.join(p, inv.product_id == F.col("_p_id"), "left")
+         .join(sv, inv.product_id == F.col("_v_pid"), "left"))
+    avail, v = F.col("quantity_available"), F.col("_vel")
+    cover = F.when(v != 0, avail.cast("double") / v)
+    return j.select(
+        "product_id", "product_name", "brand", "category_name", "supplier_name", "location_id", "location_type",
+        "quantity_on_hand", "quantity_reserved", "quantity_available", "reorder_point", "reorder_quantity",
+        "inventory_value", F.coalesce(v, F.lit(0.0)).alias("daily_sales_velocity"),
+        F.when(v > 0, avail.cast("double") / v).alias("days_of_stock"),
+        "is_out_of_stock", "is_below_reorder",
+        F.when(avail == 0, "STOCKOUT").when(avail <= F.col("reorder_point"), "LOW_STOCK")
+         .when(cover > 180, "OVERSTOCK").when((v < 0.1) & (F.col("quantity_on_hand") > 50), "SLOW_MOVER")
+         .otherwise("HEALTHY").alias("inventory_status"),
+        "snapshot_date")
+
+
+# ------------------------------------------------------------------ M37
+def supplier_performance(dim_suppliers: DataFrame, fso: DataFrame, foi: DataFrame, fr: DataFrame) -> DataFrame:
+    """Purchase-order KPIs per supplier, pre-aggregated (D9); returns
+    are counted distinct through supplied products; lead time from the PO
+    dates (D7)."""
+    po = (fso.groupBy(F.col("supplier_id").alias("_po_sup"))
+          .agg(F.count_distinct("po_number").alias("total_po_count"),
+               F.sum("quantity_ordered").alias("total_units_ordered"),
+               F.sum("quantity_received").alias("total_units_received"),
+               F.sum("total_cost").alias("total_spend"),
+               F.count_distinct(F.when(F.col("is_late_delivery"), F.col("po_number"))).alias("late_deliveries"),
+               F.sum(F.datediff("actual_delivery", "order_date")).alias("_lt"),
+               F.count(F.datediff("actual_delivery", "order_date")).alias("_ltn"),
+               F.sum("delivery_variance_days").alias("_dv"), F.count("delivery_variance_days").alias("_dvn"),
+               F.count_distinct("product_id").alias("distinct_products")))
+    sp = fso.select(F.col("supplier_id").alias("_r_sup"), F.col("product_id").alias("_r_pid")).distinct()
+    lines = foi.select(F.col("product_id").alias("_l_pid"), F.col("order_id").alias("_l_oid")).distinct()
+    rets = fr.select(F.col("order_id").alias("_f_oid"), "return_id")
+    rc = (sp.join(lines, F.col("_r_pid") == F.col("_l_pid"))
+          .join(rets, F.col("_l_oid") == F.col("_f_oid"))
+          .groupBy("_r_sup").agg(F.count_distinct("return_id").alias("_rc")))
+    j = (dim_suppliers.join(po, dim_suppliers.supplier_id == F.col("_po_sup"), "left")
+         .join(rc, dim_suppliers.supplier_id == F.col("_r_sup"), "left"))
+    out = j.select(
+        "supplier_id", "supplier_name", "country", "region", "supplier_rating", "supplier_status_label",
+        "payment_terms_days", F.col("lead_time_days").alias("contracted_lead_days"),
+        F.coalesce("total_po_count", F.lit(0)).cast("bigint").alias("total_po_count"),
+        "total_units_ordered", "total_units_received", "total_spend",
+        F.coalesce("late_deliveries", F.lit(0)).cast("bigint").alias("late_deliveries"),
+        F.when(F.col("total_po_count") > 0, _d("late_deliveries") / _d("total_po_count") * 100)
+         .alias("late_delivery_rate_pct"),
+        (_d("_lt") / F.col("_ltn")).alias("avg_lead_time_actual"),
+        (_d("_dv") / F.col("_dvn")).alias("avg_delivery_variance_days"),
+        F.when(F.col("total_units_ordered") != 0, _d("total_units_received") / _d("total_units_ordered") * 100)
+         .alias("fill_rate_pct"),
+        F.coalesce("_rc", F.lit(0)).cast("bigint").alias("returns_from_supplier_products"),
+        F.coalesce("distinct_products", F.lit(0)).cast("bigint").alias("distinct_products"))
+    return global_rank(out, [("supplier_rating", "desc")], "rating_rank")
+
+
+# ------------------------------------------------------------------ M38
+def cohorts(orders: DataFrame) -> DataFrame:
+    """First-order month x activity month.  D11: the cohort size comes
+    from the first orders alone, so retention is a real rate."""
+    valid = orders.filter(~F.col("order_status").isin("CANCELLED", "RETURNED"))
+    fo = valid.groupBy("customer_id").agg(F.trunc(F.min("order_date"), "month").alias("cohort_month"))
+    size = fo.groupBy("cohort_month").agg(F.count_distinct("customer_id").alias("cohort_size"))
+    act = (valid.groupBy("customer_id", F.trunc("order_date", "month").alias("activity_month"))
+           .agg(F.sum("total_amount").alias("_rev"), F.count_distinct("order_id").alias("_orders")))
+    g = (fo.join(act, "customer_id", "left")
+         .groupBy("cohort_month", "activity_month")
+         .agg(F.count_distinct("customer_id").alias("active_customers"), F.sum("_rev").alias("_rev"),
+              F.sum("_orders").alias("cohort_orders")))
+    g = g.join(size, "cohort_month", "left")
+    return g.select(
+        "cohort_month", "activity_month", month_diff("cohort_month", "activity_month").alias("months_since_first_order"),
+        "cohort_size", "active_customers",
+        F.when(F.col("cohort_size") > 0, _d("active_customers") / _d("cohort_size") * 100).alias("retention_rate_pct"),
+        _d("_rev").alias("cohort_revenue"), "cohort_orders",
+        F.when(F.col("active_customers") > 0, _d("_rev") / _d("active_customers")).alias("revenue_per_active_customer"))
