@@ -288,3 +288,195 @@ FROM (SELECT rfm.*, pref.channel_preference,
                    SELECT customer_id, channel, COUNT(*) AS n, MAX(COUNT(*)) OVER (PARTITION BY customer_id) AS mx
                    FROM s_orders WHERE order_status NOT IN ('CANCELLED', 'RETURNED') GROUP BY customer_id, channel)
                  WHERE n = mx GROUP BY customer_id) pref ON rfm.customer_id = pref.customer_id)""")
+
+cte("m_employee_performance", """
+SELECT g.*, CAST(COALESCE(cs.customers_served, 0) AS BIGINT) AS customers_served,
+       CASE WHEN g.total_sales <> 0 THEN g.total_discounts_given / g.total_sales * 100 END AS discount_rate_pct,
+       RANK() OVER (PARTITION BY g.store_id, g.year_number, g.month_number ORDER BY g.total_sales DESC NULLS LAST) AS store_sales_rank,
+       LAG(g.total_sales) OVER (PARTITION BY g.employee_id ORDER BY g.year_number, g.month_number) AS prev_month_sales
+FROM (SELECT e.employee_id, e.full_name, e.job_title, e.department, e.store_id, d.year_number, d.month_number, d.month_name,
+             SUM(fes.orders_taken) AS orders_taken, round(SUM(fes.total_sales_amount), 2) AS total_sales,
+             round(SUM(fes.total_discounts_given), 2) AS total_discounts_given,
+             round(AVG(fes.avg_transaction_value), 6) AS avg_transaction_value
+      FROM g_fact_employee_sales fes JOIN g_dim_employees e ON fes.employee_sk = e.employee_sk
+      JOIN g_dim_date d ON fes.date_sk = d.date_sk
+      GROUP BY e.employee_id, e.full_name, e.job_title, e.department, e.store_id, d.year_number, d.month_number, d.month_name) g
+LEFT JOIN (SELECT l.employee_id, year(o.order_date) AS y, month(o.order_date) AS m, COUNT(DISTINCT o.customer_id) AS customers_served
+           FROM s_employee_links l JOIN s_orders o ON l.order_id = o.order_id GROUP BY 1, 2, 3) cs
+       ON g.employee_id = cs.employee_id AND g.year_number = cs.y AND g.month_number = cs.m""")
+
+cte("m_seasonal_trends", """
+SELECT g.month_number, g.month_name, g.quarter_number, g.quarter_name, g.week_of_year, g.is_holiday, g.holiday_name,
+       g.year_number, CAST(g.rev AS DOUBLE) AS total_revenue, g.order_count, CAST(g.rev AS DOUBLE) / g.n AS aov,
+       g.unique_customers,
+       CASE WHEN CAST(SUM(g.rev) OVER (PARTITION BY g.year_number) AS DOUBLE) / COUNT(g.rev) OVER (PARTITION BY g.year_number) <> 0
+            THEN CAST(g.rev AS DOUBLE) / (CAST(SUM(g.rev) OVER (PARTITION BY g.year_number) AS DOUBLE)
+                 / COUNT(g.rev) OVER (PARTITION BY g.year_number)) * 100 END AS revenue_seasonality_index,
+       CAST(ly.wrev AS DOUBLE) AS same_week_ly_revenue, wk.revenue_4w_ma
+FROM (SELECT d.month_number, d.month_name, d.quarter_number, d.quarter_name, d.week_of_year, d.is_holiday, d.holiday_name,
+             d.year_number, SUM(fs.total_amount) AS rev, COUNT(DISTINCT fs.order_id) AS order_count,
+             COUNT(fs.total_amount) AS n, COUNT(DISTINCT fs.customer_id) AS unique_customers
+      FROM g_fact_sales fs JOIN g_dim_date d ON fs.date_sk = d.date_sk
+      GROUP BY d.month_number, d.month_name, d.quarter_number, d.quarter_name, d.week_of_year, d.is_holiday,
+               d.holiday_name, d.year_number) g
+LEFT JOIN (SELECT year_number, week_of_year, wrev,
+                  CAST(SUM(wrev) OVER w AS DOUBLE) / COUNT(wrev) OVER w AS revenue_4w_ma
+           FROM st_weeks WINDOW w AS (ORDER BY year_number, week_of_year ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)) wk
+       ON g.year_number = wk.year_number AND g.week_of_year = wk.week_of_year
+LEFT JOIN st_weeks ly ON ly.year_number + 1 = g.year_number AND ly.week_of_year = g.week_of_year""")
+
+cte("st_weeks", """
+SELECT d.year_number, d.week_of_year, SUM(fs.total_amount) AS wrev
+FROM g_fact_sales fs JOIN g_dim_date d ON fs.date_sk = d.date_sk GROUP BY d.year_number, d.week_of_year""")
+
+cte("m_geographic_performance", """
+SELECT country_code, state_province, city, year_number, quarter_name, month_number, orders, unique_customers,
+       CAST(rev AS DOUBLE) AS gross_revenue, CAST(net AS DOUBLE) AS net_revenue, CAST(rev AS DOUBLE) / n AS aov,
+       CAST(disc AS DOUBLE) AS total_discounts,
+       CASE WHEN SUM(rev) OVER (PARTITION BY year_number, month_number, country_code) <> 0
+            THEN CAST(SUM(rev) OVER (PARTITION BY year_number, month_number, country_code, state_province) AS DOUBLE)
+                 / CAST(SUM(rev) OVER (PARTITION BY year_number, month_number, country_code) AS DOUBLE) * 100 END AS state_share_of_country_pct,
+       RANK() OVER (PARTITION BY year_number, month_number ORDER BY rev DESC NULLS LAST) AS revenue_rank
+FROM (SELECT a.country_code, a.state_province, a.city, d.year_number, d.quarter_name, d.month_number,
+             COUNT(DISTINCT fs.order_id) AS orders, COUNT(DISTINCT fs.customer_id) AS unique_customers,
+             SUM(fs.total_amount) AS rev, SUM(fs.net_revenue) AS net, COUNT(fs.total_amount) AS n,
+             SUM(fs.discount_amount) AS disc
+      FROM g_fact_sales fs JOIN g_dim_customers c ON fs.customer_sk = c.customer_sk
+      JOIN (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY is_default DESC, address_id) AS rn
+                           FROM g_dim_addresses WHERE address_type IN ('SHIPPING', 'BOTH')) WHERE rn = 1) a
+        ON c.customer_id = a.customer_id
+      JOIN g_dim_date d ON fs.date_sk = d.date_sk
+      GROUP BY a.country_code, a.state_province, a.city, d.year_number, d.quarter_name, d.month_number)""")
+
+cte("m_channel_attribution", """
+SELECT channel, year_number, quarter_name, month_number, month_name, orders, unique_customers, new_customers_acquired,
+       CAST(rev AS DOUBLE) AS gross_revenue, CAST(net AS DOUBLE) AS net_revenue, CAST(rev AS DOUBLE) / n AS aov,
+       CAST(disc AS DOUBLE) AS total_discounts,
+       CASE WHEN SUM(rev) OVER p <> 0 THEN CAST(rev AS DOUBLE) / CAST(SUM(rev) OVER p AS DOUBLE) * 100 END AS channel_revenue_share_pct,
+       CASE WHEN SUM(new_customers_acquired) OVER p <> 0
+            THEN CAST(new_customers_acquired AS DOUBLE) / CAST(SUM(new_customers_acquired) OVER p AS DOUBLE) * 100 END AS new_customer_share_pct,
+       CASE WHEN rev <> 0 THEN CAST(ret AS DOUBLE) / CAST(rev AS DOUBLE) * 100 END AS return_rate_pct
+FROM (SELECT fs.channel, d.year_number, d.quarter_name, d.month_number, d.month_name,
+             COUNT(DISTINCT fs.order_id) AS orders, COUNT(DISTINCT fs.customer_id) AS unique_customers,
+             COUNT(DISTINCT CASE WHEN fs.is_first_order THEN fs.customer_id END) AS new_customers_acquired,
+             SUM(fs.total_amount) AS rev, SUM(fs.net_revenue) AS net, COUNT(fs.total_amount) AS n,
+             SUM(fs.discount_amount) AS disc,
+             SUM(CASE WHEN fs.order_status = 'RETURNED' THEN fs.total_amount ELSE 0 END) AS ret
+      FROM g_fact_sales fs JOIN g_dim_date d ON fs.date_sk = d.date_sk
+      GROUP BY fs.channel, d.year_number, d.quarter_name, d.month_number, d.month_name)
+WINDOW p AS (PARTITION BY year_number, month_number)""")
+
+cte("m_promotion_roi", """
+SELECT p.promotion_id, p.promotion_name, p.promotion_type, p.promo_code, p.start_date, p.end_date, p.discount_value,
+       p.usage_limit, CAST(COALESCE(u.times_used, 0) AS BIGINT) AS times_used,
+       CAST(COALESCE(u.ucu, 0) AS BIGINT) AS unique_customers_using,
+       CAST(COALESCE(u.nca, 0) AS BIGINT) AS new_customers_acquired,
+       CAST(u.basket AS DOUBLE) AS total_basket_value, CAST(u.disc AS DOUBLE) AS total_discount_cost,
+       CAST(u.tot AS DOUBLE) AS net_revenue_after_discount, u.avg_effective_discount_pct,
+       CAST(u.basket AS DOUBLE) / u.bn AS avg_basket_size,
+       CASE WHEN u.disc <> 0 THEN CAST(u.tot AS DOUBLE) / CAST(u.disc AS DOUBLE) END AS revenue_per_discount_dollar,
+       CASE WHEN u.disc <> 0 THEN (CAST(u.tot AS DOUBLE) - CAST(u.disc AS DOUBLE)) / CAST(u.disc AS DOUBLE) * 100 END AS promotion_roi_pct,
+       RANK() OVER (ORDER BY CASE WHEN u.disc <> 0 THEN (CAST(u.tot AS DOUBLE) - CAST(u.disc AS DOUBLE)) / CAST(u.disc AS DOUBLE) * 100 END
+                    DESC NULLS LAST) AS roi_rank
+FROM g_dim_promotions p
+LEFT JOIN (SELECT promotion_id, COUNT(DISTINCT order_id) AS times_used, COUNT(DISTINCT customer_id) AS ucu,
+                  COUNT(DISTINCT CASE WHEN is_first_order THEN customer_id END) AS nca,
+                  SUM(subtotal_amount) AS basket, COUNT(subtotal_amount) AS bn, SUM(actual_discount_given) AS disc,
+                  SUM(total_amount) AS tot, round(AVG(effective_discount_pct), 6) AS avg_effective_discount_pct
+           FROM g_fact_promotions_usage GROUP BY promotion_id) u ON p.promotion_id = u.promotion_id""")
+
+cte("m_customer_churn_indicators", f"""
+SELECT c.customer_sk, cm.customer_id, c.full_name, c.customer_tier, cm.total_orders, CAST(cm.rev AS DOUBLE) AS lifetime_revenue,
+       cm.last_order_date, CAST(datediff('day', cm.last_order_date, {AS_OF}) AS BIGINT) AS recency_days,
+       cm.avg_days_between_orders, cm.active_months, CAST(COALESCE(sm.sess, 0) AS BIGINT) AS sessions_last_90d,
+       sm.last_visit_date, COALESCE(sm.last_visit_date, cm.last_order_date) AS last_activity_date,
+       CAST(LEAST(100, CASE WHEN datediff('day', cm.last_order_date, {AS_OF}) > 365 THEN 50
+                            WHEN datediff('day', cm.last_order_date, {AS_OF}) > 180 THEN 35
+                            WHEN datediff('day', cm.last_order_date, {AS_OF}) > 90 THEN 20 ELSE 0 END
+                     + CASE WHEN COALESCE(sm.sess, 0) = 0 THEN 25 WHEN sm.sess <= 2 THEN 15 ELSE 0 END
+                     + CASE WHEN cm.total_orders = 1 THEN 15 WHEN cm.total_orders <= 3 THEN 10 ELSE 0 END) AS BIGINT) AS churn_score,
+       CASE WHEN datediff('day', cm.last_order_date, {AS_OF}) > 365 THEN 'CHURNED'
+            WHEN datediff('day', cm.last_order_date, {AS_OF}) > 180 OR COALESCE(sm.sess, 0) = 0 THEN 'HIGH_RISK'
+            WHEN datediff('day', cm.last_order_date, {AS_OF}) > 90 THEN 'AT_RISK' ELSE 'ACTIVE' END AS churn_segment
+FROM (SELECT customer_id, COUNT(DISTINCT order_id) AS total_orders, SUM(total_amount) AS rev,
+             MAX(order_date) AS last_order_date, AVG(gap) AS avg_days_between_orders,
+             COUNT(DISTINCT date_trunc('month', order_date)) AS active_months
+      FROM (SELECT *, datediff('day', LAG(order_date) OVER (PARTITION BY customer_id ORDER BY order_date), order_date) AS gap
+            FROM s_orders WHERE order_status NOT IN ('CANCELLED'))
+      GROUP BY customer_id) cm
+LEFT JOIN (SELECT customer_id, COUNT(DISTINCT session_id) AS sess, MAX(CAST(session_start AS DATE)) AS last_visit_date
+           FROM s_web_sessions WHERE session_start >= CAST({AS_OF} - 90 AS TIMESTAMP) GROUP BY customer_id) sm
+       ON cm.customer_id = sm.customer_id
+LEFT JOIN cur_cust_full c ON cm.customer_id = c.customer_id""")
+
+cte("m_product_affinity", f"""
+SELECT ccs.customer_id, c.full_name, c.customer_tier, ccs.category, CAST(ccs.spend AS DOUBLE) AS category_spend,
+       ccs.category_orders, ccs.units_bought, ccs.last_purchase_in_category, CAST(ct.total AS DOUBLE) AS total_spend,
+       CASE WHEN ct.total <> 0 THEN CAST(ccs.spend AS DOUBLE) / CAST(ct.total AS DOUBLE) * 100 END AS category_spend_share_pct,
+       RANK() OVER (PARTITION BY ccs.customer_id ORDER BY ccs.spend DESC NULLS LAST) AS category_rank_for_customer,
+       CASE WHEN ct.total <> 0 THEN LEAST(100.0, CAST(ccs.spend AS DOUBLE) / CAST(ct.total AS DOUBLE) * 100
+            + CASE WHEN datediff('day', ccs.last_purchase_in_category, {AS_OF}) <= 30 THEN 10
+                   WHEN datediff('day', ccs.last_purchase_in_category, {AS_OF}) <= 90 THEN 5 ELSE 0 END) END AS affinity_score
+FROM (SELECT foi.customer_id, p.top_category_name AS category, SUM(foi.line_total) AS spend,
+             COUNT(DISTINCT foi.order_id) AS category_orders, SUM(foi.quantity) AS units_bought,
+             MAX(foi.order_date) AS last_purchase_in_category
+      FROM g_fact_order_items foi JOIN g_dim_products p ON foi.product_id = p.product_id
+      GROUP BY foi.customer_id, p.top_category_name) ccs
+JOIN (SELECT customer_id, SUM(spend) AS total FROM (
+        SELECT foi.customer_id, p.top_category_name, SUM(foi.line_total) AS spend
+        FROM g_fact_order_items foi JOIN g_dim_products p ON foi.product_id = p.product_id GROUP BY 1, 2) GROUP BY customer_id) ct
+  ON ccs.customer_id = ct.customer_id
+LEFT JOIN cur_cust_full c ON ccs.customer_id = c.customer_id""")
+
+cte("m_net_promoter_score", """
+SELECT review_month, top_category_name, category_name,
+       CAST(GROUPING(review_month, top_category_name, category_name) AS BIGINT) AS grouping_level,
+       CAST(COUNT(*) AS BIGINT) AS total_responses,
+       CAST(SUM(CASE WHEN rating >= 4 THEN 1 ELSE 0 END) AS BIGINT) AS promoters,
+       CAST(SUM(CASE WHEN rating > 2 AND rating < 4 THEN 1 ELSE 0 END) AS BIGINT) AS passives,
+       CAST(SUM(CASE WHEN rating <= 2 THEN 1 ELSE 0 END) AS BIGINT) AS detractors,
+       CAST(SUM(CASE WHEN is_verified_purchase THEN 1 ELSE 0 END) AS BIGINT) AS verified_responses,
+       CASE WHEN COUNT(*) <> 0 THEN (CAST(SUM(CASE WHEN rating >= 4 THEN 1 ELSE 0 END) AS DOUBLE)
+            - CAST(SUM(CASE WHEN rating <= 2 THEN 1 ELSE 0 END) AS DOUBLE)) / CAST(COUNT(*) AS DOUBLE) * 100 END AS nps_score,
+       CAST(SUM(rating) AS DOUBLE) / COUNT(rating) AS avg_rating,
+       CASE WHEN SUM(CASE WHEN is_verified_purchase THEN 1 ELSE 0 END) <> 0
+            THEN (CAST(SUM(CASE WHEN rating >= 4 AND is_verified_purchase THEN 1 ELSE 0 END) AS DOUBLE)
+                  - CAST(SUM(CASE WHEN rating <= 2 AND is_verified_purchase THEN 1 ELSE 0 END) AS DOUBLE))
+                 / CAST(SUM(CASE WHEN is_verified_purchase THEN 1 ELSE 0 END) AS DOUBLE) * 100 END AS verified_nps_score
+FROM (SELECT r.*, CAST(date_trunc('month', r.review_date) AS DATE) AS review_month, p.category_name, p.top_category_name
+      FROM g_fact_reviews r JOIN g_dim_products p ON r.product_id = p.product_id)
+GROUP BY ROLLUP (review_month, top_category_name, category_name)""")
+
+cte("m_fulfillment_metrics", """
+SELECT sh.carrier, sh.shipping_method, sh.destination_country, d.year_number, d.quarter_name, d.month_number, d.month_name,
+       COUNT(DISTINCT sh.shipment_id) AS total_shipments,
+       COUNT(DISTINCT CASE WHEN sh.actual_delivery IS NOT NULL THEN sh.shipment_id END) AS delivered,
+       COUNT(DISTINCT CASE WHEN sh.is_late THEN sh.shipment_id END) AS late_deliveries,
+       CASE WHEN COUNT(DISTINCT CASE WHEN sh.actual_delivery IS NOT NULL THEN sh.shipment_id END) <> 0
+            THEN CAST(COUNT(DISTINCT CASE WHEN sh.is_late THEN sh.shipment_id END) AS DOUBLE)
+                 / CAST(COUNT(DISTINCT CASE WHEN sh.actual_delivery IS NOT NULL THEN sh.shipment_id END) AS DOUBLE) * 100 END AS late_delivery_rate_pct,
+       CAST(SUM(sh.days_to_deliver) AS DOUBLE) / COUNT(sh.days_to_deliver) AS avg_days_to_deliver,
+       round(quantile_cont(sh.days_to_deliver, 0.5), 6) AS median_days_to_deliver,
+       round(quantile_cont(sh.days_to_deliver, 0.9), 6) AS p90_days_to_deliver,
+       CAST(SUM(sh.days_late) AS DOUBLE) / COUNT(sh.days_late) AS avg_days_late,
+       CAST(SUM(sh.shipping_cost) AS DOUBLE) AS total_shipping_cost,
+       CAST(SUM(sh.shipping_cost) AS DOUBLE) / COUNT(sh.shipping_cost) AS avg_shipping_cost,
+       CASE WHEN SUM(sh.weight_kg) <> 0 THEN CAST(SUM(sh.shipping_cost) AS DOUBLE) / CAST(SUM(sh.weight_kg) AS DOUBLE) END AS cost_per_kg,
+       CAST(SUM(CASE WHEN NOT sh.is_late OR sh.is_late IS NULL THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) * 100 AS on_time_delivery_pct
+FROM g_fact_shipments sh JOIN g_dim_date d ON sh.ship_date_sk = d.date_sk
+GROUP BY sh.carrier, sh.shipping_method, sh.destination_country, d.year_number, d.quarter_name, d.month_number, d.month_name""")
+
+cte("m_loyalty_program_performance", """
+SELECT *, CAST(points_earned AS DOUBLE) * 0.01 AS estimated_points_liability_earned,
+       CAST(points_redeemed AS DOUBLE) * 0.01 AS estimated_points_redeemed_value,
+       CASE WHEN points_redeemed + points_expired <> 0
+            THEN CAST(points_redeemed AS DOUBLE) / CAST(points_redeemed + points_expired AS DOUBLE) * 100 END AS redemption_rate_pct
+FROM (SELECT d.year_number, d.month_number, d.month_name, d.month_start_date, flt.transaction_type,
+             COUNT(DISTINCT flt.transaction_id) AS transactions, COUNT(DISTINCT flt.customer_id) AS active_members,
+             SUM(flt.points_change) AS total_points_change,
+             SUM(CASE WHEN flt.points_change > 0 THEN flt.points_change ELSE 0 END) AS points_earned,
+             SUM(CASE WHEN flt.transaction_type = 'REDEEM' THEN abs(flt.points_change) ELSE 0 END) AS points_redeemed,
+             SUM(CASE WHEN flt.transaction_type = 'EXPIRE' THEN abs(flt.points_change) ELSE 0 END) AS points_expired,
+             CAST(SUM(flt.points_balance_after) AS DOUBLE) / COUNT(flt.points_balance_after) AS avg_member_balance
+      FROM g_fact_loyalty_transactions flt JOIN g_dim_date d ON flt.date_sk = d.date_sk
+      GROUP BY d.year_number, d.month_number, d.month_name, d.month_start_date, flt.transaction_type)""")

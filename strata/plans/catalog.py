@@ -83,6 +83,20 @@ MARTS = {
     "supplier_performance": lambda w: marts.supplier_performance(w.dim_suppliers, w.fact_supplier_orders,
                                                                  w.fact_order_items, w.fact_returns),
     "customer_cohort_analysis": lambda w: marts.cohorts(w.orders),
+    "employee_performance": lambda w: marts.employee_monthly(w.fact_employee_sales, w.employee_links, w.orders,
+                                                             w.dim_employees, w.dim_date),
+    "seasonal_trends": lambda w: marts.seasonal(w.fact_sales, w.dim_date),
+    "geographic_performance": lambda w: marts.geo_performance(w.fact_sales, w.dim_customers, w.dim_addresses,
+                                                              w.dim_date),
+    "channel_attribution": lambda w: marts.channel_attribution(w.fact_sales, w.dim_date),
+    "promotion_roi": lambda w: marts.promotion_roi(w.dim_promotions, w.fact_promotions_usage),
+    "customer_churn_indicators": lambda w: marts.churn_indicators(w.orders, w.web_sessions, w.dim_customers,
+                                                                  w.as_of),
+    "product_affinity": lambda w: marts.product_affinity(w.fact_order_items, w.dim_products, w.dim_customers,
+                                                         w.as_of),
+    "net_promoter_score": lambda w: marts.nps(w.fact_reviews, w.dim_products),
+    "fulfillment_metrics": lambda w: marts.fulfillment(w.fact_shipments, w.dim_date),
+    "loyalty_program_performance": lambda w: marts.loyalty_performance(w.fact_loyalty_transactions, w.dim_date),
 }
 
 

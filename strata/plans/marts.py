@@ -416,3 +416,279 @@ def cohorts(orders: DataFrame) -> DataFrame:
         F.when(F.col("cohort_size") > 0, _d("active_customers") / _d("cohort_size") * 100).alias("retention_rate_pct"),
         _d("_rev").alias("cohort_revenue"), "cohort_orders",
         F.when(F.col("active_customers") > 0, _d("_rev") / _d("active_customers")).alias("revenue_per_active_customer"))
+
+
+# ------------------------------------------------------------------ M40
+def employee_monthly(fes: DataFrame, links: DataFrame, orders: DataFrame, dim_employees: DataFrame,
+                     dim_date: DataFrame) -> DataFrame:
+    """Employee x month.  D17: customers served is a distinct count over
+    the month (from the order links), not a sum of daily distinct counts."""
+    e = dim_employees.select("employee_sk", "employee_id", "full_name", "job_title", "department", "store_id")
+    d = _dates(dim_date, "year_number", "month_number", "month_name")
+    keys = ["employee_id", "full_name", "job_title", "department", "store_id", "year_number", "month_number",
+            "month_name"]
+    g = (fes.drop("employee_id", "store_id").join(e, "employee_sk").join(d, "date_sk").groupBy(*keys)
+         .agg(F.sum("orders_taken").alias("orders_taken"), F.round(F.sum("total_sales_amount"), 2).alias("_sales"),
+              F.round(F.sum("total_discounts_given"), 2).alias("_disc"), _ravg("avg_transaction_value").alias("avg_transaction_value")))
+    o = orders.select(F.col("order_id").alias("_o_id"), "customer_id", F.col("order_date").alias("_o_date"))
+    served = (links.join(o, links.order_id == F.col("_o_id"))
+              .groupBy(F.col("employee_id").alias("_c_emp"), F.year("_o_date").alias("_c_y"),
+                       F.month("_o_date").alias("_c_m"))
+              .agg(F.count_distinct("customer_id").alias("customers_served")))
+    g = g.join(served, (g.employee_id == F.col("_c_emp")) & (g.year_number == F.col("_c_y"))
+               & (g.month_number == F.col("_c_m")), "left")
+    return g.select(
+        *keys, "orders_taken", F.coalesce("customers_served", F.lit(0)).cast("bigint").alias("customers_served"),
+        F.col("_sales").alias("total_sales"), F.col("_disc").alias("total_discounts_given"),
+        "avg_transaction_value",
+        F.when(F.col("_sales") != 0, F.col("_disc") / F.col("_sales") * 100).alias("discount_rate_pct"),
+        F.rank().over(Window.partitionBy("store_id", "year_number", "month_number")
+                      .orderBy(F.col("_sales").desc_nulls_last())).cast("bigint").alias("store_sales_rank"),
+        F.lag("_sales").over(Window.partitionBy("employee_id").orderBy("year_number", "month_number"))
+        .alias("prev_month_sales"))
+
+
+# ------------------------------------------------------------------ M41
+def seasonal(fs: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Reference grain (month, week, holiday ...); the seasonality index
+    is relative to the year's average row; last-year comparison and the
+    4-week moving average are computed on the (year, week) aggregate (D12)."""
+    d = _dates(dim_date, "month_number", "month_name", "quarter_number", "quarter_name", "week_of_year",
+               "is_holiday", "holiday_name", "year_number")
+    keys = ["month_number", "month_name", "quarter_number", "quarter_name", "week_of_year", "is_holiday",
+            "holiday_name", "year_number"]
+    j = fs.join(d, "date_sk")
+    g = j.groupBy(*keys).agg(F.sum("total_amount").alias("_rev"), F.count_distinct("order_id").alias("order_count"),
+                             F.count("total_amount").alias("_n"),
+                             F.count_distinct("customer_id").alias("unique_customers"))
+    wk = j.groupBy("year_number", "week_of_year").agg(F.sum("total_amount").alias("_wrev"))
+    ww = Window.orderBy("year_number", "week_of_year").rowsBetween(-3, 0)
+    wk = wk.select("year_number", "week_of_year", "_wrev",
+                   (F.sum("_wrev").over(ww).cast("double") / F.count("_wrev").over(ww)).alias("revenue_4w_ma"))
+    ly = wk.select((F.col("year_number") + 1).alias("year_number"), "week_of_year", F.col("_wrev").alias("_ly"))
+    wk = wk.join(ly, ["year_number", "week_of_year"], "left").drop("_wrev")
+    yw = Window.partitionBy("year_number")
+    year_avg = F.sum("_rev").over(yw).cast("double") / F.count("_rev").over(yw)
+    g = g.join(wk, ["year_number", "week_of_year"], "left")
+    return g.select(
+        *keys, _d("_rev").alias("total_revenue"), "order_count", _avg("_rev", "_n").alias("aov"), "unique_customers",
+        F.when(year_avg != 0, _d("_rev") / year_avg * 100).alias("revenue_seasonality_index"),
+        _d("_ly").alias("same_week_ly_revenue"), "revenue_4w_ma")
+
+
+# ------------------------------------------------------------------ M42
+def geo_performance(fs: DataFrame, dim_customers: DataFrame, dim_addresses: DataFrame,
+                    dim_date: DataFrame) -> DataFrame:
+    """One shipping address per customer (default first, then lowest id;
+    D9), state share of the country computed at state grain (D17)."""
+    addr = (dim_addresses.filter(F.col("address_type").isin("SHIPPING", "BOTH"))
+            .groupBy(F.col("customer_id").alias("_a_cust"))
+            .agg(F.min(F.struct((~F.col("is_default")).alias("nd"), "address_id", "country_code", "state_province",
+                                "city")).alias("_a")))
+    addr = addr.select("_a_cust", "_a.country_code", "_a.state_province", "_a.city")
+    cur = dim_customers.select("customer_sk", F.col("customer_id").alias("_c_id"))
+    d = _dates(dim_date, "year_number", "quarter_name", "month_number")
+    keys = ["country_code", "state_province", "city", "year_number", "quarter_name", "month_number"]
+    g = (fs.join(cur, "customer_sk").join(addr, F.col("_c_id") == F.col("_a_cust")).join(d, "date_sk")
+         .groupBy(*keys)
+         .agg(F.count_distinct("order_id").alias("orders"), F.count_distinct("customer_id").alias("unique_customers"),
+              F.sum("total_amount").alias("_rev"), F.sum("net_revenue").alias("_net"),
+              F.count("total_amount").alias("_n"), F.sum("discount_amount").alias("_disc")))
+    state = F.sum("_rev").over(Window.partitionBy("year_number", "month_number", "country_code", "state_province"))
+    country = F.sum("_rev").over(Window.partitionBy("year_number", "month_number", "country_code"))
+    return g.select(
+        *keys, "orders", "unique_customers", _d("_rev").alias("gross_revenue"), _d("_net").alias("net_revenue"),
+        _avg("_rev", "_n").alias("aov"), _d("_disc").alias("total_discounts"),
+        F.when(country != 0, state.cast("double") / country.cast("double") * 100).alias("state_share_of_country_pct"),
+        F.rank().over(Window.partitionBy("year_number", "month_number").orderBy(F.col("_rev").desc_nulls_last()))
+        .cast("bigint").alias("revenue_rank"))
+
+
+# ------------------------------------------------------------------ M43
+def channel_attribution(fs: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Channel x month; shares via windows over the aggregated rows."""
+    d = _dates(dim_date, "year_number", "quarter_name", "month_number", "month_name")
+    keys = ["channel", "year_number", "quarter_name", "month_number", "month_name"]
+    g = (fs.join(d, "date_sk").groupBy(*keys)
+         .agg(F.count_distinct("order_id").alias("orders"), F.count_distinct("customer_id").alias("unique_customers"),
+              F.count_distinct(F.when(F.col("is_first_order"), F.col("customer_id"))).alias("new_customers_acquired"),
+              F.sum("total_amount").alias("_rev"), F.sum("net_revenue").alias("_net"),
+              F.count("total_amount").alias("_n"), F.sum("discount_amount").alias("_disc"),
+              F.sum(F.when(F.col("order_status") == "RETURNED", F.col("total_amount")).otherwise(0)).alias("_ret")))
+    p = Window.partitionBy("year_number", "month_number")
+    tot, new_tot = F.sum("_rev").over(p), F.sum("new_customers_acquired").over(p)
+    return g.select(
+        *keys, "orders", "unique_customers", "new_customers_acquired", _d("_rev").alias("gross_revenue"),
+        _d("_net").alias("net_revenue"), _avg("_rev", "_n").alias("aov"), _d("_disc").alias("total_discounts"),
+        F.when(tot != 0, _d("_rev") / tot.cast("double") * 100).alias("channel_revenue_share_pct"),
+        F.when(new_tot != 0, _d("new_customers_acquired") / new_tot.cast("double") * 100)
+         .alias("new_customer_share_pct"),
+        F.when(F.col("_rev") != 0, _d("_ret") / _d("_rev") * 100).alias("return_rate_pct"))
+
+
+# ------------------------------------------------------------------ M44
+def promotion_roi(dim_promotions: DataFrame, fpu: DataFrame) -> DataFrame:
+    """Usage and ROI per promotion (promotions: a small planning
+    dimension, ranked with a plain window)."""
+    u = (fpu.groupBy(F.col("promotion_id").alias("_u_pid"))
+         .agg(F.count_distinct("order_id").alias("_times_used"),
+              F.count_distinct("customer_id").alias("unique_customers_using"),
+              F.count_distinct(F.when(F.col("is_first_order"), F.col("customer_id"))).alias("new_customers_acquired"),
+              F.sum("subtotal_amount").alias("_basket"), F.count("subtotal_amount").alias("_bn"),
+              F.sum("actual_discount_given").alias("_disc"), F.sum("total_amount").alias("_tot"),
+              _ravg("effective_discount_pct").alias("avg_effective_discount_pct")))
+    j = dim_promotions.join(u, dim_promotions.promotion_id == F.col("_u_pid"), "left")
+    roi = F.when(F.col("_disc") != 0, (_d("_tot") - _d("_disc")) / _d("_disc") * 100)
+    return j.select(
+        "promotion_id", "promotion_name", "promotion_type", "promo_code", "start_date", "end_date", "discount_value",
+        "usage_limit", F.coalesce("_times_used", F.lit(0)).cast("bigint").alias("times_used"),
+        F.coalesce("unique_customers_using", F.lit(0)).cast("bigint").alias("unique_customers_using"),
+        F.coalesce("new_customers_acquired", F.lit(0)).cast("bigint").alias("new_customers_acquired"),
+        _d("_basket").alias("total_basket_value"), _d("_disc").alias("total_discount_cost"),
+        _d("_tot").alias("net_revenue_after_discount"), "avg_effective_discount_pct",
+        (_d("_basket") / F.col("_bn")).alias("avg_basket_size"),
+        F.when(F.col("_disc") != 0, _d("_tot") / _d("_disc")).alias("revenue_per_discount_dollar"),
+        roi.alias("promotion_roi_pct"),
+        F.rank().over(Window.orderBy(roi.desc_nulls_last())).cast("bigint").alias("roi_rank"))
+
+
+# ------------------------------------------------------------------ M45
+def churn_indicators(orders: DataFrame, ws: DataFrame, dim_customers: DataFrame, as_of) -> DataFrame:
+    """M45 (D10: two steps).  The mean gap between consecutive orders
+    telescopes to (last - first) / (orders - 1), so it is computed with
+    map-side partial aggregation instead of a per-customer window (a customer
+    with a third of all orders stays cheap)."""
+    today = lit_date(as_of)
+    cm = (orders.filter(F.col("order_status") != "CANCELLED").groupBy("customer_id")
+          .agg(F.count_distinct("order_id").alias("total_orders"), F.sum("total_amount").alias("_rev"),
+               F.max("order_date").alias("last_order_date"), F.min("order_date").alias("_first"),
+               F.count(F.lit(1)).alias("_n"),
+               F.count_distinct(F.trunc("order_date", "month")).alias("active_months")))
+    sm = (ws.filter(F.col("session_start") >= F.date_sub(today, 90).cast("timestamp_ntz"))
+          .groupBy(F.col("customer_id").alias("_s_cust"))
+          .agg(F.count_distinct("session_id").alias("_sess"), F.max(F.to_date("session_start")).alias("last_visit_date")))
+    cur = dim_customers.filter(F.col("is_current")).select(F.col("customer_id").alias("_c_id"), "customer_sk",
+                                                             "full_name", "customer_tier")
+    j = cm.join(sm, cm.customer_id == F.col("_s_cust"), "left").join(cur, cm.customer_id == F.col("_c_id"), "left")
+    rec = F.datediff(today, F.col("last_order_date"))
+    sess = F.coalesce(F.col("_sess"), F.lit(0))
+    score = (F.when(rec > 365, 50).when(rec > 180, 35).when(rec > 90, 20).otherwise(0)
+             + F.when(sess == 0, 25).when(sess <= 2, 15).otherwise(0)
+             + F.when(F.col("total_orders") == 1, 15).when(F.col("total_orders") <= 3, 10).otherwise(0))
+    return j.select(
+        "customer_sk", "customer_id", "full_name", "customer_tier", "total_orders", _d("_rev").alias("lifetime_revenue"),
+        "last_order_date", rec.cast("bigint").alias("recency_days"),
+        F.when(F.col("_n") > 1, F.datediff("last_order_date", "_first").cast("double") / (F.col("_n") - 1))
+         .alias("avg_days_between_orders"),
+        "active_months", sess.cast("bigint").alias("sessions_last_90d"), "last_visit_date",
+        F.coalesce("last_visit_date", "last_order_date").alias("last_activity_date"),
+        strict_least(F.lit(100), score).cast("bigint").alias("churn_score"),
+        F.when(rec > 365, "CHURNED").when((rec > 180) | (sess == 0), "HIGH_RISK").when(rec > 90, "AT_RISK")
+         .otherwise("ACTIVE").alias("churn_segment"))
+
+
+# ------------------------------------------------------------------ M46
+def product_affinity(foi: DataFrame, dim_products: DataFrame, dim_customers: DataFrame, as_of) -> DataFrame:
+    """Customer x top category (aggregate of aggregate); the per-customer
+    rank runs over at most one row per category."""
+    today = lit_date(as_of)
+    p = dim_products.select(F.col("product_id").alias("_p_id"), F.col("top_category_name").alias("category"))
+    ccs = (foi.join(p, foi.product_id == F.col("_p_id")).groupBy("customer_id", "category")
+           .agg(F.sum("line_total").alias("_spend"), F.count_distinct("order_id").alias("category_orders"),
+                F.sum("quantity").alias("units_bought"), F.max("order_date").alias("last_purchase_in_category")))
+    ct = ccs.groupBy(F.col("customer_id").alias("_t_cust")).agg(F.sum("_spend").alias("_total"))
+    cur = dim_customers.filter(F.col("is_current")).select(F.col("customer_id").alias("_c_id"), "full_name",
+                                                             "customer_tier")
+    j = ccs.join(ct, ccs.customer_id == F.col("_t_cust")).join(cur, ccs.customer_id == F.col("_c_id"), "left")
+    share = F.when(F.col("_total") != 0, _d("_spend") / _d("_total") * 100)
+    days = F.datediff(today, F.col("last_purchase_in_category"))
+    bonus = F.when(days <= 30, 10).when(days <= 90, 5).otherwise(0)
+    return j.select(
+        "customer_id", "full_name", "customer_tier", "category", _d("_spend").alias("category_spend"),
+        "category_orders", "units_bought", "last_purchase_in_category", _d("_total").alias("total_spend"),
+        share.alias("category_spend_share_pct"),
+        F.rank().over(Window.partitionBy("customer_id").orderBy(F.col("_spend").desc_nulls_last()))
+        .cast("bigint").alias("category_rank_for_customer"),
+        strict_least(F.lit(100.0), share + bonus).alias("affinity_score"))
+
+
+# ------------------------------------------------------------------ M47
+def nps(fr: DataFrame, dim_products: DataFrame) -> DataFrame:
+    """M47 by ROLLUP(month, top category, category) (D13) so the overall row
+    the executive dashboard reads exists; ``grouping_level`` tells the level."""
+    p = dim_products.select(F.col("product_id").alias("_p_id"), "category_name", "top_category_name")
+    r = fr.join(p, fr.product_id == F.col("_p_id")).withColumn("review_month", F.trunc("review_date", "month"))
+    prom = F.col("rating") >= 4
+    det = F.col("rating") <= 2
+    ver = F.col("is_verified_purchase")
+    g = (r.rollup("review_month", "top_category_name", "category_name")
+         .agg(F.count(F.lit(1)).alias("total_responses"),
+              F.sum(F.when(prom, 1).otherwise(0)).alias("promoters"),
+              F.sum(F.when(~prom & ~det, 1).otherwise(0)).alias("passives"),
+              F.sum(F.when(det, 1).otherwise(0)).alias("detractors"),
+              F.sum(F.when(ver, 1).otherwise(0)).alias("verified_responses"),
+              F.sum(F.when(prom & ver, 1).otherwise(0)).alias("_vp"),
+              F.sum(F.when(det & ver, 1).otherwise(0)).alias("_vd"),
+              F.sum("rating").alias("_rs"), F.count("rating").alias("_rn"),
+              F.grouping_id().alias("grouping_level")))
+    return g.select(
+        "review_month", "top_category_name", "category_name", F.col("grouping_level").cast("bigint"),
+        F.col("total_responses").cast("bigint"), F.col("promoters").cast("bigint"), F.col("passives").cast("bigint"),
+        F.col("detractors").cast("bigint"), F.col("verified_responses").cast("bigint"),
+        F.when(F.col("total_responses") != 0, (_d("promoters") - _d("detractors")) / _d("total_responses") * 100)
+         .alias("nps_score"),
+        (_d("_rs") / F.col("_rn")).alias("avg_rating"),
+        F.when(F.col("verified_responses") != 0, (_d("_vp") - _d("_vd")) / _d("verified_responses") * 100)
+         .alias("verified_nps_score"))
+
+
+# ------------------------------------------------------------------ M48
+def fulfillment(fsh: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Exact percentiles (``percentile`` = PERCENTILE_CONT)."""
+    d = _dates(dim_date, "date_sk", "year_number", "quarter_name", "month_number", "month_name") \
+        .withColumnRenamed("date_sk", "ship_date_sk")
+    keys = ["carrier", "shipping_method", "destination_country", "year_number", "quarter_name", "month_number",
+            "month_name"]
+    g = (fsh.join(d, "ship_date_sk").groupBy(*keys)
+         .agg(F.count_distinct("shipment_id").alias("total_shipments"),
+              F.count_distinct(F.when(F.col("actual_delivery").isNotNull(), F.col("shipment_id"))).alias("delivered"),
+              F.count_distinct(F.when(F.col("is_late"), F.col("shipment_id"))).alias("late_deliveries"),
+              F.sum("days_to_deliver").alias("_dd"), F.count("days_to_deliver").alias("_ddn"),
+              F.round(F.percentile("days_to_deliver", 0.5), 6).alias("median_days_to_deliver"),
+              F.round(F.percentile("days_to_deliver", 0.9), 6).alias("p90_days_to_deliver"),
+              F.sum("days_late").alias("_dl"), F.count("days_late").alias("_dln"),
+              F.sum("shipping_cost").alias("_cost"), F.count("shipping_cost").alias("_cn"),
+              F.sum("weight_kg").alias("_w"),
+              F.sum(F.when(~F.col("is_late") | F.col("is_late").isNull(), 1).otherwise(0)).alias("_ontime"),
+              F.count(F.lit(1)).alias("_all")))
+    return g.select(
+        *keys, "total_shipments", "delivered", "late_deliveries",
+        F.when(F.col("delivered") != 0, _d("late_deliveries") / _d("delivered") * 100).alias("late_delivery_rate_pct"),
+        (_d("_dd") / F.col("_ddn")).alias("avg_days_to_deliver"), "median_days_to_deliver", "p90_days_to_deliver",
+        (_d("_dl") / F.col("_dln")).alias("avg_days_late"), _d("_cost").alias("total_shipping_cost"),
+        (_d("_cost") / F.col("_cn")).alias("avg_shipping_cost"),
+        F.when(F.col("_w") != 0, _d("_cost") / _d("_w")).alias("cost_per_kg"),
+        (_d("_ontime") / F.col("_all") * 100).alias("on_time_delivery_pct"))
+
+
+# ------------------------------------------------------------------ M49
+def loyalty_performance(flt: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Month x type; D16: redeemed counts REDEEM only (not EXPIRE)."""
+    d = _dates(dim_date, "year_number", "month_number", "month_name", "month_start_date")
+    keys = ["year_number", "month_number", "month_name", "month_start_date", "transaction_type"]
+    pc = F.col("points_change")
+    g = (flt.join(d, "date_sk").groupBy(*keys)
+         .agg(F.count_distinct("transaction_id").alias("transactions"),
+              F.count_distinct("customer_id").alias("active_members"),
+              F.sum(pc).alias("total_points_change"),
+              F.sum(F.when(pc > 0, pc).otherwise(0)).alias("points_earned"),
+              F.sum(F.when(F.col("transaction_type") == "REDEEM", F.abs(pc)).otherwise(0)).alias("points_redeemed"),
+              F.sum(F.when(F.col("transaction_type") == "EXPIRE", F.abs(pc)).otherwise(0)).alias("points_expired"),
+              F.sum("points_balance_after").alias("_bal"), F.count("points_balance_after").alias("_baln")))
+    red, exp = F.col("points_redeemed"), F.col("points_expired")
+    return g.select(
+        *keys, "transactions", "active_members", "total_points_change", "points_earned", "points_redeemed",
+        "points_expired", (_d("_bal") / F.col("_baln")).alias("avg_member_balance"),
+        (_d("points_earned") * 0.01).alias("estimated_points_liability_earned"),
+        (_d("points_redeemed") * 0.01).alias("estimated_points_redeemed_value"),
+        F.when((red + exp) != 0, _d("points_redeemed") / (red + exp).cast("double") * 100).alias("redemption_rate_pct"))
