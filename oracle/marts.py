@@ -480,3 +480,34 @@ FROM (SELECT d.year_number, d.month_number, d.month_name, d.month_start_date, fl
              CAST(SUM(flt.points_balance_after) AS DOUBLE) / COUNT(flt.points_balance_after) AS avg_member_balance
       FROM g_fact_loyalty_transactions flt JOIN g_dim_date d ON flt.date_sk = d.date_sk
       GROUP BY d.year_number, d.month_number, d.month_name, d.month_start_date, flt.transaction_type)""")
+
+NODE_CASE = ("CASE user_id % 5 WHEN 0 THEN 'node-substation-north' WHEN 1 THEN 'node-substation-south' "
+             "WHEN 2 THEN 'node-distribution-east' WHEN 3 THEN 'node-distribution-west' ELSE 'node-unregistered' END")
+
+cte("t_readings", f"""
+SELECT {NODE_CASE} AS node_id, ts AS timestamp,
+       CAST(CASE WHEN user_id % 5 <= 1 THEN 132.0 ELSE 11.0 END AS DOUBLE) * (1.0 + (value - 150.0) / 3000.0) AS voltage_kv,
+       fmod(value, 101.0) AS load_pct, 50.0 + CAST((event_id % 21) - 10 AS DOUBLE) / 10.0 AS frequency_hz,
+       CAST(CASE WHEN user_id % 5 <= 1 THEN 132.0 ELSE 11.0 END AS DOUBLE) AS nominal_voltage_kv,
+       CAST(50.0 AS DOUBLE) AS nominal_frequency_hz
+FROM events""")
+
+cte("t_eval", """
+SELECT *, (CASE WHEN vpct > 5.0 THEN 1 ELSE 0 END) + (CASE WHEN load_pct > 90.0 THEN 1 ELSE 0 END)
+          + (CASE WHEN fdev > 0.5 THEN 1 ELSE 0 END) AS n_issues
+FROM (SELECT *, abs(voltage_kv - nominal_voltage_kv) / greatest(nominal_voltage_kv, 1.0) * 100.0 AS vpct,
+             abs(frequency_hz - nominal_frequency_hz) AS fdev
+      FROM t_readings WHERE voltage_kv IS NOT NULL AND NOT isnan(voltage_kv) AND load_pct IS NOT NULL
+        AND NOT isnan(load_pct) AND frequency_hz IS NOT NULL AND NOT isnan(frequency_hz))""")
+
+cte("m_grid_reading_status", """
+SELECT node_id, timestamp, voltage_kv, load_pct, frequency_hz, nominal_voltage_kv, nominal_frequency_hz,
+       CAST(n_issues AS BIGINT) AS issue_count, CASE WHEN n_issues > 0 THEN 'WARNING' ELSE 'NOMINAL' END AS status
+FROM t_eval""")
+
+cte("m_grid_alerts", """
+SELECT node_id, timestamp, CASE WHEN load_pct >= 98.0 OR n_issues >= 3 THEN 'CRITICAL'
+                                WHEN load_pct >= 90.0 OR n_issues >= 2 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+       CAST(n_issues AS BIGINT) AS issue_count, vpct > 5.0 AS voltage_breach, load_pct > 90.0 AS load_breach,
+       fdev > 0.5 AS frequency_breach, voltage_kv, load_pct, frequency_hz
+FROM t_eval WHERE n_issues > 0""")

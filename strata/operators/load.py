@@ -21,6 +21,12 @@ from strata.operators.keys import assign_keys
 END_OF_TIME = "9999-12-31 00:00:00"
 
 
+def max_key(target: DataFrame, sk: str) -> int:
+    """Largest surrogate key already used (one scalar; 0 for an empty table)."""
+    v = target.agg(F.max(sk)).first()[0]
+    return int(v) if v is not None else 0
+
+
 def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """SV8: keep rows whose typed key values are all present."""
     cond = F.lit(True)
@@ -115,9 +121,7 @@ def scd1_upsert(target: DataFrame | None, source: DataFrame, keys: list[str], sk
     merged = joined.select(*cols)
     existing = merged.filter("_in_t").drop("_in_t")
     fresh = merged.filter(~F.col("_in_t")).drop("_in_t", sk)
-    start = target.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint").alias("_mx"))
-    fresh = fresh.crossJoin(F.broadcast(start))      # one-row relation
-    fresh = assign_keys(fresh, order, sk, start=F.col("_mx")).drop("_mx")
+    fresh = assign_keys(fresh, order, sk, start=max_key(target, sk))
     return existing.unionByName(fresh.select(*existing.columns))
 
 
@@ -173,6 +177,5 @@ def scd2_upsert(target: DataFrame | None, source: DataFrame, keys: list[str], sk
     src_cols = [c for c in source.columns]
     fresh = j.filter(new_cond).select(*[(F.col(c) if c in keys else F.col(f"s.{c}")).alias(c) for c in src_cols])
     fresh = versions(fresh)
-    start = target.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint").alias("_mx"))
-    fresh = assign_keys(fresh.crossJoin(F.broadcast(start)), order, sk, start=F.col("_mx")).drop("_mx")
+    fresh = assign_keys(fresh, order, sk, start=max_key(target, sk))
     return hist.unionByName(kept).unionByName(fresh.select(*tcols))

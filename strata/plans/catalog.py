@@ -111,3 +111,30 @@ def build(wh: Warehouse, name: str) -> DataFrame:
 
 def names() -> list[str]:
     return [f"silver_{t}" for t in SILVER_COLUMNS] + GOLD_TABLES + list(MARTS)
+
+
+def _grid(w: Warehouse):
+    from strata.streaming import telemetry as T
+    from strata.sources.feeds import table
+    readings = T.readings_from_events(table(w.spark, w.sf_dir, "events"))
+    return T.evaluate_readings(readings, T.node_dim(w.spark))
+
+
+def _grid_status(w: Warehouse):
+    from pyspark.sql import functions as F
+    return _grid(w).select("node_id", "timestamp", "voltage_kv", "load_pct", "frequency_hz", "nominal_voltage_kv",
+                           "nominal_frequency_hz", F.size("issues").cast("bigint").alias("issue_count"), "status")
+
+
+def _grid_alerts(w: Warehouse):
+    from pyspark.sql import functions as F
+    from strata.streaming import telemetry as T
+    a = T.alerts(_grid(w))
+    has = lambda p: F.exists("issues", lambda i: i.startswith(p))
+    return a.select("node_id", "timestamp", "severity", F.size("issues").cast("bigint").alias("issue_count"),
+                    has("Voltage").alias("voltage_breach"), has("Load").alias("load_breach"),
+                    has("Frequency").alias("frequency_breach"), "voltage_kv", "load_pct", "frequency_hz")
+
+
+MARTS["grid_reading_status"] = _grid_status
+MARTS["grid_alerts"] = _grid_alerts

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from strata.functions.compat import lit_date, money, money4
 from strata.operators.keys import assign_keys, global_ntile
 from strata.operators.load import (
-    insert_if_absent, latest_per_key, replace_partition, require_keys, scd1_upsert, scd2_upsert,
+    insert_if_absent, max_key, latest_per_key, replace_partition, require_keys, scd1_upsert, scd2_upsert,
 )
 
 
@@ -155,9 +155,8 @@ def s03_order_items(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFra
                   "discount_amount", "tax_amount").drop("_ship", "_pk", "_sk")
     if target is not None:
         new = src.join(target.select("order_id", "item_id"), ["order_id", "item_id"], "left_anti")
-        start = target.agg(F.max("order_item_sk").alias("_mx"))
-        new = assign_keys(new.crossJoin(F.broadcast(start)), [F.col("order_id"), F.col("item_id")],
-                          "order_item_sk", start=F.col("_mx")).drop("_mx")
+        new = assign_keys(new, [F.col("order_id"), F.col("item_id")], "order_item_sk",
+                          start=max_key(target, "order_item_sk"))
         return target.unionByName(new.withColumn("dw_created_at", F.lit(run_ts).cast("timestamp_ntz")))
     keyed = assign_keys(src, [F.col("order_id"), F.col("item_id")], "order_item_sk")
     return keyed.withColumn("dw_created_at", F.lit(run_ts).cast("timestamp_ntz"))
@@ -242,8 +241,7 @@ def s07_inventory(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame
     order = [F.col(k) for k in keys]
     if target is not None:
         new = src.join(target.select(*keys), keys, "left_anti")
-        start = target.agg(F.max("inventory_sk").alias("_mx"))
-        new = assign_keys(new.crossJoin(F.broadcast(start)), order, "inventory_sk", start=F.col("_mx")).drop("_mx")
+        new = assign_keys(new, order, "inventory_sk", start=max_key(target, "inventory_sk"))
         return target.unionByName(new.withColumn("dw_created_at", F.lit(run_ts).cast("timestamp_ntz")))
     return assign_keys(src, order, "inventory_sk").withColumn("dw_created_at", F.lit(run_ts).cast("timestamp_ntz"))
 
@@ -330,8 +328,7 @@ def _append_new(target, src, keys, sk, run_ts) -> DataFrame:
     if target is None:
         return assign_keys(src, order, sk).withColumn("dw_created_at", ts)
     new = src.join(target.select(*keys), keys, "left_anti")
-    start = target.agg(F.max(sk).alias("_mx"))
-    new = assign_keys(new.crossJoin(F.broadcast(start)), order, sk, start=F.col("_mx")).drop("_mx")
+    new = assign_keys(new, order, sk, start=max_key(target, sk))
     return insert_if_absent(target, new.withColumn("dw_created_at", ts), keys)
 
 
