@@ -84,11 +84,12 @@ def read_json_raw(spark: SparkSession, path: str) -> DataFrame:
           .option("singleVariantColumn", "payload")
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record")
-          .json(path))
+          .json(path)
+          .select("payload", "_corrupt_record", F.col("_metadata.file_name").alias("file_name")))
     # an outer array arrives as one variant: explode it into records
     is_arr = F.expr("schema_of_variant(payload) LIKE 'ARRAY%'")
     arr = df.filter(is_arr).select(F.explode(F.expr("cast(payload as array<variant>)")).alias("payload"),
-                                   F.lit(None).cast("string").alias("_corrupt_record"))
+                                   F.lit(None).cast("string").alias("_corrupt_record"), "file_name")
     rest = df.filter(~is_arr | F.col("payload").isNull())
     return with_lineage(rest.unionByName(arr), fmt="json")
 
@@ -99,7 +100,8 @@ def read_csv_raw(spark: SparkSession, path: str, schema: str | None = None) -> D
     df = r.schema(schema).csv(path) if schema else r.csv(path)
     cols = [F.when(F.col(c).isin(*CSV_NULL_TOKENS), None).otherwise(F.col(c)).alias(c) for c in df.columns]
     out = df.select(F.to_variant_object(F.struct(*cols)).alias("payload"),
-                    F.lit(None).cast("string").alias("_corrupt_record"))
+                    F.lit(None).cast("string").alias("_corrupt_record"),
+                    F.col("_metadata.file_name").alias("file_name"))
     return with_lineage(out, fmt="csv")
 
 
@@ -114,10 +116,9 @@ def read_parquet_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_lineage(df: DataFrame, fmt: str) -> DataFrame:
-    """IN6: file name from the scan metadata.  The JSON/CSV readers expose no
-    row index, so ``file_row_number`` stays NULL for them."""
-    return (df.withColumn("file_name", F.col("_metadata.file_name"))
-              .withColumn("file_row_number", F.lit(None).cast("bigint")))
+    """IN6: the file name is taken from the scan metadata by the readers.  The
+    JSON/CSV readers expose no row index, so ``file_row_number`` stays NULL."""
+    return df.withColumn("file_row_number", F.lit(None).cast("bigint"))
 
 
 def with_batch(df: DataFrame, batch_id: str | None, run_ts) -> DataFrame:

@@ -51,15 +51,14 @@ def node_dim(spark: SparkSession, nodes: list[dict] = CONFIG_NODES) -> DataFrame
     """Node dimension; id alias ``node_id`` or ``id``; frequency default 50,
     region default 'default'; one row per node id (first wins) so the lookup
     join never duplicates a reading."""
-    rows = [(n.get("node_id"), n.get("id"), n.get("endpoint"), n.get("nominal_voltage_kv"),
-             n.get("nominal_frequency_hz"), n.get("region")) for n in nodes]
-    df = spark.createDataFrame(rows, NODE_SCHEMA)
+    rows = [(i, n.get("node_id"), n.get("id"), n.get("endpoint"), n.get("nominal_voltage_kv"),
+             n.get("nominal_frequency_hz"), n.get("region")) for i, n in enumerate(nodes)]
+    df = spark.createDataFrame(rows, "_pos long, " + NODE_SCHEMA)
     df = df.select(
         F.coalesce(F.when(F.col("node_id") != "", F.col("node_id")), F.col("id")).alias("node_id"),
         "endpoint", F.col("nominal_voltage_kv").cast("double"),
         F.coalesce("nominal_frequency_hz", F.lit(DEFAULT_NOMINAL_HZ)).alias("nominal_frequency_hz"),
-        F.coalesce("region", F.lit("default")).alias("region"),
-        F.monotonically_increasing_id().alias("_pos"))
+        F.coalesce("region", F.lit("default")).alias("region"), "_pos")
     valid = df.filter(F.col("node_id").isNotNull() & F.col("endpoint").isNotNull()
                       & F.col("nominal_voltage_kv").isNotNull())
     first = valid.groupBy("node_id").agg(F.min(F.struct("_pos", "endpoint", "nominal_voltage_kv",
