@@ -82,12 +82,26 @@ def sort_exprs(spec: list[tuple[str, str]]) -> list[Column]:
     return out
 
 
-def global_rank(df: DataFrame, spec: list[tuple[str, str]], name: str) -> DataFrame:
+def global_rank(df: DataFrame, spec: list[tuple[str, str]], name: str, unique_key: str | None = None) -> DataFrame:
     """RANK() OVER (ORDER BY spec) without a single-partition exchange.
 
-    Ties are counted on the distinct ordering values (partial aggregation),
-    then each distinct value gets 1 + the number of rows ordered before it."""
+    With ``unique_key`` (one row per key, e.g. one row per product) the rows
+    are numbered once over ``spec + key`` -- a single materialisation of the
+    input -- and every row takes the first position of its tie group, read
+    from that same checkpoint.  Without it, ties are counted on the distinct
+    ordering values (partial aggregation) and joined back."""
     cols = [c for c, _ in spec]
+    if unique_key is not None:
+        numbered = prefix_positions(df, sort_exprs(spec) + [F.col(unique_key).asc_nulls_last()])
+        firsts = numbered.groupBy(*cols).agg(F.min(_OFF).alias("_k_first"))
+        firsts = firsts.select(*[F.col(c).alias(f"_k_r_{c}") for c in cols], "_k_first")
+        cond = None
+        for c in cols:
+            e = F.col(c).eqNullSafe(F.col(f"_k_r_{c}"))
+            cond = e if cond is None else cond & e
+        out = numbered.join(firsts, cond, "left")
+        return (out.withColumn(name, (F.col("_k_first") + 1).cast("bigint"))
+                   .drop("_k_first", _OFF, _TOT, *[f"_k_r_{c}" for c in cols]))
     distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_k_cnt"))
     ranked = prefix_positions(distinct, sort_exprs(spec), weight="_k_cnt")
     ranked = ranked.select(*[F.col(c).alias(f"_k_r_{c}") for c in cols],

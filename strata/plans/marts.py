@@ -185,8 +185,8 @@ def product_performance(dim_products: DataFrame, foi: DataFrame, fr: DataFrame)
         F.col("_ret_units").alias("units_returned"),
         F.when(F.col("_units") > 0, _d("_ret_units") / _d("_units") * 100).alias("return_rate_pct"),
     )
-    out = global_rank(out, [("gross_revenue", "desc")], "revenue_rank")
-    return global_rank(out, [("total_units_sold", "desc")], "units_rank")
+    out = global_rank(out, [("gross_revenue", "desc")], "revenue_rank", unique_key="product_id")
+    return global_rank(out, [("total_units_sold", "desc")], "units_rank", unique_key="product_id")
 
 
 # ------------------------------------------------------------------ M30
@@ -263,9 +263,9 @@ def top_customers(ltv: DataFrame, segments: DataFrame, as_of) -> DataFrame:
         "last_order_date", "total_orders", "lifetime_revenue", "net_lifetime_revenue", "avg_order_value",
         "orders_per_year", "projected_clv_3yr", "total_returns", "total_refunds", "days_since_last_order",
         "lifecycle_segment", "rfm_combined_score", "is_vip")
-    j = global_rank(j, [("lifetime_revenue", "desc")], "revenue_rank")
-    j = global_rank(j, [("total_orders", "desc")], "order_frequency_rank")
-    j = global_rank(j, [("projected_clv_3yr", "desc")], "clv_rank")
+    j = global_rank(j, [("lifetime_revenue", "desc")], "revenue_rank", unique_key="customer_id")
+    j = global_rank(j, [("total_orders", "desc")], "order_frequency_rank", unique_key="customer_id")
+    j = global_rank(j, [("projected_clv_3yr", "desc")], "clv_rank", unique_key="customer_id")
     return global_ntile(j, 10, [F.col("lifetime_revenue").desc_nulls_last(), F.col("customer_id").asc_nulls_last()],
                         "revenue_decile")
 
@@ -277,8 +277,8 @@ def top_products(pp: DataFrame) -> DataFrame:
                   "list_margin_pct", "total_units_sold", "orders_with_product", "gross_revenue", "net_revenue",
                   "total_gross_profit", "avg_realized_margin_pct", "review_count", "avg_rating", "return_rate_pct",
                   "revenue_rank", "units_rank")
-    j = global_rank(j, [("total_gross_profit", "desc")], "profit_rank")
-    j = global_rank(j, [("avg_rating", "desc")], "rating_rank")
+    j = global_rank(j, [("total_gross_profit", "desc")], "profit_rank", unique_key="product_id")
+    j = global_rank(j, [("avg_rating", "desc")], "rating_rank", unique_key="product_id")
     j = global_ntile(j, 4, [F.col("gross_revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()],
                      "revenue_quartile")
     rr, rk = F.col("return_rate_pct"), F.col("revenue_rank")
@@ -393,7 +393,7 @@ def supplier_performance(dim_suppliers: DataFrame, fso: DataFrame, foi: DataFram
          .alias("fill_rate_pct"),
         F.coalesce("_rc", F.lit(0)).cast("bigint").alias("returns_from_supplier_products"),
         F.coalesce("distinct_products", F.lit(0)).cast("bigint").alias("distinct_products"))
-    return global_rank(out, [("supplier_rating", "desc")], "rating_rank")
+    return global_rank(out, [("supplier_rating", "desc")], "rating_rank", unique_key="supplier_id")
 
 
 # ------------------------------------------------------------------ M38

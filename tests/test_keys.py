@@ -35,3 +35,11 @@ def test_global_ntile_matches_window(spark):
         mine = global_ntile(df, tiles, order, "t")
         ref = df.withColumn("t", F.ntile(tiles).over(Window.orderBy(*order)))
         assert sorted((x.id, x.t) for x in mine.collect()) == sorted((x.id, x.t) for x in ref.collect())
+
+
+def test_global_rank_unique_key_matches_window(spark):
+    for n, seed in [(1, 5), (50, 6), (800, 7)]:
+        df = _data(spark, n, seed)
+        mine = global_rank(df, [("v", "desc")], "r", unique_key="id")
+        ref = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
+        assert sorted((x.id, x.r) for x in mine.collect()) == sorted((x.id, x.r) for x in ref.collect())
