@@ -8,8 +8,8 @@ one task (``Exchange SinglePartition``).  These operators instead
 2. number rows locally (``monotonically_increasing_id`` keeps the in-partition
    order), materialise that once with a reliable ``checkpoint`` so the
    partition layout can not change between the two passes below,
-3. count rows per partition (one row per partition, tiny), turn the counts
-   into offsets and add them back through a broadcast of that tiny table.
+3. count rows per partition (one number per partition), turn the counts
+   into offsets and add them back as a literal array indexed by partition.
 
 Global RANK with heavy ties is computed on the *distinct* ordering values
 (pre-aggregated with a map-side combine), so a value shared by a third of
@@ -53,16 +53,17 @@ def prefix_positions(df: DataFrame, order: list[Column], weight: str | None = No
             F.coalesce(F.sum(wcol).over(Window.partitionBy(_PID).orderBy(_MID)
                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint"))
         w = wcol
-    # one row per partition: bounded by the partition count
-    per_part = tagged.groupBy(_PID).agg(F.sum(w).alias("_k_n"))
-    offsets = per_part.select(
-        _PID,
-        F.coalesce(F.sum("_k_n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).cast("bigint").alias("_k_base"),
-        F.sum("_k_n").over(Window.partitionBy()).cast("bigint").alias(_TOT),
-    )
-    out = local.join(F.broadcast(offsets), _PID)
-    return out.withColumn(_OFF, F.col("_k_base") + F.col(_LOC)).drop("_k_base", _LOC, _PID, _MID)
+    # One count per partition: bounded by the partition count, not by the
+    # data, so it is read as a small list and applied as a literal array.
+    counts = {int(r[0]): int(r[1] or 0) for r in tagged.groupBy(_PID).agg(F.sum(w)).collect()}
+    n_parts = (max(counts) + 1) if counts else 1
+    offsets, run = [], 0
+    for pid in range(n_parts):
+        offsets.append(run)
+        run += counts.get(pid, 0)
+    base = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col(_PID) + 1)
+    out = local.withColumn(_OFF, base + F.col(_LOC)).withColumn(_TOT, F.lit(run).cast("bigint"))
+    return out.drop(_LOC, _PID, _MID)
 
 
 def assign_keys(df: DataFrame, order: list[Column], name: str, start=0) -> DataFrame:
