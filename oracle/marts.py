@@ -511,3 +511,63 @@ SELECT node_id, timestamp, CASE WHEN load_pct >= 98.0 OR n_issues >= 3 THEN 'CRI
        CAST(n_issues AS BIGINT) AS issue_count, vpct > 5.0 AS voltage_breach, load_pct > 90.0 AS load_breach,
        fdev > 0.5 AS frequency_breach, voltage_kv, load_pct, frequency_hz
 FROM t_eval WHERE n_issues > 0""")
+
+cte("rr_lines", """
+SELECT foi.order_id, foi.line_total, p.category_name, p.top_category_name, p.brand, d.year_number, d.quarter_name,
+       d.month_name
+FROM g_fact_order_items foi JOIN g_dim_products p ON foi.product_id = p.product_id
+JOIN g_dim_date d ON foi.date_sk = d.date_sk""")
+
+cte("m_return_rate_analysis", """
+SELECT n.year_number, n.quarter_name, n.month_name, n.category_name, n.top_category_name, n.brand, n.return_reason,
+       n.total_returns, den.total_orders_in_period, n.refund AS total_refund_amount,
+       CASE WHEN den.total_orders_in_period <> 0 THEN CAST(n.total_returns AS DOUBLE) / CAST(den.total_orders_in_period AS DOUBLE) * 100 END AS order_return_rate_pct,
+       CASE WHEN den.slice_rev <> 0 THEN n.refund / CAST(den.slice_rev AS DOUBLE) * 100 END AS revenue_return_rate_pct,
+       CAST(n.ds AS DOUBLE) / n.dn AS avg_days_to_return, n.refunded_to_card, n.refunded_as_credit
+FROM (SELECT year_number, quarter_name, month_name, category_name, top_category_name, brand, return_reason,
+             COUNT(DISTINCT return_id) AS total_returns, round(SUM(a), 6) AS refund, SUM(days) AS ds, COUNT(days) AS dn,
+             round(SUM(CASE WHEN m = 'ORIGINAL_PAYMENT' THEN a ELSE 0.0 END), 6) AS refunded_to_card,
+             round(SUM(CASE WHEN m = 'STORE_CREDIT' THEN a ELSE 0.0 END), 6) AS refunded_as_credit
+      FROM (SELECT l.year_number, l.quarter_name, l.month_name, l.category_name, l.top_category_name, l.brand,
+                   r.return_reason, r.return_id,
+                   SUM(CASE WHEN t.order_total <> 0 THEN CAST(r.refund_amount AS DOUBLE) * CAST(l.line_total AS DOUBLE)
+                            / CAST(t.order_total AS DOUBLE) END) AS a,
+                   MAX(r.days_to_return) AS days, MAX(r.refund_method) AS m
+            FROM g_fact_returns r JOIN rr_lines l ON r.order_id = l.order_id
+            JOIN (SELECT order_id, SUM(line_total) AS order_total FROM rr_lines GROUP BY order_id) t ON r.order_id = t.order_id
+            GROUP BY 1, 2, 3, 4, 5, 6, 7, 8)
+      GROUP BY 1, 2, 3, 4, 5, 6, 7) n
+JOIN (SELECT year_number, quarter_name, month_name, category_name, top_category_name, brand,
+             COUNT(DISTINCT order_id) AS total_orders_in_period, SUM(line_total) AS slice_rev
+      FROM rr_lines GROUP BY 1, 2, 3, 4, 5, 6) den
+  USING (year_number, quarter_name, month_name, category_name, top_category_name, brand)""")
+
+cte("m_executive_dashboard", f"""
+SELECT {AS_OF} AS report_date, CAST(date_trunc('month', {AS_OF}) AS DATE) AS cur_month,
+       CAST(s.mtd_revenue AS DOUBLE) AS mtd_revenue, s.mtd_orders, s.mtd_customers,
+       CASE WHEN s.mn > 0 THEN CAST(s.mtd_revenue AS DOUBLE) / s.mn END AS mtd_aov,
+       CAST(s.prev AS DOUBLE) AS prev_month_revenue,
+       CASE WHEN s.prev <> 0 THEN (CAST(s.mtd_revenue AS DOUBLE) - CAST(s.prev AS DOUBLE)) / CAST(s.prev AS DOUBLE) * 100 END AS revenue_mom_pct,
+       CAST(s.ly AS DOUBLE) AS same_month_ly_revenue,
+       CASE WHEN s.ly <> 0 THEN (CAST(s.mtd_revenue AS DOUBLE) - CAST(s.ly AS DOUBLE)) / CAST(s.ly AS DOUBLE) * 100 END AS revenue_yoy_pct,
+       CAST(s.ytd AS DOUBLE) AS ytd_revenue, s.ytd_orders,
+       (SELECT COUNT(DISTINCT customer_id) FROM s_orders WHERE order_date >= {AS_OF} - 90) AS active_customers_90d,
+       (SELECT CAST(SUM(total_amount) AS DOUBLE) FROM s_orders WHERE order_status NOT IN ('CANCELLED', 'RETURNED')) AS total_customer_lifetime_revenue,
+       (SELECT CAST(SUM(inventory_value) AS DOUBLE) FROM g_fact_inventory_snapshots
+        WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM g_fact_inventory_snapshots)) AS current_inventory_value,
+       (SELECT CASE WHEN COUNT(DISTINCT o.order_id) > 0 THEN CAST(COUNT(DISTINCT CASE WHEN r.order_id IS NOT NULL THEN o.order_id END) AS DOUBLE)
+                    / CAST(COUNT(DISTINCT o.order_id) AS DOUBLE) * 100 END
+        FROM s_orders o LEFT JOIN (SELECT DISTINCT order_id FROM s_returns) r ON o.order_id = r.order_id
+        WHERE o.order_date >= {AS_OF} - 30) AS return_rate_30d_pct,
+       (SELECT MAX(nps_score) FROM m_net_promoter_score WHERE grouping_level = 3
+          AND review_month = CAST(date_trunc('month', {AS_OF}) - INTERVAL 1 MONTH AS DATE)) AS overall_nps_prev_month,
+       (SELECT COUNT(DISTINCT customer_id) FROM s_loyalty_points) AS total_loyalty_members
+FROM (SELECT SUM(CASE WHEN date_trunc('month', order_date) = date_trunc('month', {AS_OF}) THEN total_amount END) AS mtd_revenue,
+             COUNT(DISTINCT CASE WHEN date_trunc('month', order_date) = date_trunc('month', {AS_OF}) THEN order_id END) AS mtd_orders,
+             COUNT(DISTINCT CASE WHEN date_trunc('month', order_date) = date_trunc('month', {AS_OF}) THEN customer_id END) AS mtd_customers,
+             COUNT(CASE WHEN date_trunc('month', order_date) = date_trunc('month', {AS_OF}) THEN total_amount END) AS mn,
+             SUM(CASE WHEN date_trunc('month', order_date) = date_trunc('month', {AS_OF}) - INTERVAL 1 MONTH THEN total_amount END) AS prev,
+             SUM(CASE WHEN date_trunc('month', order_date) = date_trunc('month', {AS_OF}) - INTERVAL 12 MONTH THEN total_amount END) AS ly,
+             SUM(CASE WHEN order_date >= date_trunc('year', {AS_OF}) THEN total_amount END) AS ytd,
+             COUNT(DISTINCT CASE WHEN order_date >= date_trunc('year', {AS_OF}) THEN order_id END) AS ytd_orders
+      FROM g_fact_sales) s""")

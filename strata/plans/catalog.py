@@ -138,3 +138,10 @@ def _grid_alerts(w: Warehouse):
 
 MARTS["grid_reading_status"] = _grid_status
 MARTS["grid_alerts"] = _grid_alerts
+
+
+MARTS["return_rate_analysis"] = lambda w: marts.return_rates(w.fact_returns, w.fact_order_items, w.dim_products,
+                                                             w.dim_date)
+MARTS["executive_dashboard"] = lambda w: marts.executive_dashboard(
+    w.fact_sales, w.orders, w.returns, w.fact_inventory_snapshots, w.loyalty_points,
+    marts.nps(w.fact_reviews, w.dim_products), w.as_of)

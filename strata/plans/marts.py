@@ -692,3 +692,116 @@ def loyalty_performance(flt: DataFrame, dim_date: DataFrame) -> DataFrame:
         (_d("points_earned") * 0.01).alias("estimated_points_liability_earned"),
         (_d("points_redeemed") * 0.01).alias("estimated_points_redeemed_value"),
         F.when((red + exp) != 0, _d("points_redeemed") / (red + exp).cast("double") * 100).alias("redemption_rate_pct"))
+
+
+# ------------------------------------------------------------------ M35
+def return_rates(fr: DataFrame, foi: DataFrame, dim_products: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """M35 (D24, D9): numerators are returns broken down by reason, with each
+    return's refund allocated to its order's lines by line-total share;
+    denominators come from *all* orders/lines of the same month x category x
+    brand slice.  Allocated sums are rounded to 6 places."""
+    p = dim_products.select(F.col("product_id").alias("_p_id"), "category_name", "top_category_name", "brand")
+    d = _dates(dim_date, "year_number", "quarter_name", "month_name")
+    slice_keys = ["year_number", "quarter_name", "month_name", "category_name", "top_category_name", "brand"]
+    lines = (foi.select("order_id", "product_id", "line_total", "date_sk")
+             .join(p, F.col("product_id") == F.col("_p_id"), "inner").join(d, "date_sk"))
+    den = lines.groupBy(*slice_keys).agg(F.count_distinct("order_id").alias("total_orders_in_period"),
+                                         F.sum("line_total").alias("_slice_rev"))
+    order_tot = lines.groupBy(F.col("order_id").alias("_t_oid")).agg(F.sum("line_total").alias("_order_total"))
+    r = fr.select(F.col("order_id").alias("_r_oid"), "return_id", "return_reason", "refund_amount", "refund_method",
+                  "days_to_return")
+    alloc = (r.join(lines, F.col("_r_oid") == lines.order_id, "inner")
+             .join(order_tot, F.col("_r_oid") == F.col("_t_oid"), "inner")
+             .withColumn("_alloc", F.when(F.col("_order_total") != 0,
+                                          _d("refund_amount") * _d("line_total") / _d("_order_total"))))
+    per_return = (alloc.groupBy(*slice_keys, "return_reason", "return_id")
+                  .agg(F.sum("_alloc").alias("_a"), F.max("days_to_return").alias("_days"),
+                       F.max("refund_method").alias("_m")))
+    num = (per_return.groupBy(*slice_keys, "return_reason")
+           .agg(F.count_distinct("return_id").alias("total_returns"), F.round(F.sum("_a"), 6).alias("_refund"),
+                F.sum("_days").alias("_ds"), F.count("_days").alias("_dn"),
+                F.round(F.sum(F.when(F.col("_m") == "ORIGINAL_PAYMENT", F.col("_a")).otherwise(0.0)), 6)
+                .alias("refunded_to_card"),
+                F.round(F.sum(F.when(F.col("_m") == "STORE_CREDIT", F.col("_a")).otherwise(0.0)), 6)
+                .alias("refunded_as_credit")))
+    j = num.join(den, slice_keys, "inner")
+    return j.select(
+        *slice_keys, "return_reason", "total_returns", "total_orders_in_period",
+        F.col("_refund").alias("total_refund_amount"),
+        F.when(F.col("total_orders_in_period") != 0, _d("total_returns") / _d("total_orders_in_period") * 100)
+         .alias("order_return_rate_pct"),
+        F.when(F.col("_slice_rev") != 0, F.col("_refund") / _d("_slice_rev") * 100).alias("revenue_return_rate_pct"),
+        (_d("_ds") / F.col("_dn")).alias("avg_days_to_return"),
+        "refunded_to_card", "refunded_as_credit")
+
+
+# ------------------------------------------------------------------ M50
+def _kpis(df: DataFrame, cols: dict) -> DataFrame:
+    """One-row aggregate -> long (kpi, value) rows (no join needed later)."""
+    return df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kpi"), v.cast("double").alias("value"))
+                                         for k, v in cols.items()])).alias("_k")).select("_k.*")
+
+
+def executive_dashboard(fs: DataFrame, orders: DataFrame, returns: DataFrame, fi: DataFrame,
+                        loyalty: DataFrame, nps_mart: DataFrame, as_of) -> DataFrame:
+    """One row of headline KPIs for the as-of month.
+
+    The three month joins of the reference become one conditional-aggregate
+    pass over the sales fact; the other KPIs are one-row aggregates.  All are
+    stacked into (kpi, value) rows and pivoted by one global aggregate, so no
+    cross join is needed.  D13: the 30-day return rate is returned orders /
+    all orders of the last 30 days; the overall NPS is the month-level
+    ROLLUP row of the NPS mart.  Total lifetime revenue sums the same order
+    set the lifetime-value mart sums (non-cancelled, non-returned)."""
+    today = lit_date(as_of)
+    cur = F.trunc(today, "month")
+    prev, ly = F.add_months(cur, -1), F.add_months(cur, -12)
+    m = F.trunc("order_date", "month")
+    t = F.col("total_amount")
+    sales = fs.agg(
+        F.sum(F.when(m == cur, t)).alias("mtd_revenue"),
+        F.count_distinct(F.when(m == cur, F.col("order_id"))).alias("mtd_orders"),
+        F.count_distinct(F.when(m == cur, F.col("customer_id"))).alias("mtd_customers"),
+        F.count(F.when(m == cur, t)).alias("_mn"),
+        F.sum(F.when(m == prev, t)).alias("prev_month_revenue"),
+        F.sum(F.when(m == ly, t)).alias("same_month_ly_revenue"),
+        F.sum(F.when(F.col("order_date") >= F.trunc(today, "year"), t)).alias("ytd_revenue"),
+        F.count_distinct(F.when(F.col("order_date") >= F.trunc(today, "year"), F.col("order_id"))).alias("ytd_orders"),
+        F.count_distinct(F.when(F.col("order_date") >= F.date_sub(today, 90), F.col("customer_id")))
+         .alias("active_customers_90d"),
+        F.sum(F.when(~F.col("order_status").isin("CANCELLED", "RETURNED"), t)).alias("total_customer_lifetime_revenue"))
+    k1 = _kpis(sales, {c: F.col(c) for c in ["mtd_revenue", "mtd_orders", "mtd_customers", "prev_month_revenue",
+                                              "same_month_ly_revenue", "ytd_revenue", "ytd_orders",
+                                              "active_customers_90d", "total_customer_lifetime_revenue"]}
+               | {"mtd_aov": F.when(F.col("_mn") > 0, _d("mtd_revenue") / F.col("_mn"))})
+    latest = fi.agg(F.max("snapshot_date").alias("_mx"))
+    inv = fi.join(F.broadcast(latest), fi.snapshot_date == F.col("_mx"), "inner").agg(
+        F.sum("inventory_value").alias("v"))
+    k2 = _kpis(inv, {"current_inventory_value": F.col("v")})
+    returned = returns.select(F.col("order_id").alias("_ro")).distinct()
+    o30 = (orders.filter(F.col("order_date") >= F.date_sub(today, 30)).select("order_id")
+           .join(returned, F.col("order_id") == F.col("_ro"), "left"))
+    rr = o30.agg(F.count_distinct("order_id").alias("n"), F.count_distinct(F.when(F.col("_ro").isNotNull(),
+                                                                                  F.col("order_id"))).alias("r"))
+    k3 = _kpis(rr, {"return_rate_30d_pct": F.when(F.col("n") > 0, _d("r") / _d("n") * 100)})
+    nps_prev = nps_mart.filter((F.col("grouping_level") == 3) & (F.col("review_month") == prev)).agg(
+        F.max("nps_score").alias("v"))
+    k4 = _kpis(nps_prev, {"overall_nps_prev_month": F.col("v")})
+    k5 = _kpis(loyalty.agg(F.count_distinct("customer_id").alias("v")), {"total_loyalty_members": F.col("v")})
+    long = k1.unionByName(k2).unionByName(k3).unionByName(k4).unionByName(k5)
+
+    def kv(name):
+        return F.max(F.when(F.col("kpi") == name, F.col("value")))
+
+    counts = ["mtd_orders", "mtd_customers", "ytd_orders", "active_customers_90d", "total_loyalty_members"]
+    names = ["mtd_revenue", "mtd_orders", "mtd_customers", "mtd_aov", "prev_month_revenue", "same_month_ly_revenue",
+             "ytd_revenue", "ytd_orders", "active_customers_90d", "total_customer_lifetime_revenue",
+             "current_inventory_value", "return_rate_30d_pct", "overall_nps_prev_month", "total_loyalty_members"]
+    wide = long.agg(*[(kv(n).cast("bigint") if n in counts else kv(n)).alias(n) for n in names])
+    c, p_, l_ = F.col("mtd_revenue"), F.col("prev_month_revenue"), F.col("same_month_ly_revenue")
+    return wide.select(
+        today.alias("report_date"), cur.alias("cur_month"), "mtd_revenue", "mtd_orders", "mtd_customers", "mtd_aov",
+        "prev_month_revenue", F.when(p_ != 0, (c - p_) / p_ * 100).alias("revenue_mom_pct"),
+        "same_month_ly_revenue", F.when(l_ != 0, (c - l_) / l_ * 100).alias("revenue_yoy_pct"),
+        "ytd_revenue", "ytd_orders", "active_customers_90d", "total_customer_lifetime_revenue",
+        "current_inventory_value", "return_rate_30d_pct", "overall_nps_prev_month", "total_loyalty_members")
