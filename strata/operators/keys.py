@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, materialize
 
 _PID, _MID, _LOC, _OFF, _TOT = "_k_pid", "_k_mid", "_k_loc", "_k_off", "_k_tot"
 
@@ -42,7 +42,7 @@ def prefix_positions(df: DataFrame, order: list[Column], weight: str | None = No
     ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(_num_parts(df), *order).sortWithinPartitions(*order)
     tagged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
-    tagged = tagged.checkpoint(eager=True)
+    tagged = materialize(tagged)
     if weight is None:
         local = tagged.withColumn(_LOC, F.col(_MID) - F.shiftleft(F.col(_PID).cast("bigint"), 33))
         w = F.lit(1).cast("bigint")

@@ -55,3 +55,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(path)
         return sc.getCheckpointDir()
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+
+
+def materialize(df):
+    """Cut lineage by writing ``df`` as a parquet table under the session's
+    shared checkpoint folder and reading it back.  Columnar files (unlike a
+    serialized RDD checkpoint) keep column pruning and filter pushdown for
+    every later reader; a lost executor cannot change the stored rows."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/strata-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
