@@ -571,3 +571,22 @@ FROM (SELECT SUM(CASE WHEN date_trunc('month', order_date) = date_trunc('month',
              SUM(CASE WHEN order_date >= date_trunc('year', {AS_OF}) THEN total_amount END) AS ytd,
              COUNT(DISTINCT CASE WHEN order_date >= date_trunc('year', {AS_OF}) THEN order_id END) AS ytd_orders
       FROM g_fact_sales) s""")
+
+cte("t_transitions", """
+SELECT node_id, timestamp, w,
+       CASE WHEN w = 1 AND COALESCE(LAG(w) OVER o, 0) = 0 THEN 1 ELSE 0 END AS is_start,
+       CASE WHEN w = 0 AND COALESCE(LAG(w) OVER o, 0) = 1 THEN 1 ELSE 0 END AS is_end
+FROM (SELECT node_id, timestamp, voltage_kv, load_pct, frequency_hz, CASE WHEN n_issues > 0 THEN 1 ELSE 0 END AS w
+      FROM t_eval)
+WINDOW o AS (PARTITION BY node_id ORDER BY timestamp, voltage_kv, load_pct, frequency_hz)""")
+
+cte("m_grid_outages", """
+SELECT s.node_id || '-' || CAST(s.k AS VARCHAR) AS event_id, s.node_id, s.timestamp AS start_time, e.timestamp AS end_time,
+       [CASE s.node_id WHEN 'node-substation-north' THEN 'north' WHEN 'node-substation-south' THEN 'south'
+             WHEN 'node-distribution-east' THEN 'east' WHEN 'node-distribution-west' THEN 'west' ELSE 'default' END] AS affected_areas,
+       'THRESHOLD_BREACH' AS cause, e.timestamp IS NULL AS is_active
+FROM (SELECT node_id, timestamp, ROW_NUMBER() OVER (PARTITION BY node_id ORDER BY timestamp) AS k
+      FROM t_transitions WHERE is_start = 1) s
+LEFT JOIN (SELECT node_id, timestamp, ROW_NUMBER() OVER (PARTITION BY node_id ORDER BY timestamp) AS k
+           FROM t_transitions WHERE is_end = 1) e
+  ON s.node_id = e.node_id AND s.k = e.k""")

@@ -145,3 +145,11 @@ MARTS["return_rate_analysis"] = lambda w: marts.return_rates(w.fact_returns, w.f
 MARTS["executive_dashboard"] = lambda w: marts.executive_dashboard(
     w.fact_sales, w.orders, w.returns, w.fact_inventory_snapshots, w.loyalty_points,
     marts.nps(w.fact_reviews, w.dim_products), w.as_of)
+
+
+def _grid_outages(w: Warehouse):
+    from strata.streaming import telemetry as T
+    return T.outages(_grid(w), T.node_dim(w.spark))
+
+
+MARTS["grid_outages"] = _grid_outages

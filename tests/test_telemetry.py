@@ -74,3 +74,24 @@ def test_alert_text(spark):
     assert lines[0] == "Grid Alert — Severity: HIGH"
     assert lines[4] == "Load     : 95.0%"
     assert lines[-1] == "  • Load 95.0% exceeds capacity threshold 90.0%"
+
+
+def test_outages_cross_bucket_and_active(spark):
+    north = "node-substation-north"
+    pts = [  # (minute offset, load) -- load > 90 means WARNING
+        (0, 10.0), (50, 95.0), (59, 96.0), (61, 97.0), (70, 10.0),   # outage crossing the hour edge
+        (130, 95.0), (200, 10.0),                                     # second outage
+        (300, 99.0),                                                  # still active at the end
+    ]
+    base = dt.datetime(2024, 1, 1, 0, 0, 0)
+    df = spark.createDataFrame([(north, base + dt.timedelta(minutes=m), 132.0, l, 50.0) for m, l in pts],
+                               T.READING_SCHEMA)
+    ev = T.evaluate_readings(df, T.node_dim(spark))
+    got = sorted((r.event_id, r.start_time, r.end_time, r.is_active, tuple(r.affected_areas))
+                 for r in T.outages(ev, T.node_dim(spark)).collect())
+    m = lambda x: base + dt.timedelta(minutes=x)
+    assert got == [
+        (f"{north}-1", m(50), m(70), False, ("north",)),
+        (f"{north}-2", m(130), m(200), False, ("north",)),
+        (f"{north}-3", m(300), None, True, ("north",)),
+    ]
