@@ -475,13 +475,10 @@ def raw_loyalty(spark, sf_dir) -> DataFrame:
 # ---------------------------------------------------------------- sessions / cart / campaigns
 def sessionized_events(spark, sf_dir) -> DataFrame:
     """events + session id: per user, ordered by (ts, event_id), a gap of
-    more than 30 minutes starts a new session."""
+    more than 30 minutes starts a new session (two-level, skew-safe)."""
+    from strata.operators.sequence import gap_sessions
     e = table(spark, sf_dir, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    prev = F.lag("ts").over(w)
-    e = e.withColumn("_new", F.when(prev.isNull() | (F.col("ts") > prev + F.expr("INTERVAL 30 MINUTES")), 1)
-                     .otherwise(0))
-    e = e.withColumn("_seq", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    e = gap_sessions(e, "user_id", "ts", ["event_id"], F.expr("INTERVAL 30 MINUTES"), "_seq")
     return e.withColumn("session_id", F.concat(F.lit("U"), F.col("user_id").cast("string"), F.lit("-"),
                                                F.col("_seq").cast("string")))
 

@@ -178,22 +178,6 @@ def alert_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint
 
 
 # ---------------------------------------------------------------------- T12
-def _bucket_prefix(events: DataFrame, flag: str, idx: str) -> DataFrame:
-    """Number the rows with ``flag`` = 1 per node in time order: local number
-    inside the (node, hour) bucket + the count of flagged rows in the node's
-    earlier buckets (a window over the per-bucket summary only)."""
-    local = F.sum(flag).over(Window.partitionBy("node_id", "_bucket").orderBy("timestamp", "_ord")
-                             .rowsBetween(Window.unboundedPreceding, 0))
-    e = events.withColumn("_local", local)
-    per_bucket = e.groupBy("node_id", "_bucket").agg(F.sum(flag).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy("node_id").orderBy("_bucket")
-                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    per_bucket = per_bucket.select("node_id", "_bucket", before.alias("_before"))
-    return (e.join(per_bucket, ["node_id", "_bucket"]).filter(F.col(flag) == 1)
-             .withColumn(idx, (F.col("_before") + F.col("_local")).cast("bigint"))
-             .drop("_local", "_before"))
-
-
 def outages(evaluated: DataFrame, nodes: DataFrame, cause: str = "THRESHOLD_BREACH") -> DataFrame:
     """An outage is a maximal run of consecutive WARNING readings of a
     node; it starts at the first WARNING reading and ends at the first
@@ -204,24 +188,20 @@ def outages(evaluated: DataFrame, nodes: DataFrame, cause: str = "THRESHOLD_BREA
     per-bucket summaries (one row per node-hour) are ordered across a node's
     history.  Starts and recoveries are numbered the same way and paired by an
     equi-join on (node, k)."""
-    r = (evaluated.select("node_id", "timestamp", "status", "voltage_kv", "load_pct", "frequency_hz")
-         .withColumn("_bucket", F.date_trunc("hour", F.col("timestamp")))
-         .withColumn("_ord", F.struct("voltage_kv", "load_pct", "frequency_hz"))
+    from strata.operators import sequence as S
+    order = ["voltage_kv", "load_pct", "frequency_hz"]
+    r = (evaluated.select("node_id", "timestamp", "status", *order)
          .withColumn("_warn", (F.col("status") == "WARNING").cast("int")))
-    wb = Window.partitionBy("node_id", "_bucket").orderBy("timestamp", "_ord")
-    r = r.withColumn("_prev_local", F.lag("_warn").over(wb))
-    last = (r.groupBy("node_id", "_bucket")
-            .agg(F.max(F.struct("timestamp", "_ord", "_warn")).alias("_l"))
-            .select("node_id", "_bucket", F.col("_l._warn").alias("_last_warn")))
-    prev_bucket = last.select("node_id", "_bucket",
-                              F.lag("_last_warn").over(Window.partitionBy("node_id").orderBy("_bucket"))
-                              .alias("_prev_bucket_warn"))
-    r = r.join(prev_bucket, ["node_id", "_bucket"])
-    prev = F.coalesce(F.col("_prev_local"), F.col("_prev_bucket_warn"), F.lit(0))
+    r = S.prev_value(S.with_bucket(r, "timestamp", "hour"), "node_id", "timestamp", order, "_warn", "_prev")
+    prev = F.coalesce(F.col("_prev"), F.lit(0))
     r = (r.withColumn("_start", ((F.col("_warn") == 1) & (prev == 0)).cast("int"))
           .withColumn("_end", ((F.col("_warn") == 0) & (prev == 1)).cast("int")))
-    starts = _bucket_prefix(r, "_start", "_k").select("node_id", "_k", F.col("timestamp").alias("start_time"))
-    ends = _bucket_prefix(r, "_end", "_k").select("node_id", "_k", F.col("timestamp").alias("end_time"))
+    r = S.running_count(r, "node_id", "timestamp", order, "_start", "_ks")
+    r = S.running_count(r, "node_id", "timestamp", order, "_end", "_ke")
+    starts = r.filter(F.col("_start") == 1).select("node_id", F.col("_ks").alias("_k"),
+                                                   F.col("timestamp").alias("start_time"))
+    ends = r.filter(F.col("_end") == 1).select("node_id", F.col("_ke").alias("_k"),
+                                               F.col("timestamp").alias("end_time"))
     n = bounded_broadcast(nodes.select(F.col("node_id").alias("_n_id"), "region"), MAX_NODES)
     out = (starts.join(ends, ["node_id", "_k"], "left")
            .join(n, F.col("node_id") == F.col("_n_id"), "left"))
