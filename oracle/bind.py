@@ -272,8 +272,8 @@ SELECT 'PO-' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
        CAST(l_suppkey AS VARCHAR) AS supplier_id, CAST(l_partkey AS VARCHAR) AS product_id,
        MIN(CAST(l_shipdate AS DATE)) AS order_date, MIN(CAST(l_shipdate AS DATE)) + 14 AS expected_delivery,
        MIN(CAST(l_shipdate AS DATE)) + CAST(l_suppkey % 21 AS INTEGER) AS actual_delivery,
-       SUM(CAST(l_quantity AS BIGINT)) AS quantity_ordered,
-       SUM(CAST(l_quantity AS BIGINT)) - l_partkey % 3 AS quantity_received,
+       CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity_ordered,
+       CAST(SUM(CAST(l_quantity AS BIGINT)) - l_partkey % 3 AS BIGINT) AS quantity_received,
        CAST(10 + l_suppkey % 7 AS DOUBLE) AS unit_cost,
        CAST(CAST(10 + l_suppkey % 7 AS DECIMAL(18,2)) * SUM(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS total_cost,
        'RECEIVED' AS po_status

@@ -94,11 +94,11 @@ SELECT p.product_id, p.product_name, p.brand, p.category_name, p.top_category_na
        CAST(COALESCE(r.neg, 0) AS BIGINT) AS negative_reviews, i.ret_units AS units_returned,
        CASE WHEN i.units > 0 THEN CAST(i.ret_units AS DOUBLE) / CAST(i.units AS DOUBLE) * 100 END AS return_rate_pct
 FROM g_dim_products p
-LEFT JOIN (SELECT product_id, SUM(quantity) AS units, COUNT(DISTINCT order_id) AS orders_with_product,
+LEFT JOIN (SELECT product_id, CAST(SUM(quantity) AS BIGINT) AS units, COUNT(DISTINCT order_id) AS orders_with_product,
                   SUM(line_total) AS gross, SUM(discount_amount) AS disc, SUM(line_total - discount_amount) AS net,
                   SUM(unit_price) AS sp, COUNT(unit_price) AS spn, SUM(gross_profit) AS gp,
                   round(AVG(margin_pct), 6) AS avg_realized_margin_pct,
-                  SUM(CASE WHEN return_flag THEN quantity ELSE 0 END) AS ret_units
+                  CAST(SUM(CASE WHEN return_flag THEN quantity ELSE 0 END) AS BIGINT) AS ret_units
            FROM g_fact_order_items GROUP BY product_id) i ON p.product_id = i.product_id
 LEFT JOIN (SELECT product_id, COUNT(review_id) AS rc, SUM(rating) AS rs, COUNT(rating) AS rn,
                   SUM(CASE WHEN is_positive THEN 1 ELSE 0 END) AS pos, SUM(CASE WHEN is_negative THEN 1 ELSE 0 END) AS neg
@@ -143,7 +143,7 @@ SELECT *, CASE WHEN SUM(gross) OVER (PARTITION BY year_number, month_number) <>
 FROM (SELECT cat.category_id, cat.category_name, cat.parent_category_name,
              split_part(cat.category_path, ' > ', 1) AS top_category_name, cat.category_path,
              d.year_number, d.quarter_name, d.month_number, d.month_name,
-             COUNT(DISTINCT foi.order_id) AS orders, SUM(foi.quantity) AS units_sold, SUM(foi.line_total) AS gross,
+             COUNT(DISTINCT foi.order_id) AS orders, CAST(SUM(foi.quantity) AS BIGINT) AS units_sold, SUM(foi.line_total) AS gross,
              CAST(SUM(foi.discount_amount) AS DOUBLE) AS discounts,
              CAST(SUM(foi.line_total - foi.discount_amount) AS DOUBLE) AS net_revenue,
              CAST(SUM(foi.gross_profit) AS DOUBLE) AS gross_profit, round(AVG(foi.margin_pct), 6) AS avg_margin_pct,
@@ -197,7 +197,7 @@ FROM g_dim_campaigns cam
 LEFT JOIN (SELECT campaign_id, COUNT(DISTINCT order_id) AS orders_tracked, COUNT(DISTINCT customer_sk) AS ucr,
                   SUM(CASE WHEN converted THEN session_duration_sec END) AS dur,
                   COUNT(CASE WHEN converted THEN session_duration_sec END) AS durn,
-                  SUM(page_views) AS total_page_views, SUM(CAST(is_bounce AS INTEGER)) AS b, COUNT(is_bounce) AS bn
+                  CAST(SUM(page_views) AS BIGINT) AS total_page_views, SUM(CAST(is_bounce AS INTEGER)) AS b, COUNT(is_bounce) AS bn
            FROM g_fact_web_sessions GROUP BY campaign_id) s ON cam.campaign_id = s.campaign_id
 LEFT JOIN (SELECT c.campaign_id, SUM(fs.total_amount) AS rev
            FROM (SELECT DISTINCT campaign_id, order_id FROM g_fact_web_sessions WHERE converted AND order_id IS NOT NULL) c
@@ -233,8 +233,8 @@ SELECT s.supplier_id, s.supplier_name, s.country, s.region, s.supplier_rating, s
        CAST(COALESCE(po.distinct_products, 0) AS BIGINT) AS distinct_products,
        RANK() OVER (ORDER BY s.supplier_rating DESC NULLS LAST) AS rating_rank
 FROM g_dim_suppliers s
-LEFT JOIN (SELECT supplier_id, COUNT(DISTINCT po_number) AS total_po_count, SUM(quantity_ordered) AS total_units_ordered,
-                  SUM(quantity_received) AS total_units_received, SUM(total_cost) AS total_spend,
+LEFT JOIN (SELECT supplier_id, COUNT(DISTINCT po_number) AS total_po_count, CAST(SUM(quantity_ordered) AS BIGINT) AS total_units_ordered,
+                  CAST(SUM(quantity_received) AS BIGINT) AS total_units_received, SUM(total_cost) AS total_spend,
                   COUNT(DISTINCT CASE WHEN is_late_delivery THEN po_number END) AS late_deliveries,
                   SUM(datediff('day', order_date, actual_delivery)) AS lt, COUNT(datediff('day', order_date, actual_delivery)) AS ltn,
                   SUM(delivery_variance_days) AS dv, COUNT(delivery_variance_days) AS dvn,
@@ -253,7 +253,7 @@ SELECT g.cohort_month, g.activity_month,
        CAST(g.rev AS DOUBLE) AS cohort_revenue, g.cohort_orders,
        CASE WHEN g.active_customers > 0 THEN CAST(g.rev AS DOUBLE) / CAST(g.active_customers AS DOUBLE) END AS revenue_per_active_customer
 FROM (SELECT fo.cohort_month, oa.activity_month, COUNT(DISTINCT oa.customer_id) AS active_customers, SUM(oa.rev) AS rev,
-             SUM(oa.orders) AS cohort_orders
+             CAST(SUM(oa.orders) AS BIGINT) AS cohort_orders
       FROM c_first fo LEFT JOIN c_act oa ON fo.customer_id = oa.customer_id
       GROUP BY fo.cohort_month, oa.activity_month) g
 LEFT JOIN (SELECT cohort_month, COUNT(DISTINCT customer_id) AS cohort_size FROM c_first GROUP BY cohort_month) sz
@@ -295,7 +295,7 @@ SELECT g.*, CAST(COALESCE(cs.customers_served, 0) AS BIGINT) AS customers_served
        RANK() OVER (PARTITION BY g.store_id, g.year_number, g.month_number ORDER BY g.total_sales DESC NULLS LAST) AS store_sales_rank,
        LAG(g.total_sales) OVER (PARTITION BY g.employee_id ORDER BY g.year_number, g.month_number) AS prev_month_sales
 FROM (SELECT e.employee_id, e.full_name, e.job_title, e.department, e.store_id, d.year_number, d.month_number, d.month_name,
-             SUM(fes.orders_taken) AS orders_taken, round(SUM(fes.total_sales_amount), 2) AS total_sales,
+             CAST(SUM(fes.orders_taken) AS BIGINT) AS orders_taken, round(SUM(fes.total_sales_amount), 2) AS total_sales,
              round(SUM(fes.total_discounts_given), 2) AS total_discounts_given,
              round(AVG(fes.avg_transaction_value), 6) AS avg_transaction_value
       FROM g_fact_employee_sales fes JOIN g_dim_employees e ON fes.employee_sk = e.employee_sk
@@ -418,7 +418,7 @@ SELECT ccs.customer_id, c.full_name, c.customer_tier, ccs.category, CAST(ccs.spe
             + CASE WHEN datediff('day', ccs.last_purchase_in_category, {AS_OF}) <= 30 THEN 10
                    WHEN datediff('day', ccs.last_purchase_in_category, {AS_OF}) <= 90 THEN 5 ELSE 0 END) END AS affinity_score
 FROM (SELECT foi.customer_id, p.top_category_name AS category, SUM(foi.line_total) AS spend,
-             COUNT(DISTINCT foi.order_id) AS category_orders, SUM(foi.quantity) AS units_bought,
+             COUNT(DISTINCT foi.order_id) AS category_orders, CAST(SUM(foi.quantity) AS BIGINT) AS units_bought,
              MAX(foi.order_date) AS last_purchase_in_category
       FROM g_fact_order_items foi JOIN g_dim_products p ON foi.product_id = p.product_id
       GROUP BY foi.customer_id, p.top_category_name) ccs
@@ -473,10 +473,10 @@ SELECT *, CAST(points_earned AS DOUBLE) * 0.01 AS estimated_points_liability_ear
             THEN CAST(points_redeemed AS DOUBLE) / CAST(points_redeemed + points_expired AS DOUBLE) * 100 END AS redemption_rate_pct
 FROM (SELECT d.year_number, d.month_number, d.month_name, d.month_start_date, flt.transaction_type,
              COUNT(DISTINCT flt.transaction_id) AS transactions, COUNT(DISTINCT flt.customer_id) AS active_members,
-             SUM(flt.points_change) AS total_points_change,
-             SUM(CASE WHEN flt.points_change > 0 THEN flt.points_change ELSE 0 END) AS points_earned,
-             SUM(CASE WHEN flt.transaction_type = 'REDEEM' THEN abs(flt.points_change) ELSE 0 END) AS points_redeemed,
-             SUM(CASE WHEN flt.transaction_type = 'EXPIRE' THEN abs(flt.points_change) ELSE 0 END) AS points_expired,
+             CAST(SUM(flt.points_change) AS BIGINT) AS total_points_change,
+             CAST(SUM(CASE WHEN flt.points_change > 0 THEN flt.points_change ELSE 0 END) AS BIGINT) AS points_earned,
+             CAST(SUM(CASE WHEN flt.transaction_type = 'REDEEM' THEN abs(flt.points_change) ELSE 0 END) AS BIGINT) AS points_redeemed,
+             CAST(SUM(CASE WHEN flt.transaction_type = 'EXPIRE' THEN abs(flt.points_change) ELSE 0 END) AS BIGINT) AS points_expired,
              CAST(SUM(flt.points_balance_after) AS DOUBLE) / COUNT(flt.points_balance_after) AS avg_member_balance
       FROM g_fact_loyalty_transactions flt JOIN g_dim_date d ON flt.date_sk = d.date_sk
       GROUP BY d.year_number, d.month_number, d.month_name, d.month_start_date, flt.transaction_type)""")
