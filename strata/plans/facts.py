@@ -238,12 +238,12 @@ def fact_store_day(orders, dim_stores) -> DataFrame:
     columns first, the store key is attached afterwards (one row per group)."""
     g = (orders.filter(F.col("order_status") != "CANCELLED")
          .groupBy("store_id", "order_date")
-         .agg(F.count_distinct("order_id").alias("orders_count"),
+         .agg(F.count("order_id").alias("orders_count"),          # order_id is unique in silver orders
               F.count_distinct("customer_id").alias("unique_customers"),
               F.sum("total_amount").alias("_rev"), F.sum("subtotal_amount").alias("_gross"),
               F.sum("discount_amount").alias("_disc"), F.sum("tax_amount").alias("_tax"),
               F.count("total_amount").alias("_n"),
-              F.count_distinct(F.when(F.col("is_first_order"), F.col("customer_id"))).alias("new_customers"),
+              F.count(F.when(F.col("is_first_order"), F.col("customer_id"))).alias("new_customers"),
               F.sum(F.when(F.col("order_status") == "RETURNED", F.col("total_amount")).otherwise(0))
                .alias("_ret")))
     j = g.join(_stores(dim_stores), g.store_id == F.col("_st_id"), "left")
@@ -262,7 +262,7 @@ def fact_employee_day(links, orders, dim_employees, dim_stores) -> DataFrame:
                       F.col("order_date").alias("o_date"), "total_amount", "discount_amount")
     j = links.join(o, links.order_id == F.col("_o_id"), "inner")
     g = (j.groupBy("employee_id", "store_id", "o_date")
-         .agg(F.count_distinct("_o_id").alias("orders_taken"),
+         .agg(F.count("_o_id").alias("orders_taken"),                # links are one row per order
               F.count_distinct("customer_id").alias("customers_served"),
               F.sum("total_amount").alias("_sales"), F.count("total_amount").alias("_n"),
               F.sum("discount_amount").alias("_disc")))
