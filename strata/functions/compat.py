@@ -28,10 +28,15 @@ def lit_date(d) -> Column:
 
 
 def lit_ts(ts) -> Column:
-    """A TIMESTAMP_NTZ literal (wall-clock, no zone)."""
+    """A TIMESTAMP_NTZ literal (wall-clock, no zone).  Built from text so that
+    neither the Python process zone nor the session zone shifts it."""
+    if isinstance(ts, Column):
+        return ts
     if isinstance(ts, str):
         ts = _dt.datetime.fromisoformat(ts)
-    return F.lit(ts).cast("timestamp_ntz")
+    if isinstance(ts, _dt.datetime) and ts.tzinfo is not None:
+        ts = ts.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def date_key(d) -> Column:
@@ -68,8 +73,11 @@ def month_diff(start, end) -> Column:
 
 
 def second_diff(start, end) -> Column:
+    """DATEDIFF('second', a, b): second boundaries crossed.  Computed on
+    second-truncated wall-clock values, so no session time zone (or DST
+    change) enters the result."""
     s, e = col_or_name(start), col_or_name(end)
-    return (F.unix_timestamp(e.cast("timestamp")) - F.unix_timestamp(s.cast("timestamp"))).cast("bigint")
+    return F.timestamp_diff("SECOND", F.date_trunc("second", s), F.date_trunc("second", e)).cast("bigint")
 
 
 def money(c) -> Column:

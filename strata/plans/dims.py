@@ -35,14 +35,14 @@ def dim_date(spark: SparkSession, start: dt.date = DATE_START, end: dt.date = DA
         ((F.year(fd) * 10000 + m * 100 + F.dayofmonth(fd))).cast("bigint").alias("date_sk"),
         fd,
         dow.cast("bigint").alias("day_of_week"),
-        F.date_format(fd, "EEE").alias("day_name"),
+        F.dayname(fd).alias("day_name"),
         F.dayofmonth(fd).cast("bigint").alias("day_of_month"),
         F.dayofyear(fd).cast("bigint").alias("day_of_year"),
         F.weekofyear(fd).cast("bigint").alias("week_of_year"),
         F.weekofyear(fd).cast("bigint").alias("iso_week_number"),
         m.cast("bigint").alias("month_number"),
-        F.date_format(fd, "MMM").alias("month_name"),
-        F.left(F.date_format(fd, "MMM"), F.lit(3)).alias("month_name_short"),
+        F.monthname(fd).alias("month_name"),
+        F.left(F.monthname(fd), F.lit(3)).alias("month_name_short"),
         F.quarter(fd).cast("bigint").alias("quarter_number"),
         F.concat(F.lit("Q"), F.quarter(fd).cast("string")).alias("quarter_name"),
         F.year(fd).cast("bigint").alias("year_number"),

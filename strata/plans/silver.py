@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.compat import lit_date, money, money4
+from strata.functions.compat import lit_date, lit_ts, money, money4
 from strata.operators.keys import assign_keys, global_ntile
 from strata.operators.load import (
     insert_if_absent, max_key, latest_per_key, replace_partition, require_keys, scd1_upsert, scd2_upsert,
@@ -157,9 +157,9 @@ def s03_order_items(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFra
         new = src.join(target.select("order_id", "item_id"), ["order_id", "item_id"], "left_anti")
         new = assign_keys(new, [F.col("order_id"), F.col("item_id")], "order_item_sk",
                           start=max_key(target, "order_item_sk"))
-        return target.unionByName(new.withColumn("dw_created_at", F.lit(run_ts).cast("timestamp_ntz")))
+        return target.unionByName(new.withColumn("dw_created_at", lit_ts(run_ts)))
     keyed = assign_keys(src, [F.col("order_id"), F.col("item_id")], "order_item_sk")
-    return keyed.withColumn("dw_created_at", F.lit(run_ts).cast("timestamp_ntz"))
+    return keyed.withColumn("dw_created_at", lit_ts(run_ts))
 
 
 # ------------------------------------------------------------------ S04 products
@@ -242,8 +242,8 @@ def s07_inventory(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame
     if target is not None:
         new = src.join(target.select(*keys), keys, "left_anti")
         new = assign_keys(new, order, "inventory_sk", start=max_key(target, "inventory_sk"))
-        return target.unionByName(new.withColumn("dw_created_at", F.lit(run_ts).cast("timestamp_ntz")))
-    return assign_keys(src, order, "inventory_sk").withColumn("dw_created_at", F.lit(run_ts).cast("timestamp_ntz"))
+        return target.unionByName(new.withColumn("dw_created_at", lit_ts(run_ts)))
+    return assign_keys(src, order, "inventory_sk").withColumn("dw_created_at", lit_ts(run_ts))
 
 
 def purchase_orders(raw_inventory: DataFrame) -> DataFrame:
@@ -323,7 +323,7 @@ def s10_reviews(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
 
 def _append_new(target, src, keys, sk, run_ts) -> DataFrame:
     """SV4 with dense keys for the inserted rows."""
-    ts = F.lit(run_ts).cast("timestamp_ntz")
+    ts = lit_ts(run_ts)
     order = [F.col(k) for k in keys]
     if target is None:
         return assign_keys(src, order, sk).withColumn("dw_created_at", ts)

@@ -36,6 +36,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata.functions.compat import lit_ts, second_diff
 from strata.sources.raw import SOURCES, lift_keys
 
 # Fixed values of the binding.
@@ -58,7 +59,7 @@ def _raw(fields: DataFrame, source: str, run_ts, batch_id: str | None, load_ts=N
         F.to_variant_object(F.struct(*cols)).alias("payload"),
         F.lit(f"testdata/{source}").alias("file_name"),
         F.lit(None).cast("bigint").alias("file_row_number"),
-        (F.col("_load_ts") if load_ts == "column" else F.lit(run_ts).cast("timestamp_ntz")).alias("load_timestamp"),
+        (F.col("_load_ts") if load_ts == "column" else lit_ts(run_ts)).alias("load_timestamp"),
         F.lit(None if src.streaming else batch_id).cast("string").alias("batch_id"),
     )
     out = lift_keys(out, src.keys)
@@ -66,12 +67,17 @@ def _raw(fields: DataFrame, source: str, run_ts, batch_id: str | None, load_ts=N
 
 
 def _ds(c) -> F.Column:
-    """date -> 'yyyy-MM-dd' text, as a JSON feed carries it."""
-    return F.date_format(c, "yyyy-MM-dd")
+    """date -> 'yyyy-MM-dd' text, as a JSON feed carries it.  Plain casts are
+    zone-free (``date_format`` would pass wall-clock values through the
+    session time zone and shift times inside a DST gap)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return c.cast("date").cast("string")
 
 
 def _ts(c) -> F.Column:
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    """wall-clock timestamp -> 'yyyy-MM-dd HH:mm:ss[.ffffff]' text (zone-free)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return c.cast("timestamp_ntz").cast("string")
 
 
 # ---------------------------------------------------------------- customers
@@ -501,8 +507,7 @@ def raw_web_sessions(spark, sf_dir) -> DataFrame:
         F.when((u % 6 == 1) | (u % 6 == 2), F.concat(F.lit("CMP"), (u % 10).cast("string"))).alias("campaign_id"),
         _ts(F.col("_start")).alias("session_start"),
         _ts(F.col("_end")).alias("session_end"),
-        (F.unix_timestamp(F.col("_end").cast("timestamp")) - F.unix_timestamp(F.col("_start").cast("timestamp")))
-         .cast("bigint").alias("duration_sec"),
+        second_diff("_start", "_end").alias("duration_sec"),
         F.when(F.col("_views") > 0, F.col("_views")).cast("bigint").alias("page_views"),
         (F.col("_n") == 1).alias("is_bounce"),
         (F.col("_purch") == 1).alias("converted"),

@@ -100,6 +100,11 @@ def with_nominals(readings: DataFrame, nodes: DataFrame) -> DataFrame:
              .withColumn("nominal_frequency_hz", F.coalesce("nominal_frequency_hz", F.lit(DEFAULT_NOMINAL_HZ))))
 
 
+def iso_ntz(c: str) -> Column:
+    """ISO-8601 text of a wall-clock timestamp ('T' separator), zone-free."""
+    return F.regexp_replace(F.col(c).cast("timestamp_ntz").cast("string"), " ", "T")
+
+
 def _gt(x: Column, t: float) -> Column:
     """Strict ``x > t`` that is false for NaN (Python semantics, D22)."""
     return ~F.isnan(x) & (x > F.lit(t))
@@ -135,7 +140,7 @@ def alerts(evaluated: DataFrame) -> DataFrame:
     a = severity(evaluated.filter(F.size("issues") > 0))
     a = a.select("node_id", "timestamp", "severity", "issues", "voltage_kv", "load_pct", "frequency_hz")
     return a.withColumn("payload", F.to_json(F.struct(
-        "node_id", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"), "severity",
+        "node_id", iso_ntz("timestamp").alias("timestamp"), "severity",
         "issues", "voltage_kv", "load_pct", "frequency_hz")))
 
 
@@ -145,7 +150,7 @@ def alert_text(a: DataFrame) -> DataFrame:
         "\n",
         F.concat(F.lit("Grid Alert — Severity: "), F.col("severity")),
         F.concat(F.lit("Node     : "), F.col("node_id")),
-        F.concat(F.lit("Timestamp: "), F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
+        F.concat(F.lit("Timestamp: "), iso_ntz("timestamp")),
         F.format_string("Voltage  : %.2f kV", F.col("voltage_kv")),
         F.format_string("Load     : %.1f%%", F.col("load_pct")),
         F.format_string("Frequency: %.3f Hz", F.col("frequency_hz")),
