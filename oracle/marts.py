@@ -291,13 +291,13 @@ FROM (SELECT rfm.*, pref.channel_preference,
 
 cte("m_employee_performance", """
 SELECT g.*, CAST(COALESCE(cs.customers_served, 0) AS BIGINT) AS customers_served,
+       CASE WHEN g.orders_taken > 0 THEN g.total_sales / g.orders_taken END AS avg_transaction_value,
        CASE WHEN g.total_sales <> 0 THEN g.total_discounts_given / g.total_sales * 100 END AS discount_rate_pct,
        RANK() OVER (PARTITION BY g.store_id, g.year_number, g.month_number ORDER BY g.total_sales DESC NULLS LAST) AS store_sales_rank,
        LAG(g.total_sales) OVER (PARTITION BY g.employee_id ORDER BY g.year_number, g.month_number) AS prev_month_sales
 FROM (SELECT e.employee_id, e.full_name, e.job_title, e.department, e.store_id, d.year_number, d.month_number, d.month_name,
              CAST(SUM(fes.orders_taken) AS BIGINT) AS orders_taken, round(SUM(fes.total_sales_amount), 2) AS total_sales,
-             round(SUM(fes.total_discounts_given), 2) AS total_discounts_given,
-             round(AVG(fes.avg_transaction_value), 6) AS avg_transaction_value
+             round(SUM(fes.total_discounts_given), 2) AS total_discounts_given
       FROM g_fact_employee_sales fes JOIN g_dim_employees e ON fes.employee_sk = e.employee_sk
       JOIN g_dim_date d ON fes.date_sk = d.date_sk
       GROUP BY e.employee_id, e.full_name, e.job_title, e.department, e.store_id, d.year_number, d.month_number, d.month_name) g
@@ -513,28 +513,29 @@ SELECT node_id, timestamp, CASE WHEN load_pct >= 98.0 OR n_issues >= 3 THEN 'CRI
 FROM t_eval WHERE n_issues > 0""")
 
 cte("rr_lines", """
-SELECT foi.order_id, foi.line_total, p.category_name, p.top_category_name, p.brand, d.year_number, d.quarter_name,
-       d.month_name
+SELECT foi.order_id, foi.line_total, CAST(foi.line_total * 10000 AS BIGINT) AS line_u, p.category_name,
+       p.top_category_name, p.brand, d.year_number, d.quarter_name, d.month_name
 FROM g_fact_order_items foi JOIN g_dim_products p ON foi.product_id = p.product_id
 JOIN g_dim_date d ON foi.date_sk = d.date_sk""")
 
 cte("m_return_rate_analysis", """
 SELECT n.year_number, n.quarter_name, n.month_name, n.category_name, n.top_category_name, n.brand, n.return_reason,
-       n.total_returns, den.total_orders_in_period, n.refund AS total_refund_amount,
+       n.total_returns, den.total_orders_in_period, CAST(n.refund / 100 AS DECIMAL(20,2)) AS total_refund_amount,
        CASE WHEN den.total_orders_in_period <> 0 THEN CAST(n.total_returns AS DOUBLE) / CAST(den.total_orders_in_period AS DOUBLE) * 100 END AS order_return_rate_pct,
-       CASE WHEN den.slice_rev <> 0 THEN n.refund / CAST(den.slice_rev AS DOUBLE) * 100 END AS revenue_return_rate_pct,
-       CAST(n.ds AS DOUBLE) / n.dn AS avg_days_to_return, n.refunded_to_card, n.refunded_as_credit
+       CASE WHEN den.slice_rev <> 0 THEN CAST(n.refund AS DOUBLE) / (CAST(den.slice_rev AS DOUBLE) * 100) * 100 END AS revenue_return_rate_pct,
+       CAST(n.ds AS DOUBLE) / n.dn AS avg_days_to_return,
+       CAST(n.card / 100 AS DECIMAL(20,2)) AS refunded_to_card, CAST(n.credit / 100 AS DECIMAL(20,2)) AS refunded_as_credit
 FROM (SELECT year_number, quarter_name, month_name, category_name, top_category_name, brand, return_reason,
-             COUNT(DISTINCT return_id) AS total_returns, round(SUM(a), 6) AS refund, SUM(days) AS ds, COUNT(days) AS dn,
-             round(SUM(CASE WHEN m = 'ORIGINAL_PAYMENT' THEN a ELSE 0.0 END), 6) AS refunded_to_card,
-             round(SUM(CASE WHEN m = 'STORE_CREDIT' THEN a ELSE 0.0 END), 6) AS refunded_as_credit
+             COUNT(DISTINCT return_id) AS total_returns, CAST(SUM(a) AS DECIMAL(38,0)) AS refund, SUM(days) AS ds, COUNT(days) AS dn,
+             CAST(SUM(CASE WHEN m = 'ORIGINAL_PAYMENT' THEN a ELSE 0 END) AS DECIMAL(38,0)) AS card,
+             CAST(SUM(CASE WHEN m = 'STORE_CREDIT' THEN a ELSE 0 END) AS DECIMAL(38,0)) AS credit
       FROM (SELECT l.year_number, l.quarter_name, l.month_name, l.category_name, l.top_category_name, l.brand,
                    r.return_reason, r.return_id,
-                   SUM(CASE WHEN t.order_total <> 0 THEN CAST(r.refund_amount AS DOUBLE) * CAST(l.line_total AS DOUBLE)
-                            / CAST(t.order_total AS DOUBLE) END) AS a,
+                   SUM(CASE WHEN t.order_total <> 0 THEN (2 * CAST(r.refund_amount * 100 AS BIGINT) * l.line_u + t.order_total)
+                            // (2 * t.order_total) END) AS a,
                    MAX(r.days_to_return) AS days, MAX(r.refund_method) AS m
             FROM g_fact_returns r JOIN rr_lines l ON r.order_id = l.order_id
-            JOIN (SELECT order_id, SUM(line_total) AS order_total FROM rr_lines GROUP BY order_id) t ON r.order_id = t.order_id
+            JOIN (SELECT order_id, SUM(line_u) AS order_total FROM rr_lines GROUP BY order_id) t ON r.order_id = t.order_id
             GROUP BY 1, 2, 3, 4, 5, 6, 7, 8)
       GROUP BY 1, 2, 3, 4, 5, 6, 7) n
 JOIN (SELECT year_number, quarter_name, month_name, category_name, top_category_name, brand,

@@ -427,14 +427,16 @@ def cohorts(orders: DataFrame) -> DataFrame:
 def employee_monthly(fes: DataFrame, links: DataFrame, orders: DataFrame, dim_employees: DataFrame,
                      dim_date: DataFrame) -> DataFrame:
     """Employee x month.  D17: customers served is a distinct count over
-    the month (from the order links), not a sum of daily distinct counts."""
+    the month (from the order links), not a sum of daily distinct counts, and
+    the average transaction value is month sales / month orders (an average
+    of daily averages would weight a one-order day like a fifty-order day)."""
     e = dim_employees.select("employee_sk", "employee_id", "full_name", "job_title", "department", "store_id")
     d = _dates(dim_date, "year_number", "month_number", "month_name")
     keys = ["employee_id", "full_name", "job_title", "department", "store_id", "year_number", "month_number",
             "month_name"]
     g = (fes.drop("employee_id", "store_id").join(e, "employee_sk").join(d, "date_sk").groupBy(*keys)
          .agg(F.sum("orders_taken").alias("orders_taken"), F.round(F.sum("total_sales_amount"), 2).alias("_sales"),
-              F.round(F.sum("total_discounts_given"), 2).alias("_disc"), _ravg("avg_transaction_value").alias("avg_transaction_value")))
+              F.round(F.sum("total_discounts_given"), 2).alias("_disc")))
     o = orders.select(F.col("order_id").alias("_o_id"), "customer_id", F.col("order_date").alias("_o_date"))
     served = (links.join(o, links.order_id == F.col("_o_id"))
               .groupBy(F.col("employee_id").alias("_c_emp"), F.year("_o_date").alias("_c_y"),
@@ -445,7 +447,7 @@ def employee_monthly(fes: DataFrame, links: DataFrame, orders: DataFrame, dim_em
     return g.select(
         *keys, "orders_taken", F.coalesce("customers_served", F.lit(0)).cast("bigint").alias("customers_served"),
         F.col("_sales").alias("total_sales"), F.col("_disc").alias("total_discounts_given"),
-        "avg_transaction_value",
+        F.when(F.col("orders_taken") > 0, F.col("_sales") / F.col("orders_taken")).alias("avg_transaction_value"),
         F.when(F.col("_sales") != 0, F.col("_disc") / F.col("_sales") * 100).alias("discount_rate_pct"),
         F.rank().over(Window.partitionBy("store_id", "year_number", "month_number")
                       .orderBy(F.col("_sales").desc_nulls_last())).cast("bigint").alias("store_sales_rank"),
@@ -704,40 +706,43 @@ def return_rates(fr: DataFrame, foi: DataFrame, dim_products: DataFrame, dim_dat
     """M35 (D24, D9): numerators are returns broken down by reason, with each
     return's refund allocated to its order's lines by line-total share;
     denominators come from *all* orders/lines of the same month x category x
-    brand slice.  Allocated sums are rounded to 6 places."""
+    brand slice.  Allocations are whole cents, rounded half up with integer
+    arithmetic (``(2*refund*line + total) div (2*total)``), so every sum is
+    exact."""
     p = dim_products.select(F.col("product_id").alias("_p_id"), "category_name", "top_category_name", "brand")
     d = _dates(dim_date, "year_number", "quarter_name", "month_name")
     slice_keys = ["year_number", "quarter_name", "month_name", "category_name", "top_category_name", "brand"]
     lines = (foi.select("order_id", "product_id", "line_total", "date_sk")
-             .join(p, F.col("product_id") == F.col("_p_id"), "inner").join(d, "date_sk"))
+             .join(p, F.col("product_id") == F.col("_p_id"), "inner").join(d, "date_sk")
+             .withColumn("_line", (F.col("line_total") * 10000).cast("bigint")))
     den = lines.groupBy(*slice_keys).agg(F.count_distinct("order_id").alias("total_orders_in_period"),
                                          F.sum("line_total").alias("_slice_rev"))
-    order_tot = lines.groupBy(F.col("order_id").alias("_t_oid")).agg(F.sum("line_total").alias("_order_total"))
-    r = fr.select(F.col("order_id").alias("_r_oid"), "return_id", "return_reason", "refund_amount", "refund_method",
+    order_tot = lines.groupBy(F.col("order_id").alias("_t_oid")).agg(F.sum("_line").alias("_order_total"))
+    r = fr.select(F.col("order_id").alias("_r_oid"), "return_id", "return_reason",
+                  (F.col("refund_amount") * 100).cast("bigint").alias("_refund_cents"), "refund_method",
                   "days_to_return")
     alloc = (r.join(lines, F.col("_r_oid") == lines.order_id, "inner")
              .join(order_tot, F.col("_r_oid") == F.col("_t_oid"), "inner")
-             .withColumn("_alloc", F.when(F.col("_order_total") != 0,
-                                          _d("refund_amount") * _d("line_total") / _d("_order_total"))))
+             .withColumn("_alloc", F.when(F.col("_order_total") != 0, F.expr(
+                 "(2 * _refund_cents * _line + _order_total) div (2 * _order_total)"))))
     per_return = (alloc.groupBy(*slice_keys, "return_reason", "return_id")
                   .agg(F.sum("_alloc").alias("_a"), F.max("days_to_return").alias("_days"),
                        F.max("refund_method").alias("_m")))
     num = (per_return.groupBy(*slice_keys, "return_reason")
-           .agg(F.count_distinct("return_id").alias("total_returns"), F.round(F.sum("_a"), 6).alias("_refund"),
+           .agg(F.count_distinct("return_id").alias("total_returns"), F.sum("_a").alias("_refund"),
                 F.sum("_days").alias("_ds"), F.count("_days").alias("_dn"),
-                F.round(F.sum(F.when(F.col("_m") == "ORIGINAL_PAYMENT", F.col("_a")).otherwise(0.0)), 6)
-                .alias("refunded_to_card"),
-                F.round(F.sum(F.when(F.col("_m") == "STORE_CREDIT", F.col("_a")).otherwise(0.0)), 6)
-                .alias("refunded_as_credit")))
+                F.sum(F.when(F.col("_m") == "ORIGINAL_PAYMENT", F.col("_a")).otherwise(0)).alias("_card"),
+                F.sum(F.when(F.col("_m") == "STORE_CREDIT", F.col("_a")).otherwise(0)).alias("_credit")))
     j = num.join(den, slice_keys, "inner")
+    cents = lambda c: (F.col(c).cast("decimal(38,0)") / 100).cast("decimal(20,2)")
     return j.select(
         *slice_keys, "return_reason", "total_returns", "total_orders_in_period",
-        F.col("_refund").alias("total_refund_amount"),
+        cents("_refund").alias("total_refund_amount"),
         F.when(F.col("total_orders_in_period") != 0, _d("total_returns") / _d("total_orders_in_period") * 100)
          .alias("order_return_rate_pct"),
-        F.when(F.col("_slice_rev") != 0, F.col("_refund") / _d("_slice_rev") * 100).alias("revenue_return_rate_pct"),
+        F.when(F.col("_slice_rev") != 0, _d("_refund") / (_d("_slice_rev") * 100) * 100).alias("revenue_return_rate_pct"),
         (_d("_ds") / F.col("_dn")).alias("avg_days_to_return"),
-        "refunded_to_card", "refunded_as_credit")
+        cents("_card").alias("refunded_to_card"), cents("_credit").alias("refunded_as_credit"))
 
 
 # ------------------------------------------------------------------ M50
