@@ -16,3 +16,12 @@ def test_queries_match_oracle():
     out = subprocess.run([sys.executable, os.path.join(ROOT, "tools", "compare.py"), SF, *QUERIES],
                          capture_output=True, text=True, timeout=900)
     assert f"{len(QUERIES)}/{len(QUERIES)} match" in out.stdout, out.stdout[-3000:]
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
+def test_results_do_not_depend_on_time_zones():
+    env = dict(os.environ, TZ="Asia/Tokyo", STRATA_SESSION_TZ="America/Los_Angeles")
+    names = ["silver_orders", "silver_payments", "silver_web_sessions", "fact_cart_abandonment", "grid_outages"]
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "tools", "compare.py"), SF, *names],
+                         capture_output=True, text=True, timeout=900, env=env)
+    assert f"{len(names)}/{len(names)} match" in out.stdout, out.stdout[-3000:]
