@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans import dims, facts, silver
+from strata.session import materialize
 from strata.sources import feeds
 
 
@@ -96,10 +97,12 @@ class Warehouse:
     # ------------------------------------------------------------ gold dims
     @cached_property
     def dim_date(self): return dims.dim_date(self.spark, start=dims.WAREHOUSE_DATE_START)
+    # Dimensions and facts read by several marts are published once (as the
+    # warehouse's CTAS tables are) and read back as parquet by every consumer.
     @cached_property
-    def dim_customers(self): return dims.dim_customers(self.customers, self.as_of)
+    def dim_customers(self): return materialize(dims.dim_customers(self.customers, self.as_of))
     @cached_property
-    def dim_products(self): return dims.dim_products(self.product_catalog)
+    def dim_products(self): return materialize(dims.dim_products(self.product_catalog))
     @cached_property
     def dim_stores(self): return dims.dim_stores(self.stores, self.as_of)
     @cached_property
@@ -118,7 +121,7 @@ class Warehouse:
     # ------------------------------------------------------------ gold facts
     @cached_property
     def fact_sales(self):
-        return facts.fact_sales(self.orders, self.dim_customers, self.dim_stores, self.dim_promotions)
+        return materialize(facts.fact_sales(self.orders, self.dim_customers, self.dim_stores, self.dim_promotions))
     @cached_property
     def fact_returns(self): return facts.fact_returns(self.returns, self.orders, self.dim_customers)
     @cached_property
@@ -134,8 +137,8 @@ class Warehouse:
         return facts.fact_loyalty(self.loyalty_points, self.orders, self.dim_customers)
     @cached_property
     def fact_order_items(self):
-        return facts.fact_order_items(self.order_items, self.orders, self.dim_customers, self.dim_products,
-                                      self.dim_stores, self.dim_promotions)
+        return materialize(facts.fact_order_items(self.order_items, self.orders, self.dim_customers,
+                                                  self.dim_products, self.dim_stores, self.dim_promotions))
     @cached_property
     def fact_shipments(self): return facts.fact_shipments(self.shipments, self.orders, self.dim_customers)
     @cached_property
