@@ -119,3 +119,27 @@ def test_churn_score_and_segment(spark):
     assert got["d"] == (35, "HIGH_RISK", 10.0)
     assert got["e"] == (35 + 15 + 10, "HIGH_RISK", 10.0)
     assert got["f"] == (90, "CHURNED", None)                    # 50 + 25 + 15, capped at 100
+
+
+def test_inventory_status(spark):
+    snap = AS_OF
+    # product, on hand, available, reorder point
+    inv = [("p0", 10, 0, 5), ("p1", 10, -2, 5), ("p2", 20, 5, 5), ("p3", 400, 181, 5), ("p4", 400, 180, 5),
+           ("p5", 60, 10, 5), ("p6", 40, 30, 5), ("p7", 60, 30, 5)]
+    fi = spark.createDataFrame([(p, "L", "WAREHOUSE", oh, 0, av, rp, 100, snap, Decimal("1"), av == 0, av <= rp)
+                                for p, oh, av, rp in inv],
+                               "product_id string, location_id string, location_type string, quantity_on_hand long, "
+                               "quantity_reserved long, quantity_available long, reorder_point long, "
+                               "reorder_quantity long, snapshot_date date, inventory_value decimal(18,4), "
+                               "is_out_of_stock boolean, is_below_reorder boolean")
+    # daily velocity = units / days since first sale in the 90-day window
+    # p5: 1 unit in 11 days -> 0.09/day, cover 110 days -> slow mover; p7: no sales (NULL velocity)
+    sales = [("p3", 10, 10), ("p4", 10, 10), ("p5", 1, 11), ("p6", 10, 10)]
+    foi = spark.createDataFrame([(p, q, _days_ago(d)) for p, q, d in sales],
+                                "product_id string, quantity long, order_date date")
+    dp = spark.createDataFrame([(p, p, "b", "c", "s") for p, *_ in inv],
+                               "product_id string, product_name string, brand string, category_name string, "
+                               "supplier_name string")
+    got = {r.product_id: r.inventory_status for r in marts.inventory_health(fi, foi, dp, AS_OF).collect()}
+    assert got == {"p0": "STOCKOUT", "p1": "LOW_STOCK", "p2": "LOW_STOCK", "p3": "OVERSTOCK", "p4": "HEALTHY",
+                   "p5": "SLOW_MOVER", "p6": "HEALTHY", "p7": "HEALTHY"}
