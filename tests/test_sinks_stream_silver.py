@@ -63,3 +63,17 @@ def test_dedup_within_watermark(spark):
     q = out.writeStream.format("memory").queryName("dedup_test").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r.session_id for r in spark.sql("SELECT * FROM dedup_test").collect()) == ["s1", "s2"]
+
+
+def test_build_publishes_tables(spark):
+    from strata.build import publish_tables
+    from strata.plans.warehouse import Warehouse
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        return
+    out = tempfile.mkdtemp(prefix="strata-build-")
+    wh = Warehouse(spark, sf)
+    publish_tables(wh, out, ["dim_stores", "daily_sales_summary"])
+    for name in ["dim_stores", "daily_sales_summary"]:
+        t = sinks.read_current(spark, out, name)
+        assert t.count() > 0 and "dw_refreshed_at" in t.columns
