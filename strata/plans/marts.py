@@ -296,9 +296,7 @@ def top_products(pp: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ M34
 def campaign_effectiveness(dim_campaigns: DataFrame, fws: DataFrame, fs: DataFrame) -> DataFrame:
     """Session metrics per campaign; tracked revenue counts each
-    converted order once per campaign (D9); bounce rate in percent (D17).
-    The ROAS rank runs over campaigns (a planning dimension: thousands of
-    rows), so a plain window is used."""
+    converted order once per campaign (D9); bounce rate in percent (D17)."""
     sess = (fws.groupBy(F.col("campaign_id").alias("_s_cam"))
             .agg(F.count_distinct("order_id").alias("orders_tracked"),
                  F.count_distinct("customer_sk").alias("unique_customers_reached"),
@@ -314,7 +312,7 @@ def campaign_effectiveness(dim_campaigns: DataFrame, fws: DataFrame, fs: DataFra
          .join(rev, dim_campaigns.campaign_id == F.col("_c_cam"), "left"))
     spend = _d("spend_amount")
     roas = F.when(spend > 0, _d("revenue_attributed") / spend)
-    return j.select(
+    out = j.select(
         "campaign_id", "campaign_name", "campaign_type", "channel", "start_date", "end_date",
         "campaign_duration_days", "budget_amount", "spend_amount", "impressions", "clicks", "conversions",
         "revenue_attributed", "ctr_pct", "conversion_rate_pct", "cost_per_conversion", "roas_pct",
@@ -326,8 +324,9 @@ def campaign_effectiveness(dim_campaigns: DataFrame, fws: DataFrame, fs: DataFra
         F.when(F.col("_bn") > 0, _d("_b") / F.col("_bn") * 100).alias("bounce_rate_pct"),
         roas.alias("roas_ratio"),
         F.when(spend > 0, (_d("revenue_attributed") - spend) / spend * 100).alias("roi_pct"),
-        F.rank().over(Window.orderBy(F.coalesce(roas, F.lit(0.0)).desc())).cast("bigint").alias("roas_rank"),
+        F.coalesce(roas, F.lit(0.0)).alias("_roas0"),
     )
+    return global_rank(out, [("_roas0", "desc")], "roas_rank", unique_key="campaign_id").drop("_roas0")
 
 
 # ------------------------------------------------------------------ M36
@@ -535,8 +534,7 @@ def channel_attribution(fs: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ M44
 def promotion_roi(dim_promotions: DataFrame, fpu: DataFrame) -> DataFrame:
-    """Usage and ROI per promotion (promotions: a small planning
-    dimension, ranked with a plain window)."""
+    """Usage and ROI per promotion, ranked by ROI (NULLs last)."""
     u = (fpu.groupBy(F.col("promotion_id").alias("_u_pid"))
          .agg(F.count("order_id").alias("_times_used"),
               F.count_distinct("customer_id").alias("unique_customers_using"),
@@ -546,7 +544,7 @@ def promotion_roi(dim_promotions: DataFrame, fpu: DataFrame) -> DataFrame:
               _ravg("effective_discount_pct").alias("avg_effective_discount_pct")))
     j = dim_promotions.join(u, dim_promotions.promotion_id == F.col("_u_pid"), "left")
     roi = F.when(F.col("_disc") != 0, (_d("_tot") - _d("_disc")) / _d("_disc") * 100)
-    return j.select(
+    out = j.select(
         "promotion_id", "promotion_name", "promotion_type", "promo_code", "start_date", "end_date", "discount_value",
         "usage_limit", F.coalesce("_times_used", F.lit(0)).cast("bigint").alias("times_used"),
         F.coalesce("unique_customers_using", F.lit(0)).cast("bigint").alias("unique_customers_using"),
@@ -555,8 +553,8 @@ def promotion_roi(dim_promotions: DataFrame, fpu: DataFrame) -> DataFrame:
         _d("_tot").alias("net_revenue_after_discount"), "avg_effective_discount_pct",
         (_d("_basket") / F.col("_bn")).alias("avg_basket_size"),
         F.when(F.col("_disc") != 0, _d("_tot") / _d("_disc")).alias("revenue_per_discount_dollar"),
-        roi.alias("promotion_roi_pct"),
-        F.rank().over(Window.orderBy(roi.desc_nulls_last())).cast("bigint").alias("roi_rank"))
+        roi.alias("promotion_roi_pct"))
+    return global_rank(out, [("promotion_roi_pct", "desc")], "roi_rank", unique_key="promotion_id")
 
 
 # ------------------------------------------------------------------ M45

@@ -17,7 +17,8 @@ def test_entity_marts_have_no_single_partition_exchange(spark):
     from strata.plans.warehouse import Warehouse
     wh = Warehouse(spark, SF)
     for name in ["product_performance", "top_customers", "supplier_performance", "customer_lifetime_value",
-                 "customer_churn_indicators", "product_affinity"]:
+                 "customer_churn_indicators", "product_affinity", "campaign_effectiveness", "promotion_roi",
+                 "top_products", "net_promoter_score", "return_rate_analysis", "grid_outages"]:
         plan = _plan(catalog.build(wh, name))
         assert "SinglePartition" not in plan, name
 
