@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.compat import lit_date, lit_ts, money, money4
 from strata.operators.keys import assign_keys, global_ntile
+from strata.sources.raw import JSON_NULL_TOKENS
 from strata.operators.load import (
     insert_if_absent, max_key, latest_per_key, replace_partition, require_keys, scd1_upsert, scd2_upsert,
 )
@@ -19,8 +20,10 @@ from strata.operators.load import (
 
 # ------------------------------------------------------------------ extraction
 def vs(path: str) -> Column:
-    """PAYLOAD:path::VARCHAR (soft)."""
-    return F.try_variant_get("payload", f"$.{path}", "string")
+    """PAYLOAD:path::VARCHAR (soft); the landing format's null tokens
+    ('', 'null', 'NULL') read as SQL NULL (IN1)."""
+    v = F.try_variant_get("payload", f"$.{path}", "string")
+    return F.when(~v.isin(*JSON_NULL_TOKENS), v)
 
 
 def vnum(path: str) -> Column:

@@ -130,7 +130,8 @@ def with_batch(df: DataFrame, batch_id: str | None, run_ts) -> DataFrame:
 def lift_keys(df: DataFrame, keys: dict) -> DataFrame:
     """IN5: ``PAYLOAD:field::VARCHAR`` -> typed key columns, soft cast."""
     for name, path in keys.items():
-        df = df.withColumn(name, F.try_variant_get("payload", path, "string"))
+        v = F.try_variant_get("payload", path, "string")
+        df = df.withColumn(name, F.when(~v.isin(*JSON_NULL_TOKENS), v))
     return df
 
 

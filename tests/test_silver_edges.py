@@ -26,7 +26,7 @@ def test_orders_edge_rows(spark):
         '{"order_id": null, "status": "pending"}',                       # JSON-null key -> rejected
         '{"status": "pending"}',                                          # no key -> rejected
         '{"order_id": "2", "customer_id": "c1", "total": "abc", "order_date": "not a date", "channel": ""}',
-        '{"order_id": "3", "customer_id": "c2", "discount": "", "total": 5, "order_date": "2024-01-02"}',
+        '{"order_id": "3", "customer_id": "c2", "discount": "", "total": 5, "order_date": "2024-01-02", "promotion_id": "NULL"}',
         '{"order_id": ',                                                  # malformed -> quarantine
     ], T1, "b1")
     assert bad.count() == 1
@@ -35,8 +35,9 @@ def test_orders_edge_rows(spark):
     assert sorted(got) == ["1", "2", "3"]
     assert str(got["1"].total_amount) == "10.01"                          # NUMBER(18,2) rounds half up
     assert got["2"].total_amount is None and got["2"].order_date is None  # soft casts
-    assert got["2"].channel == ""                                         # empty string is a value, not NULL
+    assert got["2"].channel == "WEB"                                      # '' is a null token -> default
     assert str(got["3"].discount_amount) == "0.00" and got["3"].currency_code == "USD"
+    assert got["3"].promotion_id is None                                  # 'NULL' token
     assert got["1"].is_first_order and not got["2"].is_first_order      # D5: first by (timestamp, id)
     # a later load with a new status updates only the type-1 columns
     r2, _ = _land(spark, "orders", ['{"order_id": "1", "customer_id": "cX", "status": "shipped", "total": 11}'],
