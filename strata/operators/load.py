@@ -103,25 +103,25 @@ def scd1_upsert(target: DataFrame | None, source: DataFrame, keys: list[str], sk
         keyed = assign_keys(source, order, sk)
         return keyed.withColumn(created_col, ts).withColumn(updated_col, ts)
     biz = [c for c in source.columns if c not in keys]
-    t = target.alias("t")
-    s = source.withColumn("_s_present", F.lit(True)).alias("s")
-    joined = t.join(s, keys, "full_outer")
-    in_t = F.col(f"t.{sk}").isNotNull()
+    # matched / untouched target rows: target LEFT JOIN source
+    s = source.withColumn("_s_present", F.lit(True))
+    j = target.alias("t").join(s.alias("s"), keys, "left")
     in_s = F.col("s._s_present").isNotNull()
-    cols = [F.col(k) for k in keys]
-    for c in biz:
-        if c in update_cols:
+    cols = []
+    for c in target.columns:
+        if c in keys:
+            cols.append(F.col(c))
+        elif c in update_cols:
             cols.append(F.when(in_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+        elif c == updated_col:
+            cols.append(F.when(in_s, ts).otherwise(F.col(f"t.{c}")).alias(c))
         else:
-            cols.append(F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
-    cols += [F.col(f"t.{sk}").alias(sk),
-             F.when(in_t, F.col(f"t.{created_col}")).otherwise(ts).alias(created_col),
-             F.when(in_s, ts).otherwise(F.col(f"t.{updated_col}")).alias(updated_col),
-             in_t.alias("_in_t")]
-    merged = joined.select(*cols)
-    existing = merged.filter("_in_t").drop("_in_t")
-    fresh = merged.filter(~F.col("_in_t")).drop("_in_t", sk)
+            cols.append(F.col(f"t.{c}").alias(c))
+    existing = j.select(*cols)
+    # new keys: source LEFT ANTI target, keys continue after the current maximum
+    fresh = source.join(target.select(*keys), keys, "left_anti")
     fresh = assign_keys(fresh, order, sk, start=max_key(target, sk))
+    fresh = fresh.withColumn(created_col, ts).withColumn(updated_col, ts)
     return existing.unionByName(fresh.select(*existing.columns))
 
 
