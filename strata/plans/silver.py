@@ -223,7 +223,13 @@ def s06_suppliers(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame
 
 
 # ------------------------------------------------------------------ S07 inventory
+def _of_type(raw: DataFrame, record_type: str) -> DataFrame:
+    """Keep one record type of a mixed feed when the feed labels it."""
+    return raw.filter(F.col("record_type") == record_type) if "record_type" in raw.columns else raw
+
+
 def s07_inventory(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
+    raw = _of_type(raw, "inventory_snapshot")
     on_hand = F.coalesce(vnum("qty_on_hand"), F.lit(0))
     reserved = F.coalesce(vnum("qty_reserved"), F.lit(0))
     src = raw.select(
@@ -251,7 +257,7 @@ def s07_inventory(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame
 
 def purchase_orders(raw_inventory: DataFrame) -> DataFrame:
     """Purchase orders carried in the inventory feed (F23 source)."""
-    return raw_inventory.filter(vs("po_number").isNotNull()).select(
+    return _of_type(raw_inventory, "purchase_order").filter(vs("po_number").isNotNull()).select(
         vs("po_number").alias("po_number"),
         vs("supplier_id").alias("supplier_id"),
         vs("product_id").alias("product_id"),

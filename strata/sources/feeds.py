@@ -331,7 +331,14 @@ def raw_inventory(spark, sf_dir) -> DataFrame:
         (unit * F.col("_q")).cast("double").alias("total_cost"),
         F.lit("received").alias("status"),
     )
-    return _raw(snap_fields, "inventory", RUN1, "b1").unionByName(_raw(po_fields, "inventory", RUN1, "b1"))
+    # The feed mixes two record types; a plain record-type column lets each
+    # reader prune the other branch at planning time.
+    snaps = _raw(snap_fields, "inventory", RUN1, "b1").withColumn("record_type", F.lit(SNAPSHOT))
+    pos = _raw(po_fields, "inventory", RUN1, "b1").withColumn("record_type", F.lit(PURCHASE_ORDER))
+    return snaps.unionByName(pos)
+
+
+SNAPSHOT, PURCHASE_ORDER = "inventory_snapshot", "purchase_order"
 
 
 # ---------------------------------------------------------------- payments / returns / reviews / shipments / loyalty
