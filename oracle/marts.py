@@ -591,3 +591,13 @@ FROM (SELECT node_id, timestamp, ROW_NUMBER() OVER (PARTITION BY node_id ORDER B
 LEFT JOIN (SELECT node_id, timestamp, ROW_NUMBER() OVER (PARTITION BY node_id ORDER BY timestamp) AS k
            FROM t_transitions WHERE is_end = 1) e
   ON s.node_id = e.node_id AND s.k = e.k""")
+
+cte("m_raw_orders", """
+SELECT CAST(o_orderkey AS VARCHAR) AS src_order_id, 'testdata/orders' AS file_name,
+       CAST(NULL AS BIGINT) AS file_row_number, TIMESTAMP '2001-08-01 01:00:00' AS load_timestamp, 'b1' AS batch_id
+FROM orders""")
+
+cte("m_raw_cart_events", """
+SELECT src_session_id, src_customer_id, event_type, 'testdata/cart_events' AS file_name,
+       CAST(NULL AS BIGINT) AS file_row_number, load_timestamp, CAST(NULL AS VARCHAR) AS batch_id
+FROM raw_cart_events""")

@@ -153,3 +153,17 @@ def _grid_outages(w: Warehouse):
 
 
 MARTS["grid_outages"] = _grid_outages
+
+
+def _raw_envelope(w: Warehouse, name: str):
+    """Raw landing rows without the payload: lifted keys, lineage, load stamp,
+    batch id (and the payload's event type for cart events)."""
+    from pyspark.sql import functions as F
+    from strata.sources.raw import SOURCES
+    df = getattr(w, f"raw_{name}")
+    keys = list(SOURCES[name].keys)
+    return df.select(*keys, "file_name", "file_row_number", "load_timestamp", "batch_id")
+
+
+MARTS["raw_orders"] = lambda w: _raw_envelope(w, "orders")
+MARTS["raw_cart_events"] = lambda w: _raw_envelope(w, "cart_events")
