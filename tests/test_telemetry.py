@@ -1,6 +1,5 @@
 """Grid telemetry: the two reference cases plus boundary readings."""
 import datetime as dt
-import math
 
 from strata.streaming import telemetry as T
 
