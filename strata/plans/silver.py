@@ -27,8 +27,11 @@ def vs(path: str) -> Column:
 
 
 def vnum(path: str) -> Column:
-    """TRY_TO_NUMBER: whole number, soft."""
-    return F.try_variant_get("payload", f"$.{path}", "bigint")
+    """TRY_TO_NUMBER(text): a whole number rounded half away from zero
+    ('1.5' -> 2, 2.5 -> 3); unparseable text -> NULL.  Going through text and
+    DECIMAL(38,0) reproduces that for both JSON numbers and numeric strings
+    (a direct bigint cast would truncate 1.5 and reject '1.5')."""
+    return F.try_variant_get("payload", f"$.{path}", "string").try_cast("decimal(38,0)").try_cast("bigint")
 
 
 def vdbl(path: str) -> Column:

@@ -47,6 +47,15 @@ def test_orders_edge_rows(spark):
     assert v2["1"].customer_id == "c1" and v2["1"].order_sk == got["1"].order_sk
 
 
+def test_whole_numbers_round_half_away_from_zero(spark):
+    r, _ = _land(spark, "order_items", [
+        '{"order_id": "1", "item_id": "1", "quantity": "1.5"}', '{"order_id": "1", "item_id": "2", "quantity": 2.5}',
+        '{"order_id": "1", "item_id": "3", "quantity": "abc"}', '{"order_id": "1", "item_id": "4", "quantity": 7}',
+    ], T1, "b1")
+    got = {x.item_id: x.quantity for x in silver.s03_order_items(r, None, T1).collect()}
+    assert got == {"1": 2, "2": 3, "3": 1, "4": 7}                        # unparseable -> default 1
+
+
 def test_customers_type2_null_to_value_and_duplicates(spark):
     r1, _ = _land(spark, "customers", [
         '{"customer_id": "1", "first_name": " Ann ", "last_name": "Lee", "email": " A@X.COM ", "phone": null, '
