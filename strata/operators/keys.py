@@ -26,21 +26,15 @@ from strata.session import ensure_checkpoint_dir, materialize
 _PID, _MID, _LOC, _OFF, _TOT = "_k_pid", "_k_mid", "_k_loc", "_k_off", "_k_tot"
 
 
-def _num_parts(df: DataFrame) -> int:
-    conf = df.sparkSession.conf
-    n = conf.get("spark.sql.shuffle.partitions", "200")
-    try:
-        return max(1, int(n))
-    except ValueError:
-        return 200
-
-
 def prefix_positions(df: DataFrame, order: list[Column], weight: str | None = None) -> DataFrame:
     """Add ``_k_off`` = exclusive global prefix sum of ``weight`` (1 per row when
     None) in ``order``, and ``_k_tot`` = grand total.  ``order`` must be a
     total order (include a unique tie-breaker) for a deterministic result."""
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(_num_parts(df), *order).sortWithinPartitions(*order)
+    # No explicit partition count: with AQE the range partitions are sized to
+    # the data (coalesced partitions are contiguous ranges, so the global
+    # order survives); the ids written below are what the offsets refer to.
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     tagged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
     tagged = materialize(tagged)
     if weight is None:
