@@ -375,11 +375,14 @@ def supplier_performance(dim_suppliers: DataFrame, fso: DataFrame, foi: DataFram
                F.count(F.datediff("actual_delivery", "order_date")).alias("_ltn"),
                F.sum("delivery_variance_days").alias("_dv"), F.count("delivery_variance_days").alias("_dvn"),
                F.count_distinct("product_id").alias("distinct_products")))
+    # returns -> products of the returned order first (only returned orders
+    # are expanded), then to the suppliers of those products
     sp = fso.select(F.col("supplier_id").alias("_r_sup"), F.col("product_id").alias("_r_pid")).distinct()
     lines = foi.select(F.col("product_id").alias("_l_pid"), F.col("order_id").alias("_l_oid")).distinct()
     rets = fr.select(F.col("order_id").alias("_f_oid"), "return_id")
-    rc = (sp.join(lines, F.col("_r_pid") == F.col("_l_pid"))
-          .join(rets, F.col("_l_oid") == F.col("_f_oid"))
+    returned_products = (rets.join(lines, F.col("_f_oid") == F.col("_l_oid"))
+                         .select("return_id", "_l_pid").distinct())
+    rc = (returned_products.join(sp, F.col("_l_pid") == F.col("_r_pid"))
           .groupBy("_r_sup").agg(F.count_distinct("return_id").alias("_rc")))
     j = (dim_suppliers.join(po, dim_suppliers.supplier_id == F.col("_po_sup"), "left")
          .join(rc, dim_suppliers.supplier_id == F.col("_r_sup"), "left"))
