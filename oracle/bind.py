@@ -130,8 +130,9 @@ SELECT ROW_NUMBER() OVER (ORDER BY 'S' || CAST(n.n_nationkey AS VARCHAR)) AS sto
        CAST(n.n_nationkey * 1.5 AS DOUBLE) AS latitude, CAST(n.n_nationkey * -2.25 AS DOUBLE) AS longitude,
        'UTC' AS timezone, DATE '1990-01-01' + CAST(n.n_nationkey * 100 AS INTEGER) AS opening_date,
        CAST(NULL AS DATE) AS closing_date, TRUE AS is_active, 'E' || CAST(n.n_nationkey AS VARCHAR) AS store_manager_id,
-       CAST(n.n_nationkey * 500 + 1000 AS BIGINT) AS square_footage
-FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
+       CAST(n.n_nationkey * 500 + 1000 + c.cnt % 1000 AS BIGINT) AS square_footage
+FROM (SELECT c_nationkey, COUNT(*) AS cnt FROM customer GROUP BY c_nationkey) c
+JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
 cte("s_customers_v1", f"""
 SELECT ROW_NUMBER() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS customer_sk,

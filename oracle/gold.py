@@ -29,7 +29,8 @@ SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS BIGINT) AS date_sk, d A
        CASE WHEN month(d) = 1 AND day(d) = 1 THEN 'New Year''s Day' WHEN month(d) = 7 AND day(d) = 4 THEN 'Independence Day'
             WHEN month(d) = 12 AND day(d) = 25 THEN 'Christmas Day' END AS holiday_name,
        (month(d) = 1 AND day(d) = 1) OR (month(d) = 7 AND day(d) = 4) OR (month(d) = 12 AND day(d) = 25) AS is_holiday
-FROM (SELECT CAST(range AS DATE) AS d FROM range(DATE '1990-01-01', DATE '2036-01-01', INTERVAL 1 DAY))""")
+FROM (SELECT CAST(unnest(generate_series(CAST(date_trunc('year', LEAST((SELECT MIN(order_date) FROM s_orders), (SELECT MIN(ship_date) FROM s_shipments))) AS DATE),
+                                          DATE '2035-12-31', INTERVAL 1 DAY)) AS DATE) AS d)""")
 
 cte("g_dim_customers", f"""
 SELECT customer_sk, customer_id, first_name, last_name, full_name, email, phone, date_of_birth, gender,

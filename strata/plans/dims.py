@@ -12,7 +12,6 @@ from strata.functions.compat import lit_date, pct, year_diff
 from strata.operators.joins import bounded_broadcast
 
 DATE_START = dt.date(2015, 1, 1)      # published spine
-WAREHOUSE_DATE_START = dt.date(1990, 1, 1)  # widened so the 1995-2001 test orders are covered
 DATE_END = dt.date(2035, 12, 31)
 # Fixed holiday marks: (month, day, name)
 HOLIDAYS = [(1, 1, "New Year's Day"), (7, 4, "Independence Day"), (12, 25, "Christmas Day")]
@@ -26,6 +25,26 @@ def dim_date(spark: SparkSession, start: dt.date = DATE_START, end: dt.date = DA
     n = (end - start).days + 1
     d = F.date_add(lit_date(start), F.col("id").cast("int"))
     base = spark.range(0, n, numPartitions=max(1, min(8, n // 1000))).select(d.alias("full_date"))
+    return _date_attributes(spark, base, holidays)
+
+
+def dim_date_covering(sources: list[tuple[DataFrame, str]], end: dt.date = DATE_END,
+                      holidays=HOLIDAYS) -> DataFrame:
+    """G01 over the data: the spine starts on January 1 of the year of the
+    earliest date found in ``sources`` ((frame, date column) pairs, each
+    reduced to its minimum) and ends at the published end.  The spine is
+    exploded from one aggregated row, so its size is bounded by the calendar,
+    not by the data."""
+    mins = None
+    for df, c in sources:
+        m = df.select(F.col(c).alias("_d")).agg(F.min("_d").alias("_d"))
+        mins = m if mins is None else mins.unionByName(m)
+    first = mins.agg(F.trunc(F.min("_d"), "year").alias("_s"))
+    base = first.select(F.explode(F.sequence(F.col("_s"), lit_date(end), F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    return _date_attributes(sources[0][0].sparkSession, base, holidays)
+
+
+def _date_attributes(spark: SparkSession, base: DataFrame, holidays) -> DataFrame:
     fd = F.col("full_date")
     dow = F.weekday(fd) + 1
     q_start = F.trunc(fd, "quarter")

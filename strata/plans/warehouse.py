@@ -96,7 +96,8 @@ class Warehouse:
 
     # ------------------------------------------------------------ gold dims
     @cached_property
-    def dim_date(self): return dims.dim_date(self.spark, start=dims.WAREHOUSE_DATE_START)
+    def dim_date(self):
+        return dims.dim_date_covering([(self.orders, "order_date"), (self.shipments, "ship_date")])
     # Dimensions and facts read by several marts are published once (as the
     # warehouse's CTAS tables are) and read back as parquet by every consumer.
     @cached_property

@@ -9,7 +9,8 @@ the same rules.  Every rule is a column expression; no row leaves Spark.
 Rules (k = the source key):
   customers   customer; two loads: run 1 all customers, run 2 a new e-mail for
               k % 7 = 3 (type-2 change).  tier from c_acctbal bands.
-  stores      nation x region, one store per nation ('S' || n_nationkey).
+  stores      one per nation with customers ('S' || n_nationkey); floor space
+              from the nation's customer count.
   orders      orders x customer (store = customer's nation) + line sums;
               status F/O/P -> delivered/shipped/pending, k%20=0 cancelled,
               k%20=1 returned; channel from the priority digit (5 -> null).
@@ -124,10 +125,14 @@ def raw_customers(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 # ---------------------------------------------------------------- stores
 def raw_stores(spark, sf_dir) -> DataFrame:
+    """One store per nation that has customers; the floor space grows with
+    the nation's customer count (customers are aggregated per nation first)."""
+    c = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("_cust"))
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     k = F.col("n_nationkey")
-    f = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(
+    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
+    f = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey, "inner").select(
         F.concat(F.lit("S"), k.cast("string")).alias("store_id"),
         F.col("n_name").alias("name"),
         F.when(k % 3 == 0, "flagship").when(k % 3 == 1, "outlet").alias("type"),
@@ -143,7 +148,7 @@ def raw_stores(spark, sf_dir) -> DataFrame:
         F.lit(None).cast("string").alias("closing_date"),
         F.lit(True).alias("is_active"),
         F.concat(F.lit("E"), k.cast("string")).alias("manager_id"),
-        (k * 500 + 1000).cast("bigint").alias("sq_footage"),
+        (k * 500 + 1000 + F.col("_cust") % 1000).cast("bigint").alias("sq_footage"),
     )
     return _raw(f, "stores", RUN1, "b1")
 
