@@ -19,38 +19,57 @@ from strata.operators.load import (
 
 
 # ------------------------------------------------------------------ extraction
+# Every job extracts the payload fields it uses in ONE variant pass: the
+# helpers below register the field they read, and ``_select`` turns the
+# registered names into a single ``try_variant_get(payload, '$', struct<...>)``
+# (all fields as text, as ``PAYLOAD:f::VARCHAR``) before projecting.  The
+# typed helpers then apply the warehouse's soft casts to that text.
+_REQUESTED: set[str] = set()
+
+
+def _text(path: str) -> Column:
+    _REQUESTED.add(path)
+    return F.col("_p").getField(path)
+
+
+def _select(raw: DataFrame, *cols: Column) -> DataFrame:
+    fields = sorted(_REQUESTED)
+    _REQUESTED.clear()
+    schema = "struct<" + ", ".join(f"`{f}`: string" for f in fields) + ">"
+    return raw.withColumn("_p", F.try_variant_get("payload", "$", schema)).select(*cols)
+
+
 def vs(path: str) -> Column:
     """PAYLOAD:path::VARCHAR (soft); the landing format's null tokens
     ('', 'null', 'NULL') read as SQL NULL (IN1)."""
-    v = F.try_variant_get("payload", f"$.{path}", "string")
+    v = _text(path)
     return F.when(~v.isin(*JSON_NULL_TOKENS), v)
 
 
 def vnum(path: str) -> Column:
     """TRY_TO_NUMBER(text): a whole number rounded half away from zero
-    ('1.5' -> 2, 2.5 -> 3); unparseable text -> NULL.  Going through text and
-    DECIMAL(38,0) reproduces that for both JSON numbers and numeric strings
-    (a direct bigint cast would truncate 1.5 and reject '1.5')."""
-    return F.try_variant_get("payload", f"$.{path}", "string").try_cast("decimal(38,0)").try_cast("bigint")
+    ('1.5' -> 2, 2.5 -> 3); unparseable text -> NULL."""
+    return _text(path).try_cast("decimal(38,0)").try_cast("bigint")
 
 
 def vdbl(path: str) -> Column:
-    """TRY_TO_DOUBLE, soft."""
-    return F.try_variant_get("payload", f"$.{path}", "double")
+    """TRY_TO_DOUBLE(text)."""
+    return _text(path).try_cast("double")
 
 
 def vbool(path: str) -> Column:
-    return F.try_variant_get("payload", f"$.{path}", "boolean")
+    """PAYLOAD:path::BOOLEAN, soft (unparseable text -> NULL)."""
+    return _text(path).try_cast("boolean")
 
 
 def vdate(path: str) -> Column:
     """TRY_TO_DATE(text) with the ISO format."""
-    return F.try_to_timestamp(vs(path), F.lit("yyyy-MM-dd")).cast("date")
+    return F.try_to_timestamp(_text(path), F.lit("yyyy-MM-dd")).cast("date")
 
 
 def vts(path: str) -> Column:
     """TRY_TO_TIMESTAMP_NTZ(text)."""
-    return F.expr(f"try_cast(try_variant_get(payload, '$.{path}', 'string') AS timestamp_ntz)")
+    return _text(path).try_cast("timestamp_ntz")
 
 
 def digits(c: Column) -> Column:
@@ -67,7 +86,8 @@ CUSTOMER_TRACKED = ["email", "phone", "customer_tier", "is_active"]
 
 
 def customers_src(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return _select(
+        raw,
         vs("customer_id").alias("customer_id"),
         F.trim(vs("first_name")).alias("first_name"),
         F.trim(vs("last_name")).alias("last_name"),
@@ -90,7 +110,8 @@ def s01_customers(raw: DataFrame, target: DataFrame | None, run_ts, atomic: bool
 
 # ------------------------------------------------------------------ S02 orders
 def orders_src(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return _select(
+        raw,
         vs("order_id").alias("order_id"),
         vs("customer_id").alias("customer_id"),
         vs("store_id").alias("store_id"),
@@ -134,7 +155,8 @@ def s02_orders(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
 def employee_links(raw_orders: DataFrame) -> DataFrame:
     """Order -> employee link carried in the order payload (F25), latest
     version per order (D18)."""
-    src = raw_orders.select(
+    src = _select(
+        raw_orders,
         vs("employee_id").alias("employee_id"), vs("order_id").alias("order_id"),
         vdate("order_date").alias("order_date"), F.col("load_timestamp").alias("src_load_timestamp"))
     src = src.filter(F.col("employee_id").isNotNull())
@@ -143,7 +165,8 @@ def employee_links(raw_orders: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ S03 order items
 def s03_order_items(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("order_id").alias("order_id"),
         vs("item_id").alias("item_id"),
         vs("product_id").alias("product_id"),
@@ -170,7 +193,8 @@ def s03_order_items(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFra
 
 # ------------------------------------------------------------------ S04 products
 def s04_products(raw: DataFrame, target: DataFrame | None, run_ts, atomic: bool = True) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("product_id").alias("product_id"),
         vs("sku").alias("sku"),
         F.trim(vs("name")).alias("product_name"),
@@ -190,7 +214,8 @@ def s04_products(raw: DataFrame, target: DataFrame | None, run_ts, atomic: bool
 
 # ------------------------------------------------------------------ S05 categories
 def s05_categories(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("category_id").alias("category_id"),
         F.trim(vs("name")).alias("category_name"),
         vs("parent_id").alias("parent_category_id"),
@@ -206,7 +231,8 @@ def s05_categories(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFram
 
 # ------------------------------------------------------------------ S06 suppliers
 def s06_suppliers(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("supplier_id").alias("supplier_id"),
         F.trim(vs("name")).alias("supplier_name"),
         F.trim(vs("contact_name")).alias("contact_name"),
@@ -235,7 +261,8 @@ def s07_inventory(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame
     raw = _of_type(raw, "inventory_snapshot")
     on_hand = F.coalesce(vnum("qty_on_hand"), F.lit(0))
     reserved = F.coalesce(vnum("qty_reserved"), F.lit(0))
-    src = raw.select(
+    src = _select(
+        raw,
         vs("product_id").alias("product_id"),
         vs("location_id").alias("location_id"),
         F.upper(F.coalesce(vs("location_type"), F.lit("WAREHOUSE"))).alias("location_type"),
@@ -260,7 +287,8 @@ def s07_inventory(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame
 
 def purchase_orders(raw_inventory: DataFrame) -> DataFrame:
     """Purchase orders carried in the inventory feed (F23 source)."""
-    return _of_type(raw_inventory, "purchase_order").filter(vs("po_number").isNotNull()).select(
+    return _select(
+        _of_type(raw_inventory, "purchase_order"),
         vs("po_number").alias("po_number"),
         vs("supplier_id").alias("supplier_id"),
         vs("product_id").alias("product_id"),
@@ -272,12 +300,13 @@ def purchase_orders(raw_inventory: DataFrame) -> DataFrame:
         vdbl("unit_cost").alias("unit_cost"),
         vdbl("total_cost").alias("total_cost"),
         F.upper(vs("status")).alias("po_status"),
-    )
+    ).filter(F.col("po_number").isNotNull())
 
 
 # ------------------------------------------------------------------ S08 payments
 def s08_payments(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("payment_id").alias("payment_id"),
         vs("order_id").alias("order_id"),
         vs("customer_id").alias("customer_id"),
@@ -297,7 +326,8 @@ def s08_payments(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
 
 # ------------------------------------------------------------------ S09 returns
 def s09_returns(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("return_id").alias("return_id"),
         vs("order_id").alias("order_id"),
         vs("customer_id").alias("customer_id"),
@@ -316,7 +346,9 @@ def s09_returns(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
 # ------------------------------------------------------------------ S10 reviews
 def s10_reviews(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
     rating = vdbl("rating")
-    src = raw.filter(rating.between(1, 5)).select(
+    src = _select(
+        raw,
+        rating.alias("_raw_rating"),
         vs("review_id").alias("review_id"),
         vs("product_id").alias("product_id"),
         vs("customer_id").alias("customer_id"),
@@ -329,7 +361,7 @@ def s10_reviews(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
         F.coalesce(vbool("is_flagged"), F.lit(False)).alias("is_flagged"),
         F.coalesce(vnum("helpful_votes"), F.lit(0)).alias("helpful_votes"),
         F.col("load_timestamp").alias("src_load_timestamp"),
-    )
+    ).filter(F.col("_raw_rating").between(1, 5)).drop("_raw_rating")
     return _append_new(target, _latest(src, ["review_id"]), ["review_id"], "review_sk", run_ts)
 
 
@@ -346,7 +378,8 @@ def _append_new(target, src, keys, sk, run_ts) -> DataFrame:
 
 # ------------------------------------------------------------------ S11 employees
 def s11_employees(raw: DataFrame, target: DataFrame | None, run_ts, atomic: bool = True) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("employee_id").alias("employee_id"),
         F.trim(vs("first_name")).alias("first_name"),
         F.trim(vs("last_name")).alias("last_name"),
@@ -368,7 +401,8 @@ def s11_employees(raw: DataFrame, target: DataFrame | None, run_ts, atomic: bool
 
 # ------------------------------------------------------------------ S12 stores
 def s12_stores(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("store_id").alias("store_id"),
         F.trim(vs("name")).alias("store_name"),
         F.upper(F.coalesce(vs("type"), F.lit("STANDARD"))).alias("store_type"),
@@ -393,7 +427,8 @@ def s12_stores(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
 
 # ------------------------------------------------------------------ S13 promotions
 def s13_promotions(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("promotion_id").alias("promotion_id"),
         F.trim(vs("name")).alias("promotion_name"),
         F.upper(vs("type")).alias("promotion_type"),
@@ -416,7 +451,8 @@ def s13_promotions(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFram
 
 # ------------------------------------------------------------------ S14 campaigns
 def s14_campaigns(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("campaign_id").alias("campaign_id"),
         F.trim(vs("name")).alias("campaign_name"),
         F.upper(vs("type")).alias("campaign_type"),
@@ -440,7 +476,8 @@ def s14_campaigns(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame
 
 # ------------------------------------------------------------------ S15 web sessions
 def s15_web_sessions(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("session_id").alias("session_id"),
         vs("customer_id").alias("customer_id"),
         F.upper(vs("device_type")).alias("device_type"),
@@ -466,7 +503,8 @@ def s16_shipments(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame
     actual = vdate("actual_delivery")
     est = vdate("estimated_delivery")
     ship = vdate("ship_date")
-    src = raw.select(
+    src = _select(
+        raw,
         vs("shipment_id").alias("shipment_id"),
         vs("order_id").alias("order_id"),
         vs("customer_id").alias("customer_id"),
@@ -493,7 +531,8 @@ def s16_shipments(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame
 
 # ------------------------------------------------------------------ S17 addresses
 def s17_addresses(raw: DataFrame, target: DataFrame | None, run_ts, atomic: bool = True) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("address_id").alias("address_id"),
         vs("customer_id").alias("customer_id"),
         F.upper(F.coalesce(vs("type"), F.lit("SHIPPING"))).alias("address_type"),
@@ -516,7 +555,8 @@ def s17_addresses(raw: DataFrame, target: DataFrame | None, run_ts, atomic: bool
 
 # ------------------------------------------------------------------ S18 loyalty
 def s18_loyalty_points(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
-    src = raw.select(
+    src = _select(
+        raw,
         vs("transaction_id").alias("transaction_id"),
         vs("customer_id").alias("customer_id"),
         vs("order_id").alias("order_id"),
