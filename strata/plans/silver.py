@@ -7,6 +7,8 @@ with soft casts, applies the cleaning rules, keeps the latest version per key
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,17 +26,23 @@ from strata.operators.load import (
 # registered names into a single ``try_variant_get(payload, '$', struct<...>)``
 # (all fields as text, as ``PAYLOAD:f::VARCHAR``) before projecting.  The
 # typed helpers then apply the warehouse's soft casts to that text.
-_REQUESTED: set[str] = set()
+_LOCAL = threading.local()   # per thread, so concurrent builds do not mix fields
+
+
+def _requested() -> set:
+    if not hasattr(_LOCAL, "fields"):
+        _LOCAL.fields = set()
+    return _LOCAL.fields
 
 
 def _text(path: str) -> Column:
-    _REQUESTED.add(path)
+    _requested().add(path)
     return F.col("_p").getField(path)
 
 
 def _select(raw: DataFrame, *cols: Column) -> DataFrame:
-    fields = sorted(_REQUESTED)
-    _REQUESTED.clear()
+    fields = sorted(_requested())
+    _requested().clear()
     schema = "struct<" + ", ".join(f"`{f}`: string" for f in fields) + ">"
     return raw.withColumn("_p", F.try_variant_get("payload", "$", schema)).select(*cols)
 
