@@ -16,10 +16,17 @@ from strata.session import ensure_checkpoint_dir
 MATCH_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it
-    (for workers that share the driver's folders; on other clusters the package
-    is shipped with ``--py-files``)."""
+#: Rows that a Python worker gets at once: documents are long, so few.
+BATCH_ROWS = 1_000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings for the Python workers: bounded Arrow batches, unless the session
+    asks for smaller ones, and this package importable from where the driver has
+    it (on clusters without shared folders it is shipped with ``--py-files``)."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
@@ -27,7 +34,7 @@ def importable(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -36,13 +36,15 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_folder, text_of, utf8
-from .vocabulary import groups
+from .common import shared_folder, text_of
+from .vocabulary import split_words
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -124,19 +126,6 @@ def masked(crc: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- sequences
 
-def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Varint bytes of non-negative integers, and the size of each."""
-    v = values.astype(np.uint64)
-    size = np.ones(len(v), np.int64)
-    for bits in range(7, 64, 7):
-        size += v >= np.uint64(1 << bits) if (v >= np.uint64(1 << bits)).any() else 0
-    out, at = np.zeros(size.sum(), np.uint8), np.cumsum(size) - size
-    for i in range(int(size.max(initial=0))):
-        on = size > i
-        out[at[on] + i] = ((v[on] >> np.uint64(7 * i)) & np.uint64(127)) | np.where(size[on] > i + 1, 128, 0).astype(np.uint64)
-    return out, size
-
-
 def _varint(n: int) -> bytes:
     out = bytearray()
     while n > 127:
@@ -153,16 +142,10 @@ def _feature(name: str, packed: bytes) -> bytes:
     return _field(1, _field(1, name.encode()) + _field(2, _field(3, _field(1, packed))))
 
 
-def serialize(doc_ids: list[int | None], sequences: list[np.ndarray]) -> list[bytes]:
-    """One ``tf.train.Example`` per document."""
-    flat, size = varints(np.concatenate(sequences))
-    ends = np.cumsum(size)[np.cumsum([len(s) for s in sequences]) - 1]
-    out, start = [], 0
-    for doc_id, end in zip(doc_ids, ends, strict=True):
-        key = b"" if doc_id is None else _varint(doc_id % (1 << 64))
-        out.append(_field(1, _feature("doc_id", key) + _feature("input_ids", flat[start:end].tobytes())))
-        start = end
-    return out
+def serialize(doc_ids: list[int | None], sequences: list[bytes]) -> list[bytes]:
+    """One ``tf.train.Example`` per document, from its ids as packed varints."""
+    return [_field(1, _feature("doc_id", b"" if i is None else _varint(i % (1 << 64))) + _feature("input_ids", s))
+            for i, s in zip(doc_ids, sequences, strict=True)]
 
 
 def _fields(data: bytes, at: int, end: int) -> Iterator[tuple[int, int, int]]:
@@ -186,15 +169,19 @@ def _fields(data: bytes, at: int, end: int) -> Iterator[tuple[int, int, int]]:
         at += size
 
 
+def count_varints(data: bytes) -> int:
+    return int(np.count_nonzero(np.frombuffer(data, np.int8) >= 0))
+
+
 def unpack_varints(data: bytes) -> np.ndarray:
     b = np.frombuffer(data, np.uint8)
     ends = np.flatnonzero(b < 128)
-    starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
-    out = np.zeros(len(ends), np.uint64)
-    for i in range(int((ends - starts).max(initial=-1)) + 1):
-        on = np.flatnonzero(starts + i <= ends)
-        out[on] |= (b[starts[on] + i].astype(np.uint64) & np.uint64(127)) << np.uint64(7 * i)
-    return out.astype(np.int64)
+    size = np.diff(ends, prepend=-1)
+    out = b[ends].astype(np.int64)
+    for back in range(1, int(size.max(initial=1))):  # a number's earlier bytes, from its last one
+        on = np.flatnonzero(size > back)
+        out[on] = (out[on] << 7) | (b[ends[on] - back] & 127)
+    return out
 
 
 def deserialize(data: bytes) -> dict[str, np.ndarray]:
@@ -268,19 +255,35 @@ def read_record(uri: str, offset: int, length: int) -> dict[str, np.ndarray]:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+class Memory:
+    """What ``make`` gives for keys; of more than ``keep``, the older go first."""
+
+    def __init__(self, keep: int, make):
+        self.keep, self.make, self.recent, self.older = keep, make, {}, {}
+
+    def having(self, keys) -> dict[bytes, bytes]:
+        """A mapping that holds all the keys."""
+        if len(self.recent) > self.keep:
+            self.recent, self.older = {}, self.recent
+        unknown = set(keys).difference(self.recent)
+        self.recent.update((k, self.older[k]) for k in unknown.intersection(self.older))
+        self.recent.update(self.make(list(unknown.difference(self.older))))
+        return self.recent
+
+
 class Encoder:
-    """The tokenizer, with a memory of the ids of words and their pieces.
+    """The tokenizer, with memories of the ids of words and of their parts.
 
     With this kind of tokenizer file every step (NFC, white-space folding,
-    lower-casing, splitting, merging inside a piece) works inside the words
-    between ASCII white space, so a text's ids are its words' ids in a row,
-    and those of a word are its pieces' in a row.  Words whose pieces are plain
-    to see are encoded by piece (a piece is any run that the tokenizer's split
-    takes as one); other words go through the library whole.  Each distinct
-    piece or word goes through the library; the memory has a bound."""
-
-    KEEP = 400_000
-    ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\s0-9a-z]+")
+    lower-casing, splitting into pieces, merging inside a piece) works inside the
+    words between ASCII white space, and each piece on its own.  ``PARTS`` cuts a
+    word, A-Z lower-cased, into pieces where these are plain ASCII, and keeps the
+    rest of it from the first piece that touches another character whole.  Each
+    distinct part goes through the library, many at once in one text.  Splitting
+    and joining are Arrow's; the memories have a bound."""
+
+    KEEP = 150_000
+    PARTS = re.compile(rb"[a-z]++(?![\x80-\xff])|'(?:s|t|re|ve|m|ll|d)(?:(?![\x80-\xff])|\S*)|[0-9]|[^\s0-9a-z\x80-\xff]++(?![\x80-\xff])|\S+")
     MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, path: str):
@@ -291,53 +294,54 @@ class Encoder:
         self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.last[i] = token.endswith("</w>")
-        self.ids: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
-
-    def split(self, word: bytes) -> list[bytes] | None:
-        """The word's pieces, or None where they are not plain to see."""
-        if word.isascii():
-            return self.ASCII.findall(word.lower())
-        core = word.strip(self.MARKS)
+        self.packed = [_varint(i) for i in range(len(self.last))]
+        self.words, self.parts = Memory(self.KEEP, self._words), Memory(self.KEEP, self._parts)
+
+    def pieces(self, part: bytes) -> int:
+        """How many pieces the tokenizer makes of a part, or 0 where that is not plain to see."""
+        if part.isascii():
+            return len(self.PARTS.findall(part))
+        core = part.strip(self.MARKS)
         middle = core.decode("utf-8", "surrogatepass")
         if not middle.lower().isalpha() or not unicodedata.is_normalized("NFC", middle):
-            return None
-        lead = len(word) - len(word.lstrip(self.MARKS))
-        return [p for p in (word[:lead], core, word[lead + len(core):]) if p]
-
-    def _whole(self, words: list[bytes]) -> list[bytes]:
-        texts = [w.decode("utf-8", "surrogatepass") for w in words]
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn_pieces(self, pieces: list[bytes]) -> None:
-        for i in range(0, len(pieces), 2000):
-            part = pieces[i:i + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode("utf-8")], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1  # each piece ends with the only token that carries the end mark
-            if len(ends) == len(part):
-                self.pieces.update(zip(part, (ids[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
+            return 0
+        return 1 + (part[0] != core[0]) + (part[-1] != core[-1])
+
+    def _pack(self, ids) -> bytes:
+        return b"".join(map(self.packed.__getitem__, ids))
+
+    def _encode(self, parts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "surrogatepass") for p in parts], add_special_tokens=False)]
+
+    def _parts(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        size = {p: n for p in parts if (n := self.pieces(p))}
+        plain = list(size)
+        for i in range(0, len(plain), 2000):
+            some = plain[i:i + 2000]
+            ids = self._encode([b" ".join(some)])[0]
+            ends = np.flatnonzero(self.last[ids]) + 1  # a piece's last token, and no other, has the end mark
+            cut = np.cumsum([size[p] for p in some])
+            if len(ends) == cut[-1]:
+                stop = ends[cut - 1].tolist()
+                yield from ((p, self._pack(ids[a:b])) for p, a, b in zip(some, [0, *stop], stop, strict=False))
             else:
-                self.pieces.update(zip(part, self._whole(part), strict=True))
-
-    def _learn(self, words: list[bytes]) -> None:
-        split = {w: p for w in words if (p := self.split(w)) is not None}
-        new = set(chain.from_iterable(split.values())).difference(self.pieces)
-        if len(self.pieces) + len(new) > self.KEEP:
-            self.pieces, new = {}, set(chain.from_iterable(split.values()))
-        self._learn_pieces(list(new))
-        for w, p in split.items():
-            self.ids[w] = b"".join(map(self.pieces.__getitem__, p))
-        rest = [w for w in words if w not in split]
-        self.ids.update(zip(rest, self._whole(rest), strict=True))
-
-    def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
-        words = [utf8(t).split() for t in texts]
-        new = list(set(chain.from_iterable(words)).difference(self.ids))
-        if len(self.ids) + len(new) > self.KEEP:
-            self.ids, new = {}, list(set(chain.from_iterable(words)))
-        self._learn(new)
-        end, get = struct.pack("<I", end_id), self.ids.__getitem__
-        return [np.frombuffer(b"".join(map(get, w)) + end, "<u4") for w in words]
+                yield from zip(some, map(self._pack, self._encode(some)), strict=True)
+        rest = [p for p in parts if p not in size]
+        yield from zip(rest, map(self._pack, self._encode(rest)), strict=True)
+
+    def _words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        parts = list(map(self.PARTS.findall, words))
+        get = self.parts.having(set(chain.from_iterable(parts))).__getitem__
+        return ((w, b"".join(map(get, p))) for w, p in zip(words, parts, strict=True))
+
+    def encode(self, texts: pa.Array, end_id: int) -> list[bytes]:
+        """The ids of each text and the end id, as packed varints."""
+        flat, counts = split_words(pc.ascii_lower(texts))
+        coded, end = flat.dictionary_encode(), _varint(end_id)
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        packed = pa.array(map(self.words.having(words).__getitem__, words), pa.binary()).take(coded.indices)
+        ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+        return [t + end for t in pc.binary_join(pa.ListArray.from_arrays(ends, packed), b"").to_pylist()]
 
 
 def encoder(path: str) -> Encoder:
@@ -359,28 +363,29 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_
         uri = f"{folder}/records/part-{ctx.partitionId():06d}-{ctx.taskAttemptId()}.tfrecord"
         out, offset = None, 0
         try:
-            for pdf in batches:
-                for s in groups(pdf["text"].tolist()):
-                    part = pdf.iloc[s]
-                    ids = [None if pd.isna(i) else int(i) for i in part["doc_id"]]
-                    sequences = encoder(tokenizer).encode(part["text"].tolist(), end_id)
-                    frames = frame(serialize(ids, sequences))
-                    if out is None:
-                        fs, path = _open_fs(uri)
-                        fs.create_dir(os.path.dirname(path), recursive=True)
-                        out = fs.open_output_stream(path, buffer_size=1 << 20)
-                    for f in frames:
-                        out.write(f)
-                    sizes = np.fromiter(map(len, frames), np.int64, len(frames))
-                    yield pd.DataFrame({"shard": ctx.partitionId(), "file": uri, "doc_id": pd.array(ids, "Int64"),
-                                        "offset": offset + np.cumsum(sizes) - sizes, "length": sizes,
-                                        "n_tokens": [len(x) for x in sequences]})
-                    offset += int(sizes.sum())
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                ids = batch.column("doc_id").to_pylist()
+                sequences = encoder(tokenizer).encode(batch.column("text"), end_id)
+                frames = frame(serialize(ids, sequences))
+                if out is None:
+                    fs, path = _open_fs(uri)
+                    fs.create_dir(os.path.dirname(path), recursive=True)
+                    out = fs.open_output_stream(path, buffer_size=1 << 20)
+                for f in frames:
+                    out.write(f)
+                sizes = np.fromiter(map(len, frames), np.int64, len(frames))
+                n = len(frames)
+                yield pa.RecordBatch.from_pydict({
+                    "shard": pa.array(np.full(n, ctx.partitionId()), pa.int32()), "file": [uri] * n, "doc_id": pa.array(ids, pa.int64()),
+                    "offset": offset + np.cumsum(sizes) - sizes, "length": sizes, "n_tokens": pa.array(map(count_varints, sequences), pa.int64())})
+                offset += int(sizes.sum())
         finally:
             if out is not None:
                 out.close()
 
-    rows.mapInPandas(write, INDEX).write.parquet(f"{folder}/index")
+    rows.mapInArrow(write, INDEX).write.parquet(f"{folder}/index")
     return docs.sparkSession.read.schema(INDEX).parquet(f"{folder}/index")
 
 

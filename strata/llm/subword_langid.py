@@ -166,7 +166,7 @@ class Logits(Vocabulary):
 
     def __init__(self, model: Model):
         self.model = model
-        super().__init__(300_000)
+        super().__init__()
 
     def clear(self) -> None:
         self.rows = Growing(np.float64, len(self.model.langs) + 1)

@@ -4,11 +4,11 @@ alone is computed once a word and the rest of the work is on integer arrays."""
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
-
-from .common import utf8
+import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def groups(texts: list, most: int = 1 << 20) -> Iterator[slice]:
@@ -30,7 +30,7 @@ class Vocabulary:
     the numbering starts anew, which changes no result: numbers are used only
     within one call."""
 
-    def __init__(self, keep: int = 400_000):
+    def __init__(self, keep: int = 200_000):
         self.keep = keep
         self.ids: dict[bytes, int] = {}
         self.clear()
@@ -43,18 +43,28 @@ class Vocabulary:
 
     def index(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words of the texts in a row, and the words per text."""
-        words = [utf8(t).split() for t in texts]
-        new = list(set(chain.from_iterable(words)).difference(self.ids))
-        if len(self.ids) + len(new) > self.keep:
+        flat, counts = split_words(pa.array(texts, pa.string()))
+        coded = flat.dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        if len(self.ids) > self.keep:
             self.ids = {}
             self.clear()
-            new = list(set(chain.from_iterable(words)))
-        if new:
-            self.ids.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
+        number = np.fromiter(map(self.ids.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(number < 0)
+        if len(unknown):
+            new = [words[i] for i in unknown.tolist()]
+            number[unknown] = np.arange(len(self.ids), len(self.ids) + len(new))
+            self.ids.update(zip(new, number[unknown].tolist(), strict=True))
             self.grow(new)
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter(map(self.ids.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
-        return at, counts
+        return number[coded.indices.to_numpy()], counts
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words between ASCII white space of all texts in a row, and the number per text."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    flat, ends = lists.flatten(), lists.offsets.to_numpy()
+    has = pc.greater(pc.binary_length(flat), 0)  # splitting leaves empty words at a text's ends
+    return flat.filter(has), np.diff(np.concatenate([[0], np.cumsum(has.to_numpy(zero_copy_only=False))])[ends])
 
 
 class Growing:
