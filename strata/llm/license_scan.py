@@ -151,10 +151,15 @@ def _spaced(words: Column) -> Column:
     return F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
 
 
+def _whole(regex: Column) -> Column:
+    """The regex between two spaces."""
+    return F.concat(F.lit(" ("), regex, F.lit(") "))
+
+
 def _intervals(spaced: Column, regex: Column) -> Column:
     """[start, end) of the regex's matches, in words: the matches are marked,
     and the marks sit on the first and last word."""
-    marked = F.regexp_replace(spaced, F.concat(F.lit(" ("), regex, F.lit(") ")), F.lit(" \x01$1\x02 "))
+    marked = F.regexp_replace(spaced, _whole(regex), F.lit(" \x01$1\x02 "))
     words = F.split(F.trim(marked), "  ")
     at = lambda test: F.transform(F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), test), lambda x: x["i"])
     return F.transform(F.arrays_zip(at(lambda x: x["w"].startswith("\x01")).alias("s"), at(lambda x: x["w"].endswith("\x02")).alias("e")),
@@ -182,7 +187,7 @@ def detections(docs: DataFrame) -> DataFrame:
     base = F.concat(*[_places(F.col("spaced"), phrase, label) for phrase, label in BASE])
     ordered = F.array(*[F.struct(F.lit(n).alias("rule"), F.lit(label).alias("label"), F.lit(p).alias("priority"), F.lit(k.replace(" ", "  ")).alias("keyword"), F.lit(x).alias("regex"))
                         for n, label, p, k, x in rules()])
-    fit = F.filter(ordered, lambda r: F.col("spaced").contains(r["keyword"]))
+    fit = F.filter(ordered, lambda r: F.col("spaced").contains(r["keyword"]) & F.rlike(F.col("spaced"), _whole(r["regex"])))
     rows = rows.select("row", "doc_id", "n_words", "spaced", F.when(F.col("spaced").isNotNull(), base).alias("base"),
                        F.when(F.col("spaced").isNotNull(), fit).alias("fit"))
     tried = rows.select("row", "doc_id", "n_words", "base", "spaced", F.explode_outer("fit").alias("r"))

@@ -16,7 +16,9 @@ label to one that they miss ("555-010-9999").
   hash of the id among documents with an ``@`` or a digit).  The label that a
   pattern gives a token is hidden in half the training tokens, so that
   the field learns to take it from the linked ones.
-* A token is added when the marginal of its label reaches ``SURE``.
+* A token is added when the marginal of its label reaches ``SURE``, or
+  ``LINKED`` if a token that it shares a skip potential with has that label from
+  a pattern.
 
 Defined cases: null text counts as empty; a text without candidates has no
 spans; added spans never overlap base spans, which all stay; the order of spans
@@ -39,6 +41,7 @@ from .vocabulary import groups
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 4_000
 SURE = 0.9
+LINKED = 0.5
 ROUNDS = 12
 
 _LOCAL = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -247,8 +250,12 @@ def add_spans(texts: list[str], base: list[list[tuple[int, int, int]]], field: F
         return added
     p = field.marginals(graph)
     best, joined = p.argmax(axis=1), set(graph.chain)
+    label, need = np.array(graph.label), np.full(len(p), sure)
+    for a, b in (*graph.skip, *((v, u) for u, v in graph.skip)):
+        if label[a] == best[b]:
+            need[b] = LINKED
     last = -2
-    for v in np.flatnonzero((best > 0) & (p.max(axis=1) >= sure) & (np.array(graph.label) == 0)).tolist():
+    for v in np.flatnonzero((best > 0) & (p.max(axis=1) >= need) & (label == 0)).tolist():
         i, k = graph.text[v], int(best[v]) - 1
         s, e = graph.start[v], graph.end[v]
         t = texts[i]
