@@ -16,7 +16,7 @@ from strata.functions.compat import lit_date, lit_ts, money, money4
 from strata.operators.keys import assign_keys, global_ntile
 from strata.sources.raw import JSON_NULL_TOKENS
 from strata.operators.load import (
-    insert_if_absent, max_key, latest_per_key, replace_partition, require_keys, scd1_upsert, scd2_upsert,
+    max_key, latest_per_key, replace_partition, require_keys, scd1_upsert, scd2_upsert,
 )
 
 
@@ -167,8 +167,7 @@ def employee_links(raw_orders: DataFrame) -> DataFrame:
         raw_orders,
         vs("employee_id").alias("employee_id"), vs("order_id").alias("order_id"),
         vdate("order_date").alias("order_date"), F.col("load_timestamp").alias("src_load_timestamp"))
-    src = src.filter(F.col("employee_id").isNotNull())
-    return _latest(src, ["order_id"]).drop("src_load_timestamp")
+    return _latest(src, ["order_id"]).filter(F.col("employee_id").isNotNull()).drop("src_load_timestamp")
 
 
 # ------------------------------------------------------------------ S03 order items
@@ -284,7 +283,8 @@ def s07_inventory(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame
         F.col("load_timestamp").alias("src_load_timestamp"),
     )
     keys = ["product_id", "location_id", "snapshot_timestamp"]
-    src = _latest(require_keys(src, ["product_id", "location_id"]), keys)
+    # a snapshot without a readable time is kept
+    src = latest_per_key(require_keys(src, ["product_id", "location_id"]), keys, ["src_load_timestamp"])
     order = [F.col(k) for k in keys]
     if target is not None:
         new = src.join(target.select(*keys), keys, "left_anti")
@@ -381,7 +381,7 @@ def _append_new(target, src, keys, sk, run_ts) -> DataFrame:
         return assign_keys(src, order, sk).withColumn("dw_created_at", ts)
     new = src.join(target.select(*keys), keys, "left_anti")
     new = assign_keys(new, order, sk, start=max_key(target, sk))
-    return insert_if_absent(target, new.withColumn("dw_created_at", ts), keys)
+    return target.unionByName(new.withColumn("dw_created_at", ts))
 
 
 # ------------------------------------------------------------------ S11 employees

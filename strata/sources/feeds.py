@@ -49,20 +49,8 @@ SESSION_AS_OF = dt.date(2024, 1, 31)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table.  A file written as a single row group scans in
-    one task; when the scan has fewer partitions than the session's default
-    parallelism the rows are spread first, so the per-row work that follows
-    (payload encoding, extraction) uses every core.  Large inputs made of many
-    files / row groups are left as scanned."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par and name in _WIDE_WORK:
-        df = df.repartition(par)
-    return df
-
-
-# tables whose rows go through per-row payload encoding / parsing
-_WIDE_WORK = {"lineitem", "orders", "part", "customer", "events"}
+    """Scan one driver table, split as its row groups are."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _raw(fields: DataFrame, source: str, run_ts, batch_id: str | None, load_ts=None) -> DataFrame:

@@ -85,7 +85,7 @@ def read_json_raw(spark: SparkSession, path: str) -> DataFrame:
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record")
           .json(path)
-          .select("payload", "_corrupt_record", F.col("_metadata.file_name").alias("file_name")))
+          .select("payload", "_corrupt_record", F.col("_metadata.file_path").alias("file_name")))
     # an outer array arrives as one variant: explode it into records
     is_arr = F.expr("schema_of_variant(payload) LIKE 'ARRAY%'")
     arr = df.filter(is_arr).select(F.explode(F.expr("cast(payload as array<variant>)")).alias("payload"),
@@ -97,11 +97,13 @@ def read_json_raw(spark: SparkSession, path: str) -> DataFrame:
 def read_csv_raw(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """IN2: header CSV, optional double quotes, null tokens -> variant payload."""
     r = spark.read.option("header", True).option("quote", '"').option("mode", "PERMISSIVE")
-    df = r.schema(schema).csv(path) if schema else r.csv(path)
-    cols = [F.when(F.col(c).isin(*CSV_NULL_TOKENS), None).otherwise(F.col(c)).alias(c) for c in df.columns]
-    out = df.select(F.to_variant_object(F.struct(*cols)).alias("payload"),
-                    F.lit(None).cast("string").alias("_corrupt_record"),
-                    F.col("_metadata.file_name").alias("file_name"))
+    fields = (r.schema(schema).csv(path) if schema else r.csv(path)).columns
+    typed = schema or ", ".join(f"`{c}` string" for c in fields)
+    # rows with too many or too few fields keep their text for the quarantine
+    df = r.option("columnNameOfCorruptRecord", "_corrupt_record").schema(f"{typed}, _corrupt_record string").csv(path)
+    cols = [F.when(F.col(f"`{c}`").isin(*CSV_NULL_TOKENS), None).otherwise(F.col(f"`{c}`")).alias(c) for c in fields]
+    out = df.select(F.to_variant_object(F.struct(*cols)).alias("payload"), "_corrupt_record",
+                    F.col("_metadata.file_path").alias("file_name"))
     return with_lineage(out, fmt="csv")
 
 
@@ -110,7 +112,7 @@ def read_parquet_raw(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
     out = df.select(F.to_variant_object(F.struct(*[F.col(c) for c in df.columns])).alias("payload"),
                     F.lit(None).cast("string").alias("_corrupt_record"),
-                    F.col("_metadata.file_name").alias("file_name"),
+                    F.col("_metadata.file_path").alias("file_name"),
                     F.col("_metadata.row_index").alias("file_row_number"))
     return out
 
@@ -146,7 +148,8 @@ def land(spark: SparkSession, source: str, path: str, batch_id: str | None, run_
     """Read one feed into the raw envelope -> (raw rows, quarantine).
 
     IN10: files already present in ``already_loaded`` (the landed table) are
-    skipped by an anti join on ``file_name``."""
+    skipped by an anti join on ``file_name``, which holds the whole path (dated
+    folders repeat base names)."""
     src = SOURCES[source]
     if src.fmt == "json":
         df = read_json_raw(spark, path)

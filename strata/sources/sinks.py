@@ -2,7 +2,7 @@
 and dynamic partition overwrite.
 
 A table cannot be overwritten by the plan that reads it, so every published
-version goes to its own folder and a one-line pointer names the current one
+version goes to its own folder and a numbered one-line pointer names the current one
 (DM1).  Readers of an older version are never disturbed; a failed publish
 leaves the pointer on the previous version.  All writes go through Spark, so
 the same code works on any shared file system or object store.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,23 +31,36 @@ def publish(df: DataFrame, base: str, table: str, run_ts, partition_by: list[str
     DM10: ``dw_refreshed_at`` records the run time of the version."""
     v = version or version_name(run_ts)
     path = f"{base.rstrip('/')}/{table}/{v}"
+    spark = df.sparkSession
+    number, current = _pointer(spark, base, table)
+    if current == v:  # a replay: the version stands, and its own plan may read it
+        return path
     out = df.withColumn("dw_refreshed_at", lit_ts(run_ts)) if audit else df
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    spark = df.sparkSession
+    # pointers are only added, never overwritten: a reader finds the old one or the new one
     spark.createDataFrame([(v,)], "value string").coalesce(1).write.mode("overwrite") \
-        .text(f"{base.rstrip('/')}/{table}/_current")
+        .text(f"{base.rstrip('/')}/{table}/_current/n={number + 1}")
     return path
 
 
-def current_version(spark: SparkSession, base: str, table: str) -> str | None:
+def _pointer(spark: SparkSession, base: str, table: str) -> tuple[int, str | None]:
+    """(number, version) of the newest pointer; (0, None) if the table has none.
+    Any error but a missing path is raised."""
     try:
-        row = spark.read.text(f"{base.rstrip('/')}/{table}/_current").first()
-    except Exception:  # noqa: BLE001 -- no version published yet
-        return None
-    return row[0] if row else None
+        rows = spark.read.schema("value string, n long").text(f"{base.rstrip('/')}/{table}/_current")
+        newest = rows.orderBy(F.desc("n")).first()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return 0, None
+        raise
+    return (newest["n"], newest["value"]) if newest else (0, None)
+
+
+def current_version(spark: SparkSession, base: str, table: str) -> str | None:
+    return _pointer(spark, base, table)[1]
 
 
 def read_current(spark: SparkSession, base: str, table: str) -> DataFrame | None:

@@ -1,7 +1,7 @@
 """IN9 / IN10: continuous file ingest into the raw layer.
 
 ``stream_raw`` reads JSON lines from a landing folder as one variant per
-record, lifts the keys and appends the raw envelope to a parquet table.  The
+record, lifts the keys and writes the raw envelope to a parquet table by epoch.  The
 streaming file source's checkpoint records which files were committed, so a
 restart (or a lost executor) never loads a file twice.  ``foreachBatch``
 lets the same micro-batch also feed a silver upsert.
@@ -12,17 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.raw import ENVELOPE, SOURCES, lift_keys
+from strata.sources.raw import ENVELOPE, SOURCES, lift_keys, split_bad
 
 
 def raw_stream(spark: SparkSession, source: str, path: str) -> DataFrame:
     src = SOURCES[source]
     df = (spark.readStream.format("text").load(path)
           .select(F.try_parse_json("value").alias("payload"),
-                  F.col("_metadata.file_name").alias("file_name")))
-    df = df.filter(F.col("payload").isNotNull())
+                  F.when(F.try_parse_json("value").isNull(), F.col("value")).alias("_corrupt_record"),
+                  F.col("_metadata.file_path").alias("file_name")))
     df = lift_keys(df, src.keys)
-    return df.select(*src.keys.keys(), "payload", "file_name",
+    return df.select(*src.keys.keys(), "payload", "_corrupt_record", "file_name",
                      F.lit(None).cast("bigint").alias("file_row_number"),
                      F.current_timestamp().cast("timestamp_ntz").alias("load_timestamp"),
                      F.lit(None).cast("string").alias("batch_id"))
@@ -30,13 +30,21 @@ def raw_stream(spark: SparkSession, source: str, path: str) -> DataFrame:
 
 def stream_raw(spark: SparkSession, source: str, path: str, table_dir: str, checkpoint_dir: str,
                on_batch=None, available_now: bool = True):
-    """Start the ingest; ``on_batch(df, epoch_id)`` runs after each append."""
+    """Start the ingest; ``on_batch(good_rows, epoch_id)`` runs after each write.
+
+    Every epoch overwrites its own folder ``epoch=<id>``, so a replay after a
+    failure leaves one copy.  Lines that do not parse go, the same way, to the
+    quarantine table beside the raw table (``<table_dir>_quarantine``)."""
     stream = raw_stream(spark, source, path)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.select(*SOURCES[source].keys.keys(), *ENVELOPE).write.mode("append").parquet(table_dir)
+        good, bad = split_bad(batch)
+        part = f"epoch={epoch_id}"
+        good.select(*SOURCES[source].keys.keys(), *ENVELOPE).write.mode("overwrite").parquet(f"{table_dir}/{part}")
+        bad.select("_corrupt_record", "file_name", "load_timestamp").write.mode("overwrite") \
+            .parquet(f"{table_dir.rstrip('/')}_quarantine/{part}")
         if on_batch is not None:
-            on_batch(batch, epoch_id)
+            on_batch(good, epoch_id)
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
@@ -48,20 +56,24 @@ def upsert_stream(spark: SparkSession, source: str, path: str, base: str, table:
     """Stream a landing folder straight into a silver table (the payments
     pipe -> type-1 merge of the reference): every micro-batch runs the silver
     ``job(raw_batch, current_table, run_ts)`` against the current version and
-    publishes the result as version ``epoch=<id>``.  A replayed epoch
-    rewrites the same version folder, so a retry after a failure has the
-    effect of exactly one run."""
+    publishes the result as version ``epoch=<id>``.  An epoch that is replayed
+    after its version was published is skipped; one that failed before that reads
+    the version before it and writes its own folder anew."""
     from strata.sources import sinks
 
     stream = raw_stream(spark, source, path)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
+        version = f"epoch={epoch_id:012d}"
+        if sinks.current_version(spark, base, table) == version:
+            return
+        batch = split_bad(batch)[0]
         if batch.isEmpty():
             return
         current = sinks.read_current(spark, base, table)
         run_ts = batch.agg(F.max("load_timestamp")).first()[0]
         nxt = job(batch, current, run_ts)
-        sinks.publish(nxt, base, table, run_ts, version=f"epoch={epoch_id:012d}", audit=False)
+        sinks.publish(nxt, base, table, run_ts, version=version, audit=False)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")

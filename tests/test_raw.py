@@ -39,3 +39,18 @@ def test_parquet_row_numbers(spark):
     spark.range(5).coalesce(1).withColumnRenamed("id", "supplier_id").write.mode("overwrite").parquet(d)
     df = raw.read_parquet_raw(spark, d)
     assert sorted(r.file_row_number for r in df.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_same_base_name_in_two_folders_and_malformed_csv(spark, tmp_path):
+    import datetime as dt
+    for day in ("d1", "d2"):
+        (tmp_path / day).mkdir()
+        (tmp_path / day / "part-0.json").write_text('{"order_id": "%s"}\n' % day)
+    run = dt.datetime(2024, 1, 1)
+    first, _ = raw.land(spark, "orders", str(tmp_path / "d1"), "b1", run)
+    again, _ = raw.land(spark, "orders", str(tmp_path / "d*"), "b2", run, already_loaded=first)
+    assert [r.src_order_id for r in again.collect()] == ["d2"]
+    (tmp_path / "c.csv").write_text("employee_id,name\nE1,Ann\nE2,Bob,extra,more\nE3,N/A\n")
+    good, bad = raw.land(spark, "employees", str(tmp_path / "c.csv"), "b1", run)
+    assert sorted(r.src_employee_id for r in good.collect()) == ["E1", "E3"]
+    assert [r._corrupt_record for r in bad.collect()] == ["E2,Bob,extra,more"]

@@ -77,3 +77,14 @@ def test_build_publishes_tables(spark):
     for name in ["dim_stores", "daily_sales_summary"]:
         t = sinks.read_current(spark, out, name)
         assert t.count() > 0 and "dw_refreshed_at" in t.columns
+
+
+def test_publishing_a_version_onto_itself_keeps_it(spark, tmpdir_path):
+    base = tmpdir_path + "/replay"
+    import datetime as dt
+    run = dt.datetime(2024, 1, 1)
+    sinks.publish(spark.range(3), base, "t", run, version="epoch=1", audit=False)
+    sinks.publish(sinks.read_current(spark, base, "t"), base, "t", run, version="epoch=1", audit=False)
+    assert sinks.read_current(spark, base, "t").count() == 3
+    sinks.publish(spark.range(4), base, "t", run, version="epoch=2", audit=False)
+    assert sinks.read_current(spark, base, "t").count() == 4 and sinks.current_version(spark, base, "missing") is None

@@ -46,3 +46,24 @@ def test_raw_stream_ingest_once(spark):
     ingest.stream_raw(spark, "payments", land, table, ckpt).awaitTermination()
     got = sorted((r.src_payment_id, r.src_order_id) for r in spark.read.parquet(table).collect())
     assert got == [("P1", "1"), ("P2", "2")]
+    bad = spark.read.parquet(table + "_quarantine").collect()
+    assert [(r._corrupt_record, r.file_name.rsplit("/", 1)[1]) for r in bad] == [("not json", "p1.json")]
+
+
+def test_raw_stream_retry_leaves_one_copy(spark):
+    base = tempfile.mkdtemp(prefix="strata-retry-")
+    land, table, ckpt = (os.path.join(base, x) for x in ("land", "raw", "ckpt"))
+    os.makedirs(land)
+    with open(os.path.join(land, "p1.json"), "w") as fh:
+        fh.write('{"payment_id": "P1", "order_id": "1"}\n')
+
+    def fail(batch, epoch):
+        raise RuntimeError("lost after the write")
+
+    q = ingest.stream_raw(spark, "payments", land, table, ckpt, on_batch=fail)
+    try:
+        q.awaitTermination()
+    except Exception:
+        pass
+    ingest.stream_raw(spark, "payments", land, table, ckpt).awaitTermination()
+    assert spark.read.parquet(table).count() == 1
