@@ -18,15 +18,16 @@ A document's set is its distinct word shingles; two documents are linked when
     branch again by one or two further minwise tokens (1 / similarity on average),
     up to ``DEPTH`` levels.  What is still large and mixed then is compared in
     blocks: all members outside the node's largest component against all
-    members, so nothing is dropped.  Only pairs in different components whose
-    sketches do not rule the link out (``SIGMAS`` standard deviations below the
-    threshold) leave a block.
-5.  *Confirmation.*  Every candidate pair is confirmed on the full sets of
-    shingles, and components are found by alternating large-star / small-star steps.
+    members, so nothing is dropped.  A group's comparisons are exact, as matrix
+    products over the full sets, and only the links that join components leave it:
+    fewer rows than it has members.
+5.  *Confirmation.*  Pivot pairs whose sketches do not rule the link out
+    (``SIGMAS`` standard deviations below the threshold) are confirmed on the full
+    sets of shingles; components come from alternating large-star / small-star steps.
 
 A link is missed only if its sets part in all trees (0.15 ** 10 at similarity
-0.85 for a pair of its own) or the sketch is off by more than ``SIGMAS``
-deviations.
+0.85 for a pair of its own).  A pivot pair that its sketch wrongly rules out is
+still compared in step 4.
 
 Every step is a join or grouping on node, pair or set; no group is collected,
 tables between steps are written to the shared checkpoint folder, and the driver
@@ -217,28 +218,58 @@ def _runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
         yield pd.concat(held) if len(held) > 1 else held[0]
 
 
-def within_groups(rows: DataFrame, floor: float) -> DataFrame:
-    """Candidate pairs of each group (key, set_id, comp, sketch, side): every
-    pair of different components whose sketches agree enough.  ``side`` 0 meets
-    everything, 1 meets side 0 only; a group is bounded by its making."""
+def intersections(sets: list[set], rows: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``rows`` with all the sets, as
+    products of 0/1 matrices over the shingles that several sets hold."""
+    number: dict = {}
+    cols = [np.fromiter((number.setdefault(x, len(number)) for x in s), np.int64, len(s)) for s in sets]
+    col, of = np.concatenate(cols), np.repeat(np.arange(len(sets)), [len(c) for c in cols])
+    shared = np.bincount(col, minlength=len(number)) > 1
+    col, of = (np.cumsum(shared) - 1)[col[shared[col]]], of[shared[col]]
+    order = np.argsort(col, kind="stable")
+    col, of = col[order], of[order]
+    out = np.zeros((len(rows), len(sets)), np.float32)
+    for start in range(0, int(col[-1]) + 1 if len(col) else 0, 4096):
+        lo, hi = np.searchsorted(col, [start, start + 4096])
+        m = np.zeros((len(sets), 4096), np.float32)
+        m[of[lo:hi], col[lo:hi] - start] = 1
+        out += m[rows] @ m.T
+    return out.astype(np.int64)
+
+
+def linked_in_groups(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that join components inside each group (key, set_id, comp,
+    body, side), confirmed on the full sets: at most one fewer than the group
+    has components.  ``side`` 0 meets everything, 1 meets side 0 only."""
 
     def compare(batches):
         for g in _runs(batches, "key"):
             ids, comp, side = g["set_id"].to_numpy(), g["comp"].to_numpy(), g["side"].to_numpy()
-            values = np.frombuffer(b"".join(g["sketch"]), "<u2").reshape(-1, SKETCH)
-            a, b = [], []
-            for i in np.flatnonzero(side == 0):
-                agree = (values == values[i]).mean(axis=1) >= floor
-                agree[:i + 1] &= side[:i + 1] == 1
-                for j in np.flatnonzero(agree):
-                    if comp[j] != comp[i]:
-                        a.append(min(ids[i], ids[j]))
-                        b.append(max(ids[i], ids[j]))
-            if a:
-                yield pd.DataFrame({"a": a, "b": b})
-
-    return (rows.repartition("key").sortWithinPartitions("key", "side", "set_id").select("key", "set_id", "comp", "sketch", "side")
-            .mapInPandas(compare, "a binary, b binary").distinct())
+            outer = np.flatnonzero(side == 0)
+            sets = [shingles(b, width) for b in g["body"]]
+            size = np.fromiter(map(len, sets), np.int64, len(sets))
+            both = intersections(sets, outer)
+            linked = 100 * both >= percent * (size[outer][:, None] + size - both)
+            names, label = np.unique(comp, return_inverse=True)
+            linked &= label[outer][:, None] != label
+            root, out = list(range(len(names))), []
+
+            def top(x):
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            for i, j in np.argwhere(linked).tolist():
+                x, y = top(label[outer[i]]), top(label[j])
+                if x != y:
+                    root[x] = y
+                    out.append((ids[outer[i]], ids[j]))
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b"])
+
+    return (rows.repartition("key").sortWithinPartitions("key", "side", "set_id").select("key", "set_id", "comp", "body", "side")
+            .mapInPandas(compare, "a binary, b binary"))
 
 
 # ---------------------------------------------------------------- the join
@@ -307,7 +338,7 @@ def links(described: DataFrame, width: int, percent: int) -> DataFrame:
     found = materialize(found.unionByName(confirmed(apart, bodies, width, percent)))
     comps = materialize(components(found))
 
-    floor, small = least_estimate(percent), None
+    small = None
     rows = materialize(_mixed(_labelled(nodes.select("node", "set_id"), comps)))
     for depth in range(DEPTH + 1):
         part = rows.where(F.col("size") <= SMALL).select(F.col("node").alias("key"), "set_id", "comp", F.lit(0).alias("side"))
@@ -318,8 +349,8 @@ def links(described: DataFrame, width: int, percent: int) -> DataFrame:
         rows = materialize(_mixed(_children(rows, sets, percent)))
     if not rows.isEmpty():
         small = small.unionByName(_blocks(rows))
-    pairs = within_groups(small.join(sets.select("set_id", "sketch"), "set_id"), floor)
-    return components(found.unionByName(confirmed(materialize(pairs), bodies, width, percent)))
+    joined = linked_in_groups(small.join(bodies, "set_id"), width, percent)
+    return components(found.unionByName(joined))
 
 
 def _agreement(a: str, b: str) -> Column:
