@@ -156,20 +156,22 @@ def shingles(body: bytes, width: int) -> set:
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) for every end of an edge (a, b): root is the smallest id
     reachable.  Alternating large-star and small-star steps."""
-    up = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    state, now = None, materialize(up)
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == state:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
-                now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
-        state = mark
+    now = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    while not _stars_only(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+    return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
+        now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
+
+
+def _stars_only(edges: DataFrame) -> bool:
+    """Whether every u has one v, which is no u itself: then v is its root."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("up")))
+    return ends.groupBy("id").agg(F.sum("up").alias("n"), F.min("up").alias("lo")).where("n > 1 or n = 1 and lo = 0").isEmpty()
 
 
 # ---------------------------------------------------------------- comparisons
@@ -332,11 +334,9 @@ def links(described: DataFrame, width: int, percent: int) -> DataFrame:
     bodies = materialize(some.select("set_id", "body").join(members, "set_id", "left_semi").groupBy("set_id").agg(F.first("body").alias("body")))
 
     best = stars.groupBy("set_id").agg(F.max(F.struct("agree", "pivot")).alias("m")).select(F.col("set_id").alias("a"), F.col("m.pivot").alias("b"))
-    found = materialize(confirmed(best, bodies, width, percent))
-    comps = components(found)
+    comps = components(confirmed(best, bodies, width, percent))
     apart = _apart(stars.select(F.col("set_id").alias("a"), F.col("pivot").alias("b")).join(best, ["a", "b"], "left_anti"), comps)
-    found = materialize(found.unionByName(confirmed(apart, bodies, width, percent)))
-    comps = materialize(components(found))
+    comps = materialize(components(_edges(comps).unionByName(confirmed(apart, bodies, width, percent))))
 
     small = None
     rows = materialize(_mixed(_labelled(nodes.select("node", "set_id"), comps)))
@@ -350,7 +350,12 @@ def links(described: DataFrame, width: int, percent: int) -> DataFrame:
     if not rows.isEmpty():
         small = small.unionByName(_blocks(rows))
     joined = linked_in_groups(small.join(bodies, "set_id"), width, percent)
-    return components(found.unionByName(joined))
+    return components(_edges(comps).unionByName(joined))
+
+
+def _edges(comps: DataFrame) -> DataFrame:
+    """Components as edges (a, b) from each member to its root."""
+    return comps.select(F.col("id").alias("a"), F.col("root").alias("b"))
 
 
 def _agreement(a: str, b: str) -> Column:
