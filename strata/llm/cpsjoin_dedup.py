@@ -16,7 +16,9 @@ A document's set is its distinct word shingles; two documents are linked when
 4.  *Recursion.*  A node whose members are all in one component is done.
     Other nodes of at most ``SMALL`` members are compared exhaustively; larger ones
     branch again by one or two further minwise tokens (1 / similarity on average),
-    up to ``DEPTH`` levels.  What is still large and mixed then is compared in
+    up to ``DEPTH`` levels.  A child that keeps over ``STUCK`` percent of its
+    parent's members is not branched again, as its members share most tokens and
+    further ones would not part them.  What is still large and mixed then is compared in
     blocks: all members outside the node's largest component against all
     members, so nothing is dropped.  A group's comparisons are exact, as matrix
     products over the full sets, and only the links that join components leave it:
@@ -44,6 +46,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -60,6 +63,7 @@ TREES = 10
 SKETCH = 128
 SMALL = 64
 DEPTH = 6
+STUCK = 70
 BLOCK = 512
 SIGMAS = 4.5
 
@@ -288,7 +292,7 @@ def _labelled(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows (node, set_id, comp) of the nodes with several components, with the size."""
+    """Rows (node, set_id, comp, parent) of the nodes with several components, with the size."""
     size = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("node", "size")
     return rows.join(size, "node")
 
@@ -301,7 +305,7 @@ def _children(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     picks = F.when(second, F.array(pick(1), pick(2))).otherwise(F.array(pick(1)))
     branched = rows.withColumn("pick", F.explode(F.array_distinct(picks))).join(sets.select("set_id", "sketch"), "set_id")
     child = F.xxhash64("node", "pick", F.expr("substring(sketch, 2 * pick + 1, 2)"))
-    return branched.select(child.alias("node"), "set_id", "comp")
+    return branched.select(child.alias("node"), "set_id", "comp", F.col("size").alias("parent"))
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
@@ -338,18 +342,19 @@ def links(described: DataFrame, width: int, percent: int) -> DataFrame:
     apart = _apart(stars.select(F.col("set_id").alias("a"), F.col("pivot").alias("b")).join(best, ["a", "b"], "left_anti"), comps)
     comps = materialize(components(_edges(comps).unionByName(confirmed(apart, bodies, width, percent))))
 
-    small = None
-    rows = materialize(_mixed(_labelled(nodes.select("node", "set_id"), comps)))
+    small, whole = [], []
+    rows = materialize(_mixed(_labelled(nodes.select("node", "set_id"), comps).withColumn("parent", F.lit(None).cast("long"))))
     for depth in range(DEPTH + 1):
-        part = rows.where(F.col("size") <= SMALL).select(F.col("node").alias("key"), "set_id", "comp", F.lit(0).alias("side"))
-        small = part if small is None else small.unionByName(part)
-        rows = rows.where(F.col("size") > SMALL).select("node", "set_id", "comp")
-        if depth == DEPTH or rows.isEmpty():
+        small.append(rows.where(F.col("size") <= SMALL).select(F.col("node").alias("key"), "set_id", "comp", F.lit(0).alias("side")))
+        rows = rows.where(F.col("size") > SMALL)
+        done = F.lit(True) if depth == DEPTH else F.coalesce(100 * F.col("size") > STUCK * F.col("parent"), F.lit(False))
+        whole.append(rows.where(done).select("node", "set_id", "comp"))
+        rows = rows.where(~done)
+        if rows.isEmpty():
             break
         rows = materialize(_mixed(_children(rows, sets, percent)))
-    if not rows.isEmpty():
-        small = small.unionByName(_blocks(rows))
-    joined = linked_in_groups(small.join(bodies, "set_id"), width, percent)
+    groups_of = reduce(DataFrame.unionByName, [*small, _blocks(reduce(DataFrame.unionByName, whole))])
+    joined = linked_in_groups(groups_of.join(bodies, "set_id"), width, percent)
     return components(_edges(comps).unionByName(joined))
 
 
