@@ -19,8 +19,8 @@ A document's set is its distinct word shingles; two documents are linked when
     up to ``DEPTH`` levels.  A child that keeps over ``STUCK`` percent of its
     parent's members is not branched again, as its members share most tokens and
     further ones would not part them.  What is still large and mixed then is compared in
-    blocks: all members outside the node's largest component against all
-    members, so nothing is dropped.  A group's comparisons are exact, as matrix
+    blocks: nodes of the same least member are merged, and all members outside the
+    node's largest component meet all members, so nothing is dropped.  A group's comparisons are exact, as matrix
     products over the full sets, and only the links that join components leave it:
     fewer rows than it has members.
 5.  *Confirmation.*  Pivot pairs whose sketches do not rule the link out
@@ -308,6 +308,14 @@ def _children(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return branched.select(child.alias("node"), "set_id", "comp", F.col("size").alias("parent"))
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """Nodes that share their least member (by hash) as one node.  Stuck nodes of
+    different trees hold much the same members, and with the chance of their
+    overlap the same least one: their pairs are then compared once."""
+    least = rows.groupBy("node").agg(F.min(F.xxhash64("set_id")).alias("least"))
+    return rows.join(least, "node").select(F.col("least").alias("node"), "set_id", "comp").distinct()
+
+
 def _blocks(rows: DataFrame) -> DataFrame:
     """Members outside a node's largest component (side 0) against all of its
     members, in blocks of about ``BLOCK`` by ``BLOCK``."""
@@ -353,7 +361,7 @@ def links(described: DataFrame, width: int, percent: int) -> DataFrame:
         if rows.isEmpty():
             break
         rows = materialize(_mixed(_children(rows, sets, percent)))
-    groups_of = reduce(DataFrame.unionByName, [*small, _blocks(reduce(DataFrame.unionByName, whole))])
+    groups_of = reduce(DataFrame.unionByName, [*small, _blocks(materialize(_merged(reduce(DataFrame.unionByName, whole))))])
     joined = linked_in_groups(groups_of.join(bodies, "set_id"), width, percent)
     return components(_edges(comps).unionByName(joined))
 
