@@ -55,7 +55,9 @@ def prefix_positions(df: DataFrame, order: list[Column], weight: str | None = No
     for pid in range(n_parts):
         offsets.append(run)
         run += counts.get(pid, 0)
-    base = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col(_PID) + 1)
+    # One text literal, folded once into an array: no expression per partition.
+    listed = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
+    base = F.element_at(listed, F.col(_PID) + 1)
     out = local.withColumn(_OFF, base + F.col(_LOC)).withColumn(_TOT, F.lit(run).cast("bigint"))
     return out.drop(_LOC, _PID, _MID)
 

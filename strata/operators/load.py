@@ -48,15 +48,17 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[Column | str])
     (lexicographic, all descending: latest load first, then tie-breakers).
     NULL order values lose against any value.  ``order_by`` should end in
     enough tie-breakers to make the winner unique."""
-    order_cols = []
-    tmp = df
-    for i, o in enumerate(order_by):
-        name = f"_lp_o{i}"
-        tmp = tmp.withColumn(name, F.col(o) if isinstance(o, str) else o)
-        order_cols.append(name)
+    # Each column is packed once: an ordering column of the payload keeps its name.
     payload_cols = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in order_cols], *[F.col(c) for c in payload_cols])
-    best = tmp.groupBy(*keys).agg(F.max(packed).alias("_lp_w"))
+    order_cols, named = [], []
+    for i, o in enumerate(order_by):
+        if not isinstance(o, str):
+            order_cols.append(o.alias(f"_lp_o{i}"))
+        elif o not in named:
+            named.append(o)
+            order_cols.append(F.col(o))
+    packed = F.struct(*order_cols, *[F.col(c) for c in payload_cols if c not in named])
+    best = df.groupBy(*keys).agg(F.max(packed).alias("_lp_w"))
     return best.select(*keys, *[F.col(f"_lp_w.{c}").alias(c) for c in payload_cols]).select(*df.columns)
 
 

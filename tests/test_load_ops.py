@@ -89,3 +89,9 @@ def test_insert_if_absent_and_replace_partition(spark):
     tgt = spark.createDataFrame([(d1, "old"), (d2, "old")], "d date, v string")
     fresh = spark.createDataFrame([(d2, "new")], "d date, v string")
     assert rows(replace_partition(tgt, fresh, "d"), "d", "v") == [(d1, "old"), (d2, "new")]
+
+
+def test_latest_per_key_packs_mixed_and_repeated_orders(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 3), ("a", 2, 4), ("b", None, 1)], "k string, t int, v int")
+    out = latest_per_key(df, ["k"], ["t", F.col("v") * -1, "t", "k"])
+    assert sorted(map(tuple, out.collect())) == [("a", 2, 3), ("b", None, 1)]
