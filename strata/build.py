@@ -11,16 +11,18 @@ published.  On a cluster the output folder must be shared storage.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
 from strata.plans import catalog
 from strata.plans.warehouse import Warehouse
 from strata.session import build_session
 from strata.sources import sinks
-from strata.sources.feeds import RUN2
 
 
-def publish_tables(wh: Warehouse, out: str, names: list[str] | None = None, run_ts=RUN2) -> dict[str, str]:
+def publish_tables(wh: Warehouse, out: str, names: list[str] | None = None, run_ts=None) -> dict[str, str]:
+    """Publish the tables under one run time: that of the call, in UTC, unless given."""
+    run_ts = run_ts or dt.datetime.now(dt.UTC).replace(tzinfo=None)
     paths = {}
     for name in names or catalog.names():
         paths[name] = sinks.publish(catalog.build(wh, name), out, name, run_ts)

@@ -28,13 +28,19 @@ def version_name(run_ts) -> str:
 def publish(df: DataFrame, base: str, table: str, run_ts, partition_by: list[str] | None = None,
             version: str | None = None, audit: bool = True) -> str:
     """Write a new version of ``table`` and switch the pointer to it.
-    DM10: ``dw_refreshed_at`` records the run time of the version."""
-    v = version or version_name(run_ts)
-    path = f"{base.rstrip('/')}/{table}/{v}"
+    DM10: ``dw_refreshed_at`` records the run time of the version.
+
+    Only a ``version`` given by name (a stream's epoch) is skipped when it is
+    current.  Without one every call publishes; if its run time already names a
+    version, which its plan or a reader may read, the folder gets a number."""
     spark = df.sparkSession
     number, current = _pointer(spark, base, table)
-    if current == v:  # a replay: the version stands, and its own plan may read it
-        return path
+    if version and current == version:  # a replay: the version stands, and its own plan may read it
+        return f"{base.rstrip('/')}/{table}/{version}"
+    v = version or version_name(run_ts)
+    if not version and _published(spark, base, table, v):
+        v = f"{v}-{number + 1}"
+    path = f"{base.rstrip('/')}/{table}/{v}"
     out = df.withColumn("dw_refreshed_at", lit_ts(run_ts)) if audit else df
     w = out.write.mode("overwrite")
     if partition_by:
@@ -47,16 +53,26 @@ def publish(df: DataFrame, base: str, table: str, run_ts, partition_by: list[str
 
 
 def _pointer(spark: SparkSession, base: str, table: str) -> tuple[int, str | None]:
-    """(number, version) of the newest pointer; (0, None) if the table has none.
-    Any error but a missing path is raised."""
+    """(number, version) of the newest pointer; (0, None) if the table has none."""
+    rows = _pointers(spark, base, table)
+    newest = rows.orderBy(F.desc("n")).first() if rows is not None else None
+    return (newest["n"], newest["value"]) if newest else (0, None)
+
+
+def _pointers(spark: SparkSession, base: str, table: str) -> DataFrame | None:
+    """(value, n) of all pointers, None if the table has none.  Any error but a
+    missing path is raised."""
     try:
-        rows = spark.read.schema("value string, n long").text(f"{base.rstrip('/')}/{table}/_current")
-        newest = rows.orderBy(F.desc("n")).first()
+        return spark.read.schema("value string, n long").text(f"{base.rstrip('/')}/{table}/_current")
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return 0, None
+            return None
         raise
-    return (newest["n"], newest["value"]) if newest else (0, None)
+
+
+def _published(spark: SparkSession, base: str, table: str, version: str) -> bool:
+    rows = _pointers(spark, base, table)
+    return rows is not None and not rows.where(F.col("value") == version).isEmpty()
 
 
 def current_version(spark: SparkSession, base: str, table: str) -> str | None:

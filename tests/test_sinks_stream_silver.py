@@ -88,3 +88,24 @@ def test_publishing_a_version_onto_itself_keeps_it(spark, tmpdir_path):
     assert sinks.read_current(spark, base, "t").count() == 3
     sinks.publish(spark.range(4), base, "t", run, version="epoch=2", audit=False)
     assert sinks.read_current(spark, base, "t").count() == 4 and sinks.current_version(spark, base, "missing") is None
+
+
+def test_publishing_again_publishes_changed_input(spark, tmpdir_path):
+    base = tmpdir_path + "/again"
+    run = dt.datetime(2024, 1, 1)
+    first = sinks.publish(spark.range(3), base, "t", run)
+    second = sinks.publish(spark.range(5), base, "t", run)
+    assert sinks.read_current(spark, base, "t").count() == 5
+    sinks.publish(spark.range(7), base, "t", dt.datetime(2024, 1, 2))
+    sinks.publish(sinks.read_current(spark, base, "t").where("id < 6").drop("dw_refreshed_at"), base, "t", run)  # a plan on the current version
+    assert sinks.read_current(spark, base, "t").count() == 6
+    assert [spark.read.parquet(p).count() for p in (first, second)] == [3, 5]  # old versions untouched
+
+
+def test_build_again_publishes_changed_input(spark, tmpdir_path, monkeypatch):
+    from strata import build
+    rows = iter([3, 5])
+    monkeypatch.setattr(build.catalog, "build", lambda wh, name: spark.range(next(rows)))
+    one, two = (build.publish_tables(None, tmpdir_path, ["t"])["t"] for _ in range(2))
+    assert one != two and [spark.read.parquet(p).count() for p in (one, two)] == [3, 5]
+    assert sinks.read_current(spark, tmpdir_path, "t").count() == 5
