@@ -280,7 +280,12 @@ class Encoder:
     word, A-Z lower-cased, into pieces where these are plain ASCII, and keeps the
     rest of it from the first piece that touches another character whole.  Each
     distinct part goes through the library, many at once in one text.  Splitting
-    and joining are Arrow's; the memories have a bound."""
+    and joining are Arrow's; the memories have a bound.
+
+    The library takes an added token's literal ("<|endoftext|>") in a text, in just
+    this case, as its one id, before any other step.  Texts that hold one go through
+    the library whole.  Parts are of texts without one, but lower-casing can make
+    one ("<|ENDOFTEXT|>"), so for them the library is told to spell it out."""
 
     KEEP = 150_000
     PARTS = re.compile(rb"[a-z]++(?![\x80-\xff])|'(?:s|t|re|ve|m|ll|d)(?:(?![\x80-\xff])|\S*)|[0-9]|[^\s0-9a-z\x80-\xff]++(?![\x80-\xff])|\S+")
@@ -289,8 +294,11 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer, self.spelling = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.spelling.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.literals = [t.content for t in added]
+        self.plain = all(t.special and not t.normalized for t in added)  # then a literal counts as it stands in the text, and parts never hold one
         self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.last[i] = token.endswith("</w>")
@@ -311,7 +319,7 @@ class Encoder:
         return b"".join(map(self.packed.__getitem__, ids))
 
     def _encode(self, parts: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "surrogatepass") for p in parts], add_special_tokens=False)]
+        return [e.ids for e in self.spelling.encode_batch_fast([p.decode("utf-8", "surrogatepass") for p in parts], add_special_tokens=False)]
 
     def _parts(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         size = {p: n for p in parts if (n := self.pieces(p))}
@@ -334,14 +342,25 @@ class Encoder:
         get = self.parts.having(set(chain.from_iterable(parts))).__getitem__
         return ((w, b"".join(map(get, p))) for w, p in zip(words, parts, strict=True))
 
+    def _whole(self, texts: pa.Array) -> pa.Array:
+        """Which texts go through the library whole."""
+        whole = pa.array(np.full(len(texts), not self.plain))
+        for literal in self.literals:
+            whole = pc.or_(whole, pc.fill_null(pc.match_substring(texts, literal), False))
+        return whole
+
     def encode(self, texts: pa.Array, end_id: int) -> list[bytes]:
         """The ids of each text and the end id, as packed varints."""
-        flat, counts = split_words(pc.ascii_lower(texts))
+        whole = self._whole(texts)
+        flat, counts = split_words(pc.ascii_lower(pc.if_else(whole, "", texts)))
         coded, end = flat.dictionary_encode(), _varint(end_id)
         words = coded.dictionary.cast(pa.binary()).to_pylist()
         packed = pa.array(map(self.words.having(words).__getitem__, words), pa.binary()).take(coded.indices)
         ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-        return [t + end for t in pc.binary_join(pa.ListArray.from_arrays(ends, packed), b"").to_pylist()]
+        out = [t + end for t in pc.binary_join(pa.ListArray.from_arrays(ends, packed), b"").to_pylist()]
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self._pack(self.tokenizer.encode(texts[i].as_py() or "", add_special_tokens=False).ids) + end
+        return out
 
 
 def encoder(path: str) -> Encoder:

@@ -198,6 +198,23 @@ def test_crc32c_and_parts():
     assert [record_files.unpack_varints(x).tolist() for x in e.encode(pa.array(texts), 2)] == want
 
 
+def test_added_token_literals_are_one_id(make):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(record_files.TOKENIZER)  # its settings untouched
+    one, two = "<|startoftext|>", "<|endoftext|>"
+    texts = [one, two, f"end {two} x", f"end{two}x", f"é{one}é{two}\u0301 {two}{two}", f"A {two[:-1]} {two.upper()} É{two.upper()}", f"x\t{one}\n  y's {two}'s", None, CLEAN]
+    rnd = random.Random(12)
+    texts += ["".join(rnd.choice([one, two, two.upper(), "<|", "|>", "endoftext", " ", "\n", "É", "a1", "'s", "\u0301"]) for _ in range(rnd.randint(0, 12))) for _ in range(500)]
+    want = [t.encode(x or "", add_special_tokens=False).ids + [2] for x in texts]
+    assert want[3] == [806, 49407, 343, 2] and 49407 not in want[5]
+    e = record_files.encoder(record_files.TOKENIZER)
+    assert [record_files.unpack_varints(x).tolist() for x in e.encode(pa.array(texts), 2)] == want
+    folder = shared_folder(make([]).sparkSession, "records")
+    got = sorted(record_files.read_records(record_files.write_records(make(texts[:9]), folder)).collect(), key=lambda r: r["doc_id"])
+    assert [np.frombuffer(r["ids"], "<u4").tolist() for r in got] == want[:9]
+    assert [r["start"] for r in got] == [sum(map(len, want[:i])) for i in range(9)]
+
+
 # ---- language
 
 def test_language(spark, make):
