@@ -15,8 +15,10 @@ A document's set is its distinct word shingles; two documents are linked when
     large groups of near copies into components at once.
 4.  *Recursion.*  A node whose members are all in one component is done.
     Other nodes of at most ``SMALL`` members are compared exhaustively; larger ones
-    branch again by one or two further minwise tokens (1 / similarity on average),
-    up to ``DEPTH`` levels.  A child that keeps over ``STUCK`` percent of its
+    branch again by further minwise tokens, up to ``DEPTH`` levels.  Their number
+    (``branches``: 2.2 a node on average at 0.80, 1.8 at 0.85) is the least that loses a pair at the
+    threshold in all trees with at most ``MISSED``, all levels counted; 1 / similarity
+    would keep one common child on average, a process that dies out.  A child that keeps over ``STUCK`` percent of its
     parent's members is not branched again, as its members share most tokens and
     further ones would not part them.  What is still large and mixed then is compared in
     blocks: nodes of the same least member are merged, and all members outside the
@@ -27,8 +29,9 @@ A document's set is its distinct word shingles; two documents are linked when
     (``SIGMAS`` standard deviations below the threshold) are confirmed on the full
     sets of shingles; components come from alternating large-star / small-star steps.
 
-A link is missed only if its sets part in all trees (0.15 ** 10 at similarity
-0.85 for a pair of its own).  A pivot pair that its sketch wrongly rules out is
+A link is missed only if its sets part in all trees: 0.15 ** 10 at similarity
+0.85 for a pair of its own, and at most ``MISSED`` for a pair whose nodes are large,
+mixed and shrinking on all levels (``missed``).  A pivot pair that its sketch wrongly rules out is
 still compared in step 4.
 
 Every step is a join or grouping on node, pair or set; no group is collected,
@@ -46,7 +49,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -65,6 +69,7 @@ SMALL = 64
 DEPTH = 6
 STUCK = 70
 BLOCK = 512
+MISSED = 1e-6
 SIGMAS = 4.5
 
 _RNG = np.random.default_rng(20240229)
@@ -297,13 +302,36 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(size, "node")
 
 
+def missed(percent: int, branches: float, trees: int = TREES, depth: int = DEPTH) -> float:
+    """Chance that all trees part a pair at the threshold whose nodes branch on all
+    levels.  The levels share the sketch, so the trees are independent only given
+    the share of its values that agree."""
+    p, k, out = percent / 100, int(branches), 0.0
+    for same in range(SKETCH + 1):
+        lost = 0.0  # below a node that holds both
+        for _ in range(depth):
+            child = 1 - same / SKETCH * (1 - lost)
+            lost = child ** k * (1 - (branches - k) * (1 - child))
+        out += comb(SKETCH, same) * p ** same * (1 - p) ** (SKETCH - same) * (1 - p + p * lost) ** trees
+    return out
+
+
+@cache
+def branches(percent: int) -> float:
+    """The least average number of children of a set in a node, in steps of 0.05,
+    that misses at most ``MISSED``, or what comes closest (eight)."""
+    return next((n / 20 for n in range(20, 160) if missed(percent, n / 20) <= MISSED), 8.0)
+
+
 def _children(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Branch nodes by one further minwise token, or two with the chance that
-    makes it 100 / percent on average."""
-    pick = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(SKETCH)).cast("int")
-    second = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(percent)) < 100 - percent
-    picks = F.when(second, F.array(pick(1), pick(2))).otherwise(F.array(pick(1)))
-    branched = rows.withColumn("pick", F.explode(F.array_distinct(picks))).join(sets.select("set_id", "sketch"), "set_id")
+    """Branch nodes by ``branches(percent)`` further minwise tokens on average, all
+    different: the whole part of them, and one more with the chance of the rest."""
+    number = lambda k, n: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(n)).cast("int")
+    some = int(branches(percent))
+    more = number(3, 100) < round(100 * (branches(percent) - some))
+    pick = lambda i: F.pmod(number(1, SKETCH) + F.lit(i) * (2 * number(2, SKETCH // 2) + 1), F.lit(SKETCH))
+    picks = F.when(more, F.array(*map(pick, range(some + 1)))).otherwise(F.array(*map(pick, range(some))))
+    branched = rows.withColumn("pick", F.explode(picks)).join(sets.select("set_id", "sketch"), "set_id")
     child = F.xxhash64("node", "pick", F.expr("substring(sketch, 2 * pick + 1, 2)"))
     return branched.select(child.alias("node"), "set_id", "comp", F.col("size").alias("parent"))
 

@@ -347,6 +347,32 @@ def test_near_duplicates_equal_brute_force(make, monkeypatch, small, depth):
     assert got == [(i, sizes[i], root[i], root[i] == i) for i in range(len(texts))]
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates_survive_large_nodes(percent):
+    """Pairs at the threshold, drawn: the branching keeps them together as often as stated."""
+    rnd = np.random.default_rng(percent)
+    branches, n = cpsjoin_dedup.branches(percent), 20_000
+    assert cpsjoin_dedup.missed(percent, branches) <= cpsjoin_dedup.MISSED < cpsjoin_dedup.missed(percent, 100 / percent)
+    share = rnd.binomial(cpsjoin_dedup.SKETCH, percent / 100, n) / cpsjoin_dedup.SKETCH
+    alive = rnd.random(n) < percent / 100
+    held = alive.astype(int)
+    for _ in range(cpsjoin_dedup.DEPTH):
+        picks = held * int(branches) + rnd.binomial(held, branches % 1)
+        held = rnd.binomial(picks, share)
+    assert abs((held == 0).mean() - cpsjoin_dedup.missed(percent, branches, trees=1)) < 0.02
+
+
+def test_branches_are_distinct_and_as_many_as_stated(spark):
+    rows = spark.range(400).selectExpr("id as node", "cast(id as string) as set_id", "'c' as comp", "100L as size")
+    sets = spark.range(400).selectExpr("cast(id as string) as set_id", "cast(repeat('ab', 128) as binary) as sketch")
+    for percent in (80, 85):
+        n = cpsjoin_dedup._children(rows, sets, percent).groupBy("set_id").agg(F.countDistinct("node").alias("n"), F.count("*").alias("all"))
+        got = [tuple(r) for r in n.select("n", "all").collect()]
+        want = cpsjoin_dedup.branches(percent)
+        assert {a for a, _ in got} <= {int(want), int(want) + 1} and all(a == b for a, b in got)
+        assert abs(np.mean([a for a, _ in got]) - want) < 0.1
+
+
 def test_drop_near_duplicates_keeps_one_row_of_each(make):
     texts = [CLEAN, CLEAN, CLEAN, CLEAN + " more", "", None, "alone here", "no id", None]
     ids = [4, 4, 2, 9, 1, 1, 8, None, None]
