@@ -10,7 +10,12 @@ label to one that they miss ("555-010-9999").
 * Only tokens with a digit or an ``@`` are variables; all others are fixed
   to "none", so the field is small even in long texts.
 * The occurrences of a key are linked in a row, each with the next, not in all
-  pairs: a token repeated n times has n - 1 skip edges.
+  pairs: a token repeated n times has n - 1 skip edges.  When the field labels a text,
+  each mention that the patterns miss is also linked to its key's nearest mention
+  that they know, so evidence reaches all of them however many there are; the
+  patterns' labels are fixed, so many bare mentions do not outvote them.
+* Messages run until none changes by ``STILL``, at most ``ROUNDS`` steps; texts
+  that are done early are left out of later steps.
 * The weights are trained by gradient descent on the pseudo-likelihood of the
   base labels over at most ``TRAIN_DOCS`` documents (those with the smallest
   hash of the id among documents with an ``@`` or a digit).  The label that a
@@ -42,7 +47,8 @@ KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 4_000
 SURE = 0.9
 LINKED = 0.5
-ROUNDS = 12
+STILL = 1e-3
+ROUNDS = 1_000
 
 _LOCAL = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -135,10 +141,10 @@ class Graph:
 
     def __init__(self):
         self.text, self.start, self.end, self.x, self.label = [], [], [], [], []
-        self.chain, self.skip = [], []
+        self.chain, self.skip, self.anchor = [], [], []
 
     def add(self, number: int, text: str, spans: list[tuple[int, int, int]]) -> None:
-        last, seen = -2, defaultdict(lambda: -1)
+        last, mentions = -2, defaultdict(list)
         spans = sorted(spans, key=lambda s: s[1])
         linked, i = set(), 0
         for n, m in enumerate(_TOKEN.finditer(text)):
@@ -160,15 +166,27 @@ class Graph:
                 self.chain.append((v - 1, v))
             last = n
             for k in keys(m[0]):
-                u = seen[k]
-                if u >= 0 and (u, v) not in linked and u != v:
+                u = mentions[k][-1] if mentions[k] else v
+                if (u, v) not in linked and u != v:
                     self.skip.append((u, v))
                     linked.add((u, v))
-                seen[k] = v
-
-    def arrays(self):
-        edges = np.array([*self.chain, *self.skip], np.int64).reshape(-1, 2)
-        kind = np.array([0] * len(self.chain) + [1] * len(self.skip), np.int64)
+                mentions[k].append(v)
+        for same in mentions.values():
+            known = [v for v in same if self.label[v]]
+            at = 0
+            for v in same if known else ():
+                while at + 1 < len(known) and abs(known[at + 1] - v) <= abs(known[at] - v):
+                    at += 1
+                u = known[at]
+                edge = (min(u, v), max(u, v))
+                if not self.label[v] and edge not in linked:
+                    self.anchor.append(edge)
+                    linked.add(edge)
+
+    def arrays(self, anchors: bool = False):
+        skip = [*self.skip, *(self.anchor if anchors else ())]
+        edges = np.array([*self.chain, *skip], np.int64).reshape(-1, 2)
+        kind = np.array([0] * len(self.chain) + [1] * len(skip), np.int64)
         return np.array(self.x).reshape(-1, FEATURES), np.array(self.label, np.int64), edges, kind
 
 
@@ -215,26 +233,33 @@ class Field:
         return self
 
     def marginals(self, graph: Graph, rounds: int = ROUNDS) -> np.ndarray:
-        """Loopy sum-product message passing over chain and skip edges."""
-        x, y, edges, kind = graph.arrays()
+        """Loopy sum-product message passing over chain, skip and anchor edges; a
+        pattern's label is given."""
+        x, y, edges, kind = graph.arrays(anchors=True)
         z = self.unary(x, y)
-        if not len(edges):
-            b = z
-        else:
+        z[(y > 0)[:, None] & (np.arange(LABELS) != y[:, None])] = -1e6
+        b = z.copy()
+        if len(edges):
             src, dst = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
-            back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
-            pair = self.pair[np.concatenate([kind, kind])]
-            msg = np.zeros((len(src), LABELS))
+            kind, of = np.concatenate([kind, kind]), np.array(graph.text)[src]
+            msg, on = np.zeros((len(src), LABELS)), np.arange(len(src))  # on: edges of texts that still change
+            s, d, pair, back = src, dst, self.pair[kind], (on + len(edges)) % len(on)
             for _ in range(rounds):
-                b = z.copy()
-                np.add.at(b, dst, msg)
-                out = (b[src] - msg[back])[:, :, None] + pair
+                out = (b[s] - msg[on][back])[:, :, None] + pair
                 top = out.max(axis=1)
                 new = top + np.log(np.exp(out - top[:, None, :]).sum(axis=1))
                 new -= new.max(axis=1, keepdims=True)
-                msg = (msg + new) / 2
-            b = z.copy()
-            np.add.at(b, dst, msg)
+                new = (msg[on] + new) / 2
+                moving = np.abs(new - msg[on]).max(axis=1) >= STILL
+                np.add.at(b, d, new - msg[on])
+                msg[on] = new
+                if not moving.any():
+                    break
+                live = np.isin(of[on], np.unique(of[on[moving]]))
+                if 2 * live.sum() < len(on):
+                    on = on[live]
+                    s, d, pair = src[on], dst[on], self.pair[kind[on]]
+                    back = (np.arange(len(on)) + len(on) // 2) % len(on)
         p = np.exp(b - b.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True)
 
@@ -251,7 +276,8 @@ def add_spans(texts: list[str], base: list[list[tuple[int, int, int]]], field: F
     p = field.marginals(graph)
     best, joined = p.argmax(axis=1), set(graph.chain)
     label, need = np.array(graph.label), np.full(len(p), sure)
-    for a, b in (*graph.skip, *((v, u) for u, v in graph.skip)):
+    skip = [*graph.skip, *graph.anchor]
+    for a, b in (*skip, *((v, u) for u, v in skip)):
         if label[a] == best[b]:
             need[b] = LINKED
     last = -2

@@ -272,6 +272,19 @@ def test_pii_skip_edges_add_repeated_mentions(make):
     assert rows(skipchain_pii.detect(make(["", None])).select("spans", "n_email")) == [("", 0), ("", 0)]
 
 
+@pytest.mark.parametrize("n", [1, 2, 20, 200])
+def test_pii_label_reaches_every_mention(make, n):
+    rnd = random.Random(5)
+    numbers = [f"+1 ({rnd.randint(200, 999)}) 555-{rnd.randint(1000, 9999)}" for _ in range(60)]
+    said = [f"call {n} now, section 4.0. of the year 2024 and line 17; again {n} or in 2024 by section 4.0. only" for n in numbers]
+    field = skipchain_pii.fit(make([*EDGES, *said]))
+    for at in (0, n // 2, n):  # the mention that the pattern finds: first, between, last
+        parts = ["then 222-555-3141 was said in section 4.0. of 1999"] * n
+        parts.insert(at, "call +1 (222) 555-3141 today")
+        base, added = skipchain_pii.find(["; ".join(parts)], field)
+        assert len(base[0]) == 1 and ["; ".join(parts)[s:e] for _, s, e in added[0]] == ["222-555-3141"] * n
+
+
 # ---- co-training
 
 def test_cotraining_learns_and_handles_edges(spark, make):
