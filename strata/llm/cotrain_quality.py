@@ -4,17 +4,22 @@
   shape measures of the text.  Metadata view: logistic regression on source,
   language, length class and missing fields, hashed to ``META`` columns; it
   never sees the text.
-* Rounds: each view is trained on its labelled rows; the rows of the
-  unlabelled pool of which one view is sure (calibrated probability of its
-  label at least ``SURE``) get that pseudo-label in the *other* view's training
-  rows.  Labels are balanced by weight.  An exchange that raises a view's log
+* Rounds: each view is trained on its labelled rows; all unlabelled documents
+  of which one view is sure (calibrated probability of its label at least
+  ``SURE`` at the start of the round) get that pseudo-label in the *other* view's
+  training.  Labels are balanced by weight.  An exchange that raises a view's log
   loss on the held-back labelled rows is not kept.
+* The pseudo-labelled documents stay where they are.  A round makes ``PASSES``
+  passes over the features of all unlabelled documents, written once to the shared folder;
+  each sums, per view, class and column, the gradient of their loss at the present weights
+  and a bound of its curvature (an x x' is at most the diagonal |x| sum|x|).  The weights then
+  minimise the labelled rows' loss plus that quadratic, which lies above the loss.
 * Each view is calibrated (Platt scaling on the held-back rows) and the two
   calibrated log odds are combined by a second logistic regression on the
   same rows.
-* Fitting uses at most ``SEED_DOCS`` labelled and ``POOL_DOCS`` unlabelled
-  documents (smallest hash of the id); their hashed features go to the driver.
-  The fitted weights, of fixed size, score every document.
+* The features of at most ``SEED_DOCS`` labelled documents (smallest hash of the
+  id) go to the driver; of the unlabelled ones only sums of fixed size.  The fitted
+  weights, of fixed size, score every document.
 
 Defined cases: labels of a document that disagree count by their lowest
 quality; null text has no tokens, null metadata is a value of its own; without
@@ -31,6 +36,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import materialize
+
 from .common import text_of
 from .llr_quality import Tokens, line_metrics, repeated_window_words
 from .vocabulary import groups, spread
@@ -39,8 +46,9 @@ TEXT_BITS = 14
 SHAPE = 8
 META = 256
 SEED_DOCS = 4_000
-POOL_DOCS = 4_000
 ROUNDS = 3
+PASSES = 3
+UNIT = 1 << 20  # sums travel as whole numbers of 1 / UNIT: their order does not matter
 SURE = 0.95
 
 _KEPT: dict[str, Tokens] = {}
@@ -118,16 +126,36 @@ def log_loss(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     return float(-(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / weight.sum())
 
 
-def balanced(y: np.ndarray) -> np.ndarray:
-    share = np.bincount(y.astype(int), minlength=2).clip(1)
-    return len(y) / (2 * share[y.astype(int)])
+class Sums:
+    """Of a view's pseudo-labelled documents: the number of each class, and per class and
+    column the gradient of their loss at some weights and a bound of its curvature."""
+
+    def __init__(self, size: int):
+        self.n, self.gradient, self.bound = np.zeros(2), np.zeros((2, size)), np.zeros((2, size))
+
+    def add(self, rows: Rows, w: np.ndarray, given: np.ndarray) -> None:
+        p, length = sigmoid(rows.dot(w)), np.bincount(rows.of, np.abs(rows.value), rows.n)
+        for y in (0, 1):
+            on = given == y
+            self.n[y] += on.sum()
+            self.gradient[y] += rows.back(np.where(on, p - y, 0.0), len(w))
+            self.bound[y] += np.bincount(rows.at, np.abs(rows.value) * np.where(on, length / 4, 0.0)[rows.of], len(w))
 
 
-def train(rows: Rows, y: np.ndarray, size: int, steps: int = 150, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
-    """Logistic regression, full-batch gradient steps with per-weight rates."""
-    w, seen, weight = np.zeros(size), np.full(size, 1e-8), balanced(y)
+def train(rows: Rows, y: np.ndarray, size: int, steps: int = 150, rate: float = 0.5, decay: float = 1e-4,
+          sums: Sums | None = None, at: np.ndarray | None = None) -> np.ndarray:
+    """Logistic regression, full-batch gradient steps with per-weight rates; with
+    ``sums`` at the weights ``at``, over their documents too, starting there."""
+    w, seen = np.zeros(size) if at is None else at.copy(), np.full(size, 1e-8)
+    share = np.bincount(y.astype(int), minlength=2) + (0 if sums is None else sums.n)
+    total, of_class = share.sum(), share.sum() / (2 * share.clip(1))
+    weight = of_class[y.astype(int)]
+    slope, bound = (0.0, 0.0) if sums is None else (of_class @ sums.gradient, of_class @ sums.bound)
     for _ in range(steps):
-        g = rows.back((sigmoid(rows.dot(w)) - y) * weight / len(y), size) + decay * w
+        g = rows.back((sigmoid(rows.dot(w)) - y) * weight, size)
+        if sums is not None:
+            g = g + slope + bound * (w - at)
+        g = g / total + decay * w
         seen += g * g
         w -= rate * g / np.sqrt(seen)
     return w
@@ -163,42 +191,39 @@ class Model:
         return sigmoid(np.column_stack([a, b, self.both[0] * a + self.both[1] * b + self.both[2]]))
 
 
-def co_train(text: Rows, meta: Rows, y: np.ndarray, rounds: int = ROUNDS, seed: int = 3) -> Model:
-    """``y``: 1, 0, or -1 for rows of the unlabelled pool."""
-    labelled, pool = np.flatnonzero(y >= 0), np.flatnonzero(y < 0)
-    if len(np.unique(y[labelled])) < 2:
-        return Model(share=float(y[labelled].mean()) if len(labelled) else 1.0)
-    order = np.random.default_rng(seed).permutation(labelled)
+def sure_labels(rows: Rows, w: np.ndarray, cal: tuple[float, float]) -> np.ndarray:
+    """1 or 0 where a view is sure, else -1."""
+    p = sigmoid(rows.dot(w) * cal[0] + cal[1])
+    return np.where(p >= SURE, 1, np.where(p <= 1 - SURE, 0, -1))
+
+
+def co_train(text: Rows, meta: Rows, y: np.ndarray, exchange, rounds: int = ROUNDS, passes: int = PASSES, seed: int = 3) -> Model:
+    """``y``: 1 or 0.  ``exchange(views, at)``: the ``Sums`` of both views over all unlabelled
+    documents, labelled by the other of ``views`` (weights, calibration), at the weights ``at``."""
+    if len(np.unique(y)) < 2:
+        return Model(share=float(y.mean()) if len(y) else 1.0)
+    order = np.random.default_rng(seed).permutation(len(y))
     hold, fit = order[:max(1, len(order) // 4)], order[max(1, len(order) // 4):]
     views, sizes = (text, meta), (TEXT_SIZE, META_SIZE)
-    held, gold = [v.pick(hold) for v in views], y[hold].astype(float)
-    pseudo = [np.full(len(y), -1), np.full(len(y), -1)]  # what each view got from the other
-    best: list = [None, None]
-
-    def fitted(k: int, extra: np.ndarray):
-        rows = np.concatenate([fit, np.flatnonzero(extra >= 0)])
-        label = np.where(y >= 0, y, extra)[rows].astype(float)
-        w = train(views[k].pick(rows), label, sizes[k])
+    held, rows = [v.pick(hold) for v in views], [v.pick(fit) for v in views]
+    gold, label = y[hold].astype(float), y[fit].astype(float)
+
+    def judged(k: int, w: np.ndarray):
         cal = platt(held[k].dot(w), gold)
         return w, cal, log_loss(sigmoid(held[k].dot(w) * cal[0] + cal[1]), gold, np.ones(len(gold)))
 
-    for k in (0, 1):
-        best[k] = fitted(k, pseudo[k])
-    pooled = [v.pick(pool) for v in views]
-    for _ in range(rounds if len(pool) else 0):
-        sure = []
-        for k in (0, 1):
-            p = sigmoid(pooled[k].dot(best[k][0]) * best[k][1][0] + best[k][1][1])
-            sure.append(np.where(p >= SURE, 1, np.where(p <= 1 - SURE, 0, -1)))
-        for k in (0, 1):
-            extra = pseudo[k].copy()
-            given = sure[1 - k]
-            extra[pool[given >= 0]] = given[given >= 0]
-            new = fitted(k, extra)
-            if new[2] <= best[k][2] + 1e-9:
-                best[k], pseudo[k] = new, extra
+    best = [judged(k, train(rows[k], label, sizes[k])) for k in (0, 1)]
+    for _ in range(rounds):
+        given, now = [b[:2] for b in best], [b[0] for b in best]
+        for _ in range(passes):
+            sums = exchange(given, now)
+            if not any(x.n.sum() for x in sums):
+                break
+            now = [train(rows[k], label, sizes[k], sums=sums[k], at=now[k]) if sums[k].n.sum() else now[k] for k in (0, 1)]
+        new = [judged(k, now[k]) for k in (0, 1)]
+        best = [n if n[2] <= b[2] + 1e-9 else b for n, b in zip(new, best, strict=True)]
     odds = np.column_stack([held[k].dot(best[k][0]) * best[k][1][0] + best[k][1][1] for k in (0, 1)])
-    return Model(best[0][0], best[1][0], best[0][1], best[1][1], platt(odds, gold), float(y[labelled].mean()))
+    return Model(best[0][0], best[1][0], best[0][1], best[1][1], platt(odds, gold), float(y.mean()))
 
 
 # ---------------------------------------------------------------- on Spark
@@ -219,14 +244,10 @@ def _smallest(ids: DataFrame, most: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(most)
 
 
-def fit(docs: DataFrame, labels: DataFrame, seed_docs: int = SEED_DOCS, pool_docs: int = POOL_DOCS) -> Model:
-    truth = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id")
-             .agg((F.min("quality") > 0).cast("int").alias("y")))
-    ids = docs.select("doc_id").where("doc_id is not null").distinct()
-    pool = _smallest(ids.join(truth, "doc_id", "left_anti"), pool_docs).withColumn("y", F.lit(-1))
-    chosen = _smallest(truth.join(ids, "doc_id", "left_semi"), seed_docs).unionByName(pool)
-    rows = docs.select("doc_id", text_of(docs).alias("text"), *metadata(docs)).join(F.broadcast(chosen), "doc_id")
+FEATURES = "doc_id long, y int, at binary, value binary, _source string, _lang string, _length string"
 
+
+def _features(rows: DataFrame) -> DataFrame:
     def features(batches):
         for pdf in batches:
             texts = pdf["text"].tolist()
@@ -236,18 +257,63 @@ def fit(docs: DataFrame, labels: DataFrame, seed_docs: int = SEED_DOCS, pool_doc
                 cut = np.cumsum(np.bincount(x.of, minlength=x.n))[:-1]
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].tolist(), "y": part["y"].tolist(),
-                    "at": [a.astype(np.int32).tobytes() for a in np.split(x.at[order], cut)],
-                    "value": [v.astype(np.float32).tobytes() for v in np.split(x.value[order], cut)],
+                    "at": [a.astype("<u2").tobytes() for a in np.split(x.at[order], cut)],
+                    "value": [v.astype("<f4").tobytes() for v in np.split(x.value[order], cut)],
                     **{n: part[n].tolist() for n in NAMES}})
 
-    found = (rows.mapInPandas(features, "doc_id long, y int, at binary, value binary, _source string, _lang string, _length string")
-             .toPandas().sort_values(["doc_id", "y", "at", "value"]).reset_index(drop=True))
+    return rows.mapInPandas(features, FEATURES)
+
+
+def _both_rows(pdf: pd.DataFrame) -> tuple[Rows, Rows]:
+    size = np.array([len(a) // 2 for a in pdf["at"]])
+    text = Rows(np.frombuffer(b"".join(pdf["at"]), "<u2").astype(np.int64), np.frombuffer(b"".join(pdf["value"]), "<f4").astype(float),
+                np.repeat(np.arange(len(size)), size), len(size))
+    return text, meta_rows({n: pdf[n].tolist() for n in NAMES})
+
+
+def exchanged(pool: DataFrame, views: list, at: list) -> list[Sums]:
+    """``Sums`` of both views over the features of the whole pool, in one pass."""
+    sizes = (TEXT_SIZE, META_SIZE)
+
+    def part(batches):
+        sums = [Sums(n) for n in sizes]
+        for pdf in batches:
+            if len(pdf):
+                rows = _both_rows(pdf)
+                for k in (0, 1):
+                    sums[k].add(rows[k], at[k], sure_labels(rows[1 - k], *views[1 - k]))
+        for k in (0, 1):
+            for y in (0, 1):
+                if sums[k].n[y]:
+                    g, h = (np.rint(x[y] * UNIT).astype(np.int64) for x in (sums[k].gradient, sums[k].bound))
+                    on = np.flatnonzero((g != 0) | (h != 0))
+                    yield pd.DataFrame({"k": k, "y": y, "i": np.append(on, -1), "g": np.append(g[on], int(sums[k].n[y])), "h": np.append(h[on], 0)})
+
+    cores = pool.sparkSession.sparkContext.defaultParallelism  # one partial sum a core, not one a file split
+    found = pool.coalesce(cores).mapInPandas(part, "k int, y int, i int, g long, h long").groupBy("k", "y", "i").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toPandas()
+    out = [Sums(n) for n in sizes]
+    for (k, y), f in found.groupby(["k", "y"]):
+        i, g, h = (f[c].to_numpy() for c in "igh")
+        out[k].n[y] = g[i < 0].sum()
+        out[k].gradient[y, i[i >= 0]] = g[i >= 0] / UNIT
+        out[k].bound[y, i[i >= 0]] = h[i >= 0] / UNIT
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, seed_docs: int = SEED_DOCS) -> Model:
+    truth = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id")
+             .agg((F.min("quality") > 0).cast("int").alias("y")))
+    ids = docs.select("doc_id").where("doc_id is not null").distinct()
+    chosen = _smallest(truth.join(ids, "doc_id", "left_semi"), seed_docs)
+    rows = docs.select("doc_id", text_of(docs).alias("text"), *metadata(docs))
+    found = _features(rows.join(F.broadcast(chosen), "doc_id")).toPandas().sort_values(["doc_id", "y", "at", "value"]).reset_index(drop=True)
     if not len(found):
         return Model()
-    at = [np.frombuffer(a, np.int32) for a in found["at"]]
-    text = Rows(np.concatenate(at).astype(np.int64), np.concatenate([np.frombuffer(v, np.float32) for v in found["value"]]).astype(float),
-                np.repeat(np.arange(len(at)), [len(a) for a in at]), len(at))
-    return co_train(text, meta_rows({n: found[n].tolist() for n in NAMES}), found["y"].to_numpy())
+    y = found["y"].to_numpy()
+    if len(np.unique(y)) < 2:
+        return Model(share=float(y.mean()))
+    pool = materialize(_features(rows.join(truth, "doc_id", "left_anti").withColumn("y", F.lit(-1))))
+    return co_train(*_both_rows(found), y, lambda views, at: exchanged(pool, views, at))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:

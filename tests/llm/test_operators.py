@@ -299,6 +299,16 @@ def test_cotraining_learns_and_handles_edges(spark, make):
     assert {r["score"] for r in cotrain_quality.score(make(EDGES), spark.createDataFrame([], LABELS)).collect()} == {1.0}
 
 
+def test_cotraining_exchanges_over_the_whole_pool(spark, make):
+    texts = [f"river stone {i}" for i in range(4_300)]
+    pool = cotrain_quality._features(make(texts).select("doc_id", "text", *cotrain_quality.metadata(make(texts)), F.lit(-1).alias("y")))
+    w = [np.zeros(cotrain_quality.TEXT_SIZE), np.zeros(cotrain_quality.META_SIZE)]
+    text, meta = cotrain_quality.exchanged(pool, [(w[0], (1.0, -9.0)), (w[1], (1.0, 9.0))], w)
+    assert text.n.tolist() == [0, 4_300] and meta.n.tolist() == [4_300, 0]
+    rows = cotrain_quality.text_rows(texts)
+    assert np.allclose(text.gradient[1], rows.back(np.full(rows.n, -0.5), cotrain_quality.TEXT_SIZE), atol=1e-2)
+
+
 # ---- preference pairs
 
 def test_preference_pairs(spark):
