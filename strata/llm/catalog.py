@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from . import (
     cotrain_quality,
     cpsjoin_dedup,
+    filter_audit,
     license_scan,
     llr_quality,
+    piece_bpe,
     preference_chat,
     record_files,
     skipchain_pii,
+    source_divergence,
     subword_langid,
     tree_bpe,
     wu_manber,
@@ -68,12 +71,26 @@ def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_quality_llr, op3_decontaminate_wu_manber, op4_token_records, op5_language_id, op6_pii_skipchain,
-        op7_quality_cotraining, op8_preference_pairs, op9_near_dedup, op10_bpe_tree)}
+        op7_quality_cotraining, op8_preference_pairs, op9_near_dedup, op10_bpe_tree,
+        op11_piece_agenda, op12_filter_audit, op13_source_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_license_scan": license_scan.oracle_sql(), "op3_decontaminate_wu_manber": wu_manber.ORACLE_SQL,
-            "op8_preference_pairs": preference_chat.ORACLE_SQL, "op9_near_dedup": cpsjoin_dedup.ORACLE_SQL}
+            "op8_preference_pairs": preference_chat.ORACLE_SQL, "op9_near_dedup": cpsjoin_dedup.ORACLE_SQL,
+            "op12_filter_audit": filter_audit.ORACLE_SQL, "op13_source_divergence": source_divergence.ORACLE_SQL}
