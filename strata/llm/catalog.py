@@ -40,8 +40,7 @@ def op3_decontaminate_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = record_files.token_files(spark, table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "start", "n_tokens", record_files.ids_crc32("ids").alias("ids_crc32"))
+    return record_files.token_files(spark, table(spark, sf_dir, "documents"), digest=True)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

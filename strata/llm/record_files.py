@@ -26,12 +26,9 @@ repeated rows each get a record; an empty table gives no file and no rows.
 from __future__ import annotations
 
 import os
-import re
 import struct
-import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -255,92 +252,58 @@ def read_record(uri: str, offset: int, length: int) -> dict[str, np.ndarray]:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-class Memory:
-    """What ``make`` gives for keys; of more than ``keep``, the older go first."""
-
-    def __init__(self, keep: int, make):
-        self.keep, self.make, self.recent, self.older = keep, make, {}, {}
-
-    def having(self, keys) -> dict[bytes, bytes]:
-        """A mapping that holds all the keys."""
-        if len(self.recent) > self.keep:
-            self.recent, self.older = {}, self.recent
-        unknown = set(keys).difference(self.recent)
-        self.recent.update((k, self.older[k]) for k in unknown.intersection(self.older))
-        self.recent.update(self.make(list(unknown.difference(self.older))))
-        return self.recent
-
-
 class Encoder:
-    """The tokenizer, with memories of the ids of words and of their parts.
+    """The tokenizer, with a memory of the ids of words.
 
     With this kind of tokenizer file every step (NFC, white-space folding,
     lower-casing, splitting into pieces, merging inside a piece) works inside the
-    words between ASCII white space, and each piece on its own.  ``PARTS`` cuts a
-    word, A-Z lower-cased, into pieces where these are plain ASCII, and keeps the
-    rest of it from the first piece that touches another character whole.  Each
-    distinct part goes through the library, many at once in one text.  Splitting
-    and joining are Arrow's; the memories have a bound.
+    words between ASCII white space.  Each distinct word, A-Z lower-cased, goes
+    through the library, many in one call.  Splitting and joining are Arrow's.  The
+    memory is bounded in bytes and starts anew when full; long words are not kept.
 
     The library takes an added token's literal ("<|endoftext|>") in a text, in just
     this case, as its one id, before any other step.  Texts that hold one go through
-    the library whole.  Parts are of texts without one, but lower-casing can make
+    the library whole.  Words are of texts without one, but lower-casing can make
     one ("<|ENDOFTEXT|>"), so for them the library is told to spell it out."""
 
-    KEEP = 150_000
-    PARTS = re.compile(rb"[a-z]++(?![\x80-\xff])|'(?:s|t|re|ve|m|ll|d)(?:(?![\x80-\xff])|\S*)|[0-9]|[^\s0-9a-z\x80-\xff]++(?![\x80-\xff])|\S+")
-    MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    KEEP_BYTES = 96 << 20
+    KEEP_WORD = 64
+    ENTRY_BYTES = 200
+    CALL = 2000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.spelling = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.spelling.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.literals = [t.content for t in added]
-        self.plain = all(t.special and not t.normalized for t in added)  # then a literal counts as it stands in the text, and parts never hold one
-        self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.last[i] = token.endswith("</w>")
-        self.packed = [_varint(i) for i in range(len(self.last))]
-        self.words, self.parts = Memory(self.KEEP, self._words), Memory(self.KEEP, self._parts)
-
-    def pieces(self, part: bytes) -> int:
-        """How many pieces the tokenizer makes of a part, or 0 where that is not plain to see."""
-        if part.isascii():
-            return len(self.PARTS.findall(part))
-        core = part.strip(self.MARKS)
-        middle = core.decode("utf-8", "surrogatepass")
-        if not middle.lower().isalpha() or not unicodedata.is_normalized("NFC", middle):
-            return 0
-        return 1 + (part[0] != core[0]) + (part[-1] != core[-1])
+        self.plain = all(t.special and not t.normalized for t in added)  # then a literal counts as it stands in the text
+        self.packed = [_varint(i) for i in range(self.tokenizer.get_vocab_size() + 1)]
+        self.known: dict[bytes, bytes] = {}
+        self.room = self.KEEP_BYTES
 
     def _pack(self, ids) -> bytes:
         return b"".join(map(self.packed.__getitem__, ids))
 
-    def _encode(self, parts: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.spelling.encode_batch_fast([p.decode("utf-8", "surrogatepass") for p in parts], add_special_tokens=False)]
-
-    def _parts(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        size = {p: n for p in parts if (n := self.pieces(p))}
-        plain = list(size)
-        for i in range(0, len(plain), 2000):
-            some = plain[i:i + 2000]
-            ids = self._encode([b" ".join(some)])[0]
-            ends = np.flatnonzero(self.last[ids]) + 1  # a piece's last token, and no other, has the end mark
-            cut = np.cumsum([size[p] for p in some])
-            if len(ends) == cut[-1]:
-                stop = ends[cut - 1].tolist()
-                yield from ((p, self._pack(ids[a:b])) for p, a, b in zip(some, [0, *stop], stop, strict=False))
-            else:
-                yield from zip(some, map(self._pack, self._encode(some)), strict=True)
-        rest = [p for p in parts if p not in size]
-        yield from zip(rest, map(self._pack, self._encode(rest)), strict=True)
-
-    def _words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        parts = list(map(self.PARTS.findall, words))
-        get = self.parts.having(set(chain.from_iterable(parts))).__getitem__
-        return ((w, b"".join(map(get, p))) for w, p in zip(words, parts, strict=True))
+    def _encode(self, texts: list[str], spelled: bool) -> Iterator[bytes]:
+        """Packed ids of each text; ``spelled``: added tokens' literals are ordinary text."""
+        self.tokenizer.encode_special_tokens = spelled
+        return (self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct words."""
+        found = list(map(self.known.get, words))
+        unknown = [i for i, f in enumerate(found) if f is None]
+        for at in range(0, len(unknown), self.CALL):
+            some = unknown[at:at + self.CALL]
+            for i, ids in zip(some, self._encode([words[i].decode("utf-8", "surrogatepass") for i in some], True), strict=True):
+                found[i] = ids
+                size = self.ENTRY_BYTES + len(words[i]) + len(ids)
+                if len(words[i]) <= self.KEEP_WORD:
+                    if size > self.room:
+                        self.known, self.room = {}, self.KEEP_BYTES
+                    self.known[words[i]], self.room = ids, self.room - size
+        return found
 
     def _whole(self, texts: pa.Array) -> pa.Array:
         """Which texts go through the library whole."""
@@ -354,12 +317,11 @@ class Encoder:
         whole = self._whole(texts)
         flat, counts = split_words(pc.ascii_lower(pc.if_else(whole, "", texts)))
         coded, end = flat.dictionary_encode(), _varint(end_id)
-        words = coded.dictionary.cast(pa.binary()).to_pylist()
-        packed = pa.array(map(self.words.having(words).__getitem__, words), pa.binary()).take(coded.indices)
+        packed = pa.array(self._words(coded.dictionary.cast(pa.binary()).to_pylist()), pa.binary()).take(coded.indices)
         ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
         out = [t + end for t in pc.binary_join(pa.ListArray.from_arrays(ends, packed), b"").to_pylist()]
         for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
-            out[i] = self._pack(self.tokenizer.encode(texts[i].as_py() or "", add_special_tokens=False).ids) + end
+            out[i] = next(self._encode([texts[i].as_py() or ""], False)) + end
         return out
 
 
@@ -408,9 +370,11 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_
     return docs.sparkSession.read.schema(INDEX).parquet(f"{folder}/index")
 
 
-def read_records(index: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): the files read back, one task per file.
-    ``start`` counts the ids of all records before it, in file order."""
+def read_records(index: DataFrame, digest: bool = False) -> DataFrame:
+    """(doc_id, start, n_tokens, ids): the files read back, one task per file; with ``digest``
+    the ids' unsigned crc32 (``ids_crc32``) in place of the ids, which then stay in the task.
+    ``start`` counts the ids of all records before it, in file order: one total a file
+    is added up in one task."""
     files = index.groupBy("shard", "file").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     files = files.select("shard", "file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
@@ -423,21 +387,17 @@ def read_records(index: DataFrame) -> DataFrame:
                     found = [deserialize(d) for d in data]
                     ids = [f["input_ids"] for f in found]
                     size = np.fromiter(map(len, ids), np.int64, len(ids))
+                    packed = [i.astype("<u4").tobytes() for i in ids]
                     yield pd.DataFrame({
                         "doc_id": pd.array([int(f["doc_id"][0]) if len(f["doc_id"]) else None for f in found], "Int64"),
-                        "start": start + np.cumsum(size) - size, "n_tokens": size, "ids": [i.astype("<u4").tobytes() for i in ids]})
+                        "start": start + np.cumsum(size) - size, "n_tokens": size,
+                        **({"ids_crc32": [zlib.crc32(p) for p in packed]} if digest else {"ids": packed})})
                     start += int(size.sum())
 
-    return files.repartition(max(1, n)).mapInPandas(read, "doc_id long, start long, n_tokens long, ids binary")
-
+    return files.repartition(max(1, n)).mapInPandas(read, "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary"))
 
-def token_files(spark: SparkSession, docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """Encode, write, read back; ``ids`` as little-endian unsigned 32-bit integers."""
-    return read_records(write_records(docs, shared_folder(spark, "records"), tokenizer))
 
+def token_files(spark: SparkSession, docs: DataFrame, tokenizer: str = TOKENIZER, digest: bool = False) -> DataFrame:
+    """Encode, write, read back; ``ids`` as little-endian unsigned 32-bit integers, or their crc32."""
+    return read_records(write_records(docs, shared_folder(spark, "records"), tokenizer), digest)
 
-def ids_crc32(ids: str):
-    @F.pandas_udf("long")
-    def crc(values: pd.Series) -> pd.Series:
-        return values.map(zlib.crc32).astype("int64")
-    return crc(F.col(ids))
