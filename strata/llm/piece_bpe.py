@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,7 +50,7 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
 
 #: Bytes of words, ids and their bookkeeping that a worker remembers; longer words are not kept.
-KEEP_BYTES = 64 << 20
+KEEP_BYTES = 192 << 20
 KEEP_WORD = 64
 ENTRY_BYTES = 250
 
@@ -137,7 +138,7 @@ class Pieces:
         return [s for s in symbols if s]
 
     def _word(self, word: str) -> bytes:
-        ids = np.array(self.agenda(word), "<u4").tobytes()
+        ids = struct.pack(f"<{len(found := self.agenda(word))}I", *found)
         if len(word) <= KEEP_WORD:
             size = ENTRY_BYTES + 4 * len(word) + len(ids)
             if size > self.room:
@@ -148,11 +149,11 @@ class Pieces:
     def encode(self, text: str | None) -> np.ndarray:
         """All ids of a text, begin and end ids included, as little-endian uint32."""
         marked = (MARK + text.replace(" ", MARK)) if text else ""
-        out = [np.array([self.begin], "<u4").tobytes()]
-        for word in self.words.findall(marked):
-            out.append(self.kept.get(word) or self._word(word))
-        out.append(np.array([self.end], "<u4").tobytes())
-        return np.frombuffer(b"".join(out), "<u4")
+        words = self.words.findall(marked)
+        found = list(map(self.kept.get, words))
+        for i in [i for i, f in enumerate(found) if f is None]:
+            found[i] = self.kept.get(words[i]) or self._word(words[i])
+        return np.frombuffer(b"".join([struct.pack("<I", self.begin), *found, struct.pack("<I", self.end)]), "<u4")
 
     # ---- decoding
 
