@@ -13,8 +13,9 @@ place of a match counts in words.  Detections are one row each; a window over a
 text's detections finds what is contained, and one aggregation brings each text
 back to one row (both on the same key: one shuffle, of detections only).
 
-Rules come from a table of license families times sentence forms, after the
-hand-written notices.
+Rules come from a table of license families times sentence forms (generated), after the
+hand-written notices.  No rule repeats a group without a bound, as the JVM's regexes take a
+stack frame for each repeat: texts of any length are answered.
 
 Defined cases: null text counts as empty; a text without detections has empty
 labels and score 0; repeated rows, also of equal ids, each give a row.
@@ -31,7 +32,7 @@ from .common import text_of
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
 #: Stems of which every rule's keyword has one; a text without any has no detections.
-GATE = ("licen", "spdx", "creativecommons", "public domain", "permission", "redistribution", "gnu", "copyleft", "warrant")
+GATE = ("licen", "spdx", "creativecommons", "public domain", "permission", "redistribution", "gnu", "copyleft", "warrant", "waived")
 
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 _A_Z, _a_z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,11 +51,28 @@ NOTICES = (
     ("boost", "permission", "permission is hereby granted free of charge to any person or organization"),
     ("unlicense", "public domain", "this is free and unencumbered software released into the public domain"),
     ("public domain", "public domain", "(?:placed|released|dedicated) (?:in|into|to) the public domain"),
-    ("cc0", "warrant", "to the extent possible under law .{0,80}waived all copyright"),
+    ("cc0", "waived", "to the extent possible under law (?:[^ ]+ ){0,60}?waived all copyright"),
     ("copyleft", "copyleft", "copyleft(?: all wrongs reserved)?"),
-    ("proprietary", "permission", "(?:no part|may not be) (?:of this \\w+ may be )?reproduced without (?:prior |written |express )*permission"),
+    ("proprietary", "permission", "(?:no part|may not be) (?:of this \\w+ may be )?reproduced without (?:(?:prior|written|express) ){0,6}permission"),
     ("warranty disclaimer", "warrant", "provided as is without warranty of any kind"),
     ("warranty disclaimer", "warrant", "without warranties or conditions of any kind"),
+    ("apache", "license", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("gpl", "license", "everyone is permitted to copy and distribute verbatim copies of this license document"),
+    ("wtfpl", "license", "everyone is permitted to copy and distribute verbatim or modified copies of this license document"),
+    ("mpl", "license", "the contents of this file are subject to the mozilla public license"),
+    ("epl", "license", "the accompanying program is provided under the terms of this eclipse public license"),
+    ("cddl", "license", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("eupl", "licen", "this european union public licen[sc]e the eupl applies to the work"),
+    ("ofl", "license", "this font software is licensed under the sil open font license"),
+    ("artistic", "license", "this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("php", "permission", "the name php must not be used to endorse or promote products derived from this software without prior written permission"),
+    ("postgresql", "permission", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("bsl business", "licens", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("ms pl", "license", "this license governs use of the accompanying software if you use the software you accept this license"),
+    ("cc", "license", "the work as defined below is provided under the terms of this creative commons public license"),
+    ("openssl", "permission", "the names openssl toolkit and openssl project must not be used to endorse or promote products derived from this software without prior written permission"),
+    ("gfdl", "license", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("no derivatives", "licens", "you may not distribute modified versions of the licensed (?:material|work)"),
 )
 
 #: (label, identifier words, names as they stand in prose).
