@@ -61,5 +61,15 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def bounded_rows(df: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` distinct rows (doc_id, ...), those with the smallest hashes of id and row:
+    however often a row or an id is repeated, no more go on.  Only hashes are sorted and compared;
+    the rows come back by them."""
+    one, two = free_name(df, "_one"), free_name(df, "_two")
+    marked = df.withColumn(one, F.xxhash64("doc_id", F.lit(17))).withColumn(two, F.xxhash64(*df.columns))
+    first = marked.select(one, two).distinct().orderBy(one, two).limit(most)
+    return marked.join(F.broadcast(first), [one, two], "left_semi").select(*df.columns).dropDuplicates()
+
+
 def text_of(df: DataFrame) -> Column:
     return F.col("text").cast("string")

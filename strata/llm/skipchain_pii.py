@@ -17,7 +17,7 @@ label to one that they miss ("555-010-9999").
 * Messages run until none changes by ``STILL``, at most ``ROUNDS`` steps; texts
   that are done early are left out of later steps.
 * The weights are trained by gradient descent on the pseudo-likelihood of the
-  base labels over at most ``TRAIN_DOCS`` documents (those with the smallest
+  base labels over at most ``TRAIN_DOCS`` distinct rows (those with the smallest
   hash of the id among documents with an ``@`` or a digit).  The label that a
   pattern gives a token is hidden in half the training tokens, so that
   the field learns to take it from the linked ones.
@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import bounded_rows, text_of
 from .vocabulary import groups
 
 KINDS = ("email", "ip", "card", "phone")
@@ -308,7 +308,7 @@ def fit(docs: DataFrame, most: int = TRAIN_DOCS) -> Field:
     """Weights from the base labels of a bounded set of documents; only the
     token graphs' numbers travel to the driver."""
     rows = docs.select("doc_id", text_of(docs).alias("text")).where(F.col("text").rlike("[0-9@]"))
-    drawn = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    drawn = bounded_rows(rows, most)
 
     def graphs(batches):
         for pdf in batches:
@@ -319,8 +319,7 @@ def fit(docs: DataFrame, most: int = TRAIN_DOCS) -> Field:
                 yield pd.DataFrame({"doc_id": [doc_id], "n": [len(y)], "x": [np.packbits(x.astype(bool)).tobytes()], "y": [y.astype(np.int8).tobytes()],
                                     "edges": [edges.astype(np.int32).tobytes()], "kind": [kind.astype(np.int8).tobytes()]})
 
-    found = (rows.join(F.broadcast(drawn), "doc_id", "left_semi")
-             .mapInPandas(graphs, "doc_id long, n int, x binary, y binary, edges binary, kind binary").toPandas()
+    found = (drawn.mapInPandas(graphs, "doc_id long, n int, x binary, y binary, edges binary, kind binary").toPandas()
              .sort_values(["doc_id", "y", "x"]))
     whole = Graph()
     for r in found.itertuples():

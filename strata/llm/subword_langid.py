@@ -6,9 +6,10 @@ A word is its letter runs, lower-cased; its subwords are the run itself and its
 ``DIM`` numbers.  A text is the mean embedding of all its subwords (of the whole
 text), and a linear layer with softmax gives the language.
 
-* Training uses at most ``TRAIN_DOCS`` rows of the learnable split, drawn evenly
-  over the languages by a hash of the id.  Their sparse subword counts (made in
-  tasks) go to the driver; nothing else does.
+* Training uses about ``TRAIN_DOCS`` distinct rows of the learnable split (never more than
+  twice as many), drawn evenly over the languages by a hash of id and text.  Their sparse
+  subword counts (made in tasks) go to the driver; nothing else does.  At most ``MOST_LANGS``
+  languages, those with most rows, are learned, as the tables have a column for each.
 * One fifth of the training rows is held back to fit the temperature, and the
   rejection limit is the score under which the share ``REJECT`` of the rightly
   predicted held-back rows lies: ``accepted`` is false below it.
@@ -31,7 +32,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, utf8
+from .common import bounded_rows, text_of, utf8
 from .vocabulary import Growing, Vocabulary, groups
 
 BUCKETS = 1 << 15
@@ -39,6 +40,7 @@ DIM = 16
 TRAIN_DOCS = 4_000
 EPOCHS = 6
 RATE = 0.5
+MOST_LANGS = 128
 REJECT = 0.01
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -73,15 +75,12 @@ def training_rows(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
     """At most about ``most`` learnable rows, evenly over the languages."""
     rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), text_of(docs).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.coalesce(held_out(F.col("doc_id")), F.lit(True)))
-    sizes = rows.groupBy("lang").count()
-    each = sizes.select("lang", (F.lit(float(most)) / F.greatest(F.count("*").over(_all()), F.lit(1)) / F.col("count")).alias("share"))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < F.col("share") * 1_000_000
-    return rows.join(each, "lang").where(drawn).select("doc_id", "lang", "text")
-
-
-def _all():
-    from pyspark.sql import Window
-    return Window.partitionBy()  # over one row per language
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
+    share = F.lit(0.0)
+    for r in sizes:  # one row a language: no text meets another by its language
+        share = F.when(F.col("lang") == r["lang"], most / len(sizes) / r["count"]).otherwise(share)
+    drawn = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1_000_000)) < share * 1_000_000)
+    return bounded_rows(drawn, 2 * most).select("doc_id", "lang", "text")
 
 
 def features(rows: DataFrame) -> pd.DataFrame:
