@@ -14,11 +14,11 @@
   each sums, per view, class and column, the gradient of their loss at the present weights
   and a bound of its curvature (an x x' is at most the diagonal |x| sum|x|).  The weights then
   minimise the labelled rows' loss plus that quadratic, which lies above the loss.
-* Each view is calibrated (Platt scaling on the held-back rows) and the two
-  calibrated log odds are combined by a second logistic regression on the
-  same rows.
-* The features of at most ``SEED_DOCS`` labelled documents (smallest hash of the
-  id) go to the driver; of the unlabelled ones only sums of fixed size.  The fitted
+* A sixth of the labelled rows is held back to calibrate each view (Platt scaling) and to judge
+  exchanges; another sixth fits the second logistic regression that combines the two
+  calibrated log odds.
+* The features of at most ``SEED_DOCS`` labelled documents (distinct rows, smallest hashes of
+  the id) go to the driver; of the unlabelled ones only sums of fixed size.  The fitted
   weights, of fixed size, score every document.
 
 Defined cases: labels of a document that disagree count by their lowest
@@ -33,12 +33,13 @@ import zlib
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import materialize
 
-from .common import text_of
+from .common import bounded_rows, text_of
 from .llr_quality import Tokens, line_metrics, repeated_window_words
 from .vocabulary import groups, spread
 
@@ -48,6 +49,8 @@ META = 256
 SEED_DOCS = 4_000
 ROUNDS = 3
 PASSES = 3
+IDS = 1 << 20
+FAN_IN = 64
 UNIT = 1 << 20  # sums travel as whole numbers of 1 / UNIT: their order does not matter
 SURE = 0.95
 
@@ -203,7 +206,7 @@ def co_train(text: Rows, meta: Rows, y: np.ndarray, exchange, rounds: int = ROUN
     if len(np.unique(y)) < 2:
         return Model(share=float(y.mean()) if len(y) else 1.0)
     order = np.random.default_rng(seed).permutation(len(y))
-    hold, fit = order[:max(1, len(order) // 4)], order[max(1, len(order) // 4):]
+    hold, stack, fit = np.split(order, [max(1, len(order) // 6), max(2, len(order) // 3)])
     views, sizes = (text, meta), (TEXT_SIZE, META_SIZE)
     held, rows = [v.pick(hold) for v in views], [v.pick(fit) for v in views]
     gold, label = y[hold].astype(float), y[fit].astype(float)
@@ -222,8 +225,8 @@ def co_train(text: Rows, meta: Rows, y: np.ndarray, exchange, rounds: int = ROUN
             now = [train(rows[k], label, sizes[k], sums=sums[k], at=now[k]) if sums[k].n.sum() else now[k] for k in (0, 1)]
         new = [judged(k, now[k]) for k in (0, 1)]
         best = [n if n[2] <= b[2] + 1e-9 else b for n, b in zip(new, best, strict=True)]
-    odds = np.column_stack([held[k].dot(best[k][0]) * best[k][1][0] + best[k][1][1] for k in (0, 1)])
-    return Model(best[0][0], best[1][0], best[0][1], best[1][1], platt(odds, gold), float(y.mean()))
+    odds = np.column_stack([views[k].pick(stack).dot(best[k][0]) * best[k][1][0] + best[k][1][1] for k in (0, 1)])
+    return Model(best[0][0], best[1][0], best[0][1], best[1][1], platt(odds, y[stack].astype(float)), float(y.mean()))
 
 
 # ---------------------------------------------------------------- on Spark
@@ -240,8 +243,14 @@ def metadata(docs: DataFrame) -> list[Column]:
 NAMES = ("_source", "_lang", "_length")
 
 
-def _smallest(ids: DataFrame, most: int) -> DataFrame:
-    return ids.orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(most)
+def unlabelled(rows: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The rows whose id is none of the distinct ids ``labelled``.  The ids are sent to the rows, in as
+    many blocks of about ``IDS`` as they take, so that no row is shuffled however many there are."""
+    blocks = max(1, -(-labelled.count() // IDS))
+    for b in range(blocks):
+        some = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) == b)
+        rows = rows.join(F.broadcast(some), "doc_id", "left_anti")
+    return rows
 
 
 FEATURES = "doc_id long, y int, at binary, value binary, _source string, _lang string, _length string"
@@ -282,37 +291,43 @@ def exchanged(pool: DataFrame, views: list, at: list) -> list[Sums]:
                 rows = _both_rows(pdf)
                 for k in (0, 1):
                     sums[k].add(rows[k], at[k], sure_labels(rows[1 - k], *views[1 - k]))
+        at_task = TaskContext.get().partitionId()
         for k in (0, 1):
             for y in (0, 1):
                 if sums[k].n[y]:
-                    g, h = (np.rint(x[y] * UNIT).astype(np.int64) for x in (sums[k].gradient, sums[k].bound))
-                    on = np.flatnonzero((g != 0) | (h != 0))
-                    yield pd.DataFrame({"k": k, "y": y, "i": np.append(on, -1), "g": np.append(g[on], int(sums[k].n[y])), "h": np.append(h[on], 0)})
-
-    cores = pool.sparkSession.sparkContext.defaultParallelism  # one partial sum a core, not one a file split
-    found = pool.coalesce(cores).mapInPandas(part, "k int, y int, i int, g long, h long").groupBy("k", "y", "i").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toPandas()
+                    g, h = (np.rint(x[y] * UNIT).astype("<i8").tobytes() for x in (sums[k].gradient, sums[k].bound))
+                    yield pd.DataFrame({"slot": [at_task], "k": [k], "y": [y], "n": [int(sums[k].n[y])], "g": [g], "h": [h]})
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        g, h = (np.sum([np.frombuffer(v, "<i8") for v in group[c]], axis=0).tobytes() for c in "gh")
+        return pd.DataFrame({"slot": [group["slot"].iat[0]], "k": [group["k"].iat[0]], "y": [group["y"].iat[0]], "n": [group["n"].sum()], "g": [g], "h": [h]})
+
+    # a tree over the tasks: at most FAN_IN sums of fixed size meet in one place
+    schema, found = "slot int, k int, y int, n long, g binary, h binary", None
+    found, left = pool.mapInPandas(part, schema), pool.rdd.getNumPartitions()
+    while left > 1:
+        found, left = found.withColumn("slot", F.floor(F.col("slot") / FAN_IN).cast("int")).groupBy("slot", "k", "y").applyInPandas(add, schema), -(-left // FAN_IN)
     out = [Sums(n) for n in sizes]
-    for (k, y), f in found.groupby(["k", "y"]):
-        i, g, h = (f[c].to_numpy() for c in "igh")
-        out[k].n[y] = g[i < 0].sum()
-        out[k].gradient[y, i[i >= 0]] = g[i >= 0] / UNIT
-        out[k].bound[y, i[i >= 0]] = h[i >= 0] / UNIT
+    for r in found.toPandas().itertuples():
+        out[r.k].n[r.y] = r.n
+        out[r.k].gradient[r.y], out[r.k].bound[r.y] = (np.frombuffer(v, "<i8") / UNIT for v in (r.g, r.h))
     return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, seed_docs: int = SEED_DOCS) -> Model:
     truth = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id")
              .agg((F.min("quality") > 0).cast("int").alias("y")))
+    truth = materialize(truth)
     ids = docs.select("doc_id").where("doc_id is not null").distinct()
-    chosen = _smallest(truth.join(ids, "doc_id", "left_semi"), seed_docs)
+    chosen = (truth.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(seed_docs))
     rows = docs.select("doc_id", text_of(docs).alias("text"), *metadata(docs))
-    found = _features(rows.join(F.broadcast(chosen), "doc_id")).toPandas().sort_values(["doc_id", "y", "at", "value"]).reset_index(drop=True)
+    found = _features(bounded_rows(rows.join(F.broadcast(chosen), "doc_id"), seed_docs)).toPandas().sort_values(["doc_id", "y", "at", "value"]).reset_index(drop=True)
     if not len(found):
         return Model()
     y = found["y"].to_numpy()
     if len(np.unique(y)) < 2:
         return Model(share=float(y.mean()))
-    pool = materialize(_features(rows.join(truth, "doc_id", "left_anti").withColumn("y", F.lit(-1))))
+    pool = materialize(_features(unlabelled(rows, truth.select("doc_id")).withColumn("y", F.lit(-1))))
     return co_train(*_both_rows(found), y, lambda views, at: exchanged(pool, views, at))
 
 
