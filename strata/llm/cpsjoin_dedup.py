@@ -14,7 +14,8 @@ A document's set is its distinct word shingles; two documents are linked when
     its other pivots: a number of comparisons linear in the sets, which joins
     large groups of near copies into components at once.
 4.  *Recursion.*  A node whose members are all in one component is done.
-    Other nodes of at most ``SMALL`` members are compared exhaustively; larger ones
+    Other nodes of at most ``SMALL`` members are compared exhaustively, as are those with at most
+    ``FEW`` members outside their largest component (these meet all members); the rest
     branch again by further minwise tokens, up to ``DEPTH`` levels.  Their number
     (``branches``: 2.2 a node on average at 0.80, 1.8 at 0.85) is the least that loses a pair at the
     threshold in all trees with at most ``MISSED``, all levels counted; 1 / similarity
@@ -22,9 +23,10 @@ A document's set is its distinct word shingles; two documents are linked when
     parent's members is not branched again, as its members share most tokens and
     further ones would not part them.  What is still large and mixed then is compared in
     blocks: nodes of the same least member are merged, and all members outside the
-    node's largest component meet all members, so nothing is dropped.  A group's comparisons are exact, as matrix
-    products over the full sets, and only the links that join components leave it:
-    fewer rows than it has members.
+    node's largest component meet all members, so nothing is dropped.  Inside a group the sketches
+    are compared first (``GROUP_SIGMAS`` standard deviations below the threshold: 2e-8 of links at it),
+    and only members with a possible partner in another component get their full sets, on
+    which links are decided; only links that join components leave a group: fewer rows than it has members.
 5.  *Confirmation.*  Pivot pairs whose sketches do not rule the link out
     (``SIGMAS`` standard deviations below the threshold) are confirmed on the full
     sets of shingles; components come from alternating large-star / small-star steps.
@@ -65,12 +67,14 @@ from .vocabulary import Growing, Vocabulary, groups
 
 TREES = 10
 SKETCH = 128
-SMALL = 64
+SMALL = 768
+FEW = 64
 DEPTH = 6
 STUCK = 70
-BLOCK = 512
+BLOCK = 2048
 MISSED = 1e-6
 SIGMAS = 4.5
+GROUP_SIGMAS = 5.5
 
 _RNG = np.random.default_rng(20240229)
 _X64, _A64 = (_RNG.integers(0, 1 << 63, TREES, np.uint64) for _ in range(2))
@@ -160,6 +164,12 @@ def shingles(body: bytes, width: int) -> set:
     return set(zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else {tuple(words)}
 
 
+def hashed_set(body: bytes, width: int) -> np.ndarray:
+    """The full set of a compressed word list as sorted 64-bit hashes, of which ``set_id`` is the hash."""
+    at, _ = _words().index([zstandard.ZstdDecompressor().decompress(body).decode("utf-8", "surrogatepass")])
+    return set_hashes(_words().hashes.data[at], width)
+
+
 # ---------------------------------------------------------------- components
 
 def components(edges: DataFrame) -> DataFrame:
@@ -206,10 +216,10 @@ def confirmed(pairs: DataFrame, bodies: DataFrame, width: int, percent: int) ->
     return y.select("a", "b", "x", "y").mapInPandas(compare, "a binary, b binary")
 
 
-def least_estimate(percent: int) -> float:
+def least_estimate(percent: int, sigmas: float = SIGMAS) -> float:
     """The sketch agreement below which a link is ruled out."""
     p = percent / 100
-    return p - SIGMAS * (p * (1 - p) / SKETCH) ** 0.5
+    return p - sigmas * (p * (1 - p) / SKETCH) ** 0.5
 
 
 def _runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
@@ -229,23 +239,27 @@ def _runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
         yield pd.concat(held) if len(held) > 1 else held[0]
 
 
-def intersections(sets: list[set], rows: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the sets ``rows`` with all the sets, as
-    products of 0/1 matrices over the shingles that several sets hold."""
-    number: dict = {}
-    cols = [np.fromiter((number.setdefault(x, len(number)) for x in s), np.int64, len(s)) for s in sets]
-    col, of = np.concatenate(cols), np.repeat(np.arange(len(sets)), [len(c) for c in cols])
-    shared = np.bincount(col, minlength=len(number)) > 1
-    col, of = (np.cumsum(shared) - 1)[col[shared[col]]], of[shared[col]]
-    order = np.argsort(col, kind="stable")
-    col, of = col[order], of[order]
-    out = np.zeros((len(rows), len(sets)), np.float32)
-    for start in range(0, int(col[-1]) + 1 if len(col) else 0, 4096):
-        lo, hi = np.searchsorted(col, [start, start + 4096])
-        m = np.zeros((len(sets), 4096), np.float32)
-        m[of[lo:hi], col[lo:hi] - start] = 1
-        out += m[rows] @ m.T
-    return out.astype(np.int64)
+def with_partners(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (key, set_id, comp, side) of groups whose sketch does not rule out a link to a member
+    of another component in the group.  Takes the rows with their ``sketch``."""
+    least = int(np.ceil(SKETCH * least_estimate(percent, GROUP_SIGMAS)))
+
+    def look(batches):
+        for g in _runs(batches, "key"):
+            sketches = np.frombuffer(b"".join(g["sketch"]), "<u2").reshape(-1, SKETCH)
+            comp, side = np.unique(g["comp"].to_numpy(), return_inverse=True)[1], g["side"].to_numpy()
+            found = np.zeros(len(g), bool)
+            for i in np.flatnonzero(side == 0).tolist():  # side 0 comes first
+                hit = np.count_nonzero(sketches[i + 1:] == sketches[i], axis=1) >= least
+                hit &= comp[i + 1:] != comp[i]
+                if hit.any():
+                    found[i] = True
+                    found[i + 1:] |= hit
+            if found.any():
+                yield g.loc[found, ["key", "set_id", "comp", "side"]]
+
+    return (rows.repartition("key").sortWithinPartitions("key", "side", "set_id").select("key", "set_id", "comp", "side", "sketch")
+            .mapInPandas(look, "key long, set_id binary, comp binary, side int"))
 
 
 def linked_in_groups(rows: DataFrame, width: int, percent: int) -> DataFrame:
@@ -256,13 +270,8 @@ def linked_in_groups(rows: DataFrame, width: int, percent: int) -> DataFrame:
     def compare(batches):
         for g in _runs(batches, "key"):
             ids, comp, side = g["set_id"].to_numpy(), g["comp"].to_numpy(), g["side"].to_numpy()
-            outer = np.flatnonzero(side == 0)
-            sets = [shingles(b, width) for b in g["body"]]
-            size = np.fromiter(map(len, sets), np.int64, len(sets))
-            both = intersections(sets, outer)
-            linked = 100 * both >= percent * (size[outer][:, None] + size - both)
+            sets = [hashed_set(b, width) for b in g["body"]]
             names, label = np.unique(comp, return_inverse=True)
-            linked &= label[outer][:, None] != label
             root, out = list(range(len(names))), []
 
             def top(x):
@@ -271,11 +280,12 @@ def linked_in_groups(rows: DataFrame, width: int, percent: int) -> DataFrame:
                     x = root[x]
                 return x
 
-            for i, j in np.argwhere(linked).tolist():
-                x, y = top(label[outer[i]]), top(label[j])
-                if x != y:
-                    root[x] = y
-                    out.append((ids[outer[i]], ids[j]))
+            for i in np.flatnonzero(side == 0).tolist():
+                for j in range(i + 1, len(ids)):
+                    x, y = top(label[i]), top(label[j])
+                    if x != y and linked(sets[i], sets[j], percent):
+                        root[x] = y
+                        out.append((ids[i], ids[j]))
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"])
 
@@ -283,6 +293,15 @@ def linked_in_groups(rows: DataFrame, width: int, percent: int) -> DataFrame:
             .mapInPandas(compare, "a binary, b binary"))
 
 
+def linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether two sets of sorted distinct hashes are similar enough."""
+    few, many = sorted((len(one), len(two)))
+    if 100 * few < percent * many:
+        return False
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= percent * (few + many - both)
+
+
 # ---------------------------------------------------------------- the join
 
 def _root_nodes(sets: DataFrame) -> DataFrame:
@@ -297,9 +316,10 @@ def _labelled(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows (node, set_id, comp, parent) of the nodes with several components, with the size."""
-    size = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("node", "size")
-    return rows.join(size, "node")
+    """Rows (node, set_id, comp, parent) of the nodes with several components, with the size and the
+    number of members outside the largest component."""
+    size = rows.groupBy("node", "comp").agg(F.count("*").alias("n")).groupBy("node").agg(F.sum("n").alias("size"), (F.sum("n") - F.max("n")).alias("outside"))
+    return rows.join(size.where("outside > 0"), "node")
 
 
 def missed(percent: int, branches: float, trees: int = TREES, depth: int = DEPTH) -> float:
@@ -383,14 +403,15 @@ def links(described: DataFrame, width: int, percent: int) -> DataFrame:
     for depth in range(DEPTH + 1):
         small.append(rows.where(F.col("size") <= SMALL).select(F.col("node").alias("key"), "set_id", "comp", F.lit(0).alias("side")))
         rows = rows.where(F.col("size") > SMALL)
-        done = F.lit(True) if depth == DEPTH else F.coalesce(100 * F.col("size") > STUCK * F.col("parent"), F.lit(False))
+        done = F.lit(True) if depth == DEPTH else (F.col("outside") <= FEW) | F.coalesce(100 * F.col("size") > STUCK * F.col("parent"), F.lit(False))
         whole.append(rows.where(done).select("node", "set_id", "comp"))
         rows = rows.where(~done)
         if rows.isEmpty():
             break
         rows = materialize(_mixed(_children(rows, sets, percent)))
     groups_of = reduce(DataFrame.unionByName, [*small, _blocks(materialize(_merged(reduce(DataFrame.unionByName, whole))))])
-    joined = linked_in_groups(groups_of.join(bodies, "set_id"), width, percent)
+    near = materialize(with_partners(groups_of.join(sets.select("set_id", "sketch"), "set_id"), percent))
+    joined = linked_in_groups(near.join(bodies, "set_id"), width, percent)
     return components(_edges(comps).unionByName(joined))
 
 
