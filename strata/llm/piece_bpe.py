@@ -13,6 +13,10 @@ each distinct word is put through the agenda once while a worker remembers it.
 The memory is bounded in bytes and starts anew when full, which changes no
 result.
 
+The words of a batch that a worker does not know yet are put through their agendas together,
+all of one length as rows of arrays: a round joins the best pair of every row.  Longer words and words
+with characters outside the vocabulary have an agenda of their own.
+
 ``Pieces.decode`` joins the pieces, drops the mark that encoding put in front, and
 reads runs of byte pieces as UTF-8, an invalid byte as U+FFFD.
 
@@ -38,6 +42,7 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -45,6 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import text_of
+from .vocabulary import groups
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
@@ -57,6 +63,10 @@ ENTRY_BYTES = 250
 #: Symbols up to which a word's agenda is a list, searched for its best entry.
 LISTED = 48
 NO_PIECE = float("inf")
+NO_RANK = np.iinfo(np.int32).max
+
+#: Words of one length whose agendas are worked on together.
+ROWS = 1 << 14
 
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 MERGE_TYPE = 2
@@ -82,6 +92,7 @@ class Pieces:
         self.begin, self.end = (next(i for i, p in enumerate(model.pieces) if p.type == CONTROL and p.piece == mark) for mark in ("<s>", "</s>"))
         self.bytes_of = [b"" if p.type == CONTROL else model.trainer_spec.unk_surface.encode() if p.type == UNKNOWN else
                          bytes([int(p.piece[1:-1], 16)]) if p.type == BYTE else p.piece.replace(MARK, " ").encode() for p in model.pieces]
+        self._pairs()
         self.is_byte = np.array([p.type == BYTE for p in model.pieces])
         self.in_front = np.array([p.type == NORMAL and p.piece[:1] == MARK for p in model.pieces])
         inner = {c for p in self.known if len(p) > 1 for c in p}
@@ -91,6 +102,19 @@ class Pieces:
         self.kept: dict[str, bytes] = {}
         self.room = KEEP_BYTES
 
+    def _pairs(self) -> None:
+        """Arrays for many words at once: the piece of each character (-1 if none), and the pairs of
+        pieces that are a piece together, with their rank by score."""
+        self.char_id = np.full(0x110000, -1, np.int32)
+        for p, (_, i) in self.known.items():
+            if len(p) == 1:
+                self.char_id[ord(p)] = i
+        scores = {s: k for k, s in enumerate(sorted({s for s, _ in self.known.values()}))}
+        rows = sorted((self.known[p[:k]][1] * len(self.bytes_of) + self.known[p[k:]][1], scores[s], i)
+                      for p, (s, i) in self.known.items() for k in range(1, len(p)) if p[:k] in self.known and p[k:] in self.known)
+        rows = rows or [(-1, 0, 0)]
+        self.pair, self.pair_rank, self.pair_piece = (np.array(c, d) for c, d in zip(zip(*rows, strict=True), (np.int64, np.int32, np.int32), strict=True))
+
     # ---- encoding
 
     def agenda(self, word: str) -> list[int]:
@@ -140,16 +164,75 @@ class Pieces:
     def _word(self, word: str) -> bytes:
         ids = struct.pack(f"<{len(found := self.agenda(word))}I", *found)
         if len(word) <= KEEP_WORD:
-            size = ENTRY_BYTES + 4 * len(word) + len(ids)
-            if size > self.room:
-                self.kept, self.room = {}, KEEP_BYTES
-            self.kept[word], self.room = ids, self.room - size
+            self._keep(word, ids)
         return ids
 
     def encode(self, text: str | None) -> np.ndarray:
         """All ids of a text, begin and end ids included, as little-endian uint32."""
-        marked = (MARK + text.replace(" ", MARK)) if text else ""
-        words = self.words.findall(marked)
+        return self._joined(self.words.findall(MARK + text.replace(" ", MARK)) if text else [])
+
+    def learn(self, words: list[str]) -> None:
+        """Remember words that are not known yet, all words of one length at a time: the agenda of
+        each is a row of scores, and every round joins the best pair of each row."""
+        by_size: dict[int, list[str]] = {}
+        for w in words:
+            if 1 < len(w) <= KEEP_WORD:
+                by_size.setdefault(len(w), []).append(w)
+        for size, some in by_size.items():
+            for k in range(0, len(some), ROWS):
+                self._learn(some[k:k + ROWS], size)
+
+    def _learn(self, words: list[str], size: int) -> None:
+        symbols = self.char_id[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")].reshape(-1, size)
+        named = (symbols >= 0).all(axis=1)  # words with characters outside the vocabulary are taken singly
+        number, symbols = np.flatnonzero(named), symbols[named]
+        waiting, joined = self._scores(symbols[:, :-1], symbols[:, 1:])
+        while len(number):
+            rows, width = np.arange(len(number)), symbols.shape[1]
+            if width > 1:
+                best = waiting.argmin(axis=1)  # of equal scores the first
+                go = waiting[rows, best] < NO_RANK
+            else:
+                go = np.zeros(len(rows), bool)
+            for i, ids in zip(number[~go].tolist(), symbols[~go].astype("<u4"), strict=True):
+                self._keep(words[i], ids.tobytes())
+            if not go.any():
+                return
+            number, symbols, waiting, joined, best = number[go], symbols[go], waiting[go], joined[go], best[go]
+            rows = np.arange(len(number))
+            symbols[rows, best] = joined[rows, best]
+            rest = np.ones(symbols.shape, bool)
+            rest[rows, best + 1] = False
+            symbols = symbols[rest].reshape(len(number), -1)
+            rest = np.ones(waiting.shape, bool)
+            rest[rows, best] = False
+            waiting, joined = (x[rest].reshape(len(number), -1) for x in (waiting, joined))
+            for near, left in ((best < waiting.shape[1], 0), (best > 0, -1)):
+                at, row = (best + left)[near], rows[near]
+                waiting[row, at], joined[row, at] = self._scores(symbols[row, at], symbols[row, at + 1])
+
+    def _scores(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of the pieces that pairs of pieces form (``NO_RANK`` if none), and the pieces."""
+        key = left.astype(np.int64) * len(self.bytes_of) + right
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        return np.where(self.pair[at] == key, self.pair_rank[at], NO_RANK), self.pair_piece[at]
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        size = ENTRY_BYTES + 4 * len(word) + len(ids)
+        if size > self.room:
+            self.kept, self.room = {}, KEEP_BYTES
+        self.kept[word], self.room = ids, self.room - size
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """``encode`` of many texts; words that are new to the worker are learned together."""
+        out = []
+        for s in groups(texts):
+            lists = [self.words.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts[s]]
+            self.learn(list(set().union(*lists).difference(self.kept)))
+            out += map(self._joined, lists)
+        return out
+
+    def _joined(self, words: list[str]) -> np.ndarray:
         found = list(map(self.kept.get, words))
         for i in [i for i, f in enumerate(found) if f is None]:
             found[i] = self.kept.get(words[i]) or self._word(words[i])
@@ -231,7 +314,7 @@ def encode_column(text: Column, model: str = MODEL) -> Column:
     """Array of ids, begin and end ids included."""
     @F.pandas_udf("array<int>")
     def encode(texts):
-        return texts.map(lambda t: pieces(model).encode(t).astype(np.int32))
+        return pd.Series([i.astype(np.int32) for i in pieces(model).encode_all(texts.tolist())], dtype=object)
     return encode(text)
 
 
@@ -253,7 +336,7 @@ def digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
         own, lib = pieces(model), library(model)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            ids = [own.encode(t) for t in texts]
+            ids = own.encode_all(texts)
             back = [own.decode(i) for i in ids]
             same = []
             for t, i, b in zip(texts, ids, back, strict=True):
