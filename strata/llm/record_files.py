@@ -26,6 +26,7 @@ repeated rows each get a record; an empty table gives no file and no rows.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -252,13 +253,21 @@ def read_record(uri: str, offset: int, length: int) -> dict[str, np.ndarray]:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+#: Letters of Latin-1 as the byte-level alphabet of this kind of tokenizer writes their UTF-8: a byte
+#: that prints in Latin-1 is itself, the others are 256 and on, in order.
+_PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHAR = {b: chr(b) for b in _PRINTS} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(_PRINTS))}
+BYTE_CHARS = {c: "".join(_BYTE_CHAR[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
 class Encoder:
     """The tokenizer, with a memory of the ids of words.
 
     With this kind of tokenizer file every step (NFC, white-space folding,
     lower-casing, splitting into pieces, merging inside a piece) works inside the
     words between ASCII white space.  Each distinct word, A-Z lower-cased, goes
-    through the library, many in one call.  Splitting and joining are Arrow's.  The
+    through the library: letters of Latin-1, which are one piece as they stand, go straight to
+    its merging model, other words through all its steps.  Splitting and joining are Arrow's.  The
     memory is bounded in bytes and starts anew when full; long words are not kept.
 
     The library takes an added token's literal ("<|endoftext|>") in a text, in just
@@ -266,8 +275,11 @@ class Encoder:
     the library whole.  Words are of texts without one, but lower-casing can make
     one ("<|ENDOFTEXT|>"), so for them the library is told to spell it out."""
 
+    #: A stop after a letter or digit begins a piece of its own: it may as well be a word.
+    STOP = "([a-z0-9à-öø-ÿ])([,.;:!?])"
     KEEP_BYTES = 96 << 20
     KEEP_WORD = 64
+    letters = re.compile("[a-zÀ-ÖØ-öø-ÿ]+")
     ENTRY_BYTES = 200
     CALL = 2000
 
@@ -278,6 +290,7 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.literals = [t.content for t in added]
         self.plain = all(t.special and not t.normalized for t in added)  # then a literal counts as it stands in the text
+        self.model = self.tokenizer.model
         self.packed = [_varint(i) for i in range(self.tokenizer.get_vocab_size() + 1)]
         self.known: dict[bytes, bytes] = {}
         self.room = self.KEEP_BYTES
@@ -293,16 +306,23 @@ class Encoder:
     def _words(self, words: list[bytes]) -> list[bytes]:
         """Packed ids of distinct words."""
         found = list(map(self.known.get, words))
-        unknown = [i for i, f in enumerate(found) if f is None]
-        for at in range(0, len(unknown), self.CALL):
-            some = unknown[at:at + self.CALL]
-            for i, ids in zip(some, self._encode([words[i].decode("utf-8", "surrogatepass") for i in some], True), strict=True):
+        unknown = [(i, words[i].decode("utf-8", "surrogatepass")) for i, f in enumerate(found) if f is None]
+        other = []
+        for i, w in unknown:
+            if self.letters.fullmatch(w):  # one piece: nothing is left to normalize or to split
+                found[i] = self._pack([t.id for t in self.model.tokenize(w.lower().translate(BYTE_CHARS))])
+            else:
+                other.append((i, w))
+        for at in range(0, len(other), self.CALL):
+            some = other[at:at + self.CALL]
+            for (i, _), ids in zip(some, self._encode([w for _, w in some], True), strict=True):
                 found[i] = ids
-                size = self.ENTRY_BYTES + len(words[i]) + len(ids)
-                if len(words[i]) <= self.KEEP_WORD:
-                    if size > self.room:
-                        self.known, self.room = {}, self.KEEP_BYTES
-                    self.known[words[i]], self.room = ids, self.room - size
+        for i, _ in unknown:
+            size = self.ENTRY_BYTES + len(words[i]) + len(found[i])
+            if len(words[i]) <= self.KEEP_WORD:
+                if size > self.room:
+                    self.known, self.room = {}, self.KEEP_BYTES
+                self.known[words[i]], self.room = found[i], self.room - size
         return found
 
     def _whole(self, texts: pa.Array) -> pa.Array:
@@ -315,7 +335,8 @@ class Encoder:
     def encode(self, texts: pa.Array, end_id: int) -> list[bytes]:
         """The ids of each text and the end id, as packed varints."""
         whole = self._whole(texts)
-        flat, counts = split_words(pc.ascii_lower(pc.if_else(whole, "", texts)))
+        lowered = pc.ascii_lower(pc.if_else(whole, "", texts))
+        flat, counts = split_words(pc.replace_substring_regex(lowered, self.STOP, r"\1 \2"))
         coded, end = flat.dictionary_encode(), _varint(end_id)
         packed = pa.array(self._words(coded.dictionary.cast(pa.binary()).to_pylist()), pa.binary()).take(coded.indices)
         ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
