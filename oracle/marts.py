@@ -601,3 +601,33 @@ cte("m_raw_cart_events", """
 SELECT src_session_id, src_customer_id, event_type, 'testdata/cart_events' AS file_name,
        CAST(NULL AS BIGINT) AS file_row_number, load_timestamp, CAST(NULL AS VARCHAR) AS batch_id
 FROM raw_cart_events""")
+
+
+def _basket(least: int) -> str:
+    return f"""
+SELECT a AS product_a_id, pa.product_name AS product_a_name, b AS product_b_id, pb.product_name AS product_b_name, n AS co_occurrence_count,
+       total AS total_orders, CAST(n AS DOUBLE) / total AS support, CAST(n AS DOUBLE) / tb.orders AS confidence_a_given_b,
+       CAST(n AS DOUBLE) / ta.orders AS confidence_b_given_a, CAST(n * total AS DOUBLE) / CAST(ta.orders * tb.orders AS DOUBLE) AS lift
+FROM (SELECT x.product_id AS a, y.product_id AS b, COUNT(*) AS n FROM c_bought x JOIN c_bought y ON x.order_id = y.order_id AND x.product_id < y.product_id
+      GROUP BY ALL HAVING COUNT(*) >= {least}) p
+JOIN c_bought_by ta ON ta.product_id = a JOIN c_bought_by tb ON tb.product_id = b
+JOIN g_dim_products pa ON pa.product_id = a JOIN g_dim_products pb ON pb.product_id = b
+CROSS JOIN (SELECT COUNT(DISTINCT order_id) AS total FROM c_bought)
+ORDER BY lift DESC, a, b LIMIT 10000"""
+
+
+cte("c_bought", "SELECT DISTINCT order_id, product_id FROM g_fact_order_items WHERE order_id IS NOT NULL AND product_id IS NOT NULL")
+cte("c_bought_by", "SELECT product_id, COUNT(*) AS orders FROM c_bought GROUP BY product_id")
+cte("m_basket_analysis", _basket(5))
+cte("m_basket_analysis_pairs", _basket(2))
+
+cte("m_payments_second_load", """
+SELECT payment_sk, payment_id, order_id, customer_id, payment_method,
+       CASE WHEN payment_id LIKE 'PAY%' AND CAST(order_id AS BIGINT) % 11 = 0 THEN 'SETTLED' ELSE payment_status END AS payment_status,
+       amount, currency_code, payment_timestamp, gateway_reference, is_refund, original_payment_id
+FROM s_payments
+UNION ALL
+SELECT (SELECT MAX(payment_sk) FROM s_payments) + ROW_NUMBER() OVER (ORDER BY 'TIP' || CAST(o_orderkey AS VARCHAR)), 'TIP' || CAST(o_orderkey AS VARCHAR),
+       CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), 'CREDIT_CARD', 'CAPTURED', CAST(o_orderkey % 40 AS DECIMAL(18,2)), 'USD',
+       o_orderdate + INTERVAL 20 DAY, 'GX' || CAST(o_orderkey AS VARCHAR), FALSE, NULL
+FROM orders WHERE o_orderkey % 13 = 0""")

@@ -123,3 +123,45 @@ def global_ntile(df: DataFrame, n: int, order: list[Column], name: str) -> DataF
     return out.withColumn(name, tile.cast("bigint")).drop(_OFF, _TOT)
 
 
+def global_positions(df: DataFrame, key: str, ranks: dict[str, tuple[str, str]] | None = None,
+                     ntiles: dict[str, tuple[int, str, str]] | None = None) -> DataFrame:
+    """Several RANK() and NTILE(n) over a whole table with one sort.
+
+    ``ranks``: name -> (column, 'asc' | 'desc'); ``ntiles``: name -> (n, column, direction), whose ties go by
+    ``key`` (one row each).  NULLs sort last.  The input is written once as it is; what is sorted are
+    rows (measure, value, key), all measures in one range partitioning.  Every measure has a row for each key, so
+    a position inside its measure is the global one less whole measures."""
+    ranks, ntiles = ranks or {}, ntiles or {}
+    wanted = {**{n: (c, d) for n, (c, d) in ranks.items()}, **{n: (c, d) for n, (_, c, d) in ntiles.items()}}
+    measures = list(dict.fromkeys(wanted.values()))
+    df = materialize(df)
+
+    def entry(i: int, c: str, direction: str) -> Column:
+        sign = -1 if direction == "desc" else 1
+        real = dict(df.dtypes)[c] in ("double", "float")
+        value = F.col(c) * sign + F.lit(0.0) if real else F.col(c).cast("decimal(38,8)") * sign
+        none = F.lit(None)
+        return F.struct(F.lit(i).alias("_m"), F.col(c).isNull().alias("_null"), (value if real else none).cast("double").alias("_real"),
+                        (none if real else value).cast("decimal(38,8)").alias("_exact"))
+
+    long = df.select(F.col(key).alias("_key"), F.explode(F.array(*[entry(i, c, d) for i, (c, d) in enumerate(measures)])).alias("_e")).select("_key", "_e.*")
+    value = ["_m", "_null", "_real", "_exact"]
+    numbered = prefix_positions(long, [*(F.col(c).asc_nulls_first() for c in value), F.col("_key").asc_nulls_last()])
+    rows = F.col(_TOT) / len(measures)
+    numbered = numbered.withColumn("_n", rows.cast("bigint")).withColumn("_at", (F.col(_OFF) - F.col("_m") * F.col("_n")).cast("bigint"))
+    if ranks:
+        firsts = numbered.groupBy(*value).agg(F.min("_at").alias("_first")).select(*[F.col(c).alias(f"_f{c}") for c in value], "_first")
+        same = F.col("_m") == F.col("_f_m")
+        for c in value[1:]:
+            same = same & F.col(c).eqNullSafe(F.col(f"_f{c}"))
+        numbered = numbered.join(firsts, same)
+    at = lambda name, c: F.max(F.when(F.col("_m") == measures.index(wanted[name]), F.col(c)))
+    wide = numbered.groupBy("_key").agg(*[(at(n, "_first") + 1).cast("bigint").alias(n) for n in ranks],
+                                        *[at(n, "_at").alias(n) for n in ntiles], F.max("_n").alias("_n"))
+    out = df.join(wide, df[key].eqNullSafe(wide["_key"]))
+    for n, (tiles, _, _) in ntiles.items():
+        q, rn = F.floor(F.col("_n") / tiles), F.col(n) + 1
+        r = F.col("_n") - q * tiles
+        big = r * (q + 1)
+        out = out.withColumn(n, F.when(rn <= big, F.ceil(rn / (q + 1))).otherwise(r + F.ceil((rn - big) / F.greatest(q, F.lit(1)))).cast("bigint"))
+    return out.select(*df.columns, *ranks, *ntiles)

@@ -93,16 +93,17 @@ def full_refresh(df: DataFrame) -> DataFrame:
 
 def scd1_upsert(target: DataFrame | None, source: DataFrame, keys: list[str], sk: str,
                 update_cols: list[str], run_ts, sk_order: list[Column] | None = None,
-                created_col: str = "dw_created_at", updated_col: str = "dw_updated_at") -> DataFrame:
+                created_col: str = "dw_created_at", updated_col: str = "dw_updated_at", top: int | None = None) -> DataFrame:
     """SV2 (MERGE ... WHEN MATCHED UPDATE chosen columns / NOT MATCHED INSERT).
 
     ``source`` holds one row per key with the target's business columns
     (no ``sk``/audit columns).  Matched rows take ``update_cols`` from the
-    source; new keys get dense surrogate keys after the current maximum."""
+    source; new keys get dense surrogate keys after the current maximum, or after ``top``
+    where ``target`` is only a part of its table."""
     ts = lit_ts(run_ts)
     order = sk_order or [F.col(k).asc() for k in keys]
     if target is None:
-        keyed = assign_keys(source, order, sk)
+        keyed = assign_keys(source, order, sk, start=top or 0)
         return keyed.withColumn(created_col, ts).withColumn(updated_col, ts)
     biz = [c for c in source.columns if c not in keys]
     # matched / untouched target rows: target LEFT JOIN source
@@ -122,7 +123,7 @@ def scd1_upsert(target: DataFrame | None, source: DataFrame, keys: list[str], sk
     existing = j.select(*cols)
     # new keys: source LEFT ANTI target, keys continue after the current maximum
     fresh = source.join(target.select(*keys), keys, "left_anti")
-    fresh = assign_keys(fresh, order, sk, start=max_key(target, sk))
+    fresh = assign_keys(fresh, order, sk, start=max_key(target, sk) if top is None else top)
     fresh = fresh.withColumn(created_col, ts).withColumn(updated_col, ts)
     return existing.unionByName(fresh.select(*existing.columns))
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from strata.plans import marts
+from strata.plans import basket, marts
 from strata.plans.warehouse import Warehouse
 
 SILVER_COLUMNS = {
@@ -136,6 +136,9 @@ def _grid_alerts(w: Warehouse):
                     has("Frequency").alias("frequency_breach"), "voltage_kv", "load_pct", "frequency_hz")
 
 
+MARTS["basket_analysis"] = lambda w: basket.basket_pairs(w.fact_order_items, w.dim_products)
+MARTS["basket_analysis_pairs"] = lambda w: basket.basket_pairs(w.fact_order_items, w.dim_products, min_count=2)
+MARTS["payments_second_load"] = lambda w: w.payments_second_load.select(*SILVER_COLUMNS["payments"].split())
 MARTS["grid_reading_status"] = _grid_status
 MARTS["grid_alerts"] = _grid_alerts
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.compat import lit_date, month_diff, strict_least
 from strata.operators.joins import BOUND_DATE_DIM, bounded_broadcast
-from strata.operators.keys import global_ntile, global_rank
+from strata.operators.keys import global_positions, global_rank
 
 
 def _d(c) -> F.Column:
@@ -190,8 +190,7 @@ def product_performance(dim_products: DataFrame, foi: DataFrame, fr: DataFrame)
         F.col("_ret_units").alias("units_returned"),
         F.when(F.col("_units") > 0, _d("_ret_units") / _d("_units") * 100).alias("return_rate_pct"),
     )
-    out = global_rank(out, [("gross_revenue", "desc")], "revenue_rank", unique_key="product_id")
-    return global_rank(out, [("total_units_sold", "desc")], "units_rank", unique_key="product_id")
+    return global_positions(out, "product_id", {"revenue_rank": ("gross_revenue", "desc"), "units_rank": ("total_units_sold", "desc")})
 
 
 # ------------------------------------------------------------------ M30
@@ -259,8 +258,8 @@ def category_revenue(foi: DataFrame, dim_products: DataFrame, dim_categories: Da
 # ------------------------------------------------------------------ M32
 def top_customers(ltv: DataFrame, segments: DataFrame, as_of) -> DataFrame:
     """Three global ranks + revenue decile over the LTV mart, joined to
-    today's segment.  Ranks/deciles are distributed (``global_rank`` /
-    ``global_ntile``); the decile breaks ties by customer id."""
+    today's segment.  All come from one narrow sort (``global_positions``); the decile
+    breaks ties by customer id."""
     seg = segments.filter(F.col("segment_date") == lit_date(as_of)).select(
         F.col("customer_id").alias("_s_id"), "lifecycle_segment", "rfm_combined_score", "is_vip")
     j = ltv.join(seg, ltv.customer_id == F.col("_s_id"), "left").select(
@@ -268,11 +267,9 @@ def top_customers(ltv: DataFrame, segments: DataFrame, as_of) -> DataFrame:
         "last_order_date", "total_orders", "lifetime_revenue", "net_lifetime_revenue", "avg_order_value",
         "orders_per_year", "projected_clv_3yr", "total_returns", "total_refunds", "days_since_last_order",
         "lifecycle_segment", "rfm_combined_score", "is_vip")
-    j = global_rank(j, [("lifetime_revenue", "desc")], "revenue_rank", unique_key="customer_id")
-    j = global_rank(j, [("total_orders", "desc")], "order_frequency_rank", unique_key="customer_id")
-    j = global_rank(j, [("projected_clv_3yr", "desc")], "clv_rank", unique_key="customer_id")
-    return global_ntile(j, 10, [F.col("lifetime_revenue").desc_nulls_last(), F.col("customer_id").asc_nulls_last()],
-                        "revenue_decile")
+    return global_positions(
+        j, "customer_id", {"revenue_rank": ("lifetime_revenue", "desc"), "order_frequency_rank": ("total_orders", "desc"),
+                           "clv_rank": ("projected_clv_3yr", "desc")}, {"revenue_decile": (10, "lifetime_revenue", "desc")})
 
 
 # ------------------------------------------------------------------ M33
@@ -282,10 +279,8 @@ def top_products(pp: DataFrame) -> DataFrame:
                   "list_margin_pct", "total_units_sold", "orders_with_product", "gross_revenue", "net_revenue",
                   "total_gross_profit", "avg_realized_margin_pct", "review_count", "avg_rating", "return_rate_pct",
                   "revenue_rank", "units_rank")
-    j = global_rank(j, [("total_gross_profit", "desc")], "profit_rank", unique_key="product_id")
-    j = global_rank(j, [("avg_rating", "desc")], "rating_rank", unique_key="product_id")
-    j = global_ntile(j, 4, [F.col("gross_revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()],
-                     "revenue_quartile")
+    j = global_positions(j, "product_id", {"profit_rank": ("total_gross_profit", "desc"), "rating_rank": ("avg_rating", "desc")},
+                         {"revenue_quartile": (4, "gross_revenue", "desc")})
     rr, rk = F.col("return_rate_pct"), F.col("revenue_rank")
     return j.withColumn(
         "bcg_quadrant",

@@ -8,12 +8,13 @@ with soft casts, applies the cleaning rules, keeps the latest version per key
 from __future__ import annotations
 
 import threading
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.compat import lit_date, lit_ts, money, money4
-from strata.operators.keys import assign_keys, global_ntile
+from strata.operators.keys import assign_keys, global_positions
 from strata.sources.raw import JSON_NULL_TOKENS
 from strata.operators.load import (
     max_key, latest_per_key, replace_partition, require_keys, scd1_upsert, scd2_upsert,
@@ -287,7 +288,9 @@ def s07_inventory(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame
     src = latest_per_key(require_keys(src, ["product_id", "location_id"]), keys, ["src_load_timestamp"])
     order = [F.col(k) for k in keys]
     if target is not None:
-        new = src.join(target.select(*keys), keys, "left_anti")
+        # null-safe: a snapshot without a readable time that is there already is not new
+        had = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+        new = src.join(had, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]), "left_anti")
         new = assign_keys(new, order, "inventory_sk", start=max_key(target, "inventory_sk"))
         return target.unionByName(new.withColumn("dw_created_at", lit_ts(run_ts)))
     return assign_keys(src, order, "inventory_sk").withColumn("dw_created_at", lit_ts(run_ts))
@@ -312,7 +315,7 @@ def purchase_orders(raw_inventory: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S08 payments
-def s08_payments(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
+def payments_src(raw: DataFrame) -> DataFrame:
     src = _select(
         raw,
         vs("payment_id").alias("payment_id"),
@@ -328,8 +331,23 @@ def s08_payments(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
         vs("original_payment_id").alias("original_payment_id"),
         F.col("load_timestamp").alias("src_load_timestamp"),
     )
-    src = _latest(src, ["payment_id"])
-    return scd1_upsert(target, src, ["payment_id"], "payment_sk", ["payment_status"], run_ts)
+    return _latest(src, ["payment_id"])
+
+
+def s08_payments(raw: DataFrame, target: DataFrame | None, run_ts) -> DataFrame:
+    return upsert_payments(payments_src(raw), target, run_ts)
+
+
+def upsert_payments(src: DataFrame, target: DataFrame | None, run_ts, top: int | None = None) -> DataFrame:
+    return scd1_upsert(target, src, ["payment_id"], "payment_sk", ["payment_status"], run_ts, top=top)
+
+
+def merge_payments(raw: DataFrame, base: str, version: str, run_ts, buckets: int = 64) -> list[int]:
+    """The same into a table in key buckets (``sources.buckets``): only the batch's buckets are
+    read and written."""
+    from strata.sources import buckets as B
+    return B.merge(payments_src(raw), base, "payments", ["payment_id"], "payment_sk",
+                   lambda src, target, top: upsert_payments(src, target, run_ts, top), version, buckets)
 
 
 # ------------------------------------------------------------------ S09 returns
@@ -585,19 +603,18 @@ def s18_loyalty_points(raw: DataFrame, target: DataFrame | None, run_ts) -> Data
 def s19_customer_segments(orders: DataFrame, as_of, target: DataFrame | None = None) -> DataFrame:
     """Daily RFM snapshot; replaces the ``segment_date`` partition (SV6).
 
-    The three NTILE(5) scores are global windows over every customer; they
-    use ``global_ntile`` (range partitioning + partition offsets) instead of a
-    single-partition window.  Ties are broken by customer id."""
+    The three NTILE(5) scores are global windows over every customer; they come from one
+    narrow sort of all three measures (``global_positions``) instead of
+    single-partition windows.  Ties are broken by customer id."""
     today = lit_date(as_of)
     rfm = (orders.filter(~F.col("order_status").isin("CANCELLED", "RETURNED"))
            .groupBy("customer_id")
            .agg(F.datediff(today, F.max("order_date")).cast("bigint").alias("recency_days"),
                 F.count(F.lit(1)).alias("frequency_orders"),
                 F.sum("total_amount").alias("monetary_total")))
-    cid = F.col("customer_id").asc_nulls_last()
-    scored = global_ntile(rfm, 5, [F.col("recency_days").desc_nulls_last(), cid], "rfm_recency_score")
-    scored = global_ntile(scored, 5, [F.col("frequency_orders").asc_nulls_last(), cid], "rfm_frequency_score")
-    scored = global_ntile(scored, 5, [F.col("monetary_total").asc_nulls_last(), cid], "rfm_monetary_score")
+    scored = global_positions(rfm, "customer_id", ntiles={
+        "rfm_recency_score": (5, "recency_days", "desc"), "rfm_frequency_score": (5, "frequency_orders", "asc"),
+        "rfm_monetary_score": (5, "monetary_total", "asc")})
     r, f, m = F.col("rfm_recency_score"), F.col("rfm_frequency_score"), F.col("rfm_monetary_score")
     # Most frequent order channel, ties alphabetical (pre-aggregated per customer x channel)
     # ties alphabetical: max(n) then smallest channel -> use min over equal counts

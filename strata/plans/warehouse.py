@@ -10,13 +10,14 @@ exchange reuse.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans import dims, facts, silver
-from strata.session import materialize
-from strata.sources import feeds
+from strata.session import ensure_checkpoint_dir, materialize
+from strata.sources import buckets, feeds
 
 
 class Warehouse:
@@ -68,6 +69,14 @@ class Warehouse:
     def purchase_orders(self): return silver.purchase_orders(self.raw_inventory)
     @cached_property
     def payments(self): return silver.s08_payments(self._raw("payments"), None, feeds.RUN1)
+    @cached_property
+    def payments_second_load(self):
+        """Two loads into a table in key buckets."""
+        base = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/strata-buckets/{uuid.uuid4().hex}"
+        silver.merge_payments(self._raw("payments"), base, "load1", feeds.RUN1)
+        silver.merge_payments(self._raw("payments_second"), base, "load2", feeds.RUN2)
+        return buckets.read(self.spark, base, "payments")
+
     @cached_property
     def returns(self): return silver.s09_returns(self._raw("returns"), None, feeds.RUN1)
     @cached_property

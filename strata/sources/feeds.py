@@ -372,6 +372,26 @@ def raw_payments(spark, sf_dir) -> DataFrame:
     return _raw(cap.unionByName(ref), "payments", RUN1, None)
 
 
+def raw_payments_second(spark, sf_dir) -> DataFrame:
+    """A second load: captures of k % 11 = 0 are settled, orders of k % 13 = 0 have a tip (a new
+    payment), and for k % 17 = 0 there is a row without a payment id, which silver rejects."""
+    k = F.col("o_orderkey")
+    at = _ts(F.timestamp_add("DAY", F.lit(20), F.col("o_orderdate")))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+
+    def rows(chosen, payment_id, status, amount):
+        return o.filter(chosen).select(
+            payment_id.cast("string").alias("payment_id"), k.cast("string").alias("order_id"), F.col("o_custkey").cast("string").alias("customer_id"),
+            F.lit("credit_card").alias("method"), F.lit(status).alias("status"), amount.cast("double").alias("amount"), F.lit("USD").alias("currency"),
+            at.alias("timestamp"), F.concat(F.lit("GX"), k.cast("string")).alias("gateway_ref"), F.lit(None).cast("boolean").alias("is_refund"),
+            F.lit(None).cast("string").alias("original_payment_id"))
+
+    settled = rows(k % 11 == 0, F.concat(F.lit("PAY"), k.cast("string")), "settled", F.lit(0))
+    tips = rows(k % 13 == 0, F.concat(F.lit("TIP"), k.cast("string")), "captured", k % 40)
+    lost = rows(k % 17 == 0, F.lit(None), "captured", F.lit(1))
+    return _raw(settled.unionByName(tips).unionByName(lost), "payments", RUN2, None)
+
+
 def raw_order_totals(spark, sf_dir) -> DataFrame:
     """Order total exactly as the orders feed carries it (decimal)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")

@@ -77,7 +77,7 @@ SOURCES: dict[str, Source] = {s.name: s for s in [
 ]}
 
 
-def read_json_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_json_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """IN1: JSON lines (or files holding one outer array) -> one variant per record.
     Unparseable lines keep their text in ``_corrupt_record`` and a null payload."""
     df = (spark.read.schema("payload variant, _corrupt_record string")
@@ -94,7 +94,7 @@ def read_json_raw(spark: SparkSession, path: str) -> DataFrame:
     return with_lineage(rest.unionByName(arr), fmt="json")
 
 
-def read_csv_raw(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_csv_raw(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
     """IN2: header CSV, optional double quotes, null tokens -> variant payload."""
     r = spark.read.option("header", True).option("quote", '"').option("mode", "PERMISSIVE")
     fields = (r.schema(schema).csv(path) if schema else r.csv(path)).columns
@@ -107,9 +107,9 @@ def read_csv_raw(spark: SparkSession, path: str, schema: str | None = None) -> D
     return with_lineage(out, fmt="csv")
 
 
-def read_parquet_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_parquet_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """IN3: parquet -> variant payload; exact file row number from the reader."""
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
     out = df.select(F.to_variant_object(F.struct(*[F.col(c) for c in df.columns])).alias("payload"),
                     F.lit(None).cast("string").alias("_corrupt_record"),
                     F.col("_metadata.file_path").alias("file_name"),
@@ -143,6 +143,10 @@ def split_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(~bad).drop("_corrupt_record"), df.filter(bad)
 
 
+#: Readers by format; each takes a path or a list of paths.
+READERS = {"json": read_json_raw, "csv": read_csv_raw, "parquet": read_parquet_raw}
+
+
 def land(spark: SparkSession, source: str, path: str, batch_id: str | None, run_ts,
          already_loaded: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Read one feed into the raw envelope -> (raw rows, quarantine).
@@ -151,12 +155,7 @@ def land(spark: SparkSession, source: str, path: str, batch_id: str | None, run_
     skipped by an anti join on ``file_name``, which holds the whole path (dated
     folders repeat base names)."""
     src = SOURCES[source]
-    if src.fmt == "json":
-        df = read_json_raw(spark, path)
-    elif src.fmt == "csv":
-        df = read_csv_raw(spark, path)
-    else:
-        df = read_parquet_raw(spark, path)
+    df = READERS[src.fmt](spark, path)
     if already_loaded is not None:
         df = df.join(already_loaded.select("file_name").distinct(), "file_name", "left_anti")
     good, bad = split_bad(df)

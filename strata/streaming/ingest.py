@@ -56,7 +56,8 @@ def upsert_stream(spark: SparkSession, source: str, path: str, base: str, table:
     """Stream a landing folder straight into a silver table (the payments
     pipe -> type-1 merge of the reference): every micro-batch runs the silver
     ``job(raw_batch, current_table, run_ts)`` against the current version and
-    publishes the result as version ``epoch=<id>``.  An epoch that is replayed
+    publishes the result as version ``epoch=<id>``; lines that do not parse go to
+    ``<base>/<table>_quarantine``.  An epoch that is replayed
     after its version was published is skipped; one that failed before that reads
     the version before it and writes its own folder anew."""
     from strata.sources import sinks
@@ -67,7 +68,7 @@ def upsert_stream(spark: SparkSession, source: str, path: str, base: str, table:
         version = f"epoch={epoch_id:012d}"
         if sinks.current_version(spark, base, table) == version:
             return
-        batch = split_bad(batch)[0]
+        batch = _quarantined(batch, f"{base.rstrip('/')}/{table}_quarantine", epoch_id)
         if batch.isEmpty():
             return
         current = sinks.read_current(spark, base, table)
@@ -80,6 +81,29 @@ def upsert_stream(spark: SparkSession, source: str, path: str, base: str, table:
     return w.start()
 
 
+def _quarantined(batch: DataFrame, folder: str, epoch_id: int) -> DataFrame:
+    """The good rows; lines that do not parse go to the epoch's folder of the quarantine."""
+    good, bad = split_bad(batch)
+    bad.select("_corrupt_record", "file_name", "load_timestamp").write.mode("overwrite").parquet(f"{folder}/epoch={epoch_id}")
+    return good
+
+
+def merge_stream(spark: SparkSession, source: str, path: str, base: str, table: str, merge, checkpoint_dir: str, available_now: bool = True):
+    """As ``upsert_stream`` into a table in key buckets: ``merge(batch, base, version, run_ts)`` rewrites
+    only the buckets of the micro-batch, and a replayed epoch is skipped by its version."""
+    stream = raw_stream(spark, source, path)
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        good = _quarantined(batch, f"{base.rstrip('/')}/{table}_quarantine", epoch_id)
+        run_ts = good.agg(F.max("load_timestamp")).first()[0]
+        if run_ts is not None:
+            merge(good, base, f"epoch{epoch_id:012d}", run_ts)
+
+    w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_dir)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
+    return w.start()
+
+
 def dedup_within_watermark(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
     """Drop late repeats of a key with bounded state: a repeat arriving within
     ``delay`` of the first copy is dropped, state older than the watermark is

@@ -162,8 +162,8 @@ def alert_text(a: DataFrame) -> DataFrame:
 
 
 def evaluate_readings(readings: DataFrame, nodes: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
-    good, _bad = split_bad(readings)
-    return evaluate(with_nominals(good, nodes), th)
+    """The good readings, evaluated; ``split_bad`` has the others, which ``alert_stream`` keeps."""
+    return evaluate(with_nominals(split_bad(readings)[0], nodes), th)
 
 
 def alert_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
@@ -171,13 +171,18 @@ def alert_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint
                  trigger_available_now: bool = True):
     """Structured Streaming job: reading files (JSON lines) -> alerts parquet.
 
-    The checkpoint makes a restart read nothing twice; the parquet file sink
-    is exactly-once.  ``processingTime`` can replace ``availableNow`` for a
+    The checkpoint makes a restart read nothing twice.  Every epoch overwrites its own folders, so a
+    replay leaves one copy: alerts in ``sink_dir``, readings that cannot be evaluated in
+    ``<sink_dir>_quarantine`` (T10).  ``processingTime`` can replace ``availableNow`` for a
     continuously polling deployment (the reference polls every 30 s)."""
     readings = spark.readStream.schema(READING_SCHEMA).json(source_dir)
-    a = alerts(evaluate_readings(readings, node_dim(spark, nodes), th))
-    w = a.writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", checkpoint_dir) \
-        .outputMode("append")
+    dim = node_dim(spark, nodes)
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        alerts(evaluate_readings(batch, dim, th)).write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/epoch={epoch_id}")
+        split_bad(batch)[1].write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}_quarantine/epoch={epoch_id}")
+
+    w = readings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if trigger_available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 

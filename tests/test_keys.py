@@ -43,3 +43,22 @@ def test_global_rank_unique_key_matches_window(spark):
         mine = global_rank(df, [("v", "desc")], "r", unique_key="id")
         ref = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
         assert sorted((x.id, x.r) for x in mine.collect()) == sorted((x.id, x.r) for x in ref.collect())
+
+
+def test_global_positions_equal_windows(spark):
+    import random
+
+    from pyspark.sql import Window
+
+    from strata.operators.keys import global_positions
+    r = random.Random(5)
+    rows = [(f"k{i}", r.choice([None, 0.0, -0.0, 1.5, float(i)]), r.choice([None, 1, 2, i]), r.random()) for i in range(203)] + [(None, 1.5, 2, 0.5)]
+    df = spark.createDataFrame(rows, "k string, a double, b long, other double").repartition(5)
+    got = global_positions(df, "k", {"ra": ("a", "desc"), "rb": ("b", "asc")}, {"ta": (7, "a", "desc"), "tb": (4, "b", "asc")})
+    key = F.col("k").asc_nulls_last()
+    a, b = F.col("a").desc_nulls_last(), F.col("b").asc_nulls_last()
+    want = df.select("*", F.rank().over(Window.orderBy(a)).cast("long").alias("ra"), F.rank().over(Window.orderBy(b)).cast("long").alias("rb"),
+                     F.ntile(7).over(Window.orderBy(a, key)).cast("long").alias("ta"), F.ntile(4).over(Window.orderBy(b, key)).cast("long").alias("tb"))
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert global_positions(df.where("false"), "k", {"ra": ("a", "desc")}).collect() == []
