@@ -612,7 +612,7 @@ FROM (SELECT x.product_id AS a, y.product_id AS b, COUNT(*) AS n FROM c_bought x
       GROUP BY ALL HAVING COUNT(*) >= {least}) p
 JOIN c_bought_by ta ON ta.product_id = a JOIN c_bought_by tb ON tb.product_id = b
 JOIN g_dim_products pa ON pa.product_id = a JOIN g_dim_products pb ON pb.product_id = b
-CROSS JOIN (SELECT COUNT(DISTINCT order_id) AS total FROM c_bought)
+CROSS JOIN (SELECT COUNT(DISTINCT order_id) AS total FROM g_fact_order_items)
 ORDER BY lift DESC, a, b LIMIT 10000"""
 
 

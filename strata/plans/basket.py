@@ -146,7 +146,7 @@ def basket_pairs(foi: DataFrame, dim_products: DataFrame, min_count: int = 5, to
     products = materialize(frequent_products(bought, min_count))
     rows = materialize(baskets(bought, products))
     pairs = pair_counts(rows, frequent_buckets(rows, min_count), min_count)
-    orders = bought.agg(F.count_distinct("order_id").alias("total_orders"))
+    orders = foi.agg(F.count_distinct("order_id")).first()[0]  # one number
     names = dim_products.select(F.col("product_id").alias("id"), "product_name")
 
     def named(df: DataFrame, side: str) -> DataFrame:
@@ -154,7 +154,7 @@ def basket_pairs(foi: DataFrame, dim_products: DataFrame, min_count: int = 5, to
         df = df.join(p, side)
         return df.join(names.select(F.col("id").alias(f"product_{side}_id"), F.col("product_name").alias(f"product_{side}_name")), f"product_{side}_id")
 
-    j = named(named(pairs, "a"), "b").join(F.broadcast(orders), F.lit(True))  # one row
+    j = named(named(pairs, "a"), "b").withColumn("total_orders", F.lit(orders).cast("long"))
     n, total = F.col("n").cast("double"), F.col("total_orders")
     out = j.select(
         "product_a_id", "product_a_name", "product_b_id", "product_b_name", F.col("n").alias("co_occurrence_count"), "total_orders",
