@@ -217,3 +217,15 @@ def test_shares_are_exact():
         n, v = r.randrange(9 * 10 ** 14), r.randrange(1, 10 ** 6)
         c = r.randrange(n + 1)
         assert source_divergence.shares(np.array([c]), np.array([n]), np.array([v]))[0] == 1 + 10 ** 9 * (c + 1) // (n + v)
+
+
+# ---- license scan: texts of any length are answered
+
+def test_license_repeated_words(make):
+    from strata.llm import license_scan
+    many = 100_000
+    texts = ["may not be reproduced without " + "prior " * many + "permission", "to the extent possible under law " + "word " * many + "waived all copyright",
+             "to the extent possible under law the person has waived all copyright", "may not be reproduced without prior written permission"]
+    got = {r["doc_id"]: r for r in license_scan.scan(make(texts)).collect()}
+    assert len(got) == len(texts)
+    assert "cc0" in got[2]["labels"].split(",") and "proprietary" in got[3]["labels"].split(",")
