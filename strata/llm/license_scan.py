@@ -208,9 +208,12 @@ def detections(docs: DataFrame) -> DataFrame:
     fit = F.filter(ordered, lambda r: F.col("spaced").contains(r["keyword"]) & F.rlike(F.col("spaced"), _whole(r["regex"])))
     rows = rows.select("row", "doc_id", "n_words", "spaced", F.when(F.col("spaced").isNotNull(), base).alias("base"),
                        F.when(F.col("spaced").isNotNull(), fit).alias("fit"))
-    tried = rows.select("row", "doc_id", "n_words", "base", "spaced", F.explode_outer("fit").alias("r"))
+    # a text's base places stay on one of its rows: a copy a detection would grow with the square of their number
+    tried = rows.select("row", "doc_id", "n_words", "base", "spaced", F.posexplode_outer("fit").alias("nth", "r"))
+    tried = tried.select("row", "doc_id", "n_words", F.when(F.coalesce("nth", F.lit(0)) == 0, F.col("base")).alias("base"), "spaced", "r")
     found = tried.select("row", "doc_id", "n_words", "base", F.col("r.rule").alias("rule"), F.col("r.label").alias("label"), F.col("r.priority").alias("priority"),
-                         F.explode_outer(F.when(F.col("r").isNotNull(), _intervals(F.col("spaced"), F.col("r.regex")))).alias("at"))
+                         F.posexplode_outer(F.when(F.col("r").isNotNull(), _intervals(F.col("spaced"), F.col("r.regex")))).alias("nth", "at"))
+    found = found.withColumn("base", F.when(F.coalesce("nth", F.lit(0)) == 0, F.col("base")))
     found = found.select("row", "doc_id", "n_words", "base", "rule", "label", "priority", F.col("at.start").alias("start"), F.col("at.end").alias("end"))
     before = Window.partitionBy("row").orderBy(F.col("start").asc_nulls_last(), F.col("end").desc(), "priority", "rule").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.lit(False)
@@ -223,8 +226,9 @@ def detections(docs: DataFrame) -> DataFrame:
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: words, base places, labels, score, kept detections."""
     kept = F.when(F.col("kept"), F.struct("start", "end", "label", "rule", "priority"))
+    # collect_list, not first, for the places: first copies its value at each row
     rows = detections(docs).groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.first("base").alias("base"), F.sort_array(F.collect_list(kept)).alias("found"))
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.get(F.collect_list("base"), F.lit(0)).alias("base"), F.sort_array(F.collect_list(kept)).alias("found"))
     base = F.coalesce("base", F.array().cast("array<struct<start:int,label:string>>"))
     names = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
     starts, labels = F.transform(base, lambda b: b["start"]), F.transform(base, lambda b: b["label"])

@@ -229,3 +229,12 @@ def test_license_repeated_words(make):
     got = {r["doc_id"]: r for r in license_scan.scan(make(texts)).collect()}
     assert len(got) == len(texts)
     assert "cc0" in got[2]["labels"].split(",") and "proprietary" in got[3]["labels"].split(",")
+
+
+def test_license_many_detections(make):
+    """Work grows with the number of detections, not with its square."""
+    from strata.llm import license_scan
+    many = 30_000
+    got = license_scan.scan(make(["mit license, apache license " * many, "plain text", None])).orderBy("doc_id").collect()
+    assert [(r["n_base"], r["first_word"], r["last_word"]) for r in got] == [(2 * many, 0, 4 * many - 2), (0, None, None), (0, None, None)]
+    assert got[0]["base_labels"] == "apache,mit" and got[0]["score"] == 0.75 and len(got[0]["found"]) >= 2 * many and not got[1]["found"]
