@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from strata.plans import basket, marts
 from strata.plans.warehouse import Warehouse
+from strata.sources.raw import SOURCES
 
 SILVER_COLUMNS = {
     "customers": "customer_sk customer_id first_name last_name full_name email phone date_of_birth gender "
@@ -162,11 +163,42 @@ def _raw_envelope(w: Warehouse, name: str):
     """Raw landing rows without the payload: lifted keys, lineage, load stamp,
     batch id (and the payload's event type for cart events)."""
     from pyspark.sql import functions as F
-    from strata.sources.raw import SOURCES
-    df = getattr(w, f"raw_{name}")
+    df = w.landed(name)
     keys = list(SOURCES[name].keys)
     return df.select(*keys, "file_name", "file_row_number", "load_timestamp", "batch_id")
 
 
-MARTS["raw_orders"] = lambda w: _raw_envelope(w, "orders")
-MARTS["raw_cart_events"] = lambda w: _raw_envelope(w, "cart_events")
+for _feed in SOURCES:
+    MARTS[f"raw_{_feed}"] = lambda w, name=_feed: _raw_envelope(w, name)
+
+
+def _grid_alert_text(w: Warehouse):
+    from strata.streaming import telemetry as T
+    return T.alert_text(T.alerts(_grid(w))).select("node_id", "timestamp", "severity", "message")
+
+
+MARTS["grid_alert_text"] = _grid_alert_text
+
+
+def _landed_files(w: Warehouse, name: str, source: str, write, **options):
+    """A feed's payloads as files of many lines in the shared folder, read back by the landing readers.  Files
+    keep no order over tasks, so a row is given with its file's size and whether its number is the
+    line's own."""
+    import uuid
+
+    from pyspark.sql import functions as F
+    from strata.session import ensure_checkpoint_dir
+    from strata.sources import raw
+    folder = f"{ensure_checkpoint_dir(w.spark).rstrip('/')}/strata-landing/{uuid.uuid4().hex}"
+    write(w.landed(name), folder)
+    rows = raw.lift_keys(raw.split_bad(raw.READERS[SOURCES[source].fmt](w.spark, folder, **options))[0], SOURCES[source].keys)
+    per_file = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file_row_number").alias("d"), F.min("file_row_number").alias("a"), F.max("file_row_number").alias("z"))
+    good = per_file.select("file_name", ((F.col("d") == F.col("n")) & (F.col("a") == 0) & (F.col("z") == F.col("n") - 1)).alias("numbers_whole"))
+    return rows.join(good, "file_name").select(*SOURCES[source].keys, "numbers_whole")
+
+
+MARTS["landing_json_orders"] = lambda w: _landed_files(w, "orders", "orders", lambda df, to: df.selectExpr("to_json(payload)").write.text(to))
+MARTS["landing_csv_stores"] = lambda w: _landed_files(
+    w, "stores", "stores", lambda df, to: df.selectExpr("variant_get(payload, '$.store_id', 'string') AS store_id", "variant_get(payload, '$.name', 'string') AS name").write.option("header", True).csv(to))
+MARTS["landing_parquet_suppliers"] = lambda w: _landed_files(
+    w, "suppliers", "suppliers", lambda df, to: df.selectExpr("variant_get(payload, '$.supplier_id', 'string') AS supplier_id", "variant_get(payload, '$.rating', 'double') AS rating").write.parquet(to))

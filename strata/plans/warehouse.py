@@ -43,6 +43,14 @@ class Warehouse:
     @cached_property
     def raw_cart_events(self): return self._raw("cart_events")
 
+    def landed(self, name: str) -> DataFrame:
+        """All raw rows of a feed, both loads of customers."""
+        if name == "customers":
+            return self.raw_customers[0].unionByName(self.raw_customers[1])
+        if name in ("orders", "inventory", "cart_events"):
+            return getattr(self, f"raw_{name}")
+        return self._raw({"loyalty_points": "loyalty"}.get(name, name))
+
     # ------------------------------------------------------------ silver
     @cached_property
     def customers(self) -> DataFrame:

@@ -49,7 +49,9 @@ def land_new(spark: SparkSession, source: str, path: str, folder: str, run: str,
     paths = [r["place"] for r in fresh.select("place").collect()]  # names of the files of one load
     if not paths:
         return None, None
-    rows = materialize(READERS[src.fmt](spark, paths))
+    rows = READERS[src.fmt](spark, paths)
+    if src.fmt == "parquet":  # the other readers have written their rows
+        rows = materialize(rows)
     good, bad = split_bad(rows)
     counts = rows.groupBy(F.col("file_name").alias("path")).agg(
         F.count(F.when(_is_good(), 1)).alias("good"), F.count(F.when(~_is_good(), 1)).alias("bad"))

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.compat import lit_ts
+from strata.session import materialize
 
 # Fixed values of the landing contract: null tokens per format.
 JSON_NULL_TOKENS = ["", "null", "NULL"]
@@ -77,21 +78,25 @@ SOURCES: dict[str, Source] = {s.name: s for s in [
 ]}
 
 
-def read_json_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """IN1: JSON lines (or files holding one outer array) -> one variant per record.
+def read_json_raw(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """IN1: JSON lines (a line may hold an array of records), or with ``multi_line`` files of one
+    value each, arrays over many lines included -> one variant per record.
     Unparseable lines keep their text in ``_corrupt_record`` and a null payload."""
-    df = (spark.read.schema("payload variant, _corrupt_record string")
+    return with_lineage(json_records(spark.read, path, multi_line))
+
+
+def json_records(reader, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """The records of JSON files, by a batch or a streaming reader; arrays are taken apart in the same
+    pass, and an empty one has no record."""
+    df = (reader.schema("payload variant, _corrupt_record string")
           .option("singleVariantColumn", "payload")
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record")
-          .json(path)
-          .select("payload", "_corrupt_record", F.col("_metadata.file_path").alias("file_name")))
-    # an outer array arrives as one variant: explode it into records
-    is_arr = F.expr("schema_of_variant(payload) LIKE 'ARRAY%'")
-    arr = df.filter(is_arr).select(F.explode(F.expr("cast(payload as array<variant>)")).alias("payload"),
-                                   F.lit(None).cast("string").alias("_corrupt_record"), "file_name")
-    rest = df.filter(~is_arr | F.col("payload").isNull())
-    return with_lineage(rest.unionByName(arr), fmt="json")
+          .option("multiLine", multi_line)
+          .json(path))
+    items = F.coalesce(F.try_variant_get("payload", "$", "array<variant>"), F.array("payload"))
+    return df.select(F.explode(items).alias("payload"), "_corrupt_record", F.col("_metadata.file_path").alias("file_name"),
+                     F.col("_metadata.file_block_start").alias("_block"))
 
 
 def read_csv_raw(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
@@ -103,8 +108,8 @@ def read_csv_raw(spark: SparkSession, path: str | list[str], schema: str | None
     df = r.option("columnNameOfCorruptRecord", "_corrupt_record").schema(f"{typed}, _corrupt_record string").csv(path)
     cols = [F.when(F.col(f"`{c}`").isin(*CSV_NULL_TOKENS), None).otherwise(F.col(f"`{c}`")).alias(c) for c in fields]
     out = df.select(F.to_variant_object(F.struct(*cols)).alias("payload"), "_corrupt_record",
-                    F.col("_metadata.file_path").alias("file_name"))
-    return with_lineage(out, fmt="csv")
+                    F.col("_metadata.file_path").alias("file_name"), F.col("_metadata.file_block_start").alias("_block"))
+    return with_lineage(out)
 
 
 def read_parquet_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -117,10 +122,20 @@ def read_parquet_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return out
 
 
-def with_lineage(df: DataFrame, fmt: str) -> DataFrame:
-    """IN6: the file name is taken from the scan metadata by the readers.  The
-    JSON/CSV readers expose no row index, so ``file_row_number`` stays NULL."""
-    return df.withColumn("file_row_number", F.lit(None).cast("bigint"))
+def with_lineage(df: DataFrame) -> DataFrame:
+    """IN6: ``file_row_number`` of records that carry ``file_name`` and ``_block``, the start of the
+    file block they were read in: numbered from 0 in a file, as the Parquet reader does, bad
+    records included.
+
+    Row ids rise within a block wherever it is read.  The rows are written once with their ids, so
+    numbers and rows come from the same reading; then one row a block (its first id and its size)
+    gives each block the number it starts at."""
+    rows = materialize(df.withColumn("_at", F.monotonically_increasing_id()))
+    blocks = rows.groupBy("file_name", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("file_name").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = blocks.select("file_name", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    others = [c for c in df.columns if c not in ("_block", "file_row_number")]
+    return rows.join(shift, ["file_name", "_block"]).select(*others, (F.col("_at") + F.col("_shift")).alias("file_row_number"))
 
 
 def with_batch(df: DataFrame, batch_id: str | None, run_ts) -> DataFrame:

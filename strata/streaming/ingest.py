@@ -1,7 +1,7 @@
 """IN9 / IN10: continuous file ingest into the raw layer.
 
-``stream_raw`` reads JSON lines from a landing folder as one variant per
-record, lifts the keys and writes the raw envelope to a parquet table by epoch.  The
+``stream_raw`` reads JSON files from a landing folder as one variant per
+record (arrays are taken apart, rows numbered), lifts the keys and writes the raw envelope to a parquet table by epoch.  The
 streaming file source's checkpoint records which files were committed, so a
 restart (or a lost executor) never loads a file twice.  ``foreachBatch``
 lets the same micro-batch also feed a silver upsert.
@@ -12,36 +12,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.raw import ENVELOPE, SOURCES, lift_keys, split_bad
+from strata.sources.raw import ENVELOPE, SOURCES, json_records, lift_keys, split_bad, with_lineage
 
 
-def raw_stream(spark: SparkSession, source: str, path: str) -> DataFrame:
+def raw_stream(spark: SparkSession, source: str, path: str, multi_line: bool = False) -> DataFrame:
+    """The records of a landing folder as the batch reader gives them, arrays taken apart; ``numbered``
+    turns the file blocks of a micro-batch into row numbers."""
     src = SOURCES[source]
-    df = (spark.readStream.format("text").load(path)
-          .select(F.try_parse_json("value").alias("payload"),
-                  F.when(F.try_parse_json("value").isNull(), F.col("value")).alias("_corrupt_record"),
-                  F.col("_metadata.file_path").alias("file_name")))
-    df = lift_keys(df, src.keys)
-    return df.select(*src.keys.keys(), "payload", "_corrupt_record", "file_name",
-                     F.lit(None).cast("bigint").alias("file_row_number"),
+    df = lift_keys(json_records(spark.readStream, path, multi_line), src.keys)
+    return df.select(*src.keys.keys(), "payload", "_corrupt_record", "file_name", "_block",
                      F.current_timestamp().cast("timestamp_ntz").alias("load_timestamp"),
                      F.lit(None).cast("string").alias("batch_id"))
 
 
+def numbered(batch: DataFrame) -> DataFrame:
+    """A micro-batch, read once, with ``file_row_number``: a file is never split over micro-batches."""
+    return with_lineage(batch)
+
+
 def stream_raw(spark: SparkSession, source: str, path: str, table_dir: str, checkpoint_dir: str,
-               on_batch=None, available_now: bool = True):
+               on_batch=None, available_now: bool = True, multi_line: bool = False):
     """Start the ingest; ``on_batch(good_rows, epoch_id)`` runs after each write.
 
     Every epoch overwrites its own folder ``epoch=<id>``, so a replay after a
     failure leaves one copy.  Lines that do not parse go, the same way, to the
     quarantine table beside the raw table (``<table_dir>_quarantine``)."""
-    stream = raw_stream(spark, source, path)
+    stream = raw_stream(spark, source, path, multi_line)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        good, bad = split_bad(batch)
+        good, bad = split_bad(numbered(batch))
         part = f"epoch={epoch_id}"
         good.select(*SOURCES[source].keys.keys(), *ENVELOPE).write.mode("overwrite").parquet(f"{table_dir}/{part}")
-        bad.select("_corrupt_record", "file_name", "load_timestamp").write.mode("overwrite") \
+        bad.select("_corrupt_record", "file_name", "file_row_number", "load_timestamp").write.mode("overwrite") \
             .parquet(f"{table_dir.rstrip('/')}_quarantine/{part}")
         if on_batch is not None:
             on_batch(good, epoch_id)
@@ -83,8 +85,8 @@ def upsert_stream(spark: SparkSession, source: str, path: str, base: str, table:
 
 def _quarantined(batch: DataFrame, folder: str, epoch_id: int) -> DataFrame:
     """The good rows; lines that do not parse go to the epoch's folder of the quarantine."""
-    good, bad = split_bad(batch)
-    bad.select("_corrupt_record", "file_name", "load_timestamp").write.mode("overwrite").parquet(f"{folder}/epoch={epoch_id}")
+    good, bad = split_bad(numbered(batch))
+    bad.select("_corrupt_record", "file_name", "file_row_number", "load_timestamp").write.mode("overwrite").parquet(f"{folder}/epoch={epoch_id}")
     return good
 
 
