@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import oracle.gold  # noqa: F401  (registers CTEs)
 import oracle.marts  # noqa: F401
+import oracle.loads  # noqa: F401
 import oracle.raw  # noqa: F401
 from oracle.bind import with_ctes
 

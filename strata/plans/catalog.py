@@ -140,6 +140,9 @@ def _grid_alerts(w: Warehouse):
 MARTS["basket_analysis"] = lambda w: basket.basket_pairs(w.fact_order_items, w.dim_products)
 MARTS["basket_analysis_pairs"] = lambda w: basket.basket_pairs(w.fact_order_items, w.dim_products, min_count=2)
 MARTS["payments_second_load"] = lambda w: w.payments_second_load.select(*SILVER_COLUMNS["payments"].split())
+MARTS["inventory_second_load"] = lambda w: w.inventory_second_load.select(*SILVER_COLUMNS["inventory"].split())
+MARTS["shipments_second_load"] = lambda w: w.shipments_second_load.select(*SILVER_COLUMNS["shipments"].split())
+MARTS["customer_segments_two_days"] = lambda w: w.customer_segments_two_days.select(*SILVER_COLUMNS["customer_segments"].split())
 MARTS["grid_reading_status"] = _grid_status
 MARTS["grid_alerts"] = _grid_alerts
 

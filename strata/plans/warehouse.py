@@ -10,10 +10,12 @@ exchange reuse.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.plans import dims, facts, silver
 from strata.session import ensure_checkpoint_dir, materialize
@@ -85,6 +87,31 @@ class Warehouse:
         silver.merge_payments(self._raw("payments_second"), base, "load2", feeds.RUN2)
         return buckets.read(self.spark, base, "payments")
 
+    @cached_property
+    def inventory_second_load(self):
+        """SV4 against a target: the snapshots before the last day, then the whole feed again."""
+        day = F.try_variant_get("payload", "$.snapshot_date", "string")
+        first = silver.s07_inventory(self.raw_inventory.where(day < "2001-08-01"), None, feeds.RUN1)
+        return silver.s07_inventory(self.raw_inventory, materialize(first), feeds.RUN2)
+
+    @cached_property
+    def shipments_second_load(self):
+        """SV2 against a target: shipments of before 1998 as they stood on the way, then the whole feed."""
+        raw = self._raw("shipments")
+        first = silver.s16_shipments(raw.where(F.try_variant_get("payload", "$.ship_date", "string") < "1998"), None, feeds.RUN1)
+        on_the_way = {"shipment_status": F.lit("IN_TRANSIT"), "actual_delivery": F.lit(None).cast("date"), "is_late": F.lit(False),
+                      "days_to_deliver": F.lit(None).cast("bigint")}
+        return silver.s16_shipments(raw, materialize(first.withColumns(on_the_way)), feeds.RUN2)
+
+    @cached_property
+    def customer_segments_two_days(self):
+        """SV6 against a target: the day before, and the as-of day, first from the orders of up to a
+        month before it and then again from all, which replaces it."""
+        before = self.as_of - dt.timedelta(days=1)
+        early = silver.s19_customer_segments(self.orders.where(F.col("order_date") < F.lit(self.as_of - dt.timedelta(days=30))), self.as_of)
+        target = materialize(silver.s19_customer_segments(self.orders, before).unionByName(early))
+        return silver.s19_customer_segments(self.orders, self.as_of, target)
+
     @cached_property
     def returns(self): return silver.s09_returns(self._raw("returns"), None, feeds.RUN1)
     @cached_property
