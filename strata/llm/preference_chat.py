@@ -8,20 +8,21 @@ text and end mark of its assistant turns; it is given as character spans
 
 A turn is rendered as ``<|role|>`` newline, text, ``<|end|>`` newline.
 
-``borrowed_replies`` makes pairs from plain conversations: chosen is the
-conversation, rejected is the same with its last assistant turn replaced by the
-last assistant turn of its partner (ids 2k and 2k + 1 are partners).  Where the
-partner has none, the rejected reply is empty.  Turns after the last assistant
-turn belong to neither.
+``borrowed_replies`` makes pairs from plain conversations, one for each: chosen is the
+conversation with all its turns.  Rejected parts from it at the first assistant turn whose
+text is not that of the partner's assistant turn of the same rank (ids 2k and 2k + 1 are
+partners; a missing turn differs from every other): the turns before it stay, and the
+partner's turns from its assistant turn of that rank on follow, those of the user included.
 
-Only DataFrame functions are used.  The work on a conversation is inside one row;
-no conversation's turns meet another's but by its own key.
+Only DataFrame functions are used.  Turns are shuffled once, by pair of partners, and the work
+on a pair is inside one row, which two conversations have to fit.
 
 Defined cases: rows with a null ``conv_id`` belong to no conversation; turns sort
 by turn number (nulls first), then role, then text, so ties and repeated rows have
-one order; null role or text counts as empty; conversations without an
-assistant turn make no pair; equal conversations leave empty completions and
-``is_tie``; an empty table gives no rows.
+one order; null role or text counts as empty; a conversation without a partner has a rejected
+side that ends before its first assistant turn; where the assistant turns of both are the same, or
+both have none, rejected is chosen itself: completions are empty and ``is_tie``; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -32,13 +33,17 @@ from pyspark.sql import functions as F
 ASSISTANT = "assistant"
 
 
-def conversations(turns: DataFrame) -> DataFrame:
-    """(conv_id, turns): the turns of each conversation in order."""
+def partners(turns: DataFrame) -> DataFrame:
+    """(half, even, odd): the turns of the conversations 2 * half and 2 * half + 1 in order, empty if there is none."""
     turn = F.struct(F.col("turn").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
                     F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return (turns.where(F.col("conv_id").isNotNull()).groupBy("conv_id")
-            .agg(F.sort_array(F.collect_list(turn)).alias("t"))
-            .select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns")))
+    odd = F.expr("conv_id & 1") == 1
+
+    def ordered(some: Column) -> Column:
+        return F.transform(F.sort_array(F.collect_list(F.when(some, turn))), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+
+    return (turns.where(F.col("conv_id").isNotNull()).groupBy(F.shiftright("conv_id", 1).alias("half"))
+            .agg(ordered(~odd).alias("even"), ordered(odd).alias("odd")))
 
 
 def render(turn: Column) -> Column:
@@ -88,15 +93,25 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
                       (F.size("c") + F.size("r") == 0).alias("is_tie"))
 
 
+def assistant_turns(turns: Column) -> Column:
+    """(at, text) of the assistant turns, ``at`` counted from 0."""
+    marked = F.transform(turns, lambda t, i: F.struct(i.alias("at"), t["role"].alias("role"), t["text"].alias("text")))
+    return F.transform(F.filter(marked, lambda t: t["role"] == ASSISTANT), lambda t: F.struct(t["at"].alias("at"), t["text"].alias("text")))
+
+
 def borrowed_replies(turns: DataFrame) -> DataFrame:
     """(pair_id, chosen, rejected) from plain conversations."""
-    at = F.array_position(F.reverse(F.transform("turns", lambda t: t["role"] == ASSISTANT)), True)
-    whole = (conversations(turns).withColumn("last", (F.size("turns") - at + 1).cast("int")).where(at > 0)
-             .select("conv_id", F.slice("turns", 1, F.col("last")).alias("chosen"), F.slice("turns", 1, F.col("last") - 1).alias("before"),
-                     F.element_at("turns", F.col("last")).alias("reply")))
-    other = whole.select(F.expr("conv_id ^ 1").alias("conv_id"), F.col("reply.text").alias("borrowed"))
-    reply = F.array(F.struct(F.lit(ASSISTANT).alias("role"), F.coalesce("borrowed", F.lit("")).alias("text")))
-    return whole.join(other, "conv_id", "left").select(F.col("conv_id").alias("pair_id"), "chosen", F.concat("before", reply).alias("rejected"))
+    def side(bit: int, own: str, other: str) -> Column:
+        return F.struct((F.col("half") * 2 + bit).alias("pair_id"), F.col(own).alias("own"), F.col(other).alias("other"))
+
+    both = partners(turns).select(F.explode(F.array(side(0, "even", "odd"), side(1, "odd", "even"))).alias("s")).select("s.*").where(F.size("own") > 0)
+    ranked = both.withColumn("a", assistant_turns(F.col("own"))).withColumn("b", assistant_turns(F.col("other")))
+    same = common_turns(F.transform("a", lambda t: t["text"]), F.transform("b", lambda t: t["text"]))
+    parted = ranked.withColumn("same", same).select(
+        "pair_id", "own", "other", ((F.size("a") == F.col("same")) & (F.size("b") == F.col("same"))).alias("equal"),
+        F.coalesce(F.get("a", F.col("same"))["at"], F.size("own")).alias("keep"), F.coalesce(F.get("b", F.col("same"))["at"], F.size("other")).alias("skip"))
+    return parted.select("pair_id", F.col("own").alias("chosen"), F.when(F.col("equal"), F.col("own")).otherwise(
+        F.concat(F.slice("own", F.lit(1), F.col("keep")), rest(F.col("other"), F.col("skip")))).alias("rejected"))
 
 
 def preference_records(turns: DataFrame) -> DataFrame:
@@ -109,23 +124,32 @@ def spans_text(spans: str) -> Column:
 
 #: The same in SQL, over the whole table.
 ORACLE_SQL = """
-WITH c AS (SELECT conv_id, list(coalesce(role, '') ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS r,
-                  list(coalesce(text, '') ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS x
-           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
-l AS (SELECT *, len(r) - list_position(list_reverse(r), 'assistant') + 1 AS last FROM c WHERE list_contains(r, 'assistant')),
-p AS (SELECT a.conv_id, a.r[1:a.last] AS r, a.x[1:a.last] AS x, a.last,
-             list_append(a.x[1:a.last - 1], coalesce(b.x[b.last], '')) AS y
-      FROM l a LEFT JOIN l b ON b.conv_id = xor(a.conv_id, 1)),
-q AS (SELECT conv_id, r, x, y, last, CASE WHEN x[last] = y[last] THEN last ELSE last - 1 END AS n FROM p),
-t AS (SELECT conv_id, last, n, unnest(range(1, last + 1)) AS i, r, x, y FROM q),
-u AS (SELECT conv_id, n, last, i, '<|' || r[i] || '|>' || chr(10) || x[i] || '<|end|>' || chr(10) AS s,
-             '<|' || r[i] || '|>' || chr(10) || y[i] || '<|end|>' || chr(10) AS z, r[i] AS role, x[i] AS xi, y[i] AS yi FROM t)
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT conv_id, xor(conv_id, 1) AS partner FROM t),
+s AS (SELECT conv_id, text, i, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS k FROM t WHERE role = 'assistant'),
+ks AS (SELECT ids.conv_id, ids.partner, s.k FROM ids JOIN s ON s.conv_id IN (ids.conv_id, ids.partner) GROUP BY ALL),
+d AS (SELECT ks.conv_id, min(ks.k) AS k FROM ks LEFT JOIN s o ON o.conv_id = ks.conv_id AND o.k = ks.k
+      LEFT JOIN s q ON q.conv_id = ks.partner AND q.k = ks.k WHERE o.text IS DISTINCT FROM q.text GROUP BY ks.conv_id),
+f AS (SELECT ids.conv_id, ids.partner, o.i AS keep, q.i AS skip, d.k IS NOT NULL AS parts FROM ids LEFT JOIN d ON d.conv_id = ids.conv_id
+      LEFT JOIN s o ON o.conv_id = ids.conv_id AND o.k = d.k LEFT JOIN s q ON q.conv_id = ids.partner AND q.k = d.k),
+v AS (SELECT f.conv_id, t.role, t.text, 0 AS part, t.i FROM f JOIN t ON t.conv_id = f.conv_id WHERE NOT f.parts OR f.keep IS NULL OR t.i < f.keep
+      UNION ALL SELECT f.conv_id, t.role, t.text, 1, t.i FROM f JOIN t ON t.conv_id = f.partner WHERE f.parts AND t.i >= f.skip),
+w AS (SELECT conv_id, 'c' AS side, role, text, i AS j FROM t
+      UNION ALL SELECT conv_id, 'r', role, text, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) FROM v),
+n AS (SELECT conv_id, count(*) FILTER (WHERE held) AS n FROM (
+        SELECT conv_id, j, bool_and(equal) OVER (PARTITION BY conv_id ORDER BY j) AS held FROM (
+          SELECT conv_id, j, count(*) = 2 AND min(role) = max(role) AND min(text) = max(text) AS equal FROM w GROUP BY conv_id, j)) GROUP BY conv_id),
+x AS (SELECT w.*, n.n, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS turn FROM w JOIN n ON n.conv_id = w.conv_id),
+y AS (SELECT *, sum(length(turn)) OVER (PARTITION BY conv_id, side, j > n ORDER BY j) - length(turn) + length(role) + 5 AS start FROM x),
+z AS (SELECT *, CAST(start AS BIGINT) || ':' || CAST(start + length(text) + 7 AS BIGINT) AS span FROM y)
 SELECT conv_id AS pair_id, CAST(max(n) AS BIGINT) AS n_prompt_turns,
-       coalesce(string_agg(s, '' ORDER BY i) FILTER (WHERE i <= n), '') AS prompt,
-       coalesce(string_agg(s, '' ORDER BY i) FILTER (WHERE i > n), '') AS chosen,
-       coalesce(string_agg(z, '' ORDER BY i) FILTER (WHERE i > n), '') AS rejected,
-       CASE WHEN max(n) = max(last) THEN '' ELSE '14:' || (14 + 7 + max(length(xi)) FILTER (WHERE i = last)) END AS chosen_spans,
-       CASE WHEN max(n) = max(last) THEN '' ELSE '14:' || (14 + 7 + max(length(yi)) FILTER (WHERE i = last)) END AS rejected_spans,
-       max(n) = max(last) AS is_tie
-FROM u GROUP BY conv_id
+       coalesce(string_agg(turn, '' ORDER BY j) FILTER (WHERE side = 'c' AND j <= n), '') AS prompt,
+       coalesce(string_agg(turn, '' ORDER BY j) FILTER (WHERE side = 'c' AND j > n), '') AS chosen,
+       coalesce(string_agg(turn, '' ORDER BY j) FILTER (WHERE side = 'r' AND j > n), '') AS rejected,
+       coalesce(string_agg(span, ',' ORDER BY j) FILTER (WHERE side = 'c' AND j > n AND role = 'assistant'), '') AS chosen_spans,
+       coalesce(string_agg(span, ',' ORDER BY j) FILTER (WHERE side = 'r' AND j > n AND role = 'assistant'), '') AS rejected_spans,
+       max(j) = max(n) AS is_tie
+FROM z GROUP BY conv_id
 """

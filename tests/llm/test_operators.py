@@ -316,12 +316,18 @@ def test_preference_pairs(spark):
              (4, 0, "user", "alone"), (4, 1, "assistant", None), (6, 0, "user", "q"), (None, 0, "assistant", "lost"), (8, None, "system", "s"), (8, 0, "assistant", "é")]
     df = spark.createDataFrame([(*t, "extra") for t in turns], "conv_id long, turn long, role string, text string, prompt string")
     got = {r["pair_id"]: r for r in preference_chat.preference_records(df).collect()}
-    assert sorted(got) == [2, 3, 4, 8]
-    two = got[2]  # turns: hi, no, yes; its partner's last reply is "yes" too
-    assert two["is_tie"] and two["chosen"] == two["rejected"] == "" and two["n_prompt_turns"] == 3
-    assert got[4]["is_tie"] and not got[8]["is_tie"]
+    assert sorted(got) == [2, 3, 4, 6, 8]
+    two = got[2]  # turns: hi, no, yes; its partner: hi, yes, bye
+    assert two["prompt"] == "<|user|>\nhi<|end|>\n" and two["n_prompt_turns"] == 1 and not two["is_tie"]
+    assert two["chosen"] == "<|assistant|>\nno<|end|>\n<|assistant|>\nyes<|end|>\n"
+    assert [two["chosen"][s["start"]:s["end"]] for s in two["chosen_mask"]] == ["no<|end|>", "yes<|end|>"]
+    assert two["rejected"] == "<|assistant|>\nyes<|end|>\n<|user|>\nbye<|end|>\n"
+    assert [two["rejected"][s["start"]:s["end"]] for s in two["rejected_mask"]] == ["yes<|end|>"]
+    assert got[3]["chosen"] == two["rejected"] and got[3]["rejected"] == two["chosen"]
+    assert got[4]["rejected"] == "" and got[4]["n_prompt_turns"] == 1 and not got[4]["is_tie"]
+    assert got[6]["is_tie"] and got[6]["prompt"] == "<|user|>\nq<|end|>\n"
     eight = got[8]
-    assert eight["prompt"] == "<|system|>\ns<|end|>\n" and eight["rejected"] == "<|assistant|>\n<|end|>\n"
+    assert eight["prompt"] == "<|system|>\ns<|end|>\n" and eight["rejected"] == ""
     assert [eight["chosen"][s["start"]:s["end"]] for s in eight["chosen_mask"]] == ["é<|end|>"]
     pairs = spark.createDataFrame([(1, [("user", "a"), ("assistant", "b")], [("user", "a")])],
                                   "pair_id long, chosen array<struct<role:string,text:string>>, rejected array<struct<role:string,text:string>>")
@@ -330,6 +336,35 @@ def test_preference_pairs(spark):
     assert preference_chat.preference_records(df.limit(0)).count() == 0
 
 
+def test_preference_pairs_against_brute_force(spark):
+    rnd = random.Random(8)
+    turns = [(rnd.randint(-12, 60), rnd.choice([None, *range(9)]), rnd.choice(["user", "assistant", "assistant", "system", None]), rnd.choice(["a", "a", "é😀", "", None]))
+             for _ in range(420)]
+    turns += [(c, i, r, x) for c in (70, 71) for i, (r, x) in enumerate([("user", "q"), ("assistant", "same"), ("user", "again"), ("assistant", f"part {c}"), ("user", "end")])]
+    talks = {}
+    for c, t, r, x in sorted(turns, key=lambda v: (v[0], v[1] is not None, v[1] or 0, (v[2] or "").encode(), (v[3] or "").encode())):
+        talks.setdefault(c, []).append((r or "", x or ""))
+    got = {r["pair_id"]: r for r in preference_chat.preference_records(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()}
+    assert sorted(got) == sorted(talks)
+    for c, own in talks.items():
+        other = talks.get(c ^ 1, [])
+        mine, its = ([i for i, t in enumerate(x) if t[0] == "assistant"] for x in (own, other))
+        k = 0
+        while k < min(len(mine), len(its)) and own[mine[k]] == other[its[k]]:
+            k += 1
+        rejected = own if k == len(mine) == len(its) else own[:([*mine, len(own)] + [len(own)] * k)[k]] + other[([*its, len(other)] + [len(other)] * k)[k]:]
+        n = 0
+        while n < min(len(own), len(rejected)) and own[n] == rejected[n]:
+            n += 1
+        row = got[c]
+        assert row["n_prompt_turns"] == n and row["is_tie"] == (own == rejected)
+        assert row["prompt"] == "".join(f"<|{r}|>\n{x}<|end|>\n" for r, x in own[:n])
+        for name, side in (("chosen", own[n:]), ("rejected", rejected[n:])):
+            assert row[name] == "".join(f"<|{r}|>\n{x}<|end|>\n" for r, x in side)
+            assert [row[name][s["start"]:s["end"]] for s in row[f"{name}_mask"]] == [f"{x}<|end|>" for r, x in side if r == "assistant"]
+    assert got[70]["n_prompt_turns"] == 3
+
+
 # ---- near duplicates
 
 def brute_components(texts, width, percent):
@@ -422,6 +457,12 @@ def test_tree_bpe_equals_tiktoken(make):
     for t in texts:
         ids = c.encode(t, rnd.randint(1, 9) if len(t) < 100 else 700)
         assert ids == c.encoding.encode_ordinary(t) and c.decode(ids, 3 if len(t) < 100 else 50) == t.encode()
+    alphabet = "abst019'\"(.)_~`@ é٣漢\n"
+    for _ in range(3000):  # kinds of ASCII change at many places, apostrophes among them
+        t = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60)))
+        assert c.encode(t, rnd.randint(1, 9)) == c.encoding.encode_ordinary(t)
+    for t in ("x" * 400_000, "7" + "y" * 300_000 + "." + "z" * 100_000):  # no safe place, or few
+        assert c.encode(t) == c.encoding.encode_ordinary(t)
     got = {r["doc_id"]: r for r in tree_bpe.round_trip(make(EDGES)).collect()}
     for i, t in enumerate(EDGES):
         ids = c.encoding.encode_ordinary(t or "")
