@@ -4,15 +4,17 @@
 each leaf, and joins neighbours: a window around their boundary is encoded
 anew and replaces the tokens of both sides that it covers.  The window grows
 until its ends provably leave the tokens outside alone: an end is safe where a
-non-space character is followed by white space.  No match of the split pattern
-holds such a pair, and no match before it looks beyond that white space, so in
-every context a match ends there, and each match is encoded on its own.  If a
-side has no such place the window takes all of it.
+non-space character is followed by white space, and between ASCII letters, digits
+and marks where the kind changes (but not after an apostrophe, which may begin a
+contraction).  No match of the split pattern holds such a pair, and no match before it
+looks beyond it, so in every context a match ends there, and each match is encoded on
+its own.  If a side has no such place the window takes all of it, and that side is
+not encoded before.
 
 ``decode`` concatenates the tokens' bytes up the same kind of tree.
 
-Defined cases: null text counts as empty (no tokens); a text without white
-space is one window; one output row per input row.
+Defined cases: null text counts as empty (no tokens); a text without a safe
+place is one window, encoded once; one output row per input row.
 """
 
 from __future__ import annotations
@@ -30,12 +32,15 @@ from pyspark.sql import functions as F
 from .common import text_of, utf8
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-LEAF = 8192
+LEAF = 512
 WINDOW = 32
 
 #: A place between a non-space and a white-space character (the pattern's ``\s``;
-#: the control characters 1C-1F, which only Python counts as white space, are left out).
-_CUT = re.compile(r"(?<=[^\s])(?=[^\S\x1c-\x1f])")
+#: the control characters 1C-1F, which only Python counts as white space, are left out),
+#: or between ASCII characters of two kinds.
+_MARKS = r"(-/:-@\[-`{-~"
+_CUT = re.compile(r"(?<=[^\s])(?=[^\S\x1c-\x1f])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])"
+                  rf"|(?<=[A-Za-z0-9])(?=[!-'{_MARKS}])|(?<=[!-&{_MARKS}])(?=[A-Za-z0-9])")
 
 _CODECS: dict[str, Codec] = {}
 
@@ -58,13 +63,16 @@ class Codec:
         if hi - lo <= leaf:
             return self.encoding.encode_ordinary(text[lo:hi])
         mid = (lo + hi) // 2
-        return self.join(self._encode(text, lo, mid, leaf), self._encode(text, mid, hi, leaf), text, lo, mid, hi)
-
-    def join(self, left: list[int], right: list[int], text: str, lo: int, mid: int, hi: int) -> list[int]:
-        """Tokens of text[lo:hi] from those of text[lo:mid] and text[mid:hi]."""
         a, b = left_cut(text, lo, mid), right_cut(text, mid, hi)
-        keep = len(left) - self.covering(reversed(left), len(utf8(text[a:mid])))
-        skip = self.covering(right, len(utf8(text[mid:b])))
+        left = self._encode(text, lo, mid, leaf) if a > lo else []
+        right = self._encode(text, mid, hi, leaf) if b < hi else []
+        return self.join(left, right, text, a, mid, b)
+
+    def join(self, left: list[int], right: list[int], text: str, a: int, mid: int, b: int) -> list[int]:
+        """Tokens of two neighbours that meet at ``mid``: the window a .. b is encoded anew.  A side that
+        lies in the window as a whole may be given without tokens."""
+        keep = len(left) - self.covering(reversed(left), len(utf8(text[a:mid]))) if left else 0
+        skip = self.covering(right, len(utf8(text[mid:b]))) if right else 0
         return left[:keep] + self.encoding.encode_ordinary(text[a:b]) + right[skip:]
 
     def covering(self, tokens, size: int) -> int:
