@@ -14,7 +14,8 @@ The memory is bounded in bytes and starts anew when full, which changes no
 result.
 
 The words of a batch that a worker does not know yet are put through their agendas together,
-all of one length as rows of arrays: a round joins the best pair of every row.  Longer words and words
+all of one length as rows of arrays: a round joins the best pair of every row, in place, with the
+places before and after each symbol.  Longer words and words
 with characters outside the vocabulary have an agenda of their own.
 
 ``Pieces.decode`` joins the pieces, drops the mark that encoding put in front, and
@@ -38,8 +39,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import operator
 import struct
 from collections.abc import Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -56,7 +59,7 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
 
 #: Bytes of words, ids and their bookkeeping that a worker remembers; longer words are not kept.
-KEEP_BYTES = 192 << 20
+KEEP_BYTES = 320 << 20
 KEEP_WORD = 64
 ENTRY_BYTES = 250
 
@@ -65,6 +68,10 @@ LISTED = 48
 NO_PIECE = float("inf")
 NO_RANK = np.iinfo(np.int32).max
 
+#: Bits of the hash by which pairs of pieces are looked up, and its factor.
+SLOT_BITS = 20
+SLOT_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
 #: Words of one length whose agendas are worked on together.
 ROWS = 1 << 14
 
@@ -114,6 +121,9 @@ class Pieces:
                       for p, (s, i) in self.known.items() for k in range(1, len(p)) if p[:k] in self.known and p[k:] in self.known)
         rows = rows or [(-1, 0, 0)]
         self.pair, self.pair_rank, self.pair_piece = (np.array(c, d) for c, d in zip(zip(*rows, strict=True), (np.int64, np.int32, np.int32), strict=True))
+        slots, first, sharing = np.unique(_slot(self.pair), return_index=True, return_counts=True)
+        self.slot = np.full(1 << SLOT_BITS, -1, np.int32)  # the only pair of a slot, -1 for none, -2 for several
+        self.slot[slots] = np.where(sharing == 1, first, -2)
 
     # ---- encoding
 
@@ -169,7 +179,11 @@ class Pieces:
 
     def encode(self, text: str | None) -> np.ndarray:
         """All ids of a text, begin and end ids included, as little-endian uint32."""
-        return self._joined(self.words.findall(MARK + text.replace(" ", MARK)) if text else [])
+        words = self._words(text)
+        return self._joined(words, list(map(self.kept.get, words)))
+
+    def _words(self, text: str | None) -> list[str]:
+        return self.words.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def learn(self, words: list[str]) -> None:
         """Remember words that are not known yet, all words of one length at a time: the agenda of
@@ -183,39 +197,52 @@ class Pieces:
                 self._learn(some[k:k + ROWS], size)
 
     def _learn(self, words: list[str], size: int) -> None:
+        """All arrays have a column per character; an entry of ``waiting`` and ``joined`` is the pair of the
+        symbol there and the one after it, and a symbol that was joined to the one before it is -1."""
         symbols = self.char_id[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")].reshape(-1, size)
         named = (symbols >= 0).all(axis=1)  # words with characters outside the vocabulary are taken singly
         number, symbols = np.flatnonzero(named), symbols[named]
-        waiting, joined = self._scores(symbols[:, :-1], symbols[:, 1:])
+        waiting, joined = np.full(symbols.shape, NO_RANK, np.int32), np.zeros(symbols.shape, np.int32)
+        waiting[:, :-1], joined[:, :-1] = self._scores(symbols[:, :-1], symbols[:, 1:])
+        before, after = (np.tile(np.arange(size) + step, (len(number), 1)) for step in (-1, 1))
         while len(number):
-            rows, width = np.arange(len(number)), symbols.shape[1]
-            if width > 1:
-                best = waiting.argmin(axis=1)  # of equal scores the first
-                go = waiting[rows, best] < NO_RANK
-            else:
-                go = np.zeros(len(rows), bool)
-            for i, ids in zip(number[~go].tolist(), symbols[~go].astype("<u4"), strict=True):
-                self._keep(words[i], ids.tobytes())
-            if not go.any():
-                return
-            number, symbols, waiting, joined, best = number[go], symbols[go], waiting[go], joined[go], best[go]
-            rows = np.arange(len(number))
-            symbols[rows, best] = joined[rows, best]
-            rest = np.ones(symbols.shape, bool)
-            rest[rows, best + 1] = False
-            symbols = symbols[rest].reshape(len(number), -1)
-            rest = np.ones(waiting.shape, bool)
-            rest[rows, best] = False
-            waiting, joined = (x[rest].reshape(len(number), -1) for x in (waiting, joined))
-            for near, left in ((best < waiting.shape[1], 0), (best > 0, -1)):
-                at, row = (best + left)[near], rows[near]
-                waiting[row, at], joined[row, at] = self._scores(symbols[row, at], symbols[row, at + 1])
+            best = waiting.argmin(axis=1)  # of equal scores the first
+            more = waiting[np.arange(len(number)), best] < NO_RANK
+            if np.count_nonzero(more) < 0.7 * len(number):
+                self._finish(words, number[~more], symbols[~more])
+                number, symbols, waiting, joined, before, after, best = (x[more] for x in (number, symbols, waiting, joined, before, after, best))
+                more = more[more]
+            first = np.flatnonzero(more) * size  # where the rows begin in the flat arrays
+            at = first + best[more]
+            flat, rank, piece, back, next_ = (x.reshape(-1) for x in (symbols, waiting, joined, before, after))
+            right = first + next_[at]
+            flat[at], flat[right] = piece[at], -1
+            rank[at] = rank[right] = NO_RANK
+            follower, next_[at] = next_[right], next_[right]
+            has = follower < size
+            back[(first + follower)[has]] = (at - first)[has]
+            near = np.flatnonzero(back[at] >= 0)
+            one = np.concatenate([at[has], first[near] + back[at[near]]])
+            rank[one], piece[one] = self._scores(flat[one], flat[np.concatenate([(first + follower)[has], at[near]])])
+
+    def _finish(self, words: list[str], number: np.ndarray, symbols: np.ndarray) -> None:
+        """Remember words whose agendas are empty."""
+        left = symbols >= 0
+        data, ends = symbols[left].astype("<u4").tobytes(), (4 * np.cumsum(left.sum(axis=1))).tolist()
+        size = ENTRY_BYTES * len(number) + 4 * symbols.size + len(data)
+        if size > self.room:
+            self.kept, self.room = {}, KEEP_BYTES
+        self.kept.update(zip(map(words.__getitem__, number.tolist()), map(data.__getitem__, map(slice, [0, *ends], ends)), strict=False))
+        self.room -= size
 
     def _scores(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranks of the pieces that pairs of pieces form (``NO_RANK`` if none), and the pieces."""
         key = left.astype(np.int64) * len(self.bytes_of) + right
-        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-        return np.where(self.pair[at] == key, self.pair_rank[at], NO_RANK), self.pair_piece[at]
+        at = self.slot[_slot(key)]
+        several = np.nonzero(at == -2)
+        if len(several[0]):
+            at[several] = np.minimum(np.searchsorted(self.pair, key[several]), len(self.pair) - 1)
+        return np.where((at >= 0) & (self.pair[at] == key), self.pair_rank[at], NO_RANK), self.pair_piece[at]
 
     def _keep(self, word: str, ids: bytes) -> None:
         size = ENTRY_BYTES + 4 * len(word) + len(ids)
@@ -227,36 +254,41 @@ class Pieces:
         """``encode`` of many texts; words that are new to the worker are learned together."""
         out = []
         for s in groups(texts):
-            lists = [self.words.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts[s]]
-            self.learn(list(set().union(*lists).difference(self.kept)))
-            out += map(self._joined, lists)
+            lists = list(map(self._words, texts[s]))
+            found = [list(map(self.kept.get, words)) for words in lists]
+            self.learn(list(set().union(*(compress(w, map(operator.is_, f, repeat(None))) for w, f in zip(lists, found, strict=True)))))
+            out += map(self._joined, lists, found)
         return out
 
-    def _joined(self, words: list[str]) -> np.ndarray:
-        found = list(map(self.kept.get, words))
-        for i in [i for i, f in enumerate(found) if f is None]:
-            found[i] = self.kept.get(words[i]) or self._word(words[i])
+    def _joined(self, words: list[str], found: list[bytes | None]) -> np.ndarray:
+        """The ids of a text from those of its words; what was not known when ``found`` was made is looked up again."""
+        if None in found:
+            for i in [i for i, f in enumerate(found) if f is None]:
+                found[i] = self.kept.get(words[i]) or self._word(words[i])
         return np.frombuffer(b"".join([struct.pack("<I", self.begin), *found, struct.pack("<I", self.end)]), "<u4")
 
     # ---- decoding
 
-    def decode(self, ids: np.ndarray) -> str:
+    def decode(self, ids: np.ndarray | list[int]) -> str:
         """The text of a list of ids, without the mark in front."""
-        ids = np.asarray(ids, np.int64)
-        text = np.flatnonzero((ids != self.begin) & (ids != self.end))
-        if not len(text):
+        ids = ids if isinstance(ids, list) else np.asarray(ids, np.int64).tolist()
+        start, stop = 0, len(ids)
+        while start < stop and ids[start] in (self.begin, self.end):
+            start += 1
+        while start < stop and ids[stop - 1] in (self.begin, self.end):
+            stop -= 1
+        if start == stop:
             return ""
-        ids = ids[text[0]:text[-1] + 1]
-        if len(ids) > len(text):  # a control piece inside ends a run of bytes
-            return self._repaired(ids)
-        listed = ids.tolist()
-        joined = b"".join(map(self.bytes_of.__getitem__, listed))
-        if self.in_front[listed[0]]:
+        ids = ids[start:stop]
+        if self.begin in ids or self.end in ids:  # a control piece inside ends a run of bytes
+            return self._repaired(np.array(ids, np.int64))
+        joined = b"".join(map(self.bytes_of.__getitem__, ids))
+        if self.in_front[ids[0]]:
             joined = joined[1:]
         try:
             return joined.decode()
         except UnicodeDecodeError:
-            return self._repaired(ids)
+            return self._repaired(np.array(ids, np.int64))
 
     def _repaired(self, ids: np.ndarray) -> str:
         """As ``decode`` where byte pieces are not UTF-8: each such byte is one U+FFFD."""
@@ -274,6 +306,10 @@ class Pieces:
         return "".join(out)
 
 
+def _slot(pairs: np.ndarray) -> np.ndarray:
+    return (pairs.astype(np.uint64) * SLOT_FACTOR) >> np.uint64(64 - SLOT_BITS)
+
+
 def _utf8_or_marks(part: bytes) -> str:
     out, at = [], 0
     while at < len(part):
@@ -337,11 +373,11 @@ def digests(docs: DataFrame, model: str = MODEL) -> DataFrame:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             ids = own.encode_all(texts)
-            back = [own.decode(i) for i in ids]
-            same = []
-            for t, i, b in zip(texts, ids, back, strict=True):
-                its = lib.encode(t, add_bos=True, add_eos=True)
-                same.append(i.tolist() == its and b == lib.decode(its))
+            back, same = [], []
+            for t, i in zip(texts, ids, strict=True):
+                listed, its = i.tolist(), lib.encode(t, add_bos=True, add_eos=True)
+                back.append(own.decode(listed))
+                same.append(listed == its and back[-1] == lib.decode(its))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(i) for i in ids], pa.int64()), pa.array([hashlib.sha256(i.tobytes()).hexdigest() for i in ids], pa.string()),
                 pa.array([hashlib.sha256(b.encode("utf-8", "surrogatepass")).hexdigest() for b in back], pa.string()), pa.array(same, pa.bool_())],
