@@ -53,6 +53,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A narrow table over all tasks.  Its file has few row groups, and all that is made of a row would be made,
+    sorted and encoded in the task that reads its group."""
+    n = max(3 * df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    return df.repartition(n, key)
+
+
 def _raw(fields: DataFrame, source: str, run_ts, batch_id: str | None, load_ts=None) -> DataFrame:
     """Wrap a frame of payload fields into the raw envelope."""
     src = SOURCES[source]
@@ -225,7 +232,7 @@ def dedup_lines(spark, sf_dir) -> DataFrame:
 
 # ---------------------------------------------------------------- products / categories / suppliers
 def raw_products(spark, sf_dir) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+    p = spread(table(spark, sf_dir, "part"), "p_partkey")
     k = F.col("p_partkey")
     price = F.col("p_retailprice").cast("decimal(18,2)")
     f = p.select(
@@ -289,7 +296,7 @@ def raw_suppliers(spark, sf_dir) -> DataFrame:
 
 # ---------------------------------------------------------------- inventory + purchase orders
 def raw_inventory(spark, sf_dir) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_partkey")
+    p = spread(table(spark, sf_dir, "part").select("p_partkey"), "p_partkey")
     k = F.col("p_partkey")
     grid = F.explode(F.array(*[F.struct(F.lit(l).alias("loc"), F.lit(d).alias("day"))
                                for l in (0, 1) for d in (0, 1, 2)]))

@@ -29,3 +29,11 @@ def test_parsed_once_gives_null_and_kept_rows_as_before(spark):
     raw = raw.select("id", F.parse_json("j").alias("payload"))
     rows = silver._select(raw, silver.vs("a").alias("a"), silver.vnum("b").alias("b"), F.col("id")).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [("x", 2, 1), (None, None, 2), (None, None, 3), (None, None, 4)]
+
+
+def test_snapshots_of_one_row_group_are_made_in_many_tasks(spark):
+    many = 3 * spark.sparkContext.defaultParallelism
+    assert feeds.table(spark, SF, "part").rdd.getNumPartitions() == 1
+    raw = feeds.raw_inventory(spark, SF).where(F.col("record_type") == feeds.SNAPSHOT)
+    assert raw.rdd.getNumPartitions() == many and feeds.raw_products(spark, SF).rdd.getNumPartitions() == many
+    assert raw.count() == 6 * feeds.table(spark, SF, "part").count()
