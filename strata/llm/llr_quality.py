@@ -8,9 +8,9 @@ threshold and the plain rules on its own text do not reject it.
 * Raw counts cover all documents.  Each task sums its documents into one
   vector, so a task sends at most ``BUCKETS`` rows into the aggregation and the
   driver receives at most ``BUCKETS`` rows, whatever the corpus size.
-* The target is fitted on labelled rows: documents whose labels all say
-  quality 1 and never toxic, at most ``trusted_docs`` of them (those with the
-  smallest hash of the id), so their ids may be broadcast.
+* The target is fitted on all labelled rows: documents whose labels all say
+  quality 1 and never toxic.  Their ids are sent to the tasks in as many blocks of
+  about ``IDS`` as they take, so that no text is shuffled.
 * The ratio of a bucket is ``(target + k) / (expected + k)`` where ``expected``
   is what the raw distribution gives a target of this size: buckets without
   evidence count as neutral.
@@ -32,12 +32,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import materialize
+
 from .common import free_name, text_of, utf8
 from .vocabulary import Growing, Vocabulary, groups, spread
 
 BITS = 16
 BUCKETS = 1 << BITS
-TRUSTED_DOCS = 20_000
+IDS = 1 << 20
 PSEUDO = 5.0
 #: Mean log ratio (nats per n-gram) below which a document is rejected.
 THRESHOLD = -0.25
@@ -114,12 +116,23 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
     return n_words < MIN_WORDS or 100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words
 
 
-def trusted_ids(labels: DataFrame, trusted_docs: int = TRUSTED_DOCS) -> DataFrame:
-    """At most ``trusted_docs`` ids whose labels all say quality 1, not toxic."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The ids whose labels all say quality 1, not toxic."""
     return (labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
             .agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t"))
-            .where("q = 1 and t = 0").select("doc_id")
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_docs))
+            .where("q = 1 and t = 0").select("doc_id"))
+
+
+def with_trusted(docs: DataFrame, labels: DataFrame, ids: int = IDS) -> DataFrame:
+    """``text`` of every document and whether its id is trusted."""
+    trusted = materialize(trusted_ids(labels))
+    blocks = max(1, -(-trusted.count() // ids))
+    rows = docs.select("doc_id", text_of(docs).alias("text"), F.lit(False).alias("trusted"))
+    for b in range(blocks):
+        some = trusted.where(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) == b).withColumn("here", F.lit(True))
+        rows = (rows.join(F.broadcast(some), "doc_id", "left")
+                .select("doc_id", "text", (F.col("trusted") | F.col("here").isNotNull()).alias("trusted")))
+    return rows.select("text", "trusted")
 
 
 def _tokens() -> Tokens:
@@ -132,17 +145,15 @@ def _tokens() -> Tokens:
 _KEPT: dict[str, Tokens] = {}
 
 
-def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, trusted_docs: int = TRUSTED_DOCS) -> np.ndarray:
-    """Log ratio target / raw per bucket, from all documents."""
+def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, ids: int = IDS) -> np.ndarray:
+    """Log ratio target / raw per bucket, from all documents and all trusted ones."""
     buckets = 1 << bits
-    trusted = trusted_ids(labels, trusted_docs).withColumn("trusted", F.lit(1))
-    rows = (docs.select("doc_id", text_of(docs).alias("text"))
-            .join(F.broadcast(trusted), "doc_id", "left").select("text", "trusted"))
+    rows = with_trusted(docs, labels, ids)
 
     def count(batches):
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for pdf in batches:
-            texts, is_trusted = pdf["text"].tolist(), pdf["trusted"].notna().to_numpy()
+            texts, is_trusted = pdf["text"].tolist(), pdf["trusted"].to_numpy(bool)
             for s in groups(texts):
                 at, of = _tokens().ngrams(*_tokens().index(texts[s]), bits)
                 raw += np.bincount(at, minlength=buckets)
