@@ -37,3 +37,25 @@ def test_snapshots_of_one_row_group_are_made_in_many_tasks(spark):
     raw = feeds.raw_inventory(spark, SF).where(F.col("record_type") == feeds.SNAPSHOT)
     assert raw.rdd.getNumPartitions() == many and feeds.raw_products(spark, SF).rdd.getNumPartitions() == many
     assert raw.count() == 6 * feeds.table(spark, SF, "part").count()
+
+
+def _supplier_case(spark):
+    sup = spark.createDataFrame([("s1", 1), ("s2", 2), ("s3", 3)], "supplier_id string, supplier_sk long")
+    fso = spark.createDataFrame([("s1", "p1"), ("s1", "p2"), ("s2", "p2"), ("s2", "p2"), ("s9", "p1"), ("s3", "p3")], "supplier_id string, product_id string")
+    foi = spark.createDataFrame([("o1", "p1"), ("o1", "p2"), ("o1", "p2"), ("o2", "p2"), ("o3", "p1"), ("o4", "p3")], "order_id string, product_id string")
+    fr = spark.createDataFrame([("r1", "o1"), ("r2", "o1"), ("r3", "o2"), ("r4", None), ("r5", "o8")], "return_id string, order_id string")
+    return sup, fso, foi, fr
+
+
+@pytest.mark.parametrize("block", [4096, 1])
+def test_returns_per_supplier_count_a_return_once(spark, monkeypatch, block):
+    from strata.plans import marts
+    monkeypatch.setattr(marts, "SUPPLIER_BLOCK", block)
+    got = marts._returns_per_supplier(*_supplier_case(spark))
+    assert {r["_r_sup"]: r["_rc"] for r in got.collect()} == {"s1": 3, "s2": 3}
+
+
+def test_returns_and_suppliers_are_not_shuffled_in_pairs(spark):
+    from strata.plans import marts
+    plan = _optimized(marts._returns_per_supplier(*_supplier_case(spark)))
+    assert "distinct return_id" not in plan and "array_distinct" in plan
