@@ -76,7 +76,9 @@ class Warehouse:
     @cached_property
     def inventory(self): return silver.s07_inventory(self.raw_inventory, None, feeds.RUN1)
     @cached_property
-    def purchase_orders(self): return silver.purchase_orders(self.raw_inventory)
+    def purchase_orders(self):
+        # written once: the sort by range that numbers them reads its rows twice, and would make and parse them twice
+        return materialize(silver.purchase_orders(self.raw_inventory))
     @cached_property
     def payments(self): return silver.s08_payments(self._raw("payments"), None, feeds.RUN1)
     @cached_property
