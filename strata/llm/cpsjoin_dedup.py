@@ -50,7 +50,7 @@ component's id unless all its ids are null; the output has one row per input row
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache, reduce
 from math import comb
 
@@ -63,7 +63,7 @@ from pyspark.sql import functions as F
 from strata.session import materialize
 
 from .common import free_name, text_of, utf8
-from .vocabulary import Growing, Vocabulary, groups
+from .vocabulary import Growing, Vocabulary, give_back, groups, held
 
 TREES = 10
 SKETCH = 128
@@ -109,7 +109,10 @@ def set_hashes(words: np.ndarray, width: int) -> np.ndarray:
     h = np.full(n - k + 1, k, np.uint64)
     for i in range(k):
         h = _mix(h + words[i:n - k + 1 + i])
-    return np.unique(h)
+    h.sort()
+    first = np.ones(len(h), bool)
+    np.not_equal(h[1:], h[:-1], out=first[1:])
+    return h[first]
 
 
 def sketch(hashes: np.ndarray) -> tuple[bytes, bytes]:
@@ -122,14 +125,9 @@ def sketch(hashes: np.ndarray) -> tuple[bytes, bytes]:
     return ((low * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype("<u2").tobytes(), roots.astype("<u8").tobytes()
 
 
-_KEPT: dict[str, Words] = {}
-
-
 def _words() -> Words:
     """The worker's word hashes, kept over tasks."""
-    if "words" not in _KEPT:
-        _KEPT["words"] = Words()
-    return _KEPT["words"]
+    return held("cpsjoin words", Words)
 
 
 SET = "n_shingles long, set_id binary, sketch binary, roots binary, body binary"
@@ -164,10 +162,16 @@ def shingles(body: bytes, width: int) -> set:
     return set(zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else {tuple(words)}
 
 
-def hashed_set(body: bytes, width: int) -> np.ndarray:
-    """The full set of a compressed word list as sorted 64-bit hashes, of which ``set_id`` is the hash."""
-    at, _ = _words().index([zstandard.ZstdDecompressor().decompress(body).decode("utf-8", "surrogatepass")])
-    return set_hashes(_words().hashes.data[at], width)
+def hashed_sets(bodies: list[bytes], width: int, most: int = 64) -> list[np.ndarray]:
+    """The full sets of compressed word lists as sorted 64-bit hashes, of which ``set_id`` is the hash; ``most``
+    lists are numbered together."""
+    out, unpack = [], zstandard.ZstdDecompressor().decompress
+    for k in range(0, len(bodies), most):
+        at, counts = _words().index([unpack(b).decode("utf-8", "surrogatepass") for b in bodies[k:k + most]])
+        hashes, end = _words().hashes.data[at], np.cumsum(counts)
+        out += [set_hashes(hashes[e - n:e], width) for e, n in zip(end.tolist(), counts.tolist(), strict=True)]
+    give_back()
+    return out
 
 
 # ---------------------------------------------------------------- components
@@ -242,35 +246,52 @@ def _runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
 def with_partners(rows: DataFrame, percent: int) -> DataFrame:
     """The rows (key, set_id, comp, side) of groups whose sketch does not rule out a link to a member
     of another component in the group.  Takes the rows with their ``sketch``."""
-    least = int(np.ceil(SKETCH * least_estimate(percent, GROUP_SIGMAS)))
+    least = least_agreeing(percent)
 
     def look(batches):
         for g in _runs(batches, "key"):
-            sketches = np.frombuffer(b"".join(g["sketch"]), "<u2").reshape(-1, SKETCH)
-            comp, side = np.unique(g["comp"].to_numpy(), return_inverse=True)[1], g["side"].to_numpy()
+            near = _partners(g, least)
             found = np.zeros(len(g), bool)
-            for i in np.flatnonzero(side == 0).tolist():  # side 0 comes first
-                hit = np.count_nonzero(sketches[i + 1:] == sketches[i], axis=1) >= least
-                hit &= comp[i + 1:] != comp[i]
-                if hit.any():
-                    found[i] = True
-                    found[i + 1:] |= hit
+            for i in np.flatnonzero(g["side"].to_numpy() == 0).tolist():  # side 0 comes first
+                if len(hit := near(i)):
+                    found[i] = found[hit] = True
             if found.any():
-                yield g.loc[found, ["key", "set_id", "comp", "side"]]
+                yield g.loc[found, ["key", "set_id", "comp", "side", "sketch"]]
 
     return (rows.repartition("key").sortWithinPartitions("key", "side", "set_id").select("key", "set_id", "comp", "side", "sketch")
-            .mapInPandas(look, "key long, set_id binary, comp binary, side int"))
+            .mapInPandas(look, "key long, set_id binary, comp binary, side int, sketch binary"))
+
+
+def least_agreeing(percent: int) -> int:
+    """The number of equal sketch values below which a link inside a group is ruled out."""
+    return int(np.ceil(SKETCH * least_estimate(percent, GROUP_SIGMAS)))
+
+
+def _partners(g: pd.DataFrame, least: int) -> Callable[[int], np.ndarray]:
+    """For a group, the function from a row to the rows after it that are of another component and agree with it in
+    ``least`` sketch values.  Half of the values rule most out: the other half can't make up for what is missing there."""
+    sketches, half = np.frombuffer(b"".join(g["sketch"]), "<u2").reshape(-1, SKETCH), SKETCH // 2
+    first, last = np.ascontiguousarray(sketches[:, :half]), sketches[:, half:]
+    comp = np.unique(g["comp"].to_numpy(), return_inverse=True)[1]
+
+    def near(i: int) -> np.ndarray:
+        same = np.count_nonzero(first[i + 1:] == first[i], axis=1)
+        some = np.flatnonzero((same >= least - (SKETCH - half)) & (comp[i + 1:] != comp[i]))
+        same = same[some] + np.count_nonzero(last[some + i + 1] == last[i], axis=1)
+        return some[same >= least] + i + 1
+    return near
 
 
 def linked_in_groups(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) that join components inside each group (key, set_id, comp,
-    body, side), confirmed on the full sets: at most one fewer than the group
-    has components.  ``side`` 0 meets everything, 1 meets side 0 only."""
+    """Links (a, b) that join components inside each group (key, set_id, comp, sketch,
+    body, side), confirmed on the full sets where the sketches do not rule them out: at most one
+    fewer than the group has components.  ``side`` 0 meets everything, 1 meets side 0 only."""
+    least = least_agreeing(percent)
 
     def compare(batches):
-        for g in _runs(batches, "key"):
-            ids, comp, side = g["set_id"].to_numpy(), g["comp"].to_numpy(), g["side"].to_numpy()
-            sets = [hashed_set(b, width) for b in g["body"]]
+        for g in _runs((b.assign(body=pd.Series(hashed_sets(b["body"].tolist(), width), b.index, object)) for b in batches), "key"):
+            ids, comp, side, sets = (g[c].to_numpy() for c in ("set_id", "comp", "side", "body"))
+            near = _partners(g, least)
             names, label = np.unique(comp, return_inverse=True)
             root, out = list(range(len(names))), []
 
@@ -281,7 +302,7 @@ def linked_in_groups(rows: DataFrame, width: int, percent: int) -> DataFrame:
                 return x
 
             for i in np.flatnonzero(side == 0).tolist():
-                for j in range(i + 1, len(ids)):
+                for j in near(i).tolist():
                     x, y = top(label[i]), top(label[j])
                     if x != y and linked(sets[i], sets[j], percent):
                         root[x] = y
@@ -289,7 +310,7 @@ def linked_in_groups(rows: DataFrame, width: int, percent: int) -> DataFrame:
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"])
 
-    return (rows.repartition("key").sortWithinPartitions("key", "side", "set_id").select("key", "set_id", "comp", "body", "side")
+    return (rows.repartition("key").sortWithinPartitions("key", "side", "set_id").select("key", "set_id", "comp", "sketch", "body", "side")
             .mapInPandas(compare, "a binary, b binary"))
 
 
@@ -298,7 +319,8 @@ def linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     few, many = sorted((len(one), len(two)))
     if 100 * few < percent * many:
         return False
-    both = len(np.intersect1d(one, two, assume_unique=True))
+    both = np.sort(np.concatenate([one, two]))
+    both = np.count_nonzero(both[1:] == both[:-1])
     return 100 * both >= percent * (few + many - both)
 
 
@@ -408,7 +430,7 @@ def links(described: DataFrame, width: int, percent: int) -> DataFrame:
         rows = rows.where(~done)
         if rows.isEmpty():
             break
-        rows = materialize(_mixed(_children(rows, sets, percent)))
+        rows = materialize(_mixed(materialize(_children(rows, sets, percent))))  # written: what makes rows is not run for their sizes, too
     groups_of = reduce(DataFrame.unionByName, [*small, _blocks(materialize(_merged(reduce(DataFrame.unionByName, whole))))])
     near = materialize(with_partners(groups_of.join(sets.select("set_id", "sketch"), "set_id"), percent))
     joined = linked_in_groups(near.join(bodies, "set_id"), width, percent)

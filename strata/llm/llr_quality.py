@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from strata.session import materialize
 
 from .common import free_name, text_of, utf8
-from .vocabulary import Growing, Vocabulary, groups, spread
+from .vocabulary import Growing, Vocabulary, groups, held, spread
 
 BITS = 16
 BUCKETS = 1 << BITS
@@ -137,12 +137,7 @@ def with_trusted(docs: DataFrame, labels: DataFrame, ids: int = IDS) -> DataFram
 
 def _tokens() -> Tokens:
     """The worker's numbering, kept over tasks."""
-    if "tokens" not in _KEPT:
-        _KEPT["tokens"] = Tokens()
-    return _KEPT["tokens"]
-
-
-_KEPT: dict[str, Tokens] = {}
+    return held("llr tokens", Tokens)
 
 
 def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, ids: int = IDS) -> np.ndarray:

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of, utf8
+from .vocabulary import held
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 LEAF = 512
@@ -42,8 +43,6 @@ _MARKS = r"(-/:-@\[-`{-~"
 _CUT = re.compile(r"(?<=[^\s])(?=[^\S\x1c-\x1f])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])"
                   rf"|(?<=[A-Za-z0-9])(?=[!-'{_MARKS}])|(?<=[!-&{_MARKS}])(?=[A-Za-z0-9])")
 
-_CODECS: dict[str, Codec] = {}
-
 
 class Codec:
     def __init__(self, path: str):
@@ -121,9 +120,8 @@ def right_cut(text: str, mid: int, hi: int) -> int:
 
 
 def codec(path: str) -> Codec:
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+    """The worker's copy of the ranks, kept over tasks."""
+    return held(f"ranks {path}", lambda: Codec(path))
 
 
 def encode_column(text: Column, ranks: str = RANKS) -> Column:

@@ -3,13 +3,16 @@ alone is computed once a word and the rest of the work is on integer arrays."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+T = TypeVar("T")
+
 
 def groups(texts: list, most: int = 1 << 20) -> Iterator[slice]:
     """Slices of about ``most`` characters, so that a batch's temporary lists stay small."""
@@ -21,6 +24,25 @@ def groups(texts: list, most: int = 1 << 20) -> Iterator[slice]:
             start, size = i + 1, 0
     if start < len(texts):
         yield slice(start, len(texts))
+    give_back()
+
+
+def give_back() -> None:
+    """Return what Arrow's allocator keeps of a batch's temporary arrays to the system: a worker lives as long as
+    its executor, and would add the most of any batch to the executor's memory for good."""
+    pa.default_memory_pool().release_unused()
+
+
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], T]) -> T:
+    """What a worker remembers over the tasks of one operator (made anew whenever it is missing).  It is let go when
+    another operator's is asked for, so that the operators of a pipeline do not add up in a worker."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
 
 
 class Vocabulary:
