@@ -229,23 +229,32 @@ def store_monthly(fs: DataFrame, dim_stores: DataFrame, dim_date: DataFrame) ->
 def category_revenue(foi: DataFrame, dim_products: DataFrame, dim_categories: DataFrame,
                      dim_date: DataFrame) -> DataFrame:
     """Category x month with the share of the month (window over the
-    aggregated rows).  D7: the top category comes from the category path."""
+    aggregated rows).  D7: the top category comes from the category path.
+
+    Lines are grouped by two numbers, the category's key and the month; names join the groups.  Each distinct
+    count is an aggregate of its own over two or three columns: together they would expand every line to three
+    rows, which carry all names and the buffers of all sums through sort and shuffle."""
     p = dim_products.select(F.col("product_id").alias("_p_id"), F.col("category_id").alias("_p_cat"))
-    cat = dim_categories.select(
-        "category_id", "category_name", "parent_category_name",
-        F.split_part(F.col("category_path"), F.lit(" > "), F.lit(1)).alias("top_category_name"), "category_path")
-    d = _dates(dim_date, "year_number", "quarter_name", "month_number", "month_name")
-    keys = ["category_id", "category_name", "parent_category_name", "top_category_name", "category_path",
-            "year_number", "quarter_name", "month_number", "month_name"]
-    g = (foi.join(p, foi.product_id == F.col("_p_id"), "inner")
-         .join(cat, F.col("_p_cat") == cat.category_id, "inner")
-         .join(d, "date_sk")
-         .groupBy(*keys)
-         .agg(F.count_distinct("order_id").alias("orders"), F.sum("quantity").alias("units_sold"),
-              F.sum("line_total").alias("_gross"), F.sum("discount_amount").alias("_disc"),
+    c = dim_categories.select("category_id", F.col("category_sk").alias("_cat"))
+    d = _dates(dim_date.withColumn("_month", F.col("year_number") * 12 + F.col("month_number")), "_month")
+    lines = (foi.join(p, foi.product_id == F.col("_p_id"), "inner")
+             .join(c, F.col("_p_cat") == c.category_id, "inner").join(d, "date_sk"))
+    g = (lines.groupBy("_cat", "_month")
+         .agg(F.sum("quantity").alias("units_sold"), F.sum("line_total").alias("_gross"), F.sum("discount_amount").alias("_disc"),
               F.sum(F.col("line_total") - F.col("discount_amount")).alias("_net"),
-              F.sum("gross_profit").alias("_gp"), _ravg("margin_pct").alias("avg_margin_pct"),
-              F.count_distinct("product_id").alias("distinct_products_sold")))
+              F.sum("gross_profit").alias("_gp"), _ravg("margin_pct").alias("avg_margin_pct")))
+
+    def distinct(column: str, name: str) -> DataFrame:
+        return lines.select("_cat", "_month", column).distinct().groupBy("_cat", "_month").agg(F.count(column).alias(name))
+
+    names = dim_categories.select(
+        F.col("category_sk").alias("_cat"), "category_id", "category_name", "parent_category_name",
+        F.split_part(F.col("category_path"), F.lit(" > "), F.lit(1)).alias("top_category_name"), "category_path")
+    months = ["year_number", "quarter_name", "month_number", "month_name"]
+    named = dim_date.select((F.col("year_number") * 12 + F.col("month_number")).alias("_month"), *months).distinct()
+    g = (g.join(distinct("order_id", "orders"), ["_cat", "_month"]).join(distinct("product_id", "distinct_products_sold"), ["_cat", "_month"])
+         .join(names, "_cat").join(bounded_broadcast(named, BOUND_DATE_DIM), "_month"))
+    keys = ["category_id", "category_name", "parent_category_name", "top_category_name", "category_path", *months]
     month_total = F.sum("_gross").over(Window.partitionBy("year_number", "month_number"))
     return g.select(
         *keys, "orders", "units_sold", _d("_gross").alias("gross_revenue"), _d("_disc").alias("discounts"),
