@@ -621,16 +621,16 @@ def churn_indicators(orders: DataFrame, ws: DataFrame, dim_customers: DataFrame,
 # ------------------------------------------------------------------ M46
 def product_affinity(foi: DataFrame, dim_products: DataFrame, dim_customers: DataFrame, as_of) -> DataFrame:
     """Customer x top category (aggregate of aggregate); the per-customer
-    rank runs over at most one row per category."""
+    total and rank run over at most one row per category, so lines are read and joined once."""
     today = lit_date(as_of)
     p = dim_products.select(F.col("product_id").alias("_p_id"), F.col("top_category_name").alias("category"))
-    ccs = (foi.join(p, foi.product_id == F.col("_p_id")).groupBy("customer_id", "category")
+    ccs = (foi.where(F.col("customer_id").isNotNull()).join(p, foi.product_id == F.col("_p_id")).groupBy("customer_id", "category")
            .agg(F.sum("line_total").alias("_spend"), F.count_distinct("order_id").alias("category_orders"),
                 F.sum("quantity").alias("units_bought"), F.max("order_date").alias("last_purchase_in_category")))
-    ct = ccs.groupBy(F.col("customer_id").alias("_t_cust")).agg(F.sum("_spend").alias("_total"))
+    ccs = ccs.withColumn("_total", F.sum("_spend").over(Window.partitionBy("customer_id")))
     cur = dim_customers.filter(F.col("is_current")).select(F.col("customer_id").alias("_c_id"), "full_name",
                                                              "customer_tier")
-    j = ccs.join(ct, ccs.customer_id == F.col("_t_cust")).join(cur, ccs.customer_id == F.col("_c_id"), "left")
+    j = ccs.join(cur, F.col("customer_id") == F.col("_c_id"), "left")
     share = F.when(F.col("_total") != 0, _d("_spend") / _d("_total") * 100)
     days = F.datediff(today, F.col("last_purchase_in_category"))
     bonus = F.when(days <= 30, 10).when(days <= 90, 5).otherwise(0)

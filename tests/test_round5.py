@@ -25,3 +25,9 @@ def test_category_revenue_does_not_expand_lines(wh):
     for row in (line for line in _plan(df).split("\n") if "Aggregate" in line and "order_id" in line):
         assert "category_name" not in row and "category_path" not in row, row
     assert df.count() > 0
+
+
+def test_product_affinity_reads_lines_once(wh):
+    df = marts.product_affinity(wh.fact_order_items, wh.dim_products, wh.dim_customers, wh.as_of)
+    assert _plan(df).count("line_total") and sum("Relation" in line and "order_item_sk" in line for line in _plan(df).split("\n")) == 1
+    assert df.count() > 0
