@@ -412,8 +412,10 @@ def links(described: DataFrame, width: int, percent: int) -> DataFrame:
                         .join(sets.select("set_id", F.col("sketch").alias("s1")), "set_id")
                         .join(sets.select(F.col("set_id").alias("pivot"), F.col("sketch").alias("s2")), "pivot")
                         .withColumn("agree", _agreement("s1", "s2")).where(F.col("agree") >= least_estimate(percent)).select("set_id", "pivot", "agree"))
-    members = nodes.select("set_id").distinct()
-    bodies = materialize(some.select("set_id", "body").join(members, "set_id", "left_semi").groupBy("set_id").agg(F.first("body").alias("body")))
+    # copies are dropped before the shuffle, and only the sets that a sketch leaves open are written
+    texts = some.groupBy("set_id").agg(F.first("body").alias("body"))
+    of = lambda ids: texts.join(ids.select("set_id").distinct(), "set_id", "left_semi")
+    bodies = materialize(of(stars.select("set_id").unionByName(stars.select(F.col("pivot").alias("set_id")))))
 
     best = stars.groupBy("set_id").agg(F.max(F.struct("agree", "pivot")).alias("m")).select(F.col("set_id").alias("a"), F.col("m.pivot").alias("b"))
     comps = components(confirmed(best, bodies, width, percent))
@@ -433,7 +435,7 @@ def links(described: DataFrame, width: int, percent: int) -> DataFrame:
         rows = materialize(_mixed(materialize(_children(rows, sets, percent))))  # written: what makes rows is not run for their sizes, too
     groups_of = reduce(DataFrame.unionByName, [*small, _blocks(materialize(_merged(reduce(DataFrame.unionByName, whole))))])
     near = materialize(with_partners(groups_of.join(sets.select("set_id", "sketch"), "set_id"), percent))
-    joined = linked_in_groups(near.join(bodies, "set_id"), width, percent)
+    joined = linked_in_groups(near.join(of(near), "set_id"), width, percent)
     return components(_edges(comps).unionByName(joined))
 
 
