@@ -104,3 +104,79 @@ def test_products_sums_do_not_go_with_their_orders(wh, monkeypatch):
     plan = _optimized(marts.product_performance(wh.dim_products, wh.fact_order_items, wh.fact_reviews))
     groups = [line for line in plan.split("\n") if "Aggregate" in line and "order_id#" in line]
     assert groups and not [line for line in groups if "sum(" in line], groups
+
+
+# ------------------------------------------------------------------ M35, and cheap reads that it shares
+def _by_hand(lines, returns):
+    """Slice -> (orders, revenue), (slice, reason) -> (returns, refund, days, to card)."""
+    den, num, total, seen = {}, {}, {}, {}
+    for o, k, v in lines:
+        den.setdefault(k, [set(), 0])[0].add(o)
+        den[k][1] += v
+        total[o] = total.get(o, 0) + v
+    for rid, o, reason, refund, method, days in returns:
+        for lo, k, v in lines:
+            if lo == o:
+                part = (2 * refund * v + total[o]) // (2 * total[o])
+                row = num.setdefault((k, reason), [0, 0, 0, 0])
+                if (rid, k) not in seen:
+                    seen[rid, k] = True
+                    row[0], row[2] = row[0] + 1, row[2] + days
+                row[1] += part
+                row[3] += part if method == "ORIGINAL_PAYMENT" else 0
+    return den, num
+
+
+def test_return_rates_of_orders_with_many_lines_and_returns(spark):
+    lines = [("o1", "a", 30), ("o1", "a", 70), ("o1", "b", 50), ("o2", "a", 10), ("o2", None, 90), ("o3", "b", 40), ("o4", "c", 5)]
+    returns = [("r1", "o1", "X", 101, "ORIGINAL_PAYMENT", 3), ("r2", "o1", "X", 33, "STORE_CREDIT", 5), ("r3", "o1", "Y", 7, "STORE_CREDIT", 9),
+               ("r4", "o2", "X", 55, "ORIGINAL_PAYMENT", 2), ("r5", None, "X", 1, "STORE_CREDIT", 1), ("r6", "o9", "X", 1, "STORE_CREDIT", 1)]
+    foi = spark.createDataFrame([(o, k or "none", v, 20010801) for o, k, v in lines], "order_id string, product_id string, v int, date_sk long")
+    foi = foi.withColumn("line_total", (F.col("v") / 1).cast("decimal(18,4)"))
+    fr = spark.createDataFrame(returns, "return_id string, order_id string, return_reason string, cents int, refund_method string, days_to_return int")
+    fr = fr.withColumn("refund_amount", (F.col("cents") / 100).cast("decimal(18,2)"))
+    p = spark.createDataFrame([("a", "C", "T", "B1"), ("b", "C", "T", "B2"), ("c", "C", "T", "B3"), ("none", "C", "T", None)],
+                              "product_id string, category_name string, top_category_name string, brand string")
+    d = spark.createDataFrame([(20010801, 2001, "Q3", 8, "August")], "date_sk long, year_number long, quarter_name string, month_number long, month_name string")
+    got = {(r["brand"], r["return_reason"]): r for r in marts.return_rates(fr, foi, p, d).collect()}
+    den, num = _by_hand(lines, returns)
+    brand = {"a": "B1", "b": "B2", "c": "B3"}
+    expected = {(brand[k], reason): v for (k, reason), v in num.items() if k}
+    assert set(got) == set(expected) and len(expected) == 4
+    for (k, reason), (n, refund, days, card) in num.items():
+        if k:
+            r = got[brand[k], reason]
+            assert (r["total_returns"], r["total_orders_in_period"]) == (n, len(den[k][0])), (k, reason)
+            assert (int(r["total_refund_amount"] * 100), int(r["refunded_to_card"] * 100), r["avg_days_to_return"]) == (refund, card, days / n)
+            assert r["revenue_return_rate_pct"] == refund / (den[k][1] * 100.0) * 100
+
+
+def test_return_rates_read_lines_and_returns_once(wh):
+    plan = _optimized(marts.return_rates(wh.fact_returns, wh.fact_order_items, wh.dim_products, wh.dim_date))
+    scans = [line for line in plan.split("\n") if "Relation" in line]
+    assert sum("order_item_sk" in line for line in scans) == 1 and sum("return_reason#" in line for line in scans) == 1, scans
+    assert not [line for line in plan.split("\n") if "RepartitionByExpression" in line and "category_name" in line]
+
+
+NUMBERS = ["1", "-1", "+7", " 8 ", "1.5", "2.5", "-2.5", "0.4999", "1e3", "1E-3", "5.", ".5", "", " ", None, "abc", "--1", "9223372036854775807",
+           "9223372036854775808", "-9223372036854775808", "99999999999999999999999999999999999999", "1e40", "\u0661\u0662", "1 2", "0x1", "1L",
+           "007", "-0", "\t9\n", "\u00a05", "1_000", "1,000", "Infinity", "NaN", "+", "-", "\x01" + "3", "4\x00"]
+
+
+def test_whole_numbers_of_text_are_those_of_their_decimal(spark):
+    from strata.plans import silver
+    rows = spark.createDataFrame([(n,) for n in NUMBERS], "v string").select(F.to_variant_object(F.struct("v")).alias("payload"))
+    old = silver._text("v").try_cast("decimal(38,0)").try_cast("bigint")
+    out = silver._select(rows, silver.vs("v").alias("text"), silver.vnum("v").alias("new"), old.alias("old"))
+    assert [r for r in out.collect() if r["new"] != r["old"]] == [] and out.where("old is not null").count() >= 12
+
+
+def test_sums_of_products_are_the_decimal_ones(spark):
+    from strata.sources import feeds
+    values = [0.0, -0.0, 0.07, 1.005, 84197.04, -3.1, 1e-9, 99999999.99, 1234567890123.45, 0.1, 0.29, 0.005, None]
+    pairs = [(i % 7, a, b) for i, (a, b) in enumerate((a, b) for a in values for b in values)] + [(8, None, 1.0), (9, 1.005, 1.0), (10, 0.05, 0.07)]
+    df = spark.createDataFrame(pairs, "k int, a double, b double")
+    exact = F.sum(F.col("a").cast("decimal(18,2)") * F.col("b").cast("decimal(18,2)"))
+    for scale in ("decimal(18,2)", "decimal(38,4)"):
+        rows = df.where("coalesce(abs(a * b), 0) < 1e14").groupBy("k").agg(feeds._sum_of_products("a", "b").cast(scale).alias("new"), exact.cast(scale).alias("old")).collect()
+        assert len(rows) == 10 and [r for r in rows if r["new"] != r["old"]] == [], rows
